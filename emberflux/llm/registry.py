@@ -6,11 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .bpe import op10_byte_bpe
+from .quality_rules import op9_quality_rules
 from .substring_dedup import op1_substring_dedup
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = [op1_substring_dedup]
+    found = [op1_substring_dedup, op9_quality_rules, op10_byte_bpe]
     return {f.__name__: f for f in found}
 
 
