@@ -7,12 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .bpe import op10_byte_bpe
+from .decontaminate import op8_benchmark_decontamination
+from .pii import op5_pii
 from .quality_rules import op9_quality_rules
 from .substring_dedup import op1_substring_dedup
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = [op1_substring_dedup, op9_quality_rules, op10_byte_bpe]
+    found = [op1_substring_dedup, op5_pii, op8_benchmark_decontamination, op9_quality_rules, op10_byte_bpe]
     return {f.__name__: f for f in found}
 
 
