@@ -10,14 +10,16 @@ from .bpe import op10_byte_bpe
 from .chat_format import ORACLE as CHAT_ORACLE
 from .chat_format import op4_chat_format
 from .decontaminate import op8_benchmark_decontamination
+from .jaccard_join import op3_jaccard_join
 from .language_id import op7_language_id
 from .pii import op5_pii
+from .quality_model import op2_quality_model
 from .quality_rules import op9_quality_rules
 from .substring_dedup import op1_substring_dedup
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = [op1_substring_dedup, op4_chat_format, op5_pii, op7_language_id, op8_benchmark_decontamination, op9_quality_rules, op10_byte_bpe]
+    found = [op1_substring_dedup, op2_quality_model, op3_jaccard_join, op4_chat_format, op5_pii, op7_language_id, op8_benchmark_decontamination, op9_quality_rules, op10_byte_bpe]
     return {f.__name__: f for f in found}
 
 
