@@ -1,30 +1,33 @@
 """Operator 10: byte-level BPE encoding and decoding through a global distinct-word shuffle.
 
-1. Chunks of whole documents are split into pre-tokens. A chunk keeps the sequence of positions as
-   indices into its own distinct words (compressed), and gives one row for each distinct word.
-2. The word rows are dealt out and sorted by word, so that every distinct word is encoded once.
-3. Its ids go back to the chunks, packed, and meet the position sequences there.
-4. Decoding joins ids with the token-byte table, whose size is the vocabulary's.
-
-A word's rows number at most the chunks, so no word is hot; a chunk holds `chunk_bytes` of text,
-or one longer document.
+1. Whole documents are packed into compressed chunks, keyed by a digest of their content.
+2. Each chunk splits its texts into pre-tokens; its distinct words, in order of first position, are
+   dealt out by hash to word buckets, one packed row for each chunk and bucket.
+3. A bucket encodes each of its distinct words once and sends the ids back to the chunks.
+4. A chunk joins its ids by digest and puts them in place by position.
+5. Decoding joins ids with the token-byte table, whose size is the vocabulary's.
+
+A word comes to its bucket at most once for each chunk, so no word is hot; a chunk holds
+`chunk_bytes` of text, or one longer document. The chunks are shuffled once: both readers of that
+exchange see the same bytes, and a chunk whose ids don't come back fails the job.
 """
 
 from __future__ import annotations
 
+import hashlib
+import zlib
 from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark import Broadcast, TaskContext
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import common as C
 
-SPLIT = "kind int, chunk long, idx int, word string, doc_ids array<long>, counts array<int>, stream binary"
 IDS = "doc_id long, ids array<int>"
 
 
@@ -43,110 +46,157 @@ def load_ranks(path: str) -> dict[bytes, int]:
 
 
 @lru_cache(2)
-def _encoder(path_key: str, pattern: str, ranks: tuple) -> object:
+def _encoder(pattern: str, ranks: tuple) -> object:
     import tiktoken
 
-    return tiktoken.Encoding(path_key, pat_str=pattern, mergeable_ranks=dict(ranks), special_tokens={})
+    return tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=dict(ranks), special_tokens={})
 
 
-def _split(docs: DataFrame, pattern: str, chunk_bytes: int) -> DataFrame:
+def _pack(*arrays: np.ndarray) -> bytes:
+    sizes = np.array([len(arrays), *(x.nbytes for x in arrays)], np.int64)
+    return zstandard.compress(sizes.tobytes() + b"".join(x.tobytes() for x in arrays), 3)
+
+
+def _unpack(packed: bytes, *types: type) -> list[np.ndarray]:
+    raw = zstandard.decompress(packed)
+    n = len(types)
+    ends = np.cumsum(np.frombuffer(raw, np.int64, n, 8)) + 8 * (n + 1)
+    return [np.frombuffer(raw[a:b], t) for a, b, t in zip([8 * (n + 1), *ends.tolist()], ends.tolist(), types)]
+
+
+def _chunks(docs: DataFrame, chunk_bytes: int) -> DataFrame:
+    """(chunk, packed): whole documents, about `chunk_bytes` of text to a row."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+
+        def done():
+            ids, lengths = np.concatenate([x[0] for x in held]), np.concatenate([x[1] for x in held])
+            packed = _pack(ids, lengths, np.concatenate([x[2] for x in held]))
+            return pa.RecordBatch.from_arrays([pa.array([hashlib.sha256(packed).hexdigest()[:32]]), pa.array([packed], pa.binary())], names=["chunk", "packed"])
+
+        for batch in C.slices(batches):
+            raw, offsets = C.flat(batch.column("text"))
+            held.append((batch.column("doc_id").to_numpy(zero_copy_only=False), np.diff(offsets), raw))
+            size += len(raw)
+            if size >= chunk_bytes:
+                yield done()
+                held, size = [], 0
+        if held:
+            yield done()
+
+    return docs.mapInArrow(run, "chunk string, packed binary")
+
+
+def _tokens(packed: bytes, find) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[str]]:
+    """doc_ids, pre-tokens of each, their word indices, and the distinct words by first position."""
+    ids, lengths, raw = _unpack(packed, np.int64, np.int64, np.uint8)
+    raw, ends, index, at, counts = raw.tobytes(), np.cumsum(lengths), _Index(), [np.zeros(0, np.uint32)], []
+    for a, b in zip((ends - lengths).tolist(), ends.tolist()):
+        words = find(raw[a:b].decode("utf-8", "replace"))
+        at.append(np.fromiter(map(index.__getitem__, words), np.uint32, len(words)))
+        counts.append(len(words))
+    return ids, np.array(counts, np.int64), np.concatenate(at), list(index)
+
+
+def _buckets(words: list[bytes], n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Order of the words by bucket, stable, and the n+1 cuts between buckets."""
+    bucket = np.fromiter(map(zlib.crc32, words), np.int64, len(words)) % n
+    order = np.argsort(bucket, kind="stable")
+    return order, np.searchsorted(bucket[order], np.arange(n + 1))
+
+
+def _deal_words(chunks: DataFrame, pattern: str, n_buckets: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import regex
 
-        find, part, chunk = regex.compile(pattern).findall, TaskContext.get().partitionId(), 0
-        fields = [("kind", pa.int32()), ("chunk", pa.int64()), ("idx", pa.int32()), ("word", pa.string()), ("doc_ids", pa.list_(pa.int64())), ("counts", pa.list_(pa.int32())), ("stream", pa.binary())]
-        row = lambda n, **known: pa.RecordBatch.from_arrays([known.get(k, pa.nulls(n, t)) for k, t in fields], names=[k for k, _ in fields])
-        for batch in C.slices(batches, limit=chunk_bytes):
-            index, at, counts = _Index(), [], []
-            for text in batch.column("text"):
-                words = find(text.as_py() or "")
-                at.append(np.fromiter(map(index.__getitem__, words), np.uint32, len(words)))
-                counts.append(len(words))
-            this, chunk = (part << 32) | chunk, chunk + 1
-            at = np.concatenate(at)
-            stream = zstandard.compress((at.astype(np.uint16) if len(index) < 65536 else at).tobytes(), 3)
-            yield row(1, kind=pa.array([0], pa.int32()), chunk=pa.array([this]), idx=pa.array([len(index)], pa.int32()), doc_ids=pa.array([batch.column("doc_id").to_pylist()], pa.list_(pa.int64())), counts=pa.array([counts], pa.list_(pa.int32())), stream=pa.array([stream], pa.binary()))
-            n, words = len(index), pa.array(list(index), pa.string())
-            for a in range(0, n, 20_000):
-                b = min(n, a + 20_000)
-                yield row(b - a, kind=pa.array(np.ones(b - a, np.int32)), chunk=pa.array(np.full(b - a, this)), idx=pa.array(np.arange(a, b, dtype=np.int32)), word=words[a:b])
-
-    return docs.mapInArrow(run, SPLIT)
+        find = regex.compile(pattern).findall
+        for batch in batches:
+            for chunk, packed in zip(batch.column("chunk").to_pylist(), batch.column("packed")):
+                words = [x.encode() for x in _tokens(packed.as_py(), find)[3]]
+                order, cuts = _buckets(words, n_buckets)
+                for k in range(n_buckets):
+                    mine = [words[i] for i in order[cuts[k] : cuts[k + 1]]]
+                    if mine:
+                        sizes = np.fromiter(map(len, mine), np.int32, len(mine))
+                        yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([chunk]), pa.array([_pack(sizes, np.frombuffer(b"".join(mine), np.uint8))], pa.binary())], names=["bucket", "chunk", "words"])
+
+    return chunks.mapInArrow(run, "bucket int, chunk string, words binary")
 
 
 def _encode_words(words: DataFrame, ranks: Broadcast, pattern: str) -> DataFrame:
-    """(chunk, idx, word) sorted by word -> (chunk, packed idx, packed lengths, packed ids)."""
+    """Each distinct word of a bucket is encoded once; its ids go to every chunk that has it."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, last, ids = _encoder("own", pattern, tuple(ranks.value.items()))._encode_single_piece, None, []
+        encode = _encoder(pattern, tuple(ranks.value.items()))._encode_single_piece
+        now, known = None, {}
         for batch in batches:
-            out, lengths = [], np.empty(batch.num_rows, np.int32)
-            for i, word in enumerate(batch.column("word").to_pylist()):
-                if word != last:
-                    last, ids = word, encode(word.encode())
-                lengths[i] = len(ids)
-                out += ids
-            chunk, idx = batch.column("chunk").to_numpy(), batch.column("idx").to_numpy()
-            order = np.argsort(chunk, kind="stable")
-            ends = np.cumsum(lengths)
-            out, taken = np.array(out, np.int32), lengths[order]
-            ids_in_order = out[np.repeat(ends[order] - np.cumsum(taken), taken) + np.arange(len(out))]
-            cuts = np.append(np.flatnonzero(np.concatenate(([True], np.diff(chunk[order]) != 0))), len(order))
-            at = np.concatenate(([0], np.cumsum(taken)))
-            rows = [(int(chunk[order[a]]), idx[order[a:b]].tobytes(), taken[a:b].tobytes(), ids_in_order[at[a] : at[b]].tobytes()) for a, b in zip(cuts, cuts[1:])]
-            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows), (pa.int64(), pa.binary(), pa.binary(), pa.binary()))], names=["chunk", "idx", "lengths", "ids"])
-
-    return words.repartition("word").sortWithinPartitions("word").mapInArrow(run, "chunk long, idx binary, lengths binary, ids binary")
-
-
-def _assemble(rows: DataFrame) -> DataFrame:
-    """A chunk's packed ids (kind 0), then its position sequence (kind 1) -> ids of each document."""
+            for bucket, chunk, packed in zip(batch.column("bucket").to_pylist(), batch.column("chunk").to_pylist(), batch.column("words")):
+                if bucket != now:
+                    now, known = bucket, {}
+                sizes, raw = _unpack(packed.as_py(), np.int32, np.uint8)
+                raw, ends, lists = raw.tobytes(), np.cumsum(sizes), []
+                for a, b in zip((ends - sizes).tolist(), ends.tolist()):
+                    word = raw[a:b]
+                    if (ids := known.get(word)) is None:
+                        ids = known[word] = np.array(encode(word), np.int32).tobytes()
+                    lists.append(ids)
+                lengths = np.fromiter(map(len, lists), np.int32, len(lists)) // 4
+                yield pa.RecordBatch.from_arrays([pa.array([chunk]), pa.array([bucket], pa.int32()), pa.array([_pack(lengths, np.frombuffer(b"".join(lists), np.int32))], pa.binary())], names=["chunk", "bucket", "ids"])
+
+    return words.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(run, "chunk string, bucket int, ids binary")
+
+
+def _assemble(both: DataFrame, pattern: str, n_buckets: int) -> DataFrame:
+    """(chunk, packed, encoded) -> ids of each document."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, held = None, []
+        import regex
+
+        find = regex.compile(pattern).findall
         for batch in batches:
-            for i in range(batch.num_rows):
-                chunk, kind = batch.column("chunk")[i].as_py(), batch.column("kind")[i].as_py()
-                if chunk != now:
-                    now, held = chunk, []
-                if kind == 0:
-                    held.append(tuple(np.frombuffer(batch.column(c)[i].as_py(), np.int32) for c in ("idx", "lengths", "ids")))
-                    continue
-                n = batch.column("n_words")[i].as_py()
-                lengths, starts = np.zeros(n, np.int64), np.zeros(n, np.int64)
-                ids = np.concatenate([x[2] for x in held]) if held else np.zeros(0, np.int32)
-                if held:
-                    idx, size = np.concatenate([x[0] for x in held]), np.concatenate([x[1] for x in held])
-                    lengths[idx], starts[idx] = size, np.cumsum(size) - size
-                at = np.frombuffer(zstandard.decompress(batch.column("stream")[i].as_py()), np.uint16 if n < 65536 else np.uint32)
-                doc_ids, ends = batch.column("doc_ids")[i].as_py(), np.cumsum([0, *batch.column("counts")[i].as_py()])
+            for packed, encoded in zip(batch.column("packed"), batch.column("encoded")):
+                doc_ids, counts, at, words = _tokens(packed.as_py(), find)
+                n = len(words)
+                order, cuts = _buckets([x.encode() for x in words], n_buckets)
+                del words
+                lengths, starts, ids, size = np.full(n, -1, np.int64), np.zeros(n, np.int64), [np.zeros(0, np.int32)], 0
+                for x in encoded if encoded.is_valid else ():
+                    k = x["bucket"].as_py()
+                    own, flat = _unpack(x["ids"].as_py(), np.int32, np.int32)
+                    mine = order[cuts[k] : cuts[k + 1]]
+                    lengths[mine], starts[mine] = own, np.cumsum(own) - own + size
+                    ids.append(flat)
+                    size += len(flat)
+                if n and lengths.min() < 0:
+                    raise RuntimeError("a chunk's words were not all encoded: its rows changed between two readings")
+                ids, ends = np.concatenate(ids), np.concatenate(([0], np.cumsum(counts)))
                 cuts = [0, *(np.flatnonzero(np.diff(ends[1:] // 100_000)) + 1).tolist(), len(doc_ids)]
                 for a, b in zip(cuts, cuts[1:]):
                     if b > a:
                         mine = at[ends[a] : ends[b]]
-                        size = lengths[mine]
-                        total = np.concatenate(([0], np.cumsum(size)))
-                        own = ids[np.repeat(starts[mine] - total[:-1], size) + np.arange(total[-1])]
+                        take = lengths[mine]
+                        total = np.concatenate(([0], np.cumsum(take)))
+                        own = ids[np.repeat(starts[mine] - total[:-1], take) + np.arange(total[-1])]
                         yield pa.RecordBatch.from_arrays([pa.array(doc_ids[a:b], pa.int64()), pa.ListArray.from_arrays(pa.array(total[ends[a : b + 1] - ends[a]].astype(np.int32)), pa.array(own))], names=["doc_id", "ids"])
-                held = []
 
-    return rows.repartition("chunk").sortWithinPartitions("chunk", "kind").mapInArrow(run, IDS)
+    return both.mapInArrow(run, IDS)
 
 
-def encode(documents: DataFrame, ranks_path: str, pattern: str, chunk_bytes: int = 8 << 20) -> DataFrame:
+def encode(documents: DataFrame, ranks_path: str, pattern: str, chunk_bytes: int = 24 << 20) -> DataFrame:
     """doc_id and ids of each document's whole text, without special tokens.
 
-    Defined cases: a null or empty text has no ids; rows that repeat a doc_id each give a row; rows
-    without doc_id are left out; other columns are ignored; an empty table gives an empty result.
+    Defined cases: a null or empty text has no ids; rows that repeat a doc_id each give a row (equal
+    chunks are joined as often as they occur); rows without doc_id are left out; other columns are
+    ignored; an empty table gives an empty result.
     """
     docs = C.documents(documents)
-    spark = docs.sparkSession
+    spark, n_buckets = docs.sparkSession, 4 * C.n_partitions(docs.sparkSession)
     ranks = spark.sparkContext.broadcast(load_ranks(ranks_path))
-    parts = C.materialize(_split(docs, pattern, chunk_bytes), "pretokens")
-    ids = _encode_words(parts.where("kind = 1").select("chunk", "idx", "word"), ranks, pattern)
-    stream = parts.where("kind = 0").select("chunk", F.lit(1).alias("kind"), F.lit(None).cast("binary").alias("idx"), F.lit(None).cast("binary").alias("lengths"), F.lit(None).cast("binary").alias("ids"), F.col("idx").alias("n_words"), "doc_ids", "counts", "stream")
-    back = ids.select("chunk", F.lit(0).alias("kind"), "idx", "lengths", "ids", F.lit(None).cast("int").alias("n_words"), F.lit(None).cast("array<long>").alias("doc_ids"), F.lit(None).cast("array<int>").alias("counts"), F.lit(None).cast("binary").alias("stream"))
-    return _assemble(back.unionByName(stream))
+    chunks = _chunks(docs, chunk_bytes).repartition("chunk")
+    ids = _encode_words(_deal_words(chunks, pattern, n_buckets), ranks, pattern)
+    back = ids.groupBy("chunk").agg(F.collect_list(F.struct("bucket", "ids")).alias("encoded"))
+    return _assemble(chunks.join(back, "chunk", "left").select("packed", "encoded"), pattern, n_buckets)
 
 
 def decode(encoded: DataFrame, ranks_path: str) -> DataFrame:
