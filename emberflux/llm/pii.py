@@ -96,8 +96,8 @@ def disclosing_terms(found: DataFrame, docs: DataFrame, remove: float, generalis
     pairs = pairs.groupBy("entity", "term").agg(F.countDistinct("doc_id").alias("n_te"), F.countDistinct("line_id").alias("n_lines")).where(F.col("n_lines") >= min_lines)
     words = docs.select(F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(TERM), F.lit(0)))).alias("term"))
     totals = words.groupBy("term").agg(F.count("*").alias("n_t"))
-    scored = pairs.join(totals, "term").join(values.select("entity", "n_e"), "entity").crossJoin(F.broadcast(docs.agg(F.count("*").alias("n"))))
-    content = F.log(F.col("n") / F.col("n_e"))
+    scored = pairs.join(totals, "term").join(values.select("entity", "n_e"), "entity")
+    content = F.log(F.lit(float(docs.count())) / F.col("n_e"))
     scored = scored.withColumn("share", F.when(content > 0, 1 + F.log(F.col("n_te") / F.col("n_t")) / content)).where((F.col("n_lines") * content >= evidence) & (F.col("share") >= generalise))
     told = scored.groupBy("entity").agg(F.collect_set(F.when(F.col("share") >= remove, F.col("term"))).alias("out"), F.collect_set(F.when(F.col("share") < remove, F.col("term"))).alias("general"))
     return mentions.select("doc_id", "entity").join(told, "entity").groupBy("doc_id").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("out")))).alias("out"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("general")))).alias("general"))
