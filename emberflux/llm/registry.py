@@ -16,10 +16,11 @@ from .pii import op5_pii
 from .quality_model import op2_quality_model
 from .quality_rules import op9_quality_rules
 from .substring_dedup import op1_substring_dedup
+from .suffix_dedup import op6_suffix_dedup
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = [op1_substring_dedup, op2_quality_model, op3_jaccard_join, op4_chat_format, op5_pii, op7_language_id, op8_benchmark_decontamination, op9_quality_rules, op10_byte_bpe]
+    found = [op1_substring_dedup, op2_quality_model, op3_jaccard_join, op4_chat_format, op5_pii, op6_suffix_dedup, op7_language_id, op8_benchmark_decontamination, op9_quality_rules, op10_byte_bpe]
     return {f.__name__: f for f in found}
 
 

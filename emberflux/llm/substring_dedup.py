@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -19,12 +20,16 @@ def sort_windows(k: int):
     """Settle a bucket by sorting its windows as strings: equal ones meet, the smallest doc_id wins."""
 
     def settle(held: list[tuple]) -> Iterator[tuple]:
+        for _, bucket in groupby(held, key=lambda row: row[0]):
+            yield from one(list(bucket))
+
+    def one(held: list[tuple]) -> Iterator[tuple]:
         rows = []
-        for i, (_, _, n, first, total, text) in enumerate(held):
+        for i, (_, _, _, n, _, first, total, text) in enumerate(held):
             at = [0, *(np.flatnonzero(np.frombuffer(text, np.uint8) == 32) + 1).tolist(), len(text) + 1]
             rows += [(text[at[j] : at[j + k] - 1], first, i, j, total) for j in range(n)]
         rows.sort(key=lambda r: r[:2])
-        firsts, totals = [[0] * h[2] for h in held], [[0] * h[2] for h in held]
+        firsts, totals = [[0] * h[3] for h in held], [[0] * h[3] for h in held]
         a = 0
         while a < len(rows):
             b, total = a, 0
@@ -34,7 +39,7 @@ def sort_windows(k: int):
             for _, _, i, j, _ in rows[a:b]:
                 firsts[i][j], totals[i][j] = rows[a][1], total
             a = b
-        for (k1, k2, n, *_), first, total in zip(held, firsts, totals):
+        for (anchor, k1, k2, n, *_), first, total in zip(held, firsts, totals):
             runs, j = [], 0
             while j < n:
                 e = j
@@ -42,7 +47,7 @@ def sort_windows(k: int):
                     e += 1
                 runs.append((j, e, first[j], total[j]))
                 j = e
-            yield k1, k2, runs
+            yield anchor, k1, k2, runs
 
     return settle
 

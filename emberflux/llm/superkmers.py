@@ -29,8 +29,8 @@ from pyspark.sql import functions as F
 
 from . import common as C
 
-OCCURRENCES = "anchor long, k1 long, k2 long, doc_id long, start int, n int"
-PACKED = "anchor long, k1 long, k2 long, n int, first_doc long, total long, packed binary"
+OCCURRENCES = "anchor long, k1 long, k2 long, doc_id long, start int, n int, pos int"
+PACKED = "anchor long, k1 long, k2 long, n int, pos int, first_doc long, total long, packed binary"
 #: Runs of windows [a, b) of a super-k-mer: the smallest doc_id they start in, and how often they start anywhere.
 VERDICT = "anchor long, k1 long, k2 long, runs array<struct<a:int,b:int,first_doc:long,total:long>>"
 
@@ -52,14 +52,14 @@ class Windows:
         return starts, ends, first, C.word_hashes(raw, starts, ends, 0), C.word_hashes(raw, starts, ends, 1)
 
     def cut(self, first: np.ndarray, u1: np.ndarray, u2: np.ndarray) -> tuple[np.ndarray, ...]:
-        """Super-k-mers of some documents: document index, first unit, windows, anchor, key, and the sums to hash windows with."""
+        """Super-k-mers of some documents: document index, first unit, windows, anchor and its place, key."""
         n, sizes = len(u1), np.diff(first)
         s1, s2 = C.prefix_sums(u1, 0), C.prefix_sums(u2, 1)
         windows = np.maximum(sizes - self.k + 1, 0)
         total = int(windows.sum())
         empty = np.zeros(0, np.int64)
         if not total:
-            return empty, empty, empty, empty.astype(np.uint64), empty.astype(np.uint64), empty.astype(np.uint64), s1, s2
+            return empty, empty, empty, empty.astype(np.uint64), empty, empty.astype(np.uint64), empty.astype(np.uint64)
         gram_at = np.arange(n - self.m + 1)
         gram = C.range_hash(s1, gram_at, gram_at + self.m, 0)
         bits = np.uint64(max(1, n.bit_length()))
@@ -76,7 +76,7 @@ class Windows:
         start, count = at[cut], np.diff(np.append(cut, total))
         end = start + count + self.k - 1
         doc = np.searchsorted(first, start, side="right") - 1
-        return doc, start, count, gram[chosen[cut]], C.range_hash(s1, start, end, 0), C.range_hash(s2, start, end, 1), s1, s2
+        return doc, start, count, gram[chosen[cut]], chosen[cut] - start, C.range_hash(s1, start, end, 0), C.range_hash(s2, start, end, 1)
 
 
 def _signed(x: np.ndarray) -> np.ndarray:
@@ -89,9 +89,9 @@ def occurrences(docs: DataFrame, w: Windows) -> DataFrame:
             raw, offsets = C.flat(batch.column("text"))
             ids = batch.column("doc_id").to_numpy(zero_copy_only=False)
             _, _, first, u1, u2 = w.units(raw, offsets)
-            doc, start, count, anchor, k1, k2, _, _ = w.cut(first, u1, u2)
+            doc, start, count, anchor, pos, k1, k2 = w.cut(first, u1, u2)
             if len(doc):
-                yield pa.RecordBatch.from_arrays([pa.array(_signed(anchor)), pa.array(_signed(k1)), pa.array(_signed(k2)), pa.array(ids[doc]), pa.array((start - first[doc]).astype(np.int32)), pa.array(count.astype(np.int32))], names=["anchor", "k1", "k2", "doc_id", "start", "n"])
+                yield pa.RecordBatch.from_arrays([pa.array(_signed(anchor)), pa.array(_signed(k1)), pa.array(_signed(k2)), pa.array(ids[doc]), pa.array((start - first[doc]).astype(np.int32)), pa.array(count.astype(np.int32)), pa.array(pos.astype(np.int32))], names=["anchor", "k1", "k2", "doc_id", "start", "n", "pos"])
 
     return docs.mapInArrow(run, OCCURRENCES)
 
@@ -121,9 +121,9 @@ def packed(requests: DataFrame, w: Windows) -> DataFrame:
                     text = raw[a:b].tobytes()
                 else:
                     text = b" ".join(raw[starts[a] : ends[b - 1]].tobytes().split())
-                rows.append((r["anchor"], r["k1"], r["k2"], r["n"], doc_id, r["total"], text))
+                rows.append((r["anchor"], r["k1"], r["k2"], r["n"], r["pos"], doc_id, r["total"], text))
             if rows:
-                yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows), (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary()))], names=["anchor", "k1", "k2", "n", "first_doc", "total", "packed"])
+                yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows), (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.binary()))], names=["anchor", "k1", "k2", "n", "pos", "first_doc", "total", "packed"])
 
     return requests.mapInArrow(run, PACKED)
 
@@ -142,41 +142,45 @@ def single_windows(requests: DataFrame, w: Windows) -> DataFrame:
     return requests.mapInArrow(run, "anchor long, k1 long, k2 long, at int, h1 long, h2 long, first_doc long, total long")
 
 
-def settle_buckets(rows: DataFrame, settle: Callable[[list[tuple]], Iterator[tuple]]) -> DataFrame:
-    """Deal packed strings to their anchors' buckets; `settle` gets one bucket's (k1, k2, n, first_doc, total, packed)."""
+def settle_buckets(rows: DataFrame, settle: Callable[[list[tuple]], Iterator[tuple]], most: int = 4 << 20) -> DataFrame:
+    """Deal packed strings to their anchors' buckets, sorted by anchor and content.
+
+    `settle` gets the rows (as PACKED) of some whole buckets, `most` bytes of them or one larger
+    bucket, and gives (anchor, k1, k2, runs) for each.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, held = None, []
+        held, size = [], 0
 
         def done():
-            out = [(now, k1, k2, [{"a": int(a), "b": int(b), "first_doc": int(d), "total": int(t)} for a, b, d, t in runs]) for k1, k2, runs in settle(held)]
+            out = [(anchor, k1, k2, [{"a": int(a), "b": int(b), "first_doc": int(d), "total": int(t)} for a, b, d, t in runs]) for anchor, k1, k2, runs in settle(held)]
             kind = pa.list_(pa.struct([("a", pa.int32()), ("b", pa.int32()), ("first_doc", pa.int64()), ("total", pa.int64())]))
             return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*out), (pa.int64(), pa.int64(), pa.int64(), kind))], names=["anchor", "k1", "k2", "runs"])
 
         for batch in batches:
-            for row in zip(*(batch.column(c).to_pylist() for c in ("anchor", "k1", "k2", "n", "first_doc", "total", "packed"))):
-                if row[0] != now:
-                    if held:
-                        yield done()
-                    now, held = row[0], []
-                held.append(row[1:])
+            for row in zip(*(batch.column(c).to_pylist() for c in ("anchor", "k1", "k2", "n", "pos", "first_doc", "total", "packed"))):
+                if size >= most and row[0] != held[-1][0]:
+                    yield done()
+                    held, size = [], 0
+                held.append(row)
+                size += len(row[-1])
         if held:
             yield done()
 
-    return rows.repartition("anchor").sortWithinPartitions("anchor", "k1", "k2").mapInArrow(run, VERDICT)
+    return rows.repartition("anchor").sortWithinPartitions("anchor", "packed").mapInArrow(run, VERDICT)
 
 
 def verdicts(docs: DataFrame, found: DataFrame, w: Windows, settle: Callable, bucket_limit: int) -> DataFrame:
     """(anchor, k1, k2, runs) of every different super-k-mer in `found`."""
     keys = ["anchor", "k1", "k2"]
-    different = found.groupBy(*keys, "n").agg(F.min(F.struct("doc_id", "start")).alias("at"), F.count("*").alias("total"))
+    different = found.groupBy(*keys, "n", "pos").agg(F.min(F.struct("doc_id", "start")).alias("at"), F.count("*").alias("total"))
     per_anchor = different.groupBy("anchor").agg(F.count("*").alias("n_different"))
     different = different.join(per_anchor, "anchor")
     one_run = F.array(F.struct(F.lit(0).alias("a"), F.col("n").alias("b"), F.col("at.doc_id").alias("first_doc"), F.col("total")))
     alone = different.where("n_different = 1").select(*keys, one_run.alias("runs"))
 
     def wanted(which: str) -> DataFrame:
-        asked = different.where(which).groupBy(F.col("at.doc_id").alias("doc_id")).agg(F.collect_list(F.struct(*keys, "n", "total", F.col("at.start").alias("start"))).alias("wanted"))
+        asked = different.where(which).groupBy(F.col("at.doc_id").alias("doc_id")).agg(F.collect_list(F.struct(*keys, "n", "pos", "total", F.col("at.start").alias("start"))).alias("wanted"))
         return asked.join(docs, "doc_id").select("doc_id", "text", "wanted")
 
     bucketed = settle_buckets(packed(wanted(f"n_different between 2 and {bucket_limit}"), w), settle)
