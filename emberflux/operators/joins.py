@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .blocks import carry
+
 
 def cell_keys(df: DataFrame, resolution: float) -> DataFrame:
     """Adds row and col, the nearest cell of a grid of that resolution, as exact integers to join on."""
@@ -13,18 +15,16 @@ def cell_keys(df: DataFrame, resolution: float) -> DataFrame:
 
 
 def asof(left: DataFrame, right: DataFrame, columns: tuple[str, ...], on: str = "timestamp", by: tuple[str, ...] = ()) -> DataFrame:
-    """Of each left row the latest right row not after it: one union and one sorted pass over each group.
+    """Of each left row the latest right row not after it: one union and one sorted pass over blocks of time.
 
-    Where several right rows share an instant, which one counts is undetermined. Without `by` the pass
-    is over one group; national series are small enough for that, others should name their cells.
+    Where several right rows share an instant, which one counts is undetermined.
     """
     names = [c for c in left.columns if c != on and c not in by]
     value = F.struct(*(F.col(c) for c in columns), F.col(on).alias("__at"))
     a = left.select(*by, on, *names, F.lit(None).alias("__v"), F.lit(1).alias("__side"))
     b = right.select(*by, on, *(F.lit(None).alias(c) for c in names), value.alias("__v"), F.lit(0).alias("__side"))
-    order = Window.partitionBy(*by).orderBy(on, "__side").rowsBetween(Window.unboundedPreceding, 0)
-    both = a.unionByName(b).withColumn("__v", F.last("__v", True).over(order)).where("__side = 1")
-    return both.select(*by, on, *names, *(F.col(f"__v.{c}").alias(c) for c in columns), F.col("__v.__at").alias("matched_at"))
+    both = carry(a.unionByName(b), "__v", "__m", on, by, ties=("__side",)).where("__side = 1")
+    return both.select(*by, on, *names, *(F.col(f"__m.{c}").alias(c) for c in columns), F.col("__m.__at").alias("matched_at"))
 
 
 def fallback(first: DataFrame, second: DataFrame, keys: list[str], columns: tuple[str, ...]) -> DataFrame:

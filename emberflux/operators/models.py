@@ -10,14 +10,18 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import config as K
+from .blocks import running_sum
 
 
 def ramp_pairs(df: DataFrame, step_seconds: int, y: str = "tons_co2", q: str = "total_generation", time: str = "timestamp", by: tuple[str, ...] = ()) -> DataFrame:
-    """dq and dy between neighbours exactly one step apart."""
-    order = Window.partitionBy(*by).orderBy(time)
-    rows = df.select(*by, time, F.col(q).alias("q"), F.col(y).alias("y"), F.lag(time).over(order).alias("__t"), (F.col(q) - F.lag(q).over(order)).alias("dq"), (F.col(y) - F.lag(y).over(order)).alias("dy"))
-    apart = F.unix_micros(F.col(time).cast("timestamp")) - F.unix_micros(F.col("__t").cast("timestamp"))
-    return rows.where(apart == F.lit(step_seconds * 1_000_000)).drop("__t")
+    """q, y and their changes dq and dy since the row exactly one step before, for rows that have one.
+
+    A row finds its predecessor by an equi-join on time, so no pass over the whole series is needed.
+    """
+    rows = df.select(*by, time, F.col(q).alias("q"), F.col(y).alias("y"))
+    before = rows.select(*by, (F.col(time) + F.expr(f"interval {step_seconds} seconds")).cast("timestamp_ntz").alias(time), F.col("q").alias("__q"), F.col("y").alias("__y"))
+    pairs = rows.join(before, [*by, time])
+    return pairs.select(*by, time, "q", "y", (F.col("q") - F.col("__q")).alias("dq"), (F.col("y") - F.col("__y")).alias("dy"))
 
 
 def adjacent_mean(column: str, time: str = "timestamp", by: tuple[str, ...] = ()) -> Column:
@@ -77,8 +81,8 @@ def correlation_by_threshold(df: DataFrame, x: str, y: str, size: str, threshold
 def average_ranks(df: DataFrame, column: str, out: str) -> DataFrame:
     """Adds ranks of values with ties at their mean rank, by counts of distinct values."""
     counts = df.where(F.col(column).isNotNull()).groupBy(column).agg(F.count("*").alias("__n"))
-    up_to = F.sum("__n").over(Window.orderBy(column))
-    return df.join(counts.select(column, (up_to - (F.col("__n") - 1) / 2).alias(out)), column)
+    ranked = running_sum(counts, column, "__n", "__u")
+    return df.join(ranked.select(column, (F.col("__u") - (F.col("__n") - 1) / 2).alias(out)), column)
 
 
 def spearman(df: DataFrame, x: str, y: str) -> DataFrame:

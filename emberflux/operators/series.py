@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .blocks import carry
+
 MEANS = ("thermal_generation", "gas_generation", "hydro_generation", "nuclear_generation", "renewable_generation", "total_generation", "demand_met", "net_demand")
 WEIGHTED = ("g_co2_per_kwh", "tons_co2_per_mwh")
 
@@ -45,22 +47,17 @@ def completeness(df: DataFrame, step_seconds: int, time: str = "timestamp") -> D
     return months.select("month", "n_rows", expected.alias("n_expected"), (F.col("n_rows") / expected).alias("ratio"))
 
 
-def _window(by: tuple[str, ...], time: str):
-    return Window.partitionBy(*by).orderBy(time)
-
-
 def fill_forward(df: DataFrame, column: str, time: str = "timestamp", by: tuple[str, ...] = ()) -> DataFrame:
-    return df.withColumn(column, F.last(column, True).over(_window(by, time).rowsBetween(Window.unboundedPreceding, 0)))
+    return carry(df, column, "__f", time, by).withColumn(column, F.col("__f")).drop("__f")
 
 
 def fill_linear(df: DataFrame, column: str, time: str = "timestamp", by: tuple[str, ...] = ()) -> DataFrame:
     """Straight lines between known neighbours; ends stay null."""
     at = F.unix_micros(F.col(time).cast("timestamp")) / 1e6
-    known = df.withColumns({"__t": at, "__k": F.when(F.col(column).isNotNull(), at)})
-    back, ahead = _window(by, time).rowsBetween(Window.unboundedPreceding, 0), _window(by, time).rowsBetween(0, Window.unboundedFollowing)
-    rows = known.withColumns({"__a": F.last("__k", True).over(back), "__b": F.first("__k", True).over(ahead), "__x": F.last(column, True).over(back), "__y": F.first(column, True).over(ahead)})
-    line = F.col("__x") + (F.col("__y") - F.col("__x")) * (F.col("__t") - F.col("__a")) / F.nullif(F.col("__b") - F.col("__a"), F.lit(0.0))
-    return rows.withColumn(column, F.coalesce(column, line)).drop("__t", "__k", "__a", "__b", "__x", "__y")
+    known = df.withColumn("__k", F.when(F.col(column).isNotNull(), F.struct(at.alias("t"), F.col(column).alias("v"))))
+    rows = carry(carry(known, "__k", "__p", time, by), "__k", "__n", time, by, backward=True)
+    line = F.col("__p.v") + (F.col("__n.v") - F.col("__p.v")) * (at - F.col("__p.t")) / F.nullif(F.col("__n.t") - F.col("__p.t"), F.lit(0.0))
+    return rows.withColumn(column, F.coalesce(column, line)).drop("__k", "__p", "__n")
 
 
 def deaccumulate(df: DataFrame, column: str, out: str, by: tuple[str, ...], reset: Column, time: str = "valid_time") -> DataFrame:
