@@ -316,7 +316,7 @@ query(SQL + f"SELECT timestamp, ROUND(g.tons_co2, 6) AS tons_co2 FROM {_SPINE} L
 query(SQL + f"SELECT timestamp FROM {_SPINE} ANTI JOIN grid5 USING (timestamp)", "gap_report")(lambda spark, d: series.gap_report(_five(spark, d), "5 minutes"))
 query(SQL + "SELECT * FROM (SELECT cell, valid_time AS gap_end, lag(valid_time) OVER w AS gap_start, CAST(epoch(valid_time) - epoch(lag(valid_time) OVER w) AS BIGINT) AS gap_seconds FROM weather WINDOW w AS (PARTITION BY cell ORDER BY valid_time)) WHERE gap_seconds > 3600", "gap_detect")(lambda spark, d: series.detect_gaps(X.weather(spark, d), 3600, "valid_time", ("cell",)))
 query(SQL + f"SELECT timestamp, ROUND(last_value(tons_co2 IGNORE NULLS) OVER (ORDER BY timestamp), 6) AS tons_co2 FROM (SELECT timestamp, g.tons_co2 FROM {_SPINE} LEFT JOIN grid5 g USING (timestamp))", "gap_fill_ffill")(lambda spark, d: rounded(series.fill_forward(series.fill_spine(_five(spark, d).select("timestamp", "tons_co2"), "5 minutes"), "tons_co2")))
-query(SQL + f"SELECT timestamp, ROUND(COALESCE(v, x + (y - x) * (epoch(timestamp) - a) / NULLIF(b - a, 0)), 6) AS tons_co2 FROM (SELECT timestamp, v, last_value(v IGNORE NULLS) OVER p AS x, first_value(v IGNORE NULLS) OVER n AS y, last_value(k IGNORE NULLS) OVER p AS a, first_value(k IGNORE NULLS) OVER n AS b FROM (SELECT timestamp, g.tons_co2 AS v, CASE WHEN g.tons_co2 IS NOT NULL THEN epoch(timestamp) END AS k FROM {_SPINE} LEFT JOIN grid5 g USING (timestamp)) WINDOW p AS (ORDER BY timestamp ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), n AS (ORDER BY timestamp ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING))", "gap_fill_linear")(lambda spark, d: rounded(series.fill_linear(series.fill_spine(_five(spark, d).select("timestamp", "tons_co2"), "5 minutes"), "tons_co2")))
+query(SQL + f"SELECT timestamp, ROUND(COALESCE(v, x + (y - x) * (epoch(timestamp) - a) / NULLIF(b - a, 0)), 9) AS tons_co2 FROM (SELECT timestamp, v, last_value(v IGNORE NULLS) OVER p AS x, first_value(v IGNORE NULLS) OVER n AS y, last_value(k IGNORE NULLS) OVER p AS a, first_value(k IGNORE NULLS) OVER n AS b FROM (SELECT timestamp, g.tons_co2 AS v, CASE WHEN g.tons_co2 IS NOT NULL THEN epoch(timestamp) END AS k FROM {_SPINE} LEFT JOIN grid5 g USING (timestamp)) WINDOW p AS (ORDER BY timestamp ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), n AS (ORDER BY timestamp ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING))", "gap_fill_linear")(lambda spark, d: rounded(series.fill_linear(series.fill_spine(_five(spark, d).select("timestamp", "tons_co2"), "5 minutes"), "tons_co2"), 9))
 query(SQL + "SELECT CAST(date_trunc('month', timestamp) AS DATE) AS month, COUNT(DISTINCT timestamp) AS n_rows, CAST(day(last_day(MIN(timestamp))) * 288 AS BIGINT) AS n_expected, ROUND(COUNT(DISTINCT timestamp) / (day(last_day(MIN(timestamp))) * 288), 6) AS ratio FROM grid5 GROUP BY 1", "completeness")(lambda spark, d: rounded(series.completeness(_five(spark, d), 300)))
 query(SQL + "SELECT cell, valid_time, ROUND(tp_step, 6) AS step FROM weather", "deaccumulate")(lambda spark, d: rounded(series.deaccumulate(X.weather(spark, d), "tp", "step", ("cell",), F.to_date("valid_time")).select("cell", "valid_time", "step")))
 query(SQL + "SELECT cell, valid_time + i * INTERVAL 30 MINUTE AS valid_time, ROUND(t2m, 6) AS t2m, ROUND(tp_step / 2, 6) AS tp_step FROM weather, range(2) t(i)", "disaggregate_30min")(lambda spark, d: rounded(series.halve_hours(X.weather(spark, d), ("t2m",), ("tp_step",)).select("cell", "valid_time", "t2m", "tp_step")))
