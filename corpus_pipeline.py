@@ -34,10 +34,12 @@ def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def private(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents with personal data replaced in their texts."""
     others = [c for c in docs.columns if c not in ("doc_id", "text")]
-    found = pii.find_private(docs, *others).withColumn("text", pii.sanitized())
+    kept = F.struct(*others) if others else F.lit(None).cast("struct<none:int>")
+    found = pii.find_private(docs.select("doc_id", "text", kept.alias("__kept")), "__kept").select("doc_id", pii.sanitized().alias("text"), "__kept")
+    out = found.select("doc_id", "text", *(F.col("__kept")[c].alias(c) for c in others))
     if "n_chars" in others:
-        found = found.withColumn("n_chars", F.length(F.coalesce("text", F.lit(""))).cast(docs.schema["n_chars"].dataType))
-    return found.select(*docs.columns)
+        out = out.withColumn("n_chars", F.length(F.coalesce("text", F.lit(""))).cast(docs.schema["n_chars"].dataType))
+    return out.select(*docs.columns)
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

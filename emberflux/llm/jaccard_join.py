@@ -11,8 +11,9 @@ sum(e+1) > H, one of them must match within its threshold, as each other uses up
 2. Cost-based allocation: a signature's cost is the number of sets that share it. Each y pays its
    H+1 units from the cheapest segments; units with signatures of its own alone cost nothing, and
    most sets are done with those: they have no partner as the larger side.
-3. Candidates are verified exactly, first against the smallest doc_id of each paid signature. Then pairs
-   within one component so far need no look; all other pairs of paid signatures are verified.
+3. Each set is verified against the two sets that most of its paid signatures name as their smallest
+   doc_id; this joins most copies. Signatures whose sets are not all joined yet tie sets to families,
+   and within families all pairs that are not joined yet are verified, in blocks.
 4. A set whose segments can't pay H+1 units is compared through its single shingles instead.
 """
 
@@ -240,6 +241,73 @@ def _verified(pairs: DataFrame, texts: DataFrame, n: int, percent: int) -> DataF
     return one.union(other).repartition("u", "part").sortWithinPartitions("u", "part", F.col("v").asc_nulls_first()).mapInArrow(run, "u long, v long")
 
 
+def _within(families: DataFrame, texts: DataFrame, n: int, percent: int, block: int = 128) -> DataFrame:
+    """Links that connect a family's members, from (family, doc_id, root): all pairs of different roots are looked at.
+
+    A large family is cut into blocks, and each pair of blocks is one unit of work: a member's text goes
+    to as many units as there are blocks. Only links that join parts of a unit come out.
+    """
+    sizes = families.groupBy("family").agg(F.ceil(F.count("*") / block).cast("int").alias("blocks"))
+    own = F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int")
+    dealt = families.join(sizes, "family").withColumn("own", own).select("family", "doc_id", "root", "own", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
+    dealt = dealt.select("family", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "doc_id", "root").join(texts, "doc_id")
+
+    def links(ids: list, roots: list, own: list, sets: list) -> list:
+        h, who = np.concatenate(sets), np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+        size = np.array([len(x) for x in sets])
+        _, column, count = np.unique(h, return_inverse=True, return_counts=True)
+        used = count[column] > 1
+        who, column = who[used], np.unique(column[used], return_inverse=True)[1]
+        order = np.argsort(column, kind="stable")
+        who, column = who[order], column[order]
+        both = np.zeros((len(sets), len(sets)), np.float32)
+        for a in range(0, int(column.max(initial=-1)) + 1, 4096):
+            x, y = np.searchsorted(column, (a, a + 4096))
+            part = np.zeros((len(sets), 4096), np.float32)
+            part[who[x:y], column[x:y] - a] = 1
+            both += part @ part.T
+        near = 100 * both >= percent * (size[:, None] + size[None, :] - both)
+        own, roots = np.array(own), np.array(roots)
+        near &= (both > 0) & (roots[:, None] != roots[None, :])
+        if own.min() != own.max():
+            near &= own[:, None] != own[None, :]
+        parent = {r: r for r in roots.tolist()}
+
+        def top(r):
+            while parent[r] != r:
+                parent[r] = r = parent[parent[r]]
+            return r
+
+        out = []
+        for a, b in zip(*(x.tolist() for x in np.nonzero(np.triu(near)))):
+            r, t = top(int(roots[a])), top(int(roots[b]))
+            if r != t:
+                parent[r] = t
+                out.append((ids[a], ids[b]))
+        return out
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, held = None, ([], [], [], [])
+
+        def done():
+            out = links(*held) if len(held[0]) > 1 else []
+            return pa.RecordBatch.from_arrays([pa.array([x[0] for x in out], pa.int64()), pa.array([x[1] for x in out], pa.int64())], names=["u", "v"])
+
+        for batch in batches:
+            for part in C.slices(iter([batch])):
+                doc, h = shingles(*C.flat(part.column("text")), n)
+                cuts = np.searchsorted(doc, np.arange(part.num_rows + 1))
+                for k, (family, i, j, own, doc_id, root) in enumerate(zip(*(part.column(c).to_pylist() for c in ("family", "i", "j", "own", "doc_id", "root")))):
+                    if (family, i, j) != now:
+                        yield done()
+                        now, held = (family, i, j), ([], [], [], [])
+                    for x, y in zip(held, (doc_id, root, own, h[cuts[k] : cuts[k + 1]])):
+                        x.append(y)
+        yield done()
+
+    return dealt.repartition("family", "i", "j").sortWithinPartitions("family", "i", "j", "doc_id").mapInArrow(run, "u long, v long")
+
+
 def _paid(entries: DataFrame, needs: DataFrame) -> DataFrame:
     """Signatures that each larger side pays for: (doc_id, size, sig, hub, hub_size)."""
     own = entries.where(F.col("flags").bitwiseAND(OWN) != 0)
@@ -295,7 +363,9 @@ def jaccard_join(documents: DataFrame, n: int = 5, percent: int = 75) -> DataFra
     copies = sizes.where("size > 0").join(first, ["k1", "k2", "size"]).where("doc_id <> rep").select(F.col("doc_id").alias("u"), F.col("rep").alias("v"))
     paid = C.materialize(_paid(shared, sizes.select("doc_id", "units", "h").dropDuplicates(["doc_id"])), "paid")
     fits = lambda a, b: f"100 * least({a}, {b}) >= {percent} * greatest({a}, {b})"
-    near = paid.where(F.col("doc_id") != F.col("hub")).where(fits("size", "hub_size")).select(F.col("hub").alias("u"), F.col("doc_id").alias("v")).distinct()
+    best = F.row_number().over(Window.partitionBy("v").orderBy(F.desc("n"), "u"))
+    near = paid.where(F.col("doc_id") != F.col("hub")).where(fits("size", "hub_size")).groupBy(F.col("hub").alias("u"), F.col("doc_id").alias("v")).agg(F.count("*").alias("n"))
+    near = near.withColumn("k", best).where("k <= 2").select("u", "v")
     members = C.materialize(shared.select("sig", "doc_id", "size").distinct().join(paid.select("sig").distinct(), "sig"), "members")
     involved = members.select("doc_id").distinct()
     texts = C.materialize(docs.join(involved, "doc_id", "left_semi").dropDuplicates(["doc_id"]), "texts")
@@ -303,13 +373,9 @@ def jaccard_join(documents: DataFrame, n: int = 5, percent: int = 75) -> DataFra
     label = C.materialize(components(links), "labels")
     named = lambda df: df.join(label.select(F.col("node").alias("doc_id"), "root"), "doc_id", "left").withColumn("root", F.coalesce("root", "doc_id"))
     placed = C.materialize(named(members), "placed")
-    per_root = placed.groupBy("sig", "root").agg(F.count("*").alias("n"))
-    main = per_root.groupBy("sig").agg(F.max_by("root", F.struct("n", "root")).alias("main"), F.count("*").alias("roots")).where("roots > 1").select("sig", "main")
-    mixed = placed.join(main, "sig").select("sig", F.col("doc_id").alias("x"), F.col("size").alias("n_x"), F.col("root").alias("r_x"), (F.col("root") == F.col("main")).alias("m_x"))
-    asking = named(paid.select("sig", "doc_id", "size").distinct()).join(main, "sig").select("sig", F.col("doc_id").alias("y"), F.col("size").alias("n_y"), F.col("root").alias("r_y"), (F.col("root") == F.col("main")).alias("m_y"))
-    cross = lambda a, b: a.join(b, "sig").where("r_x <> r_y and n_x <= n_y and " + fits("n_x", "n_y")).select(F.least("x", "y").alias("u"), F.greatest("x", "y").alias("v"))
-    rest = cross(asking.where("not m_y"), mixed).union(cross(asking.where("m_y"), mixed.where("not m_x"))).distinct()
-    more = _verified(C.materialize(rest, "rest"), texts, n, percent)
+    mixed = placed.groupBy("sig").agg(F.min("root").alias("least"), F.max("root").alias("most"), F.min("doc_id").alias("v")).where("least <> most").select("sig", "v")
+    families = components(placed.join(mixed, "sig").select(F.col("doc_id").alias("u"), "v").distinct())
+    more = _within(named(families.select(F.col("node").alias("doc_id"), F.col("root").alias("family"))), texts, n, percent)
     roots = components(links.union(more).union(copies).union(_fallback(docs, sizes, n, percent)))
     out = sizes.join(roots.withColumnRenamed("node", "doc_id"), "doc_id", "left")
     return out.select("doc_id", F.col("size").cast("long").alias("n_shingles"), F.coalesce("root", "doc_id").alias("component_id"))

@@ -75,8 +75,11 @@ def labelled(documents: DataFrame, rows: int, chars: int) -> DataFrame:
     """lang and text of at most `rows` labelled documents a language, by hash order; `chars` of each text."""
     docs = C.documents(documents, F.col("lang").cast("string").alias("lang")).where(F.col("lang").isNotNull() & F.col("text").isNotNull())
     order = F.xxhash64(F.col("doc_id").cast("string"))
-    sizes = docs.groupBy("lang").agg(F.count("*").alias("n"))
-    likely = docs.join(sizes, "lang").where(F.pmod(order, F.lit(1 << 20)) <= F.lit(4.0 * rows * (1 << 20)) / F.col("n"))
+    sizes = docs.groupBy("lang").agg(F.count("*").alias("n")).collect()  # a row for each language, as the automata are
+    if not sizes:
+        return docs.select("lang", "text")
+    reach = F.create_map(*(F.lit(x) for r in sizes for x in (r["lang"], int(min(1.0, 4.0 * rows / r["n"]) * (1 << 20)))))
+    likely = docs.where(F.pmod(order, F.lit(1 << 20)) <= F.element_at(reach, F.col("lang")))
     return likely.select("lang", F.substring("text", 1, chars).alias("text"), F.row_number().over(Window.partitionBy("lang").orderBy(order, "doc_id")).alias("k")).where(F.col("k") <= rows).select("lang", "text")
 
 

@@ -41,7 +41,7 @@ def votes() -> list[Column]:
         bad(F.col("repeats") > 0.15),
         bad(F.col("dup_lines") > 0.2),
         bad(F.col("digits") > 0.3),
-        F.when((F.col("symbols") < 0.02) & (F.col("upper") < 0.15) & (F.col("repeats") < 0.1) & (F.col("exclaims") < 0.05), 1).otherwise(-1),
+        F.when((F.col("symbols") < 0.02) & (F.col("upper") < F.when(F.col("n_words") < 20, 0.4).otherwise(0.15)) & (F.col("repeats") < 0.1) & (F.col("exclaims") < 0.05), 1).otherwise(-1),
     ]
 
 
@@ -77,7 +77,7 @@ def _scan(raw: np.ndarray, offsets: np.ndarray, bits: int) -> tuple[np.ndarray,
         levels = np.array([*(int(min(20, 40 * v)) for v in m[1:5]), int(min(20, m[5])), int(min(20, 60 * m[6])), int(min(20, 40 * m[7]))], np.uint64)
         levels = C.mix(levels + np.arange(1, 8, dtype=np.uint64) * np.uint64(1 << 50)) & mask
         idx, times = np.unique(np.concatenate((words[a:b] & mask, shapes)), return_counts=True)
-        features.append((np.concatenate((idx, levels)).astype(np.int32), np.concatenate((times / max(1, n), np.ones(len(levels)))).astype(np.float32)))
+        features.append((np.concatenate((idx, levels)).astype(np.int32), np.concatenate((times / (n + 30.0), np.ones(len(levels)))).astype(np.float32)))
     return measures, features
 
 
