@@ -196,7 +196,8 @@ def covered_ranges(docs: DataFrame, w: Windows, settle: Callable, repeated: str,
     `repeated` is a SQL condition on doc_id and on a run's r.first_doc and r.total.
     """
     every = occurrences(docs, w)
-    shared = every.groupBy("anchor").agg(F.count("*").alias("times")).where("times > 1").select("anchor")
+    # A table of its own: with an aggregation right under the join, Spark could not split a hot anchor.
+    shared = C.materialize(every.groupBy("anchor").agg(F.count("*").alias("times")).where("times > 1").select("anchor"), "anchors")
     found = C.materialize(every.join(shared, "anchor"), "superkmers")
     runs = verdicts(docs, found, w, settle, bucket_limit)
     ranges = F.expr(f"transform(filter(runs, r -> {repeated}), r -> struct(start + r.a as a, start + r.b + {w.k - 1} as b))")
