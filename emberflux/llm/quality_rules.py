@@ -1,11 +1,14 @@
 """Operator 9: quality rules with robust multivariate outliers, in DataFrame functions only.
 
-Base rules come from counts over the whole text. Beyond them, each (lang, source) group gets a
-minimum-covariance-determinant estimate of location and scatter of a transformed statistic vector,
-found by concentration steps: from a coordinate-wise median start, the rows nearest in Mahalanobis
-distance (a share `core` of the group) give the next mean and covariance. All group statistics are
-counts, sums and fixed-width histograms, which combine on the map side, so a hot group is never
-gathered anywhere. Rows beyond a chi-square quantile of the squared distance are rejected.
+Base rules come from counts over the whole text. Beyond them, all rows, each language and each
+(lang, source) group get a minimum-covariance-determinant estimate of location and scatter of a
+transformed statistic vector, found by concentration steps: from a coordinate-wise median start, the
+rows nearest in Mahalanobis distance (a share `core` of the group) give the next mean and covariance.
+At every step the estimate of a group is shrunk towards that of its language, and that towards all
+rows, by row counts: n rows count against `prior` rows of the level above, so every row is judged
+however small its group. All group statistics are counts, sums and fixed-width histograms, which
+combine on the map side, so a hot group is never gathered anywhere. Rows beyond a chi-square quantile
+of the squared distance are rejected.
 """
 
 from __future__ import annotations
@@ -23,6 +26,8 @@ P = 4
 #: Least standard deviation credited to each feature, so that a group in which a feature never varies rejects no small departure.
 FLOORS = (0.5, 0.08, 0.5, 0.5)
 GROUP = ("g_lang", "g_source")
+#: A group of any level: 0 is all rows, 1 a language, 2 a (lang, source) group; columns above a level are empty.
+LEVEL = ("level", *GROUP)
 
 
 def statistics(docs: DataFrame) -> DataFrame:
@@ -85,16 +90,38 @@ def _cut(counts: DataFrame, share: float, *by: str) -> DataFrame:
     return run.where(F.col("up_to") >= share * F.col("all")).groupBy(*by).agg(F.min("bin").alias("bin"))
 
 
+def _key(level: int) -> list[Column]:
+    return [F.lit(level).alias("level"), *(F.col(c) if k < level else F.lit("").alias(c) for k, c in enumerate(GROUP))]
+
+
 def _start(vectors: DataFrame) -> DataFrame:
-    """Median and scaled median deviation of each feature, from histograms of fixed width."""
+    """Rows n, median and scaled median deviation of each feature in the groups of all levels, from histograms of fixed width."""
     width = 0.02
     long = vectors.select(*GROUP, F.posexplode(F.array(*(f"f{i}" for i in range(P)))).alias("feature", "x"))
     counts = long.groupBy(*GROUP, "feature", F.round(F.col("x") / width).cast("int").alias("bin")).agg(F.count("*").alias("n"))
-    middle = _cut(counts, 0.5, *GROUP, "feature").withColumnRenamed("bin", "middle")
-    off = counts.join(middle, [*GROUP, "feature"]).groupBy(*GROUP, "feature", F.abs(F.col("bin") - F.col("middle")).alias("bin")).agg(F.sum("n").alias("n"))
-    both = middle.join(_cut(off, 0.5, *GROUP, "feature"), [*GROUP, "feature"])
-    rows = both.groupBy(*GROUP).agg(*(F.max(F.when(F.col("feature") == i, F.col("middle") * width)).alias(f"m{i}") for i in range(P)), *(F.max(F.when(F.col("feature") == i, F.pow(1.4826 * width * F.col("bin"), F.lit(2)))).alias(f"c{i}{i}") for i in range(P)))
-    return rows.select(*GROUP, *(f"m{i}" for i in range(P)), *(F.col(f"c{i}{j}") if i == j else F.lit(0.0).alias(f"c{i}{j}") for i in range(P) for j in range(i + 1)))
+    counts = counts.select(F.explode(F.array(*(F.struct(*_key(level)) for level in range(3)))).alias("g"), "feature", "bin", "n").select("g.*", "feature", "bin", "n").groupBy(*LEVEL, "feature", "bin").agg(F.sum("n").alias("n"))
+    middle = _cut(counts, 0.5, *LEVEL, "feature").withColumnRenamed("bin", "middle")
+    off = counts.join(middle, [*LEVEL, "feature"]).groupBy(*LEVEL, "feature", F.abs(F.col("bin") - F.col("middle")).alias("bin")).agg(F.sum("n").alias("n"))
+    sizes = counts.groupBy(*LEVEL, "feature").agg(F.sum("n").alias("n"))
+    both = middle.join(_cut(off, 0.5, *LEVEL, "feature"), [*LEVEL, "feature"]).join(sizes, [*LEVEL, "feature"])
+    rows = both.groupBy(*LEVEL).agg(F.max("n").alias("n"), *(F.max(F.when(F.col("feature") == i, F.col("middle") * width)).alias(f"m{i}") for i in range(P)), *(F.max(F.when(F.col("feature") == i, F.pow(1.4826 * width * F.col("bin"), F.lit(2)))).alias(f"c{i}{i}") for i in range(P)))
+    return rows.select(*LEVEL, "n", *(f"m{i}" for i in range(P)), *(F.col(f"c{i}{j}") if i == j else F.lit(0.0).alias(f"c{i}{j}") for i in range(P) for j in range(i + 1)))
+
+
+def _shrunk(estimate: DataFrame, prior: float) -> DataFrame:
+    """The estimates of all levels, each drawn towards the level above as if that had `prior` rows in the group."""
+    values = [*(f"m{i}" for i in range(P)), *(f"c{i}{j}" for i in range(P) for j in range(i + 1))]
+    above = estimate.where("level = 0").select(*LEVEL, *values)
+    out = above
+    for level in (1, 2):
+        shared = GROUP[: level - 1]
+        upper = F.broadcast(above.select(*shared, *(F.col(v).alias(f"up_{v}") for v in values)))
+        own = estimate.where(F.col("level") == level)
+        both = own.join(upper, [*shared]) if shared else own.crossJoin(upper)
+        weight = F.col("n") / (F.col("n") + F.lit(prior))
+        above = both.select(*LEVEL, *((weight * F.col(v) + (1 - weight) * F.col(f"up_{v}")).alias(v) for v in values))
+        out = out.unionByName(above)
+    return out
 
 
 def _cholesky(estimate: DataFrame) -> DataFrame:
@@ -105,11 +132,13 @@ def _cholesky(estimate: DataFrame) -> DataFrame:
             for k in range(j):
                 rest = rest - F.col(f"l{i}{k}") * F.col(f"l{j}{k}")
             estimate = estimate.withColumn(f"l{i}{j}", F.sqrt(F.greatest(rest, F.lit(1e-9))) if i == j else rest / F.col(f"l{j}{j}"))
-    return estimate.select(*GROUP, *(f"m{i}" for i in range(P)), *(f"l{i}{j}" for i in range(P) for j in range(i + 1)))
+    return estimate.select(*LEVEL, *(f"m{i}" for i in range(P)), *(f"l{i}{j}" for i in range(P) for j in range(i + 1)))
 
 
-def _distances(vectors: DataFrame, estimate: DataFrame, how: str = "inner") -> DataFrame:
-    rows = vectors.join(_cholesky(estimate), [*GROUP], how)
+def _distances(vectors: DataFrame, estimate: DataFrame, level: int = 2, how: str = "inner") -> DataFrame:
+    """The rows and their squared distance from their group of a level."""
+    groups = _cholesky(estimate.where(F.col("level") == level)).drop("level", *GROUP[level:])
+    rows = vectors.join(groups, [*GROUP], how) if level == 2 else vectors.join(F.broadcast(groups), [*GROUP[:level]], how) if level else vectors.crossJoin(F.broadcast(groups))
     for i in range(P):
         rest = F.col(f"f{i}") - F.col(f"m{i}")
         for k in range(i):
@@ -119,33 +148,39 @@ def _distances(vectors: DataFrame, estimate: DataFrame, how: str = "inner") -> D
     return rows.select(*vectors.columns, total.alias("distance"))
 
 
-def minimum_covariance(vectors: DataFrame, core: float, steps: int, tag: str = "mcd") -> DataFrame:
-    """Each group's mean m0.. and covariance c00, c10.. after `steps` concentration steps."""
-    estimate = C.materialize(_start(vectors), tag)
-    for step in range(steps):
-        far = _distances(vectors, estimate).withColumn("bin", F.round(F.log(F.col("distance") + 1e-6) * 64).cast("int"))
-        limit = _cut(far.groupBy(*GROUP, "bin").agg(F.count("*").alias("n")), core, *GROUP).withColumnRenamed("bin", "limit")
-        near = far.join(limit, [*GROUP]).where("bin <= limit")
-        scale = _consistency(core)
-        estimate = C.materialize(near.groupBy(*GROUP).agg(*(F.avg(f"f{i}").alias(f"m{i}") for i in range(P)), *((scale * F.covar_pop(f"f{i}", f"f{j}")).alias(f"c{i}{j}") for i in range(P) for j in range(i + 1))), tag)
+def minimum_covariance(vectors: DataFrame, core: float, steps: int, prior: float, tag: str = "mcd") -> DataFrame:
+    """Mean m0.. and covariance c00, c10.. of the groups of all levels after `steps` concentration steps, shrunk."""
+    pairs = [(i, j) for i in range(P) for j in range(i + 1)]
+    scale = _consistency(core)
+    vectors = vectors.select(*GROUP, *(f"f{i}" for i in range(P)))
+    estimate = C.materialize(_shrunk(C.materialize(_start(vectors), tag), prior), tag)
+    for _ in range(steps):
+        bins = None
+        for level in range(3):
+            far = _distances(vectors, estimate, level)
+            sums = far.groupBy(*_key(level), F.round(F.log(F.col("distance") + 1e-6) * 64).cast("int").alias("bin")).agg(F.count("*").alias("n"), *(F.sum(f"f{i}").alias(f"s{i}") for i in range(P)), *(F.sum(F.col(f"f{i}") * F.col(f"f{j}")).alias(f"q{i}{j}") for i, j in pairs))
+            bins = sums if bins is None else bins.unionByName(sums)
+        before = F.sum("n").over(Window.partitionBy(*LEVEL).orderBy("bin")) - F.col("n")
+        near = bins.select("*", before.alias("before"), F.sum("n").over(Window.partitionBy(*LEVEL)).alias("all")).where(F.col("before") < F.greatest(F.lit(1), F.floor(core * F.col("all"))))
+        near = near.groupBy(*LEVEL).agg(F.sum("n").alias("n"), *(F.sum(f"s{i}").alias(f"s{i}") for i in range(P)), *(F.sum(f"q{i}{j}").alias(f"q{i}{j}") for i, j in pairs))
+        near = near.select(*LEVEL, "n", *((F.col(f"s{i}") / F.col("n")).alias(f"m{i}") for i in range(P)), *((scale * (F.col(f"q{i}{j}") / F.col("n") - F.col(f"s{i}") * F.col(f"s{j}") / F.col("n") / F.col("n"))).alias(f"c{i}{j}") for i, j in pairs))
+        estimate = C.materialize(_shrunk(C.materialize(near, tag), prior), tag)
     return estimate
 
 
-def quality_rules(documents: DataFrame, core: float = 0.75, steps: int = 3, alpha: float = 1e-6, min_group: int = 50) -> DataFrame:
-    """doc_id, the five counts, base_failed, kept, and the squared robust `distance` (null where none is judged).
+def quality_rules(documents: DataFrame, core: float = 0.75, steps: int = 3, alpha: float = 1e-6, prior: float = 50.0) -> DataFrame:
+    """doc_id, the five counts, base_failed, kept, and the squared robust `distance` (null in a group without a row that passes the base rules).
 
     Defined cases: a null or empty text has zero counts and fails the base rules; null lang or source
-    is a group of its own; a group with fewer than `min_group` rows that pass the base rules has no
-    estimate, and its rows are kept if they pass those; rows that repeat a doc_id each give a row;
-    rows without doc_id are left out; other columns are ignored; an empty table gives an empty result.
+    is a group of its own; rows that repeat a doc_id each give a row; rows without doc_id are left out;
+    other columns are ignored; an empty table gives an empty result.
     """
     docs = C.documents(documents, F.coalesce(F.col("lang").cast("string"), F.lit("\0")).alias("g_lang"), F.coalesce(F.col("source").cast("string"), F.lit("\0")).alias("g_source"))
     rated = statistics(docs).drop("text").withColumn("base_failed", base_failed())
     rated = C.materialize(rated.select("*", *(f.alias(f"f{i}") for i, f in enumerate(_features()))), "statistics")
     passing = rated.where("not base_failed")
-    large = passing.groupBy(*GROUP).agg(F.count("*").alias("n")).where(F.col("n") >= min_group).select(*GROUP)
-    estimate = minimum_covariance(passing.join(large, [*GROUP]), core, steps)
-    judged = _distances(rated, estimate, "left")
+    estimate = minimum_covariance(passing, core, steps, prior)
+    judged = _distances(rated, estimate, how="left")
     far = F.coalesce(F.col("distance") > quantile(1 - alpha), F.lit(False))
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", (~F.col("base_failed") & ~far).alias("kept"), "distance")
 

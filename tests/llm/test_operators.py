@@ -1,7 +1,9 @@
 """Each operator against a plain restatement, on random texts and on the defined edge cases."""
 
+import math
 import random
 
+import numpy as np
 import pytest
 from brute import KINDS, components, counts, private, repeated_bytes, repeated_words, sha, words
 from pyspark.sql import functions as F
@@ -108,6 +110,75 @@ def test_quality_rules_reject_outliers_only(spark):
     assert not kept & {d for d, _ in junk} and len(kept) >= 198
 
 
+def test_quality_rules_judge_small_groups(spark):
+    rng = random.Random(9)
+    prose = lambda: " ".join("".join(rng.choice("abcdefgh") for _ in range(rng.randint(2, 9))) for _ in range(rng.randint(40, 160)))
+    rows = [(i, prose(), f"l{i % 3}", f"s{i % 40}") for i in range(240)]
+    rows += [(500, prose(), "rare", "s0"), (501, prose(), None, None)]
+    junk = [(1000, "l0", "s0"), (1001, "l1", "alone"), (1002, "rare", "s0"), (1003, None, None), (1004, "l2", "pair"), (1005, "l2", "pair")]
+    spoiled = [(d, " ".join(f"{w}###%%%" for w in prose().split()), lang, source) for d, lang, source in junk]
+    out = quality_rules.quality_rules(spark.createDataFrame(rows + spoiled, "doc_id long, text string, lang string, source string")).collect()
+    assert all(r["distance"] is not None for r in out)
+    assert {r["doc_id"] for r in out if not r["kept"]} == {d for d, *_ in junk}
+
+
+def restated_distances(rows, core=0.75, steps=3, prior=50.0):
+    """Distances of (doc, key, vector) rows by numpy; a key is (lang, source)."""
+    keys = [[()] * len(rows), [k[:1] for _, k, _ in rows], [k for _, k, _ in rows]]
+    x = np.array([v for *_, v in rows])
+    scale = quality_rules._consistency(core)
+
+    def shrunk(raw):
+        for key in sorted(raw, key=len)[1:]:
+            n, m, c = raw[key]
+            w = n / (n + prior)
+            raw[key] = n, w * m + (1 - w) * raw[key[:-1]][1], w * c + (1 - w) * raw[key[:-1]][2]
+        return raw
+
+    def distances(fits, level):
+        out = np.empty(len(x))
+        for i, key in enumerate(keys[level]):
+            d = x[i] - fits[key][1]
+            out[i] = d @ np.linalg.solve(fits[key][2] + np.diag(np.square(quality_rules.FLOORS)), d)
+        return out
+
+    middle = lambda bins: sorted(bins)[(len(bins) + 1) // 2 - 1]
+    raw = {}
+    for level in range(3):
+        for key in set(keys[level]):
+            bins = np.floor(x[[k == key for k in keys[level]]] / 0.02 + 0.5)
+            m = np.array([middle(b) for b in bins.T])
+            raw[key] = len(bins), m * 0.02, np.diag([(1.4826 * 0.02 * middle(abs(b - a))) ** 2 for a, b in zip(m, bins.T)])
+    fits = shrunk(raw)
+    for _ in range(steps):
+        raw = {}
+        for level in range(3):
+            all_bins = np.round(np.log(distances(fits, level) + 1e-6) * 64)
+            for key in set(keys[level]):
+                mine = np.array([k == key for k in keys[level]])
+                bins = all_bins[mine]
+                limit = sorted(bins)[max(1, math.floor(core * len(bins))) - 1]
+                near = x[mine][bins <= limit]
+                raw[key] = len(near), near.mean(0), scale * np.cov(near.T, bias=True).reshape(4, 4)
+        fits = shrunk(raw)
+    return {d: y for (d, *_), y in zip(rows, distances(fits, 2))}
+
+
+def test_quality_rules_restated(spark):
+    rng = random.Random(10)
+    texts_of = lambda: "\n".join(" ".join(rng.choice(["ab", "cdefg", "h#", "ijklm|", "nopqrstu"]) for _ in range(rng.randint(3, 30))) for _ in range(rng.randint(4, 9)))
+    rows = [(i, texts_of(), rng.choice("xxxyz"), rng.choice("aab")) for i in range(160)] + [(900, texts_of(), "w", "a")]
+    out = quality_rules.quality_rules(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")).collect()
+    vectors = []
+    for d, t, lang, source in rows:
+        n, chars, symbols, lines, _, failed = counts(t)
+        if not failed:
+            vectors.append((d, (lang, source), [math.log1p(n), math.log(chars / n), math.log1p(100 * symbols / n), math.log1p(100 * lines / n)]))
+    expected = restated_distances(vectors)
+    assert len(expected) > 100
+    assert {r["doc_id"]: r["distance"] for r in out if not r["base_failed"]} == pytest.approx(expected, rel=1e-6)
+
+
 def test_pii_spans(spark):
     rng = random.Random(7)
     parts = ["a", "b@", ".", "1", "22", "255", "256", "+", "-", " ", "_x@y.z", "😀", "é", "(", ")", "4111 1111 1111 1111", "+1 (663) 555-6869", "\n", "@", "%"]

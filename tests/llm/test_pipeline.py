@@ -39,3 +39,15 @@ def test_pipeline(spark, tmp_path):
     docs = spark.read.parquet(str(tmp_path / "documents.parquet"))
     for _, stage in corpus_pipeline.STAGES[:-1]:
         assert stage(spark, docs, str(tmp_path)).columns == docs.columns
+
+
+def test_quality_stage_judges_small_groups(spark):
+    pytest.importorskip("public_tokenizers")
+    import corpus_pipeline
+
+    rng = random.Random(2)
+    prose = lambda n: " ".join("".join(rng.choice("abcdefghij") for _ in range(rng.randint(2, 8))) for _ in range(n))
+    rows = [(i, prose(rng.randint(30, 90)), "en", f"s{i % 12}") for i in range(60)]
+    junk = [(100 + i, " ".join(f"{w}###%%%" for w in prose(50).split()), "en", f"s{i}") for i in range(4)]
+    docs = spark.createDataFrame(rows + junk, "doc_id long, text string, lang string, source string")
+    assert {r["doc_id"] for r in corpus_pipeline.quality(spark, docs, "").collect()} == {d for d, *_ in rows}
