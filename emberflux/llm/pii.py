@@ -1,11 +1,13 @@
 """Operator 5: personal data, by patterns and by what terms disclose, in DataFrame functions only.
 
 Base spans come from four patterns. Beyond them, corpus co-occurrence estimates how strongly a term
-reveals a protected value e (an address or number that several different lines mention): with D documents,
+reveals a protected value e (any valid address or number of a base span): with D documents,
 IC(e) = ln(D / n_e), and the share of IC(e) that the term t gives away is PMI(t, e) / IC(e) =
-1 + ln(n_te / n_t) / IC(e). n_t counts documents with t, n_te those with t and e on one line. Terms
-at `remove` or more are removed, at `generalise` or more replaced by their class, where they stand
-in a document that holds e. Evidence is counted over different lines, so that copies prove nothing.
+1 + ln(P(e|t)) / IC(e), P(e|t) being n_te / n_t. n_t counts documents with t, n_te those with t and e on
+one line. Every value and every term on its lines is judged; thin evidence is shrunk and not left out:
+P(e|t) is the lower Wilson bound of its share, with as many trials as different lines support, so that
+copies prove nothing. Terms at `remove` or more are removed, at `generalise` or more replaced by their
+class, where they stand in a document that holds e.
 """
 
 from __future__ import annotations
@@ -85,22 +87,34 @@ def _written(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda x: F.concat_ws(":", F.get(names, x.kind), x.start.cast("string"), x.end.cast("string"))), ",")
 
 
-def disclosing_terms(found: DataFrame, docs: DataFrame, remove: float, generalise: float, min_lines: int, evidence: float) -> DataFrame:
-    """doc_id, and the terms to remove and to generalise in it. `found` has doc_id, text and base."""
+def judged_terms(found: DataFrame, docs: DataFrame, z: float) -> DataFrame:
+    """entity, term and share of each term on a line of each protected value. `found` has doc_id, text and base."""
     entity = F.explode(F.array_distinct(F.transform("base", lambda x: F.lower(x.value)))).alias("entity")
-    mentions = found.where(F.size("base") > 0).select("doc_id", F.lower("text").alias("text"), entity)
-    lines = mentions.select("doc_id", "entity", F.explode(F.filter(F.split("text", "\n", -1), lambda x: F.instr(x, F.col("entity")) > 0)).alias("line"))
+    lines = found.where(F.size("base") > 0).select("doc_id", F.lower("text").alias("text"), entity)
+    lines = lines.select("doc_id", "entity", F.explode(F.filter(F.split("text", "\n", -1), lambda x: F.instr(x, F.col("entity")) > 0)).alias("line"))
     lines = lines.select("doc_id", "entity", F.xxhash64("line").alias("line_id"), F.regexp_replace("line", PATTERNS[0], " ").alias("line"))
-    values = lines.groupBy("entity").agg(F.countDistinct("doc_id").alias("n_e"), F.countDistinct("line_id").alias("n_lines")).where(F.col("n_lines") >= min_lines)
-    pairs = lines.join(values.select("entity"), "entity").select("doc_id", "entity", "line_id", F.explode(F.array_distinct(F.regexp_extract_all("line", F.lit(TERM), F.lit(0)))).alias("term"))
-    pairs = pairs.groupBy("entity", "term").agg(F.countDistinct("doc_id").alias("n_te"), F.countDistinct("line_id").alias("n_lines")).where(F.col("n_lines") >= min_lines)
-    words = docs.select(F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(TERM), F.lit(0)))).alias("term"))
+    values = lines.groupBy("entity").agg(F.countDistinct("doc_id").alias("n_e"))
+    pairs = lines.select("doc_id", "entity", "line_id", F.explode(F.array_distinct(F.regexp_extract_all("line", F.lit(TERM), F.lit(0)))).alias("term"))
+    pairs = pairs.groupBy("entity", "term").agg(F.countDistinct("doc_id").alias("n_te"), F.countDistinct("line_id").alias("n_lines"))
+    words = docs.select("doc_id", F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(TERM), F.lit(0)))).alias("term"))
     totals = words.groupBy("term").agg(F.count("*").alias("n_t"))
-    scored = pairs.join(totals, "term").join(values.select("entity", "n_e"), "entity")
+    scored = pairs.join(totals, "term").join(values, "entity")
     content = F.log(F.lit(float(docs.count())) / F.col("n_e"))
-    scored = scored.withColumn("share", F.when(content > 0, 1 + F.log(F.col("n_te") / F.col("n_t")) / content)).where((F.col("n_lines") * content >= evidence) & (F.col("share") >= generalise))
-    told = scored.groupBy("entity").agg(F.collect_set(F.when(F.col("share") >= remove, F.col("term"))).alias("out"), F.collect_set(F.when(F.col("share") < remove, F.col("term"))).alias("general"))
-    return mentions.select("doc_id", "entity").join(told, "entity").groupBy("doc_id").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("out")))).alias("out"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("general")))).alias("general"))
+    p = F.least(F.col("n_te") / F.col("n_t"), F.lit(1.0))
+    trials = F.least("n_te", "n_lines") / p
+    low = (p + z * z / 2 / trials - z * F.sqrt(p * (1 - p) / trials + z * z / 4 / trials / trials)) / (1 + z * z / trials)
+    return scored.select("entity", "term", F.when(content > 0, 1 + F.log(low) / content).alias("share"))
+
+
+def disclosing_terms(found: DataFrame, docs: DataFrame, remove: float, generalise: float, z: float) -> DataFrame:
+    """doc_id, and the terms to remove and to generalise in it. `found` has doc_id, text and base."""
+    told = judged_terms(found, docs, z).where(F.col("share") >= generalise)
+    mine = found.where(F.size("base") > 0).select("doc_id", F.array_distinct(F.transform("base", lambda x: F.lower(x.value))).alias("entities"), F.lower("text").alias("text"))
+    held = mine.select("doc_id", F.explode("entities").alias("entity")).distinct()
+    there = mine.select("doc_id", F.explode(F.array_distinct(F.regexp_extract_all("text", F.lit(TERM), F.lit(0)))).alias("term"))
+    here = there.distinct().join(told, "term").join(held, ["doc_id", "entity"], "left_semi").groupBy("doc_id", "term").agg(F.max("share").alias("share"))
+    out = F.array_sort(F.collect_list(F.when(F.col("share") >= remove, F.col("term")))).alias("out")
+    return here.groupBy("doc_id").agg(out, F.array_sort(F.collect_list(F.when(F.col("share") < remove, F.col("term")))).alias("general"))
 
 
 def _term_spans(terms: str, kind: int) -> Column:
@@ -108,7 +122,7 @@ def _term_spans(terms: str, kind: int) -> Column:
     return F.when(F.size(terms) > 0, _located(F.coalesce("text", F.lit("")), pattern, F.lit(kind))).otherwise(F.array().cast(SPAN))
 
 
-def find_private(documents: DataFrame, *keep: str, remove: float = 0.9, generalise: float = 0.7, min_lines: int = 5, evidence: float = 20.0) -> DataFrame:
+def find_private(documents: DataFrame, *keep: str, remove: float = 0.9, generalise: float = 0.7, z: float = 1.96) -> DataFrame:
     """doc_id, text, the columns `keep`, base spans and all spans of each document.
 
     A span has start, kind (place in KINDS), end (code points, end exclusive) and value; arrays are
@@ -117,7 +131,7 @@ def find_private(documents: DataFrame, *keep: str, remove: float = 0.9, generali
     """
     docs = C.documents(documents, *keep)
     found = docs.withColumn("base", base_spans(F.coalesce("text", F.lit(""))))
-    terms = disclosing_terms(found, docs, remove, generalise, min_lines, evidence)
+    terms = disclosing_terms(found, docs, remove, generalise, z)
     both = found.join(terms, "doc_id", "left")
     clear = lambda spans: F.filter(spans, lambda x: ~F.exists("base", lambda b: (b.start < x.end) & (x.start < b.end)))
     more = F.concat(_term_spans("out", 4), _term_spans("general", 5))

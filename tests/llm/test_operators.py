@@ -198,6 +198,25 @@ def test_pii_disclosing_terms(spark):
     assert all(out[100 + i] == ([], f"{filler(i + 50)} common") for i in range(400))
 
 
+def test_pii_terms_of_values_mentioned_once(spark):
+    rows = [(i, f"common plain words with more text{'abcdefghij'[i % 10]}") for i in range(1200)]
+    rows += [(2000, "ask Quagmire common or q@x.org\nplain Quagmire"), (2001, "zebrafish one a@b.org"), (2002, "zebrafish two a@b.org"), (2003, "zebrafish three a@b.org"), (2004, "Quagmire is no value here")]
+    rows += [(3000 + i, "copycat word c@d.org") for i in range(9)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    docs = df.withColumn("base", pii.base_spans(F.col("text")))
+    shares = {(r["entity"], r["term"]): r["share"] for r in pii.judged_terms(docs, df, 1.96).collect()}
+    seen = {"q@x.org": (1, {"ask": (1, 1, 1), "quagmire": (1, 1, 2), "common": (1, 1, 1201)}), "a@b.org": (3, {"zebrafish": (3, 3, 3), "one": (1, 1, 1), "two": (1, 1, 1), "three": (1, 1, 1)}), "c@d.org": (9, {"copycat": (9, 1, 9), "word": (9, 1, 9)})}
+    expected = {}
+    for entity, (n_e, terms) in seen.items():
+        for term, (n_te, n_lines, n_t) in terms.items():
+            p, n = n_te / n_t, min(n_te, n_lines) * n_t / n_te
+            low = (p + 1.96**2 / 2 / n - 1.96 * math.sqrt(p * (1 - p) / n + 1.96**2 / 4 / n**2)) / (1 + 1.96**2 / n)
+            expected[entity, term] = 1 + math.log(low) / math.log(len(rows) / n_e)
+    assert shares == pytest.approx(expected)
+    out = {r["doc_id"]: r["clean"] for r in pii.find_private(df).withColumn("clean", pii.sanitized()).collect()}
+    assert out[2000] == "<TERM> Quagmire common or <EMAIL>\nplain Quagmire" and out[2001].startswith("<TERM> ") and out[2004] == rows[-10][1] and "copycat" in out[3000]
+
+
 def test_language_id(spark):
     rng = random.Random(8)
     kinds = {"xx": ["ba", "do", "ki"], "yy": ["schr", "ung", "pf"], "zz": ["eau", "oux", "ille"]}
