@@ -71,8 +71,8 @@ class SuffixAutomaton:
         return count + (state > 0)
 
 
-def labelled(documents: DataFrame, rows: int, chars: int) -> DataFrame:
-    """lang and text of at most `rows` labelled documents a language, by hash order; `chars` of each text."""
+def labelled(documents: DataFrame, rows: int) -> DataFrame:
+    """lang and text of at most `rows` labelled documents a language, by hash order."""
     docs = C.documents(documents, F.col("lang").cast("string").alias("lang")).where(F.col("lang").isNotNull() & F.col("text").isNotNull())
     order = F.xxhash64(F.col("doc_id").cast("string"))
     sizes = docs.groupBy("lang").agg(F.count("*").alias("n")).collect()  # a row for each language, as the automata are
@@ -80,24 +80,35 @@ def labelled(documents: DataFrame, rows: int, chars: int) -> DataFrame:
         return docs.select("lang", "text")
     reach = F.create_map(*(F.lit(x) for r in sizes for x in (r["lang"], int(min(1.0, 4.0 * rows / r["n"]) * (1 << 20)))))
     likely = docs.where(F.pmod(order, F.lit(1 << 20)) <= F.element_at(reach, F.col("lang")))
-    return likely.select("lang", F.substring("text", 1, chars).alias("text"), F.row_number().over(Window.partitionBy("lang").orderBy(order, "doc_id")).alias("k")).where(F.col("k") <= rows).select("lang", "text")
+    return likely.select("lang", "text", F.row_number().over(Window.partitionBy("lang").orderBy(order, "doc_id")).alias("k")).where(F.col("k") <= rows).select("lang", "text")
 
 
-def train(documents: DataFrame, rows: int = 300, chars: int = 20_000, size: int = 60_000, total: int = 2_000_000) -> dict[str, SuffixAutomaton]:
-    """An automaton for each lang of the labelled documents, over their most frequent words.
+def word_counts(labels: DataFrame) -> DataFrame:
+    """lang, word and n over the whole texts."""
 
-    Bounds: `rows` documents a language, `chars` characters of each, `size` characters of words an
-    automaton, `total` over all automata (shared out evenly).
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in C.slices(batches):
+            counts = Counter((lang, word) for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist()) for word in WORD.findall(text.lower()))
+            yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in counts], pa.string()), pa.array([x for _, x in counts], pa.string()), pa.array(counts.values(), pa.int64())], names=["lang", "word", "n"])
+
+    return labels.mapInArrow(run, "lang string, word string, n long").groupBy("lang", "word").agg(F.sum("n").alias("n"))
+
+
+def train(documents: DataFrame, rows: int = 300, size: int = 60_000) -> dict[str, SuffixAutomaton]:
+    """An automaton for each lang of the labelled documents, over the most frequent words of their whole texts.
+
+    Bounds: `rows` documents a language, `size` characters of words an automaton, however many languages.
     """
+    order = Window.partitionBy("lang").orderBy(F.desc("n"), "word")
+    likely = word_counts(labelled(documents, rows)).withColumn("k", F.row_number().over(order)).where(F.col("k") <= size)  # more words cannot fit
     counts: dict[str, Counter] = {}
-    for row in labelled(documents, rows, chars).toLocalIterator():
-        counts.setdefault(row["lang"], Counter()).update(WORD.findall(row["text"].lower()))
-    most = min(size, total // max(1, len(counts)))
+    for row in likely.toLocalIterator():
+        counts.setdefault(row["lang"], Counter())[row["word"]] = row["n"]
     out = {}
     for lang, words in sorted(counts.items()):
         text, used = [], 0
         for word, _ in sorted(words.items(), key=lambda x: (-x[1], x[0])):
-            if used + len(word) + 1 <= most:
+            if used + len(word) + 1 <= size:
                 text.append(word)
                 used += len(word) + 1
         if text:

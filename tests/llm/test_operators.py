@@ -229,6 +229,12 @@ def test_language_id(spark):
     assert language_id.predict(df, language_id.train(df.limit(0))).where("lang_pred <> 'und'").isEmpty()
 
 
+def test_language_id_learns_from_whole_texts(spark):
+    rows = [(i, "ba " * 10_000 + "quux", f"l{i:02}") for i in range(36)]
+    models = language_id.train(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    assert len(models) == 36 and all(m.phrases(" quux ") == 1 for m in models.values())
+
+
 def test_automaton_parses_by_longest_match():
     rng = random.Random(9)
     for _ in range(300):
