@@ -7,6 +7,7 @@ the partition.
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -28,10 +29,12 @@ _TABLES = tuple(np.random.default_rng(20_240_101 + i).integers(1, 1 << 63, 256,
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share; a temporary one only where the session names none."""
+    """The folder that driver and executors share; a temporary one only on a local master, and only where the session names none."""
     sc = spark.sparkContext
     found = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not found:
+        if not re.fullmatch(r"local(\[.*\])?", sc.master):
+            raise RuntimeError("name a folder that driver and executors share in spark.checkpoint.dir")
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="emberflux-"))
         found = sc.getCheckpointDir()
     return found.rstrip("/")
@@ -52,6 +55,16 @@ def documents(df: DataFrame, *more: str) -> DataFrame:
     return df.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), *more).where(F.col("doc_id").isNotNull())
 
 
+def keyed(df: DataFrame) -> DataFrame:
+    """Adds row_key, 64 bits of the text: rows that share a doc_id are told apart by it."""
+    return df.withColumn("row_key", F.xxhash64("text"))
+
+
+def text_bytes(docs: DataFrame) -> int:
+    """Bytes of all texts, by which the numbers of buckets are chosen."""
+    return int(docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0)
+
+
 def n_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -57,11 +57,12 @@ def substring_dedup(documents: DataFrame, k: int = 50, m: int = 8, bucket_limit:
 
     Returns doc_id, n_words, n_removed, kept_sha256 and kept_text (kept words joined by one space).
     Defined cases: a null or empty text has no words and keeps an empty text; a text of fewer than k
-    words keeps all; equal texts are ties that the smallest doc_id wins; rows that repeat a doc_id
-    are one document's rows and never make each other's words go (each row is returned); rows without doc_id are
-    left out; other columns are ignored; an empty table gives an empty result.
+    words keeps all; equal texts are ties that the smallest doc_id wins; rows that repeat a doc_id,
+    with equal or different texts, each give a row, judged by its own text, and never make each other's
+    words go; a text of any length is one row's work, in memory in proportion to it; rows without doc_id
+    are left out; other columns are ignored; an empty table gives an empty result.
     """
-    docs = C.documents(documents)
+    docs = C.keyed(C.documents(documents))
     ranges = S.covered_ranges(docs, S.Windows("word", k, m), sort_windows(k), "r.first_doc < doc_id", bucket_limit)
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -87,7 +88,7 @@ def substring_dedup(documents: DataFrame, k: int = 50, m: int = 8, bucket_limit:
                 out.append((doc_id, b - a, removed, hashlib.sha256(kept).hexdigest(), kept.decode("utf-8", "replace")))
             yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*out), (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string()))], names=["doc_id", "n_words", "n_removed", "kept_sha256", "kept_text"])
 
-    return docs.join(ranges, "doc_id", "left").mapInArrow(keep, OUT)
+    return docs.join(ranges, ["doc_id", "row_key"], "left").mapInArrow(keep, OUT)
 
 
 def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -17,6 +17,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from . import common as C
 from . import superkmers as S
@@ -105,10 +106,12 @@ def suffix_dedup(documents: DataFrame, k: int = 400, m: int = 32, bucket_limit:
 
     Returns doc_id, n_bytes, n_removed, n_spans, kept_sha256 and kept. Defined cases: a null or empty text
     has no bytes; a text shorter than k bytes keeps all; of equal texts all copies lose what repeats;
-    rows that repeat a doc_id are copies like others; rows without doc_id are left out; other columns
-    are ignored; an empty table gives an empty result. Kept bytes may not be valid UTF-8.
+    rows that repeat a doc_id, with equal or different texts, each give a row, judged by its own text,
+    and are copies like others; a text of any length is one row's work, in memory in proportion to it;
+    rows without doc_id are left out; other columns are ignored; an empty table gives an empty result.
+    Kept bytes may not be valid UTF-8.
     """
-    docs = C.documents(documents)
+    docs = C.keyed(C.documents(documents))
     ranges = S.covered_ranges(docs, S.Windows("byte", k, m), induced_repeats(k), "r.total > 1", bucket_limit)
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -130,8 +133,10 @@ def suffix_dedup(documents: DataFrame, k: int = 400, m: int = 32, bucket_limit:
                 out.append((doc_id, b - a, removed, spans, hashlib.sha256(text).hexdigest(), text))
             yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*out), (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary()))], names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"])
 
-    return docs.join(ranges, "doc_id", "left").mapInArrow(keep, OUT)
+    return docs.join(ranges, ["doc_id", "row_key"], "left").mapInArrow(keep, OUT)
 
 
 def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return suffix_dedup(spark.read.parquet(f"{sf_dir}/documents.parquet")).drop("kept")
+    """The operator's result; kept_text has U+FFFD for bytes that no longer make a character."""
+    found = suffix_dedup(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    return found.withColumn("kept_text", F.make_valid_utf8(F.col("kept").cast("string"))).drop("kept")

@@ -5,7 +5,8 @@ A window is `k` consecutive units (words or bytes) of one document. Its minimise
 same minimiser occurrence form one super-k-mer. Equal windows have equal minimisers, so a repeat
 can only lie in super-k-mers that share an anchor (the minimiser's hash):
 
-1. every document gives its super-k-mers as (anchor, 128-bit key of the content, doc_id, start, n);
+1. every row gives its super-k-mers as (anchor, 128-bit key of the content, doc_id, row_key, start, n);
+   doc_id and row_key (64 bits of the text) name a row, so rows that share a doc_id are told apart;
 2. anchors that occur once are dropped by a count that combines on the map side;
 3. equal super-k-mers are aggregated, so a group of copies is one row from here on;
 4. where an anchor has several different super-k-mers, one copy of each is cut from its document
@@ -29,7 +30,7 @@ from pyspark.sql import functions as F
 
 from . import common as C
 
-OCCURRENCES = "anchor long, k1 long, k2 long, doc_id long, start int, n int, pos int"
+OCCURRENCES = "anchor long, k1 long, k2 long, doc_id long, row_key long, start int, n int, pos int"
 PACKED = "anchor long, k1 long, k2 long, n int, pos int, first_doc long, total long, packed binary"
 #: Runs of windows [a, b) of a super-k-mer: the smallest doc_id they start in, and how often they start anywhere.
 VERDICT = "anchor long, k1 long, k2 long, runs array<struct<a:int,b:int,first_doc:long,total:long>>"
@@ -62,7 +63,7 @@ class Windows:
             return empty, empty, empty, empty.astype(np.uint64), empty, empty.astype(np.uint64), empty.astype(np.uint64)
         gram_at = np.arange(n - self.m + 1)
         gram = C.range_hash(s1, gram_at, gram_at + self.m, 0)
-        bits = np.uint64(max(1, n.bit_length()))
+        bits = np.uint64(32)  # for places; a fixed width, so that the same window has the same minimiser in any company
         least = ((gram >> bits) << bits) | gram_at.astype(np.uint64)
         span, wide = self.k - self.m + 1, 1
         while wide * 2 <= span:
@@ -87,11 +88,11 @@ def occurrences(docs: DataFrame, w: Windows) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in C.slices(batches):
             raw, offsets = C.flat(batch.column("text"))
-            ids = batch.column("doc_id").to_numpy(zero_copy_only=False)
+            ids, keys = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("doc_id", "row_key"))
             _, _, first, u1, u2 = w.units(raw, offsets)
             doc, start, count, anchor, pos, k1, k2 = w.cut(first, u1, u2)
             if len(doc):
-                yield pa.RecordBatch.from_arrays([pa.array(_signed(anchor)), pa.array(_signed(k1)), pa.array(_signed(k2)), pa.array(ids[doc]), pa.array((start - first[doc]).astype(np.int32)), pa.array(count.astype(np.int32)), pa.array(pos.astype(np.int32))], names=["anchor", "k1", "k2", "doc_id", "start", "n", "pos"])
+                yield pa.RecordBatch.from_arrays([pa.array(_signed(anchor)), pa.array(_signed(k1)), pa.array(_signed(k2)), pa.array(ids[doc]), pa.array(keys[doc]), pa.array((start - first[doc]).astype(np.int32)), pa.array(count.astype(np.int32)), pa.array(pos.astype(np.int32))], names=["anchor", "k1", "k2", "doc_id", "row_key", "start", "n", "pos"])
 
     return docs.mapInArrow(run, OCCURRENCES)
 
@@ -145,6 +146,7 @@ def single_windows(requests: DataFrame, w: Windows) -> DataFrame:
 def settle_buckets(rows: DataFrame, settle: Callable[[list[tuple]], Iterator[tuple]], most: int = 4 << 20) -> DataFrame:
     """Deal packed strings to their anchors' buckets, sorted by anchor and content.
 
+    Rows of one super-k-mer come next to each other then, and count once.
     `settle` gets the rows (as PACKED) of some whole buckets, `most` bytes of them or one larger
     bucket, and gives (anchor, k1, k2, runs) for each.
     """
@@ -159,6 +161,8 @@ def settle_buckets(rows: DataFrame, settle: Callable[[list[tuple]], Iterator[tup
 
         for batch in batches:
             for row in zip(*(batch.column(c).to_pylist() for c in ("anchor", "k1", "k2", "n", "pos", "first_doc", "total", "packed"))):
+                if held and row[:3] == held[-1][:3]:
+                    continue  # of rows that are equal in doc_id and text one has answered
                 if size >= most and row[0] != held[-1][0]:
                     yield done()
                     held, size = [], 0
@@ -172,16 +176,17 @@ def settle_buckets(rows: DataFrame, settle: Callable[[list[tuple]], Iterator[tup
 
 def verdicts(docs: DataFrame, found: DataFrame, w: Windows, settle: Callable, bucket_limit: int) -> DataFrame:
     """(anchor, k1, k2, runs) of every different super-k-mer in `found`."""
-    keys = ["anchor", "k1", "k2"]
-    different = found.groupBy(*keys, "n", "pos").agg(F.min(F.struct("doc_id", "start")).alias("at"), F.count("*").alias("total"))
-    per_anchor = different.groupBy("anchor").agg(F.count("*").alias("n_different"))
+    keys, row = ["anchor", "k1", "k2"], ["doc_id", "row_key"]
+    # Tables of their own: with aggregations right under the join, Spark could not split a hot anchor.
+    different = C.materialize(found.groupBy(*keys, "n", "pos").agg(F.min(F.struct(*row, "start")).alias("at"), F.count("*").alias("total")), "different")
+    per_anchor = C.materialize(different.groupBy("anchor").agg(F.count("*").alias("n_different")), "anchors")
     different = different.join(per_anchor, "anchor")
     one_run = F.array(F.struct(F.lit(0).alias("a"), F.col("n").alias("b"), F.col("at.doc_id").alias("first_doc"), F.col("total")))
     alone = different.where("n_different = 1").select(*keys, one_run.alias("runs"))
 
     def wanted(which: str) -> DataFrame:
-        asked = different.where(which).groupBy(F.col("at.doc_id").alias("doc_id")).agg(F.collect_list(F.struct(*keys, "n", "pos", "total", F.col("at.start").alias("start"))).alias("wanted"))
-        return asked.join(docs, "doc_id").select("doc_id", "text", "wanted")
+        asked = different.where(which).groupBy(*(F.col(f"at.{c}").alias(c) for c in row)).agg(F.collect_list(F.struct(*keys, "n", "pos", "total", F.col("at.start").alias("start"))).alias("wanted"))
+        return asked.join(docs, row).select("doc_id", "text", "wanted")
 
     bucketed = settle_buckets(packed(wanted(f"n_different between 2 and {bucket_limit}"), w), settle)
     windows = single_windows(wanted(f"n_different > {bucket_limit}"), w)
@@ -191,15 +196,15 @@ def verdicts(docs: DataFrame, found: DataFrame, w: Windows, settle: Callable, bu
 
 
 def covered_ranges(docs: DataFrame, w: Windows, settle: Callable, repeated: str, bucket_limit: int = 2000) -> DataFrame:
-    """doc_id and `ranges` of units covered by a window for which `repeated` holds.
+    """doc_id, row_key and `ranges` of units covered by a window for which `repeated` holds.
 
-    `repeated` is a SQL condition on doc_id and on a run's r.first_doc and r.total.
+    `docs` has doc_id, text and row_key (see common.keyed). `repeated` is a SQL condition on doc_id and
+    on a run's r.first_doc and r.total.
     """
     every = occurrences(docs, w)
-    # A table of its own: with an aggregation right under the join, Spark could not split a hot anchor.
     shared = C.materialize(every.groupBy("anchor").agg(F.count("*").alias("times")).where("times > 1").select("anchor"), "anchors")
     found = C.materialize(every.join(shared, "anchor"), "superkmers")
     runs = verdicts(docs, found, w, settle, bucket_limit)
     ranges = F.expr(f"transform(filter(runs, r -> {repeated}), r -> struct(start + r.a as a, start + r.b + {w.k - 1} as b))")
-    hits = found.join(runs, ["anchor", "k1", "k2"]).select("doc_id", ranges.alias("ranges")).where("size(ranges) > 0")
-    return hits.groupBy("doc_id").agg(F.flatten(F.collect_list("ranges")).alias("ranges"))
+    hits = found.join(runs, ["anchor", "k1", "k2"]).select("doc_id", "row_key", ranges.alias("ranges")).where("size(ranges) > 0")
+    return hits.groupBy("doc_id", "row_key").agg(F.flatten(F.collect_list("ranges")).alias("ranges"))

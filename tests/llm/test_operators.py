@@ -49,6 +49,42 @@ def test_substring_dedup(spark, limit):
     assert got == sorted(repeated_words(rows, 12)) and any(r[2] for r in got)
 
 
+def repeated_ids(seed, texts_):
+    """Rows whose doc_ids repeat, on different texts and on equal ones."""
+    rng = random.Random(seed)
+    rows = [(rng.randrange(len(texts_) // 3), t) for t in texts_]
+    return rows + rows[:7] + rows[:3]
+
+
+@pytest.mark.parametrize("limit", [2000, 1])
+def test_substring_dedup_of_repeated_ids(spark, limit):
+    rows = repeated_ids(21, texts(21, 120, [f"w{i}" for i in range(40)], [0, 5, 30, 80]))
+    got = found(substring_dedup.substring_dedup(frame(spark, rows), k=12, m=3, bucket_limit=limit), "doc_id", "n_words", "n_removed", "kept_sha256")
+    assert got == sorted(repeated_words(rows, 12)) and any(r[2] for r in got)
+
+
+@pytest.mark.parametrize("limit", [4000, 1])
+def test_suffix_dedup_of_repeated_ids(spark, limit):
+    rows = repeated_ids(22, texts(22, 120, ["ab", "é", "xyz", "abab"], [0, 3, 20, 60]))
+    got = found(suffix_dedup.suffix_dedup(frame(spark, rows), k=40, m=8, bucket_limit=limit), "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+    assert got == sorted(repeated_bytes(rows, 40)) and any(r[2] for r in got)
+
+
+def test_minimisers_do_not_depend_on_company():
+    from emberflux.llm import common, superkmers
+
+    rng = random.Random(23)
+    w = superkmers.Windows("byte", 40, 8)
+    text = "".join(rng.choice("abcd") for _ in range(3000))
+
+    def cut(*all_):
+        first, u = np.cumsum([0, *map(len, all_)]), np.frombuffer("".join(all_).encode(), np.uint8)
+        doc, start, n, anchor, *_ = w.cut(first, common.byte_values(u, 0), common.byte_values(u, 1))
+        return [(int(a), int(b), int(c)) for d, a, b, c in zip(doc, start, n, anchor) if d == 0]
+
+    assert cut(text) == cut(text, "".join(rng.choice("abcd") for _ in range(200_000)))
+
+
 def test_substring_dedup_edges(spark):
     got = found(substring_dedup.substring_dedup(frame(spark, [*EDGES, (None, "lost"), (11, "one " * 60)])), "doc_id", "n_words", "n_removed", "kept_sha256")
     assert got == sorted([*repeated_words(EDGES), next(r for r in repeated_words(EDGES) if r[0] == 11)])
