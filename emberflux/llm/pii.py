@@ -3,8 +3,8 @@
 Base spans come from four patterns. Beyond them, corpus co-occurrence estimates how strongly a term
 reveals a protected value e (any valid address or number of a base span): with D documents,
 IC(e) = ln(D / n_e), and the share of IC(e) that the term t gives away is PMI(t, e) / IC(e) =
-1 + ln(P(e|t)) / IC(e), P(e|t) being n_te / n_t. n_t counts documents with t, n_te those with t and e on
-one line. Every value and every term on its lines is judged; thin evidence is shrunk and not left out:
+1 + ln(P(e|t)) / IC(e), P(e|t) being n_te / n_t. n_t counts documents with t, n_te those with t near e, on
+one line. Every value and every term near it is judged; thin evidence is shrunk and not left out:
 P(e|t) is the lower Wilson bound of its share, with as many trials as different lines support, so that
 copies prove nothing. Terms at `remove` or more are removed, at `generalise` or more replaced by their
 class, where they stand in a document that holds e.
@@ -14,6 +14,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import Window
 
 from . import common as C
 
@@ -26,23 +27,12 @@ PATTERNS = (
     r"\+[0-9][\x20().0-9-]+[0-9]",
 )
 TERM = r"\p{L}{3,}"
+#: What names a row: see common.keyed.
+ROW = ["doc_id", "row_key"]
 SPAN = "array<struct<start:int,kind:int,end:int,value:string>>"
 OCTET = r"0*(?:25[0-5]|2[0-4][0-9]|[01]?[0-9]?[0-9])"
 
 
-def _located(text: Column, pattern: Column, kind: Column) -> Column:
-    """Spans of all matches: what lies between matches gives their places."""
-    both = F.arrays_zip(F.regexp_extract_all(text, pattern, F.lit(0)).alias("m"), F.split(text, pattern, -1).alias("s"))
-    start = F.struct(F.lit(0).alias("at"), F.array().cast(SPAN).alias("out"))
-
-    def step(acc: Column, x: Column) -> Column:
-        a = acc.at + F.length(x.s)
-        b = a + F.length(x.m)
-        return F.struct(b.alias("at"), F.concat(acc.out, F.array(F.struct(a.alias("start"), kind.alias("kind"), b.alias("end"), x.m.alias("value")))).alias("out"))
-
-    return F.aggregate(F.filter(both, lambda x: x.m.isNotNull()), start, step, lambda acc: acc.out)
-
-
 def _digits(value: Column) -> Column:
     return F.regexp_replace(value, "[^0-9]", "")
 
@@ -67,19 +57,37 @@ _VALID = (
 _NEEDS = (r"@", r"[0-9]\.[0-9]", r"[0-9][\x20-]?[0-9]", r"\+[0-9]")
 
 
-def _valid(k: int):
-    return lambda x: _VALID[k](x.value)
-
-
 def _of_kind(k: int):
     return lambda x: x.kind == k
 
 
-def base_spans(text: Column) -> Column:
-    """Valid base spans of a text, by start, then kind."""
-    none = F.array().cast(SPAN)
-    found = [F.when(text.rlike(need), F.filter(_located(text, F.lit(p), F.lit(k)), _valid(k))).otherwise(none) for k, (p, need) in enumerate(zip(PATTERNS, _NEEDS))]
-    return F.sort_array(F.concat(*found))
+def _holds_private() -> Column:
+    """Whether a text has a valid match of some pattern."""
+    each = [F.when(F.col("text").rlike(need), F.exists(F.regexp_extract_all("text", F.lit(p), F.lit(0)), valid)).otherwise(F.lit(False)) for p, need, valid in zip(PATTERNS, _NEEDS, _VALID)]
+    return F.coalesce(each[0] | each[1] | each[2] | each[3], F.lit(False))
+
+
+def _matches(rows: DataFrame, pattern: str, kind: int) -> DataFrame:
+    """Rows of ROW, kind, start, end, value, and the text before and after, of every match of a pattern.
+
+    What lies between matches gives their places, by a running sum over the text's own matches.
+    """
+    both = F.arrays_zip(F.regexp_extract_all("text", F.lit(pattern), F.lit(0)).alias("m"), F.split("text", pattern, -1).alias("s"))
+    each = rows.select(*ROW, F.posexplode(both).alias("i", "x")).select(*ROW, "i", "x.m", "x.s")
+    order = Window.partitionBy(*ROW).orderBy("i")
+    end = F.sum(F.length("s") + F.coalesce(F.length("m"), F.lit(0))).over(order).cast("int")
+    placed = each.select(*ROW, F.lit(kind).alias("kind"), end.alias("end"), F.col("m").alias("value"), F.col("s").alias("before"), F.lead("s").over(order).alias("after"))
+    return placed.where(F.col("value").isNotNull()).withColumn("start", F.col("end") - F.length("value"))
+
+
+def base_spans(rows: DataFrame, reach: int) -> DataFrame:
+    """The valid base spans of rows with ROW and text, one a row, with their entity and what stands near."""
+    out = None
+    for k, (pattern, need) in enumerate(zip(PATTERNS, _NEEDS)):
+        mine = _matches(rows.where(F.col("text").rlike(need)), pattern, k).where(_VALID[k](F.col("value")))
+        out = mine if out is None else out.unionByName(mine)
+    near = F.concat_ws(" ", F.right(F.substring_index("before", "\n", -1), F.lit(reach)), F.left(F.substring_index("after", "\n", 1), F.lit(reach)))
+    return out.select(*ROW, "start", "kind", "end", "value", F.lower("value").alias("entity"), F.regexp_replace(F.lower(near), PATTERNS[0], " ").alias("near"))
 
 
 def _written(spans: Column) -> Column:
@@ -87,16 +95,17 @@ def _written(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda x: F.concat_ws(":", F.get(names, x.kind), x.start.cast("string"), x.end.cast("string"))), ",")
 
 
-def judged_terms(found: DataFrame, docs: DataFrame, z: float) -> DataFrame:
-    """entity, term and share of each term on a line of each protected value. `found` has doc_id, text and base."""
-    entity = F.explode(F.array_distinct(F.transform("base", lambda x: F.lower(x.value)))).alias("entity")
-    lines = found.where(F.size("base") > 0).select("doc_id", F.lower("text").alias("text"), entity)
-    lines = lines.select("doc_id", "entity", F.explode(F.filter(F.split("text", "\n", -1), lambda x: F.instr(x, F.col("entity")) > 0)).alias("line"))
-    lines = lines.select("doc_id", "entity", F.xxhash64("line").alias("line_id"), F.regexp_replace("line", PATTERNS[0], " ").alias("line"))
-    values = lines.groupBy("entity").agg(F.countDistinct("doc_id").alias("n_e"))
-    pairs = lines.select("doc_id", "entity", "line_id", F.explode(F.array_distinct(F.regexp_extract_all("line", F.lit(TERM), F.lit(0)))).alias("term"))
-    pairs = pairs.groupBy("entity", "term").agg(F.countDistinct("doc_id").alias("n_te"), F.countDistinct("line_id").alias("n_lines"))
-    words = docs.select("doc_id", F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(TERM), F.lit(0)))).alias("term"))
+def mentions(base: DataFrame) -> DataFrame:
+    """doc_id, row_key, entity, near_id and terms of each mention of a protected value."""
+    return base.select(*ROW, "entity", F.xxhash64("near").alias("near_id"), F.array_distinct(F.regexp_extract_all("near", F.lit(TERM), F.lit(0))).alias("terms"))
+
+
+def judged_terms(told: DataFrame, docs: DataFrame, z: float) -> DataFrame:
+    """entity, term and share of each term near each protected value. `told` is what `mentions` gives."""
+    values = told.groupBy("entity").agg(F.countDistinct("doc_id").alias("n_e"))
+    pairs = told.select("doc_id", "entity", "near_id", F.explode("terms").alias("term"))
+    pairs = pairs.groupBy("entity", "term").agg(F.countDistinct("doc_id").alias("n_te"), F.countDistinct("near_id").alias("n_lines"))
+    words = docs.select(F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(TERM), F.lit(0)))).alias("term"))
     totals = words.groupBy("term").agg(F.count("*").alias("n_t"))
     scored = pairs.join(totals, "term").join(values, "entity")
     content = F.log(F.lit(float(docs.count())) / F.col("n_e"))
@@ -106,50 +115,67 @@ def judged_terms(found: DataFrame, docs: DataFrame, z: float) -> DataFrame:
     return scored.select("entity", "term", F.when(content > 0, 1 + F.log(low) / content).alias("share"))
 
 
-def disclosing_terms(found: DataFrame, docs: DataFrame, remove: float, generalise: float, z: float) -> DataFrame:
-    """doc_id, and the terms to remove and to generalise in it. `found` has doc_id, text and base."""
-    told = judged_terms(found, docs, z).where(F.col("share") >= generalise)
-    mine = found.where(F.size("base") > 0).select("doc_id", F.array_distinct(F.transform("base", lambda x: F.lower(x.value))).alias("entities"), F.lower("text").alias("text"))
-    held = mine.select("doc_id", F.explode("entities").alias("entity")).distinct()
-    there = mine.select("doc_id", F.explode(F.array_distinct(F.regexp_extract_all("text", F.lit(TERM), F.lit(0)))).alias("term"))
-    here = there.distinct().join(told, "term").join(held, ["doc_id", "entity"], "left_semi").groupBy("doc_id", "term").agg(F.max("share").alias("share"))
-    out = F.array_sort(F.collect_list(F.when(F.col("share") >= remove, F.col("term")))).alias("out")
-    return here.groupBy("doc_id").agg(out, F.array_sort(F.collect_list(F.when(F.col("share") < remove, F.col("term")))).alias("general"))
-
+def disclosing_terms(rows: DataFrame, base: DataFrame, docs: DataFrame, remove: float, generalise: float, z: float) -> DataFrame:
+    """The spans of the terms to remove and to generalise, in rows that hold the value they tell of."""
+    told = mentions(base)
+    shares = judged_terms(told, docs, z).where(F.col("share") >= generalise)
+    words = _matches(rows, TERM, 0).select(*ROW, "start", "end", "value", F.lower("value").alias("term"))
+    here = words.join(shares, "term").join(told.select(*ROW, "entity").distinct(), [*ROW, "entity"], "left_semi")
+    return here.groupBy(*ROW, "start", "end", "value").agg(F.max("share").alias("share")).select(*ROW, "start", F.when(F.col("share") >= remove, 4).otherwise(5).alias("kind"), "end", "value")
 
-def _term_spans(terms: str, kind: int) -> Column:
-    pattern = F.concat(F.lit(r"(?iu)(?<!\p{L})(?:"), F.array_join(terms, "|"), F.lit(r")(?!\p{L})"))
-    return F.when(F.size(terms) > 0, _located(F.coalesce("text", F.lit("")), pattern, F.lit(kind))).otherwise(F.array().cast(SPAN))
 
+def _arrays(base: DataFrame, terms: DataFrame, block: int = 512) -> DataFrame:
+    """ROW with the arrays base and spans, and blocks of cuts: the spans that start after the ends of all before.
 
-def find_private(documents: DataFrame, *keep: str, remove: float = 0.9, generalise: float = 0.7, z: float = 1.96) -> DataFrame:
-    """doc_id, text, the columns `keep`, base spans and all spans of each document.
+    A term span that overlaps a base span is left out.
+    """
+    rows = base.select(*terms.columns).unionByName(terms)
+    order = Window.partitionBy(*ROW).orderBy("start", "kind")
+    own = F.col("kind") < 4
+    before = F.max(F.when(own, F.col("end"))).over(order.rowsBetween(Window.unboundedPreceding, -1))
+    after = F.min(F.when(own, F.col("start"))).over(Window.partitionBy(*ROW).orderBy(F.desc("start"), F.desc("kind")).rowsBetween(Window.unboundedPreceding, -1))
+    clear = own | (F.coalesce(before, F.lit(0)) <= F.col("start")) & (F.coalesce(after, F.col("end")) >= F.col("end"))
+    rows = rows.withColumn("clear", clear).where("clear")
+    # In blocks, so that a cut of the text is taken from its block's part and not from the whole text each time.
+    rows = rows.withColumn("at", F.coalesce(F.max("end").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).withColumn("block", F.floor(F.row_number().over(order) / block).cast("int"))
+    span, cut = F.struct("start", "kind", "end", "value"), F.when(F.col("start") >= F.col("at"), F.struct("start", "at", "kind"))
+    blocks = rows.groupBy(*ROW, "block").agg(F.collect_list(F.when(own, span)).alias("base"), F.collect_list(span).alias("spans"), F.sort_array(F.collect_list(cut)).alias("cuts"))
+    flat = lambda c: F.sort_array(F.flatten(F.collect_list(c))).alias(c)
+    cuts = F.filter(F.transform(F.sort_array(F.collect_list(F.struct("block", "cuts"))), lambda x: x.cuts), lambda x: F.size(x) > 0)
+    return blocks.groupBy(*ROW).agg(flat("base"), flat("spans"), cuts.alias("cuts"))
+
+
+def find_private(documents: DataFrame, *keep: str, remove: float = 0.9, generalise: float = 0.7, z: float = 1.96, reach: int = 200) -> DataFrame:
+    """doc_id, text, the columns `keep`, base spans, all spans, and cuts (see `sanitized`) of each document.
 
     A span has start, kind (place in KINDS), end (code points, end exclusive) and value; arrays are
-    ordered by start, then kind. Defined cases: a null or empty text has no spans; rows that repeat a
-    doc_id each give a row; rows without doc_id are left out; an empty table gives an empty result.
+    ordered by start, then kind. A term is near a value if it stands on the value's line, at most `reach`
+    characters away, with no other match of the value's pattern in between. Defined cases: a null or empty
+    text has no spans; rows that repeat a doc_id each give a row, with the terms that its own text's
+    values disclose; very long texts take work in proportion to their length and spans; rows without
+    doc_id are left out; an empty table gives an empty result.
     """
-    docs = C.documents(documents, *keep)
-    found = docs.withColumn("base", base_spans(F.coalesce("text", F.lit(""))))
-    terms = disclosing_terms(found, docs, remove, generalise, z)
-    both = found.join(terms, "doc_id", "left")
-    clear = lambda spans: F.filter(spans, lambda x: ~F.exists("base", lambda b: (b.start < x.end) & (x.start < b.end)))
-    more = F.concat(_term_spans("out", 4), _term_spans("general", 5))
-    return both.withColumn("more", F.when(F.col("out").isNotNull(), clear(more)).otherwise(F.array().cast(SPAN))).select("doc_id", "text", *keep, "base", F.sort_array(F.concat("base", "more")).alias("spans"))
+    docs = C.keyed(C.documents(documents, *keep))
+    rows = C.materialize(docs.select(*ROW, "text").where(_holds_private()), "private").dropDuplicates(ROW)
+    base = C.materialize(base_spans(rows, reach), "base_spans")
+    known = _arrays(base, disclosing_terms(rows, base, docs, remove, generalise, z))
+    none = F.array().cast(SPAN)
+    return docs.join(known, ROW, "left").select("doc_id", "text", *keep, F.coalesce("base", none).alias("base"), F.coalesce("spans", none).alias("spans"), "cuts")
 
 
 def sanitized() -> Column:
     """The text of a find_private row, base spans and generalised terms replaced by their kind, other terms removed."""
     text = F.coalesce("text", F.lit(""))
     names = F.array(*(F.lit(x) for x in ("<EMAIL>", "<IP>", "<CARD>", "<PHONE>", "", "<TERM>")))
-    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
 
-    def step(acc: Column, x: Column) -> Column:
-        gap = F.substring(text, acc.at + 1, F.greatest(x.start - acc.at, F.lit(0)))
-        return F.struct(F.greatest(acc.at, x.end).alias("at"), F.when(x.start >= acc.at, F.concat(acc.out, gap, F.get(names, x.kind))).otherwise(acc.out).alias("out"))
+    def pieces(block: Column) -> Column:
+        first, last = F.get(block, F.lit(0)), F.element_at(block, -1)
+        part = F.substring(text, first["at"] + 1, last["start"] - first["at"])
+        return F.flatten(F.transform(F.array(part), lambda t: F.transform(block, lambda x: F.concat(F.substring(t, x["at"] - first["at"] + 1, x.start - x["at"]), F.get(names, x.kind)))))
 
-    rest = lambda acc: F.concat(acc.out, F.substring(text, acc.at + 1, F.length(text)))
-    return F.when(F.size("spans") == 0, F.col("text")).otherwise(F.aggregate("spans", start, step, rest))
+    end = F.array_max(F.transform("spans", lambda x: x.end))
+    whole = F.concat(F.array_join(F.flatten(F.transform("cuts", pieces)), ""), F.substring(text, end + 1, F.length(text)))
+    return F.when(F.size("spans") == 0, F.col("text")).otherwise(whole)
 
 
 def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -225,6 +225,25 @@ def test_pii_spans(spark):
     assert got == {d: private(t) for d, t in rows}
 
 
+def test_pii_of_many_spans_in_one_text(spark):
+    """Far more spans than a block holds, of mixed kinds, valid and not, in one text."""
+    rng = random.Random(71)
+    parts = ["a{}@b{}.org", "10.0.{}.{}", "4111 1111 1111 1111", "+1 (663) 555-68{:02}", "999.1.{}.{}", "wörd", "12"]
+    one = " ".join(rng.choice(parts).format(rng.randrange(100), rng.randrange(100)) for _ in range(3000))
+    rows = [(1, one), (1, "other text with c@d.org"), (2, one + "\n" + one)]
+    out = pii.find_private(frame(spark, rows)).withColumn("clean", pii.sanitized()).collect()
+    assert sorted((r["doc_id"], len(r["text"]), [(x["start"], x["kind"], x["end"]) for x in r["base"]]) for r in out) == sorted((d, len(t), private(t)) for d, t in rows)
+    for r in out:
+        at, clean = 0, ""
+        for x in r["spans"]:
+            if x["start"] >= at:
+                clean += r["text"][at : x["start"]] + ("<EMAIL>", "<IP>", "<CARD>", "<PHONE>", "", "<TERM>")[x["kind"]]
+            at = max(at, x["end"])
+        assert r["clean"] == clean + r["text"][at:]
+        base = [(x["start"], x["end"]) for x in r["base"]]
+        assert not any(a < x["end"] and x["start"] < b for x in r["spans"] if x["kind"] > 3 for a, b in base)
+
+
 def test_pii_disclosing_terms(spark):
     filler = lambda i: " ".join(f"word{(i * 7 + k) % 400}" + "abcdefghij"[(i + k) % 10] for k in range(12))
     rows = [(i, f"{filler(i)} zebrafish common mail x@y.org\nend common") for i in range(12)] + [(100 + i, f"{filler(i + 50)} common") for i in range(400)]
@@ -239,8 +258,8 @@ def test_pii_terms_of_values_mentioned_once(spark):
     rows += [(2000, "ask Quagmire common or q@x.org\nplain Quagmire"), (2001, "zebrafish one a@b.org"), (2002, "zebrafish two a@b.org"), (2003, "zebrafish three a@b.org"), (2004, "Quagmire is no value here")]
     rows += [(3000 + i, "copycat word c@d.org") for i in range(9)]
     df = spark.createDataFrame(rows, "doc_id long, text string")
-    docs = df.withColumn("base", pii.base_spans(F.col("text")))
-    shares = {(r["entity"], r["term"]): r["share"] for r in pii.judged_terms(docs, df, 1.96).collect()}
+    told = pii.mentions(pii.base_spans(df.withColumn("row_key", F.xxhash64("text")), 200))
+    shares = {(r["entity"], r["term"]): r["share"] for r in pii.judged_terms(told, df, 1.96).collect()}
     seen = {"q@x.org": (1, {"ask": (1, 1, 1), "quagmire": (1, 1, 2), "common": (1, 1, 1201)}), "a@b.org": (3, {"zebrafish": (3, 3, 3), "one": (1, 1, 1), "two": (1, 1, 1), "three": (1, 1, 1)}), "c@d.org": (9, {"copycat": (9, 1, 9), "word": (9, 1, 9)})}
     expected = {}
     for entity, (n_e, terms) in seen.items():
