@@ -1,8 +1,9 @@
 """Operator 10: byte-level BPE encoding and decoding through a global distinct-word shuffle.
 
-1. Whole documents are packed into compressed chunks, keyed by a digest of their content.
-2. Each chunk splits its texts into pre-tokens; its distinct words, in order of first position, are
-   dealt out by hash to word buckets, one packed row for each chunk and bucket.
+1. Whole documents are split into pre-tokens and packed into compressed chunks: the distinct words by
+   first position, and each pre-token as the index of its word. A digest of its content is a chunk's key.
+2. A chunk's words are dealt out by hash to word buckets, one packed row for each chunk and bucket;
+   the number of buckets follows the size of the texts.
 3. A bucket encodes each of its distinct words once and sends the ids back to the chunks.
 4. A chunk joins its ids by digest and puts them in place by position.
 5. Decoding joins ids with the token-byte table, whose size is the vocabulary's.
@@ -46,10 +47,11 @@ def load_ranks(path: str) -> dict[bytes, int]:
 
 
 @lru_cache(2)
-def _encoder(pattern: str, ranks: tuple) -> object:
+def _encoder(ranks: tuple) -> object:
+    """Encodes a word as one piece, as its pattern takes any text whole."""
     import tiktoken
 
-    return tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=dict(ranks), special_tokens={})
+    return tiktoken.Encoding("own", pat_str=r"(?s:.+)", mergeable_ranks=dict(ranks), special_tokens={})
 
 
 def _pack(*arrays: np.ndarray) -> bytes:
@@ -64,39 +66,44 @@ def _unpack(packed: bytes, *types: type) -> list[np.ndarray]:
     return [np.frombuffer(raw[a:b], t) for a, b, t in zip([8 * (n + 1), *ends.tolist()], ends.tolist(), types)]
 
 
-def _chunks(docs: DataFrame, chunk_bytes: int) -> DataFrame:
-    """(chunk, packed): whole documents, about `chunk_bytes` of text to a row."""
+def _chunks(docs: DataFrame, pattern: str, chunk_bytes: int) -> DataFrame:
+    """(chunk, packed): doc_ids, pre-tokens of each, their word indices, and the distinct words.
+
+    Whole documents, about `chunk_bytes` of text to a row.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, size = [], 0
+        import regex
+
+        find = regex.compile(pattern).findall
+        ids, counts, at, index, size = [], [], [], _Index(), 0
 
         def done():
-            ids, lengths = np.concatenate([x[0] for x in held]), np.concatenate([x[1] for x in held])
-            packed = _pack(ids, lengths, np.concatenate([x[2] for x in held]))
+            words = [x.encode() for x in index]
+            packed = _pack(np.concatenate(ids), np.array(counts, np.int64), np.concatenate([np.zeros(0, np.uint32), *at]), np.fromiter(map(len, words), np.int32, len(words)), np.frombuffer(b"".join(words), np.uint8))
             return pa.RecordBatch.from_arrays([pa.array([hashlib.sha256(packed).hexdigest()[:32]]), pa.array([packed], pa.binary())], names=["chunk", "packed"])
 
         for batch in C.slices(batches):
-            raw, offsets = C.flat(batch.column("text"))
-            held.append((batch.column("doc_id").to_numpy(zero_copy_only=False), np.diff(offsets), raw))
-            size += len(raw)
+            ids.append(batch.column("doc_id").to_numpy(zero_copy_only=False))
+            for text in batch.column("text"):
+                words = find(text.as_py() or "")
+                at.append(np.fromiter(map(index.__getitem__, words), np.uint32, len(words)))
+                counts.append(len(words))
+            size += batch.column("text").nbytes
             if size >= chunk_bytes:
                 yield done()
-                held, size = [], 0
-        if held:
+                ids, counts, at, index, size = [], [], [], _Index(), 0
+        if ids:
             yield done()
 
     return docs.mapInArrow(run, "chunk string, packed binary")
 
 
-def _tokens(packed: bytes, find) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[str]]:
+def _tokens(packed: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[bytes]]:
     """doc_ids, pre-tokens of each, their word indices, and the distinct words by first position."""
-    ids, lengths, raw = _unpack(packed, np.int64, np.int64, np.uint8)
-    raw, ends, index, at, counts = raw.tobytes(), np.cumsum(lengths), _Index(), [np.zeros(0, np.uint32)], []
-    for a, b in zip((ends - lengths).tolist(), ends.tolist()):
-        words = find(raw[a:b].decode("utf-8", "replace"))
-        at.append(np.fromiter(map(index.__getitem__, words), np.uint32, len(words)))
-        counts.append(len(words))
-    return ids, np.array(counts, np.int64), np.concatenate(at), list(index)
+    ids, counts, at, sizes, raw = _unpack(packed, np.int64, np.int64, np.uint32, np.int32, np.uint8)
+    raw, ends = raw.tobytes(), np.cumsum(sizes)
+    return ids, counts, at, [raw[a:b] for a, b in zip((ends - sizes).tolist(), ends.tolist())]
 
 
 def _buckets(words: list[bytes], n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -106,14 +113,11 @@ def _buckets(words: list[bytes], n: int) -> tuple[np.ndarray, np.ndarray]:
     return order, np.searchsorted(bucket[order], np.arange(n + 1))
 
 
-def _deal_words(chunks: DataFrame, pattern: str, n_buckets: int) -> DataFrame:
+def _deal_words(chunks: DataFrame, n_buckets: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import regex
-
-        find = regex.compile(pattern).findall
         for batch in batches:
             for chunk, packed in zip(batch.column("chunk").to_pylist(), batch.column("packed")):
-                words = [x.encode() for x in _tokens(packed.as_py(), find)[3]]
+                words = _tokens(packed.as_py())[3]
                 order, cuts = _buckets(words, n_buckets)
                 for k in range(n_buckets):
                     mine = [words[i] for i in order[cuts[k] : cuts[k + 1]]]
@@ -124,11 +128,11 @@ def _deal_words(chunks: DataFrame, pattern: str, n_buckets: int) -> DataFrame:
     return chunks.mapInArrow(run, "bucket int, chunk string, words binary")
 
 
-def _encode_words(words: DataFrame, ranks: Broadcast, pattern: str) -> DataFrame:
+def _encode_words(words: DataFrame, ranks: Broadcast) -> DataFrame:
     """Each distinct word of a bucket is encoded once; its ids go to every chunk that has it."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = _encoder(pattern, tuple(ranks.value.items()))._encode_single_piece
+        encode = _encoder(tuple(ranks.value.items())).encode_ordinary
         now, known = None, {}
         for batch in batches:
             for bucket, chunk, packed in zip(batch.column("bucket").to_pylist(), batch.column("chunk").to_pylist(), batch.column("words")):
@@ -139,7 +143,7 @@ def _encode_words(words: DataFrame, ranks: Broadcast, pattern: str) -> DataFrame
                 for a, b in zip((ends - sizes).tolist(), ends.tolist()):
                     word = raw[a:b]
                     if (ids := known.get(word)) is None:
-                        ids = known[word] = np.array(encode(word), np.int32).tobytes()
+                        ids = known[word] = np.array(encode(word.decode()), np.int32).tobytes()
                     lists.append(ids)
                 lengths = np.fromiter(map(len, lists), np.int32, len(lists)) // 4
                 yield pa.RecordBatch.from_arrays([pa.array([chunk]), pa.array([bucket], pa.int32()), pa.array([_pack(lengths, np.frombuffer(b"".join(lists), np.int32))], pa.binary())], names=["chunk", "bucket", "ids"])
@@ -147,18 +151,15 @@ def _encode_words(words: DataFrame, ranks: Broadcast, pattern: str) -> DataFrame
     return words.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(run, "chunk string, bucket int, ids binary")
 
 
-def _assemble(both: DataFrame, pattern: str, n_buckets: int) -> DataFrame:
+def _assemble(both: DataFrame, n_buckets: int) -> DataFrame:
     """(chunk, packed, encoded) -> ids of each document."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import regex
-
-        find = regex.compile(pattern).findall
         for batch in batches:
             for packed, encoded in zip(batch.column("packed"), batch.column("encoded")):
-                doc_ids, counts, at, words = _tokens(packed.as_py(), find)
+                doc_ids, counts, at, words = _tokens(packed.as_py())
                 n = len(words)
-                order, cuts = _buckets([x.encode() for x in words], n_buckets)
+                order, cuts = _buckets(words, n_buckets)
                 del words
                 lengths, starts, ids, size = np.full(n, -1, np.int64), np.zeros(n, np.int64), [np.zeros(0, np.int32)], 0
                 for x in encoded if encoded.is_valid else ():
@@ -183,20 +184,23 @@ def _assemble(both: DataFrame, pattern: str, n_buckets: int) -> DataFrame:
     return both.mapInArrow(run, IDS)
 
 
-def encode(documents: DataFrame, ranks_path: str, pattern: str, chunk_bytes: int = 24 << 20) -> DataFrame:
+def encode(documents: DataFrame, ranks_path: str, pattern: str, chunk_bytes: int = 24 << 20, bucket_bytes: int = 64 << 20, most_buckets: int = 20_000) -> DataFrame:
     """doc_id and ids of each document's whole text, without special tokens.
 
-    Defined cases: a null or empty text has no ids; rows that repeat a doc_id each give a row (equal
-    chunks are joined as often as they occur); rows without doc_id are left out; other columns are
-    ignored; an empty table gives an empty result.
+    There is a word bucket for every `bucket_bytes` of text, at least four for each shuffle partition and
+    not more than `most_buckets`, as distinct words grow far slower than texts. Defined cases: a null or
+    empty text has no ids; a very long text is a chunk of its own; rows that repeat a doc_id each give a
+    row (equal chunks are joined as often as they occur); rows without doc_id are left out; other columns
+    are ignored; an empty table gives an empty result.
     """
     docs = C.documents(documents)
-    spark, n_buckets = docs.sparkSession, 4 * C.n_partitions(docs.sparkSession)
+    spark = docs.sparkSession
+    n_buckets = max(4 * C.n_partitions(spark), min(most_buckets, C.text_bytes(docs) // bucket_bytes))
     ranks = spark.sparkContext.broadcast(load_ranks(ranks_path))
-    chunks = _chunks(docs, chunk_bytes).repartition("chunk")
-    ids = _encode_words(_deal_words(chunks, pattern, n_buckets), ranks, pattern)
+    chunks = _chunks(docs, pattern, chunk_bytes).repartition("chunk")
+    ids = _encode_words(_deal_words(chunks, n_buckets), ranks)
     back = ids.groupBy("chunk").agg(F.collect_list(F.struct("bucket", "ids")).alias("encoded"))
-    return _assemble(chunks.join(back, "chunk", "left").select("packed", "encoded"), pattern, n_buckets)
+    return _assemble(chunks.join(back, "chunk", "left").select("packed", "encoded"), n_buckets)
 
 
 def decode(encoded: DataFrame, ranks_path: str) -> DataFrame:
