@@ -2,13 +2,14 @@
 
 Base rules come from counts over the whole text. Beyond them, all rows, each language and each
 (lang, source) group get a minimum-covariance-determinant estimate of location and scatter of a
-transformed statistic vector, found by concentration steps: from a coordinate-wise median start, the
-rows nearest in Mahalanobis distance (a share `core` of the group) give the next mean and covariance.
-At every step the estimate of a group is shrunk towards that of its language, and that towards all
-rows, by row counts: n rows count against `prior` rows of the level above, so every row is judged
-however small its group. All group statistics are counts, sums and fixed-width histograms, which
-combine on the map side, so a hot group is never gathered anywhere. Rows beyond a chi-square quantile
-of the squared distance are rejected.
+transformed statistic vector. Three starts (medians and median deviations; mean and covariance; medians
+with the correlation of tanh scores) are each improved by concentration steps: the rows nearest in
+Mahalanobis distance (a share `core` of the group) give the next mean and covariance, until the
+determinant stops falling; of all starts the least determinant counts. Levels go from all rows down, and
+every estimate is drawn at each step towards that of the level above: n rows count against `prior` rows
+of it, so every row is judged however small its group. All group statistics are counts, sums and
+fixed-width histograms, which combine on the map side, so a hot group is never gathered anywhere. Rows
+beyond a chi-square quantile of the squared distance are rejected.
 """
 
 from __future__ import annotations
@@ -23,11 +24,12 @@ from . import common as C
 
 WORD = r"[^\x20\x09-\x0D]+"
 P = 4
-#: Least standard deviation credited to each feature, so that a group in which a feature never varies rejects no small departure.
+#: Least standard deviation of each feature, so that a group in which a feature never varies rejects no small departure.
 FLOORS = (0.5, 0.08, 0.5, 0.5)
-GROUP = ("g_lang", "g_source")
-#: A group of any level: 0 is all rows, 1 a language, 2 a (lang, source) group; columns above a level are empty.
-LEVEL = ("level", *GROUP)
+#: What names a group: all rows by the first column, a language by two, a (lang, source) group by all three.
+GROUP = ("g_all", "g_lang", "g_source")
+PAIRS = [(i, j) for i in range(P) for j in range(i + 1)]
+M, COV = [f"m{i}" for i in range(P)], [f"c{i}{j}" for i, j in PAIRS]
 
 
 def statistics(docs: DataFrame) -> DataFrame:
@@ -90,100 +92,132 @@ def _cut(counts: DataFrame, share: float, *by: str) -> DataFrame:
     return run.where(F.col("up_to") >= share * F.col("all")).groupBy(*by).agg(F.min("bin").alias("bin"))
 
 
-def _key(level: int) -> list[Column]:
-    return [F.lit(level).alias("level"), *(F.col(c) if k < level else F.lit("").alias(c) for k, c in enumerate(GROUP))]
-
-
-def _start(vectors: DataFrame) -> DataFrame:
-    """Rows n, median and scaled median deviation of each feature in the groups of all levels, from histograms of fixed width."""
-    width = 0.02
-    long = vectors.select(*GROUP, F.posexplode(F.array(*(f"f{i}" for i in range(P)))).alias("feature", "x"))
-    counts = long.groupBy(*GROUP, "feature", F.round(F.col("x") / width).cast("int").alias("bin")).agg(F.count("*").alias("n"))
-    counts = counts.select(F.explode(F.array(*(F.struct(*_key(level)) for level in range(3)))).alias("g"), "feature", "bin", "n").select("g.*", "feature", "bin", "n").groupBy(*LEVEL, "feature", "bin").agg(F.sum("n").alias("n"))
-    middle = _cut(counts, 0.5, *LEVEL, "feature").withColumnRenamed("bin", "middle")
-    off = counts.join(middle, [*LEVEL, "feature"]).groupBy(*LEVEL, "feature", F.abs(F.col("bin") - F.col("middle")).alias("bin")).agg(F.sum("n").alias("n"))
-    sizes = counts.groupBy(*LEVEL, "feature").agg(F.sum("n").alias("n"))
-    both = middle.join(_cut(off, 0.5, *LEVEL, "feature"), [*LEVEL, "feature"]).join(sizes, [*LEVEL, "feature"])
-    rows = both.groupBy(*LEVEL).agg(F.max("n").alias("n"), *(F.max(F.when(F.col("feature") == i, F.col("middle") * width)).alias(f"m{i}") for i in range(P)), *(F.max(F.when(F.col("feature") == i, F.pow(1.4826 * width * F.col("bin"), F.lit(2)))).alias(f"c{i}{i}") for i in range(P)))
-    return rows.select(*LEVEL, "n", *(f"m{i}" for i in range(P)), *(F.col(f"c{i}{j}") if i == j else F.lit(0.0).alias(f"c{i}{j}") for i in range(P) for j in range(i + 1)))
-
-
-def _shrunk(estimate: DataFrame, prior: float) -> DataFrame:
-    """The estimates of all levels, each drawn towards the level above as if that had `prior` rows in the group."""
-    values = [*(f"m{i}" for i in range(P)), *(f"c{i}{j}" for i in range(P) for j in range(i + 1))]
-    above = estimate.where("level = 0").select(*LEVEL, *values)
-    out = above
-    for level in (1, 2):
-        shared = GROUP[: level - 1]
-        upper = F.broadcast(above.select(*shared, *(F.col(v).alias(f"up_{v}") for v in values)))
-        own = estimate.where(F.col("level") == level)
-        both = own.join(upper, [*shared]) if shared else own.crossJoin(upper)
-        weight = F.col("n") / (F.col("n") + F.lit(prior))
-        above = both.select(*LEVEL, *((weight * F.col(v) + (1 - weight) * F.col(f"up_{v}")).alias(v) for v in values))
-        out = out.unionByName(above)
-    return out
-
-
-def _cholesky(estimate: DataFrame) -> DataFrame:
-    """m0.. and the lower triangle l00, l10.. of each group's scatter."""
+def _medians(vectors: DataFrame, by: list[str], width: float = 0.02) -> DataFrame:
+    """Rows `size`, median and scaled median deviation of each feature in each group, from histograms of fixed width."""
+    long = vectors.select(*by, F.posexplode(F.array(*(f"f{i}" for i in range(P)))).alias("feature", "x"))
+    counts = C.materialize(long.groupBy(*by, "feature", F.round(F.col("x") / width).cast("int").alias("bin")).agg(F.count("*").alias("n")), "mcd")
+    middle = _cut(counts, 0.5, *by, "feature").withColumnRenamed("bin", "middle")
+    off = counts.join(middle, [*by, "feature"]).groupBy(*by, "feature", F.abs(F.col("bin") - F.col("middle")).alias("bin")).agg(F.sum("n").alias("n"))
+    sizes = counts.groupBy(*by, "feature").agg(F.sum("n").alias("n"))
+    both = middle.join(_cut(off, 0.5, *by, "feature"), [*by, "feature"]).join(sizes, [*by, "feature"])
+    of = lambda i, value: F.max(F.when(F.col("feature") == i, value))
+    rows = both.groupBy(*by).agg(F.max("n").alias("size"), *(of(i, F.col("middle") * width).alias(f"a{i}") for i in range(P)), *(of(i, 1.4826 * width * F.col("bin")).alias(f"d{i}") for i in range(P)))
+    return C.materialize(rows.select(*by, "size", *(f"a{i}" for i in range(P)), *(F.greatest(F.col(f"d{i}"), F.lit(FLOORS[i])).alias(f"d{i}") for i in range(P))), "mcd")
+
+
+def _moments(n: Column, sums: list[Column], squares: dict) -> dict:
+    return {(i, j): squares[i, j] / n - sums[i] * sums[j] / n / n for i, j in PAIRS}
+
+
+def _starts(vectors: DataFrame, by: list[str]) -> DataFrame:
+    """by.., start, size and the raw mean m0.. and covariance c00.. of the three starts of each group."""
+    middle = _medians(vectors, by)
+    rows = vectors.join(middle.drop("size"), by)
+    x = [F.col(f"f{i}") for i in range(P)]
+    y = [F.tanh((F.col(f"f{i}") - F.col(f"a{i}")) / F.col(f"d{i}")) for i in range(P)]
+    sums = rows.groupBy(*by).agg(F.count("*").alias("n"), *(F.sum(v[i]).alias(f"{k}{i}") for k, v in (("x", x), ("y", y)) for i in range(P)), *(F.sum(v[i] * v[j]).alias(f"{k}{i}{j}") for k, v in (("xx", x), ("yy", y)) for i, j in PAIRS))
+    n = F.col("n")
+    plain = _moments(n, [F.col(f"x{i}") for i in range(P)], {(i, j): F.col(f"xx{i}{j}") for i, j in PAIRS})
+    score = _moments(n, [F.col(f"y{i}") for i in range(P)], {(i, j): F.col(f"yy{i}{j}") for i, j in PAIRS})
+    spread = [F.sqrt(F.greatest(score[i, i], F.lit(1e-9))) for i in range(P)]
+    deviation = [F.col(f"d{i}") for i in range(P)]
+    starts = [
+        ([F.col(f"a{i}") for i in range(P)], [deviation[i] * deviation[i] if i == j else F.lit(0.0) for i, j in PAIRS]),
+        ([F.col(f"x{i}") / n for i in range(P)], [plain[p] for p in PAIRS]),
+        ([F.col(f"a{i}") for i in range(P)], [deviation[i] * deviation[i] if i == j else score[i, j] / spread[i] / spread[j] * deviation[i] * deviation[j] for i, j in PAIRS]),
+    ]
+    both = sums.join(middle, by)
+    each = F.explode(F.array(*(F.struct(F.lit(k).alias("start"), *(c.alias(f"m{i}") for i, c in enumerate(m)), *(c.alias(name) for c, name in zip(cov, COV))) for k, (m, cov) in enumerate(starts)))).alias("s")
+    return both.select(*by, "size", each).select(*by, "size", "s.*")
+
+
+def _factored(raw: DataFrame, above: DataFrame | None, shared: list[str], prior: float) -> DataFrame:
+    """The estimate drawn towards the level above, with floors on its variances, its Cholesky factor l00.. and log-determinant."""
+    if above is not None:
+        raw = raw.join(above.select(*shared, *(F.col(v).alias(f"up_{v}") for v in (*M, *COV))), shared)
+        weight = F.col("size") / (F.col("size") + F.lit(prior))
+        raw = raw.select(*(c for c in raw.columns if c not in (*M, *COV) and not c.startswith("up_")), *((weight * F.col(v) + (1 - weight) * F.col(f"up_{v}")).alias(v) for v in (*M, *COV)))
     for i in range(P):
-        for j in range(i + 1):
-            rest = F.col(f"c{i}{j}") + (F.lit(FLOORS[i] ** 2) if i == j else F.lit(0.0))
-            for k in range(j):
-                rest = rest - F.col(f"l{i}{k}") * F.col(f"l{j}{k}")
-            estimate = estimate.withColumn(f"l{i}{j}", F.sqrt(F.greatest(rest, F.lit(1e-9))) if i == j else rest / F.col(f"l{j}{j}"))
-    return estimate.select(*LEVEL, *(f"m{i}" for i in range(P)), *(f"l{i}{j}" for i in range(P) for j in range(i + 1)))
-
-
-def _distances(vectors: DataFrame, estimate: DataFrame, level: int = 2, how: str = "inner") -> DataFrame:
-    """The rows and their squared distance from their group of a level."""
-    groups = _cholesky(estimate.where(F.col("level") == level)).drop("level", *GROUP[level:])
-    rows = vectors.join(groups, [*GROUP], how) if level == 2 else vectors.join(F.broadcast(groups), [*GROUP[:level]], how) if level else vectors.crossJoin(F.broadcast(groups))
+        raw = raw.withColumn(f"c{i}{i}", F.greatest(F.col(f"c{i}{i}"), F.lit(FLOORS[i] ** 2)))
+    for i, j in PAIRS:
+        rest = F.col(f"c{i}{j}")
+        for k in range(j):
+            rest = rest - F.col(f"l{i}{k}") * F.col(f"l{j}{k}")
+        raw = raw.withColumn(f"l{i}{j}", F.sqrt(F.greatest(rest, F.lit(1e-9))) if i == j else rest / F.col(f"l{j}{j}"))
+    return raw.withColumn("determinant", 2 * sum((F.log(f"l{i}{i}") for i in range(1, P)), F.log("l00")))
+
+
+def _distances(vectors: DataFrame, groups: DataFrame, by: list[str], how: str = "inner") -> DataFrame:
+    """The rows and their squared distance from their group; a row for each start, if groups have starts."""
+    more = [c for c in ("start", "size") if c in groups.columns]
+    rows = vectors.join(groups.select(*by, *more, *M, *(f"l{i}{j}" for i, j in PAIRS)), by, how)
     for i in range(P):
         rest = F.col(f"f{i}") - F.col(f"m{i}")
         for k in range(i):
             rest = rest - F.col(f"l{i}{k}") * F.col(f"y{k}")
         rows = rows.withColumn(f"y{i}", rest / F.col(f"l{i}{i}"))
     total = sum((F.col(f"y{i}") * F.col(f"y{i}") for i in range(1, P)), F.col("y0") * F.col("y0"))
-    return rows.select(*vectors.columns, total.alias("distance"))
-
-
-def minimum_covariance(vectors: DataFrame, core: float, steps: int, prior: float, tag: str = "mcd") -> DataFrame:
-    """Mean m0.. and covariance c00, c10.. of the groups of all levels after `steps` concentration steps, shrunk."""
-    pairs = [(i, j) for i in range(P) for j in range(i + 1)]
-    scale = _consistency(core)
-    vectors = vectors.select(*GROUP, *(f"f{i}" for i in range(P)))
-    estimate = C.materialize(_shrunk(C.materialize(_start(vectors), tag), prior), tag)
-    for _ in range(steps):
-        bins = None
-        for level in range(3):
-            far = _distances(vectors, estimate, level)
-            sums = far.groupBy(*_key(level), F.round(F.log(F.col("distance") + 1e-6) * 64).cast("int").alias("bin")).agg(F.count("*").alias("n"), *(F.sum(f"f{i}").alias(f"s{i}") for i in range(P)), *(F.sum(F.col(f"f{i}") * F.col(f"f{j}")).alias(f"q{i}{j}") for i, j in pairs))
-            bins = sums if bins is None else bins.unionByName(sums)
-        before = F.sum("n").over(Window.partitionBy(*LEVEL).orderBy("bin")) - F.col("n")
-        near = bins.select("*", before.alias("before"), F.sum("n").over(Window.partitionBy(*LEVEL)).alias("all")).where(F.col("before") < F.greatest(F.lit(1), F.floor(core * F.col("all"))))
-        near = near.groupBy(*LEVEL).agg(F.sum("n").alias("n"), *(F.sum(f"s{i}").alias(f"s{i}") for i in range(P)), *(F.sum(f"q{i}{j}").alias(f"q{i}{j}") for i, j in pairs))
-        near = near.select(*LEVEL, "n", *((F.col(f"s{i}") / F.col("n")).alias(f"m{i}") for i in range(P)), *((scale * (F.col(f"q{i}{j}") / F.col("n") - F.col(f"s{i}") * F.col(f"s{j}") / F.col("n") / F.col("n"))).alias(f"c{i}{j}") for i, j in pairs))
-        estimate = C.materialize(_shrunk(C.materialize(near, tag), prior), tag)
-    return estimate
-
-
-def quality_rules(documents: DataFrame, core: float = 0.75, steps: int = 3, alpha: float = 1e-6, prior: float = 50.0) -> DataFrame:
-    """doc_id, the five counts, base_failed, kept, and the squared robust `distance` (null in a group without a row that passes the base rules).
-
-    Defined cases: a null or empty text has zero counts and fails the base rules; null lang or source
-    is a group of its own; rows that repeat a doc_id each give a row; rows without doc_id are left out;
-    other columns are ignored; an empty table gives an empty result.
+    return rows.select(*vectors.columns, *more, total.alias("distance"))
+
+
+def _concentrated(vectors: DataFrame, groups: DataFrame, by: list[str], core: float) -> DataFrame:
+    """Raw mean and covariance of the rows nearest to each estimate: the bins of distance up to the share `core`."""
+    far = _distances(vectors, groups, by)
+    key = [*by, "start", "size"]
+    bins = far.groupBy(*key, F.round(F.log(F.col("distance") + 1e-6) * 64).cast("int").alias("bin")).agg(F.count("*").alias("n"), *(F.sum(f"f{i}").alias(f"s{i}") for i in range(P)), *(F.sum(F.col(f"f{i}") * F.col(f"f{j}")).alias(f"q{i}{j}") for i, j in PAIRS))
+    before = F.sum("n").over(Window.partitionBy(*key).orderBy("bin")) - F.col("n")
+    near = bins.withColumn("before", before).where(F.col("before") < F.greatest(F.lit(1), F.floor(core * F.col("size"))))
+    near = near.groupBy(*key).agg(F.sum("n").alias("n"), *(F.sum(f"s{i}").alias(f"s{i}") for i in range(P)), *(F.sum(f"q{i}{j}").alias(f"q{i}{j}") for i, j in PAIRS))
+    n, scale = F.col("n"), _consistency(core)
+    cov = _moments(n, [F.col(f"s{i}") for i in range(P)], {(i, j): F.col(f"q{i}{j}") for i, j in PAIRS})
+    return near.select(*key, *((F.col(f"s{i}") / n).alias(f"m{i}") for i in range(P)), *((scale * cov[i, j]).alias(f"c{i}{j}") for i, j in PAIRS))
+
+
+def minimum_covariance(vectors: DataFrame, core: float, steps: int, prior: float) -> DataFrame:
+    """Mean, covariance, factor and log-determinant of each (lang, source) group: the least determinant of all starts.
+
+    `steps` bounds the concentration steps of a start; most end before, as the determinant falls no more.
+    """
+    vectors, above = vectors.select(*GROUP, *(f"f{i}" for i in range(P))), None
+    for level in (1, 2, 3):
+        by, shared = list(GROUP[:level]), list(GROUP[: level - 1])
+        now = C.materialize(_factored(_starts(vectors, by), above, shared, prior).withColumn("determinant", F.lit(float("inf"))).withColumn("falls", F.lit(True)), "mcd")
+        for _ in range(steps):
+            new = _factored(_concentrated(vectors, now.where("falls"), by, core), above, shared, prior)
+            key = [*by, "start", "size"]
+            values = [c for c in now.columns if c not in (*key, "falls")]
+            both = now.join(new.select(*key, F.struct(*values).alias("new")), key, "left")
+            less = F.coalesce(F.col("new.determinant") < F.col("determinant") - 1e-9, F.lit(False))
+            now = C.materialize(both.select(*key, less.alias("falls"), *(F.when(less, F.col(f"new.{v}")).otherwise(F.col(v)).alias(v) for v in values)), "mcd")
+            if now.where("falls").isEmpty():
+                break
+        least = now.groupBy(*by).agg(F.min(F.struct("determinant", "start", *(c for c in now.columns if c not in (*by, "determinant", "start", "falls")))).alias("best"))
+        above = C.materialize(least.select(*by, "best.*").drop("start", "size"), "mcd")
+    return above
+
+
+def quality_rules(documents: DataFrame, core: float = 0.75, steps: int = 10, alpha: float = 1e-6, prior: float = 50.0) -> DataFrame:
+    """doc_id, the five counts, base_failed, kept, the squared robust `distance` and row_key, which tells rows of one doc_id apart.
+
+    `distance` is null in a group without a row that passes the base rules. Defined cases: a null or empty
+    text has zero counts and fails the base rules; a very long text is one row's work; null lang or source
+    is a group of its own; rows that repeat a doc_id each give a row, judged by its own text, lang and
+    source (row_key is `row_key()` of them); rows without doc_id are left out; other columns are ignored;
+    an empty table gives an empty result.
     """
-    docs = C.documents(documents, F.coalesce(F.col("lang").cast("string"), F.lit("\0")).alias("g_lang"), F.coalesce(F.col("source").cast("string"), F.lit("\0")).alias("g_source"))
+    docs = C.documents(documents, F.lit(0).alias("g_all"), F.coalesce(F.col("lang").cast("string"), F.lit("\0")).alias("g_lang"), F.coalesce(F.col("source").cast("string"), F.lit("\0")).alias("g_source"), row_key().alias("row_key"))
     rated = statistics(docs).drop("text").withColumn("base_failed", base_failed())
     rated = C.materialize(rated.select("*", *(f.alias(f"f{i}") for i, f in enumerate(_features()))), "statistics")
-    passing = rated.where("not base_failed")
-    estimate = minimum_covariance(passing, core, steps, prior)
-    judged = _distances(rated, estimate, how="left")
+    estimate = minimum_covariance(rated.where("not base_failed"), core, steps, prior)
+    judged = _distances(rated, estimate, list(GROUP), "left")
     far = F.coalesce(F.col("distance") > quantile(1 - alpha), F.lit(False))
-    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", (~F.col("base_failed") & ~far).alias("kept"), "distance")
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", (~F.col("base_failed") & ~far).alias("kept"), "distance", "row_key")
+
+
+def row_key() -> Column:
+    """64 bits of what the rules look at."""
+    return F.xxhash64(F.col("text").cast("string"), F.col("lang").cast("string"), F.col("source").cast("string"))
 
 
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality_rules(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    return quality_rules(spark.read.parquet(f"{sf_dir}/documents.parquet")).drop("row_key")
