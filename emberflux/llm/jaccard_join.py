@@ -12,9 +12,14 @@ sum(e+1) > H, one of them must match within its threshold, as each other uses up
    H+1 units from the cheapest segments; units with signatures of its own alone cost nothing, and
    most sets are done with those: they have no partner as the larger side.
 3. Each set is verified against the two sets that most of its paid signatures name as their smallest
-   doc_id; this joins most copies. Signatures whose sets are not all joined yet tie sets to families,
-   and within families all pairs that are not joined yet are verified, in blocks.
-4. A set whose segments can't pay H+1 units is compared through its single shingles instead.
+   row; this joins most copies. Of signatures whose sets are not all joined yet, those that have the same
+   smallest row make a family, whose pairs that are not joined yet are verified, in blocks. A family
+   holds sets that share a paid signature with that row itself; nothing is closed over chains.
+4. A set whose segments can't pay H+1 units is compared with the sets of fitting size that hold one of
+   its rarest shingles: |x| - ceil(t |x|) + 1 of them, of which every similar set has one at least.
+
+Rows are numbered by doc_id; where a doc_id stands on different texts, the further ones get numbers of
+their own (see `_numbered`).
 """
 
 from __future__ import annotations
@@ -64,15 +69,16 @@ def _segments(band: np.ndarray) -> np.ndarray:
     return np.maximum(1, np.where(band <= DEEP, top // 4, (top * 2) // 5)).astype(np.uint64)
 
 
-def signatures(doc: np.ndarray, h: np.ndarray, size: np.ndarray, own: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def signatures(doc: np.ndarray, h: np.ndarray, size: np.ndarray, own: bool, percent: int = 75) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Signature, document index and flags (segment in bits 3 on, for deep bands), and each document's units.
 
-    own: in the band of the set's size; else in the next band, for the sets that can match there.
+    own: in the band of the set's size; else in the next band, for the sets that can match there (`percent`
+    is over 50, so no set can match beyond it).
     """
     band = np.floor(np.log2(np.maximum(size, 1))).astype(np.int64)
     if not own:
         band = band + 1
-        takes = 4 * size >= 3 * np.left_shift(1, band)
+        takes = 100 * size >= percent * np.left_shift(1, band)
         keep = takes[doc]
         doc, h = doc[keep], h[keep]
     empty = np.zeros(0, np.int64)
@@ -98,7 +104,7 @@ PACK = "bucket int, packed binary"
 ENTRY = "sig long, doc_id long, size int, flags int, cost int, hub long, hub_size int, k1 long, k2 long, units int"
 
 
-def _emit(docs: DataFrame, n: int, n_buckets: int) -> DataFrame:
+def _emit(docs: DataFrame, n: int, percent: int, n_buckets: int) -> DataFrame:
     """Packed signatures of a slice of documents for each bucket, and their sizes and set keys."""
 
     def pack(sig, idx, flags, ids, size, k1, k2, units) -> bytes:
@@ -107,10 +113,9 @@ def _emit(docs: DataFrame, n: int, n_buckets: int) -> DataFrame:
         return zstandard.compress(np.array([len(sig), len(used)], np.int64).tobytes() + b"".join(x.tobytes() for x in arrays), 1)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        turn, held, ready = 0, [], 0
+        held, ready = [], 0
 
         def done():
-            nonlocal turn
             shift = np.cumsum([0, *(len(x[3]) for x in held)])
             sig, idx, flags = np.concatenate([x[0] for x in held]), np.concatenate([x[1] + s for x, s in zip(held, shift)]), np.concatenate([x[2] for x in held])
             ids, size, k1, k2, units = (np.concatenate([x[k] for x in held]) for k in range(3, 8))
@@ -119,8 +124,8 @@ def _emit(docs: DataFrame, n: int, n_buckets: int) -> DataFrame:
             cuts = np.searchsorted(bucket[order], np.arange(n_buckets + 1))
             rows = [(int(k), pack(sig[o], idx[o], flags[o], ids, size, k1, k2, units)) for k in range(n_buckets) if len(o := order[cuts[k] : cuts[k + 1]])]
             every = np.arange(len(ids))
-            rows.append((-1 - turn % n_buckets, pack(np.zeros(len(ids), _U), every, np.zeros(len(ids)), ids, size, k1, k2, units)))
-            turn += 1
+            # rows of sets go anywhere, evenly
+            rows.append((-1 - int(C.mix(ids[:1].view(_U))[0] % _U(n_buckets)), pack(np.zeros(len(ids), _U), every, np.zeros(len(ids)), ids, size, k1, k2, units)))
             return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.binary())], names=["bucket", "packed"])
 
         for batch in C.slices(batches):
@@ -133,7 +138,7 @@ def _emit(docs: DataFrame, n: int, n_buckets: int) -> DataFrame:
                 cut = np.flatnonzero(np.concatenate(([True], doc[1:] != doc[:-1])))
                 for k in (0, 1):
                     sums[k][doc[cut]] = np.add.reduceat(C.mix(h * _U(2 * k + 3) + _U(k + 1)), cut)
-            a, b = signatures(doc, h, size, True), signatures(doc, h, size, False)
+            a, b = signatures(doc, h, size, True), signatures(doc, h, size, False, percent)
             held.append((np.concatenate((a[0], b[0])), np.concatenate((a[1], b[1])), np.concatenate((a[2], b[2])), ids, size, sums[0].view(np.int64), sums[1].view(np.int64), a[3]))
             ready += len(raw)
             if ready >= 6 << 20 or sum(len(x[3]) for x in held) > 20_000:
@@ -324,39 +329,71 @@ def _paid(entries: DataFrame, needs: DataFrame) -> DataFrame:
     return own.withColumn("level", F.when(F.col("deleted"), 1).otherwise(0)).join(chosen, ["doc_id", "unit", "level"]).select("doc_id", "size", "sig", "hub", "hub_size")
 
 
+def _band(size) -> "F.Column":
+    """Sizes in bands of ratio 2: sets of at least half similarity lie in one band or in neighbouring ones."""
+    return F.floor(F.log2(F.greatest(size, F.lit(1)))).cast("int")
+
+
 def _fallback(docs: DataFrame, sizes: DataFrame, n: int, percent: int) -> DataFrame:
-    """Links of sets whose segments can't pay: counted shingle by shingle against all sets of fitting size."""
+    """Links of sets whose segments can't pay, by their rarest shingles. One row stands for all of equal sets."""
     poor = C.materialize(sizes.where("size > 0 and units <= h"), "poor")
-    low, high = poor.agg(F.min("size"), F.max("size")).first()
-    if low is None:
+    bands = sorted({b + k for r in poor.select(_band(F.col("size")).alias("b")).distinct().collect() for b in [r["b"]] for k in (-1, 0, 1)})  # of ratio 2, so some tens
+    if not bands:
         return docs.sparkSession.createDataFrame([], "u long, v long")
+    first = sizes.where("size > 0").where(_band(F.col("size")).isin(bands)).groupBy("k1", "k2", "size").agg(F.min("doc_id").alias("doc_id"))
+    texts = C.materialize(docs.join(first.select("doc_id"), "doc_id", "left_semi").dropDuplicates(["doc_id"]), "fitting")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in C.slices(batches):
             doc, h = shingles(*C.flat(batch.column("text")), n)
             ids = batch.column("doc_id").to_numpy(zero_copy_only=False)
             size = np.bincount(doc, minlength=len(ids))[doc]
-            keep = (size <= high) & (100 * size >= percent * low)
-            yield pa.RecordBatch.from_arrays([pa.array(ids[doc][keep]), pa.array(h[keep].view(np.int64)), pa.array(size[keep].astype(np.int32))], names=["doc_id", "h", "size"])
+            yield pa.RecordBatch.from_arrays([pa.array(ids[doc]), pa.array(h.view(np.int64)), pa.array(size.astype(np.int32))], names=["doc_id", "h", "size"])
+
+    every = C.materialize(texts.mapInArrow(run, "doc_id long, h long, size int"), "shingles")
+    mine = every.join(poor.select("k1", "k2", "size").distinct().join(first, ["k1", "k2", "size"]).select("doc_id"), "doc_id", "left_semi")
+    times = every.groupBy("h").agg(F.count("*").alias("times"))
+    rank = F.row_number().over(Window.partitionBy("doc_id").orderBy("times", "h"))
+    chosen = mine.join(times, "h").withColumn("k", rank).where(f"k <= size - ceil(size * {percent} / 100) + 1")
+    # the size is part of the key, so that a frequent shingle meets sets of fitting size only
+    sized = chosen.select(F.col("doc_id").alias("u"), "h", F.explode(F.sequence(F.ceil(F.col("size") * percent / 100).cast("int"), F.floor(F.col("size") * 100 / percent).cast("int"))).alias("size"))
+    pairs = sized.join(every.select(F.col("doc_id").alias("v"), "h", "size"), ["h", "size"]).where("u <> v").select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
+    return _verified(pairs, texts, n, percent)
 
-    every = docs.mapInArrow(run, "doc_id long, h long, size int")
-    mine = every.join(poor.select("doc_id"), "doc_id").select(F.col("doc_id").alias("u"), "h", F.col("size").alias("n_u"))
-    both = mine.join(every.select(F.col("doc_id").alias("v"), "h", F.col("size").alias("n_v")), "h").where("u <> v").groupBy("u", "v", "n_u", "n_v").agg(F.count("*").alias("n"))
-    return both.where(f"100 * n >= {percent} * (n_u + n_v - n)").select("u", "v")
 
+def _numbered(docs: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    """Rows with a number as their doc_id: doc_id itself, but of a doc_id's different texts all but one get others.
 
-def jaccard_join(documents: DataFrame, n: int = 5, percent: int = 75) -> DataFrame:
+    The second table has doc_id, row_key and row of those others; it is None if no doc_id has different texts.
+    """
+    first = docs.groupBy("doc_id").agg(F.min("row_key").alias("least"), F.max("row_key").alias("most"))
+    several = C.materialize(first.where("least <> most"), "several")
+    if several.isEmpty():
+        return docs, None
+    rest = docs.join(several, "doc_id").where("row_key <> least").select("doc_id", "row_key").distinct()
+    for salt in range(100):
+        further = C.materialize(rest.withColumn("row", F.xxhash64(F.lit(salt), "doc_id", "row_key")), "further")
+        every = further.select("row").union(first.select("doc_id"))
+        if every.groupBy("row").agg(F.count("*").alias("n")).where("n > 1").isEmpty():
+            named = docs.join(further, ["doc_id", "row_key"], "left")
+            return named.select(F.coalesce("row", "doc_id").alias("doc_id"), "text", "row_key"), further
+    raise RuntimeError("no free numbers for the rows of repeated doc_ids")
+
+
+def jaccard_join(documents: DataFrame, n: int = 5, percent: int = 75, bucket_bytes: int = 16 << 20) -> DataFrame:
     """doc_id, n_shingles and component_id (smallest doc_id reachable by links) of each document.
 
     Links join sets of distinct n-word shingles (A-Z lower-cased) with 100 * intersection >= percent *
     union. Defined cases: null, empty and blank texts have no shingles and link with nothing; a text of
-    fewer than n words has one shingle, all of it; equal texts are linked; rows that repeat a doc_id are taken for
-    copies of one document (each row is returned); rows without doc_id are left out; other columns are
-    ignored; an empty table gives an empty result.
+    fewer than n words has one shingle, all of it; equal texts are linked; rows that repeat a doc_id each give
+    a row, linked by its own text only; a very long text is one slice's work; rows without doc_id are left
+    out; other columns are ignored; an empty table gives an empty result. A signature bucket is made for
+    every `bucket_bytes` of text, and two at least for each shuffle partition.
     """
-    docs = C.documents(documents)
-    spark = docs.sparkSession
-    entries = C.materialize(_bucket_entries(_emit(docs, n, C.n_partitions(spark))), "signatures")
+    docs, further = _numbered(C.keyed(C.documents(documents)))
+    docs = docs.select("doc_id", "text")
+    n_buckets = max(2 * C.n_partitions(docs.sparkSession), C.text_bytes(docs) // bucket_bytes)
+    entries = C.materialize(_bucket_entries(_emit(docs, n, percent, n_buckets)), "signatures")
     sizes = entries.where("sig is null").select("doc_id", "size", "k1", "k2", "units", F.floor(F.col("size") * (2 * (100 - percent)) / F.lit(100 + percent)).alias("h"))
     shared = entries.where("sig is not null").select("sig", "doc_id", "size", "flags", "cost", "hub", "hub_size")
     first = sizes.where("size > 0").groupBy("k1", "k2", "size").agg(F.min("doc_id").alias("rep"))
@@ -374,11 +411,17 @@ def jaccard_join(documents: DataFrame, n: int = 5, percent: int = 75) -> DataFra
     named = lambda df: df.join(label.select(F.col("node").alias("doc_id"), "root"), "doc_id", "left").withColumn("root", F.coalesce("root", "doc_id"))
     placed = C.materialize(named(members), "placed")
     mixed = placed.groupBy("sig").agg(F.min("root").alias("least"), F.max("root").alias("most"), F.min("doc_id").alias("v")).where("least <> most").select("sig", "v")
-    families = components(placed.join(mixed, "sig").select(F.col("doc_id").alias("u"), "v").distinct())
-    more = _within(named(families.select(F.col("node").alias("doc_id"), F.col("root").alias("family"))), texts, n, percent)
+    families = placed.join(mixed, "sig").select(F.col("v").alias("family"), "doc_id", "root").distinct()
+    more = _within(families, texts, n, percent)
     roots = components(links.union(more).union(copies).union(_fallback(docs, sizes, n, percent)))
     out = sizes.join(roots.withColumnRenamed("node", "doc_id"), "doc_id", "left")
-    return out.select("doc_id", F.col("size").cast("long").alias("n_shingles"), F.coalesce("root", "doc_id").alias("component_id"))
+    out = out.select("doc_id", F.col("size").cast("long").alias("n_shingles"), F.coalesce("root", "doc_id").alias("component_id"))
+    if further is None:
+        return out
+    real = out.join(further.select(F.col("row").alias("doc_id"), F.col("doc_id").alias("real")), "doc_id", "left").select("doc_id", F.coalesce("real", "doc_id").alias("real"), "n_shingles", "component_id")
+    least = real.groupBy("component_id").agg(F.min("real").alias("least"))
+    real = real.join(least, "component_id")
+    return real.select(F.col("real").alias("doc_id"), "n_shingles", F.col("least").alias("component_id"))
 
 
 def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
