@@ -5,7 +5,7 @@ import random
 
 import numpy as np
 import pytest
-from brute import KINDS, components, counts, private, repeated_bytes, repeated_words, sha, words
+from brute import KINDS, components, counts, private, repeated_bytes, repeated_words, sha, shingles, words
 from pyspark.sql import functions as F
 
 from emberflux.llm import bpe, chat_format, decontaminate, jaccard_join, language_id, pii, quality_model, quality_rules, substring_dedup, suffix_dedup
@@ -117,13 +117,41 @@ def test_jaccard_join_edges(spark):
     assert got == sorted([*components(EDGES), (8, 1, 8)])
 
 
+def by_row(rows):
+    """components() where each row is linked by its own text, whatever its doc_id."""
+    inner = components([(i, t) for i, (_, t) in enumerate(rows)])
+    least = {}
+    for (d, _), (_, _, c) in zip(rows, inner):
+        least[c] = min(least.get(c, d), d)
+    return [(d, n, least[c]) for (d, _), (_, n, c) in zip(rows, inner)]
+
+
+def test_jaccard_join_of_repeated_ids(spark):
+    rows = repeated_ids(24, texts(24, 200, [f"w{i}" for i in range(30)], [0, 4, 9, 25, 70], edits=4))
+    got = found(jaccard_join.jaccard_join(frame(spark, rows)), "doc_id", "n_shingles", "component_id")
+    assert got == sorted(by_row(rows)) and any(r[0] != r[2] for r in got)
+
+
+def test_jaccard_join_of_chains(spark):
+    """Texts that slide over one long text: neighbours share 0.3 to 0.8 of their shingles."""
+    rng = random.Random(25)
+    long, at, rows = [f"v{rng.randrange(5000)}" for _ in range(6000)], 0, []
+    while at + 90 < len(long):
+        rows.append((len(rows), " ".join(long[at : at + rng.choice((60, 66, 80))])))
+        at += rng.choice((4, 7, 12, 25, 30))
+    got = found(jaccard_join.jaccard_join(frame(spark, rows)), "doc_id", "n_shingles", "component_id")
+    assert got == sorted(components(rows)) and len({c for *_, c in got}) > 20
+
+
 def test_jaccard_fallback_for_sets_that_cannot_pay(spark):
     """The path for poor sets alone finds the links of all sets."""
     rows = list(enumerate(texts(9, 80, [f"w{i}" for i in range(20)], [6, 12], edits=2)))
     docs = frame(spark, rows).select("doc_id", "text")
-    sizes = docs.select("doc_id", "text").rdd.map(lambda r: (r[0], max(1, len((r[1] or "").split()) - 4), 0, 9)).toDF("doc_id long, size int, units int, h int")
+    sets = [(d, len(shingles(t)), hash(frozenset(shingles(t))), 0, 0, 9) for d, t in rows]
+    sizes = spark.createDataFrame(sets, "doc_id long, size int, k1 long, k2 long, units int, h int")
     links = {tuple(sorted(r)) for r in jaccard_join._fallback(docs, sizes, 5, 75).collect()}
     parent = {d: d for d, _ in rows}
+    links |= {(sets[i][0], e[0]) for i in range(len(sets)) for e in sets[:i] if e[2] == sets[i][2] and e[1]}
     for _ in rows:
         for a, b in links:
             parent[a] = parent[b] = min(parent[a], parent[b])
@@ -158,46 +186,68 @@ def test_quality_rules_judge_small_groups(spark):
     assert {r["doc_id"] for r in out if not r["kept"]} == {d for d, *_ in junk}
 
 
-def restated_distances(rows, core=0.75, steps=3, prior=50.0):
+def restated_distances(rows, core=0.75, steps=10, prior=50.0):
     """Distances of (doc, key, vector) rows by numpy; a key is (lang, source)."""
     keys = [[()] * len(rows), [k[:1] for _, k, _ in rows], [k for _, k, _ in rows]]
     x = np.array([v for *_, v in rows])
-    scale = quality_rules._consistency(core)
-
-    def shrunk(raw):
-        for key in sorted(raw, key=len)[1:]:
-            n, m, c = raw[key]
-            w = n / (n + prior)
-            raw[key] = n, w * m + (1 - w) * raw[key[:-1]][1], w * c + (1 - w) * raw[key[:-1]][2]
-        return raw
-
-    def distances(fits, level):
-        out = np.empty(len(x))
-        for i, key in enumerate(keys[level]):
-            d = x[i] - fits[key][1]
-            out[i] = d @ np.linalg.solve(fits[key][2] + np.diag(np.square(quality_rules.FLOORS)), d)
-        return out
-
+    scale, floors = quality_rules._consistency(core), np.array(quality_rules.FLOORS)
     middle = lambda bins: sorted(bins)[(len(bins) + 1) // 2 - 1]
-    raw = {}
+    fits = {}
     for level in range(3):
         for key in set(keys[level]):
-            bins = np.floor(x[[k == key for k in keys[level]]] / 0.02 + 0.5)
-            m = np.array([middle(b) for b in bins.T])
-            raw[key] = len(bins), m * 0.02, np.diag([(1.4826 * 0.02 * middle(abs(b - a))) ** 2 for a, b in zip(m, bins.T)])
-    fits = shrunk(raw)
-    for _ in range(steps):
-        raw = {}
-        for level in range(3):
-            all_bins = np.round(np.log(distances(fits, level) + 1e-6) * 64)
-            for key in set(keys[level]):
-                mine = np.array([k == key for k in keys[level]])
-                bins = all_bins[mine]
-                limit = sorted(bins)[max(1, math.floor(core * len(bins))) - 1]
-                near = x[mine][bins <= limit]
-                raw[key] = len(near), near.mean(0), scale * np.cov(near.T, bias=True).reshape(4, 4)
-        fits = shrunk(raw)
-    return {d: y for (d, *_), y in zip(rows, distances(fits, 2))}
+            own = x[[k == key for k in keys[level]]]
+            weight = len(own) / (len(own) + prior) if level else 1.0
+
+            def drawn(m, c):
+                if level:
+                    m, c = weight * m + (1 - weight) * fits[key[:-1]][0], weight * c + (1 - weight) * fits[key[:-1]][1]
+                c = c.copy()
+                np.fill_diagonal(c, np.maximum(np.diag(c), floors**2))
+                return m, c
+
+            bins = np.floor(own / 0.02 + 0.5)
+            a = np.array([middle(b) for b in bins.T])
+            d = np.maximum([1.4826 * 0.02 * middle(abs(b - m)) for m, b in zip(a, bins.T)], floors)
+            a = a * 0.02
+            y = np.tanh((own - a) / d)
+            s = np.cov(y.T, bias=True).reshape(4, 4)
+            r = s / np.sqrt(np.maximum(np.diag(s), 1e-9))[:, None] / np.sqrt(np.maximum(np.diag(s), 1e-9))
+            np.fill_diagonal(r, 1)
+            best = (np.inf, None)
+            for m, c in ((a, np.diag(d**2)), (own.mean(0), np.cov(own.T, bias=True).reshape(4, 4)), (a, r * d[:, None] * d)):
+                now, least = drawn(m, c), np.inf
+                for _ in range(steps):
+                    far = np.einsum("ni,ni->n", own - now[0], np.linalg.solve(now[1], (own - now[0]).T).T)
+                    bin_ = np.round(np.log(far + 1e-6) * 64)
+                    near = own[bin_ <= sorted(bin_)[max(1, math.floor(core * len(own))) - 1]]
+                    new = drawn(near.mean(0), scale * np.cov(near.T, bias=True).reshape(4, 4))
+                    if not (value := np.linalg.slogdet(new[1])[1]) < least - 1e-9:
+                        break
+                    now, least = new, value
+                if least < best[0]:
+                    best = (least, now)
+            fits[key] = best[1]
+    return {d: (v - fits[key][0]) @ np.linalg.solve(fits[key][1], v - fits[key][0]) for d, key, v in rows}
+
+
+def test_least_determinant_is_that_of_many_random_starts(spark):
+    """The estimate of all rows against plain concentration from 300 random starts, with a third of the rows off."""
+    rng = np.random.default_rng(12)
+    good = rng.multivariate_normal([1, 2, 3, 4], np.diag([1.0, 2, 1, 3]) + 0.7, 600)
+    bad = rng.multivariate_normal([9, -5, 8, 9], np.eye(4) * 0.6, 150)
+    x = np.concatenate((good, bad))
+    df = spark.createDataFrame([(0, "l", "s", *map(float, v)) for v in x], "g_all int, g_lang string, g_source string, f0 double, f1 double, f2 double, f3 double")
+    found_ = quality_rules.minimum_covariance(df, 0.75, 20, 1e-9).first()
+    n, least = int(0.75 * len(x)), np.inf
+    for _ in range(300):
+        own = x[rng.choice(len(x), 5, replace=False)]
+        for _ in range(30):
+            m, c = own.mean(0), np.cov(own.T, bias=True) + 1e-9 * np.eye(4)
+            own = x[np.argsort(np.einsum("ni,ni->n", x - m, np.linalg.solve(c, (x - m).T).T))[:n]]
+        least = min(least, np.linalg.slogdet(quality_rules._consistency(0.75) * np.cov(own.T, bias=True))[1])
+    assert found_["determinant"] <= least + 0.05
+    far = [(v - [found_[f"m{i}"] for i in range(4)]) @ np.linalg.solve([[found_[f"c{max(i, j)}{min(i, j)}"] for j in range(4)] for i in range(4)], v - [found_[f"m{i}"] for i in range(4)]) for v in bad]
+    assert min(far) > quality_rules.quantile(1 - 1e-6)
 
 
 def test_quality_rules_restated(spark):
@@ -383,6 +433,13 @@ def test_chat_format(spark):
     assert '"linked":true' in next(k for k in got if k[:2] == (1, 2))[2] and '"linked":false' in next(k for k in got if k[:2] == (1, 3))[2]
 
 
+def test_messages_that_share_conversation_and_turn(spark):
+    one, two = ('{"content":"x","tool_calls":[{"id":"%s","name":"f","arguments":{}}]}' % x for x in "ab")
+    rows = [(1, 1, "assistant", one), (1, 1, "assistant", two), (1, 1, "assistant", two), (1, 2, "tool", '{"tool_call_id":"b","content":"r"}')]
+    got = sorted(tuple(r) for r in chat_format.format_chat(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).collect())
+    assert [r[3:] for r in got] == [(1, 0, 1), (1, 1, 1), (1, 1, 1), (0, 0, 0)] and got[1] == got[2] and '"id":"a"' in got[0][2] and '"id":"b"' in got[1][2]
+
+
 def test_long_chain_of_calls(spark):
     calls = ",".join(f'{{"id":"c{i}","name":"f","arguments":{{}},"after":["c{i - 1}"]}}' for i in range(4, -1, -1))
     df = spark.createDataFrame([(1, 0, "assistant", f'{{"tool_calls":[{calls}]}}')], "conv_id long, turn long, role string, text string")
