@@ -364,16 +364,17 @@ def _fallback(docs: DataFrame, sizes: DataFrame, n: int, percent: int) -> DataFr
 def _numbered(docs: DataFrame) -> tuple[DataFrame, DataFrame | None]:
     """Rows with a number as their doc_id: doc_id itself, but of a doc_id's different texts all but one get others.
 
-    The second table has doc_id, row_key and row of those others; it is None if no doc_id has different texts.
+    The second table has doc_id, row_key and row of all texts of such doc_ids; it is None if there are none.
     """
     first = docs.groupBy("doc_id").agg(F.min("row_key").alias("least"), F.max("row_key").alias("most"))
     several = C.materialize(first.where("least <> most"), "several")
     if several.isEmpty():
         return docs, None
-    rest = docs.join(several, "doc_id").where("row_key <> least").select("doc_id", "row_key").distinct()
+    rest = docs.join(several, "doc_id").select("doc_id", "row_key", "least").distinct()
     for salt in range(100):
-        further = C.materialize(rest.withColumn("row", F.xxhash64(F.lit(salt), "doc_id", "row_key")), "further")
-        every = further.select("row").union(first.select("doc_id"))
+        number = F.when(F.col("row_key") == F.col("least"), F.col("doc_id")).otherwise(F.xxhash64(F.lit(salt), "doc_id", "row_key"))
+        further = C.materialize(rest.select("doc_id", "row_key", number.alias("row")), "further")
+        every = further.select("row").union(first.join(several, "doc_id", "left_anti").select("doc_id"))
         if every.groupBy("row").agg(F.count("*").alias("n")).where("n > 1").isEmpty():
             named = docs.join(further, ["doc_id", "row_key"], "left")
             return named.select(F.coalesce("row", "doc_id").alias("doc_id"), "text", "row_key"), further
@@ -381,7 +382,10 @@ def _numbered(docs: DataFrame) -> tuple[DataFrame, DataFrame | None]:
 
 
 def jaccard_join(documents: DataFrame, n: int = 5, percent: int = 75, bucket_bytes: int = 16 << 20) -> DataFrame:
-    """doc_id, n_shingles and component_id (smallest doc_id reachable by links) of each document.
+    """doc_id, n_shingles and component_id (smallest doc_id reachable by links) of each document, row_key and root.
+
+    row_key (64 bits of the text, see common.keyed) is there where a doc_id has several texts, else null;
+    root numbers the components.
 
     Links join sets of distinct n-word shingles (A-Z lower-cased) with 100 * intersection >= percent *
     union. Defined cases: null, empty and blank texts have no shingles and link with nothing; a text of
@@ -417,12 +421,11 @@ def jaccard_join(documents: DataFrame, n: int = 5, percent: int = 75, bucket_byt
     out = sizes.join(roots.withColumnRenamed("node", "doc_id"), "doc_id", "left")
     out = out.select("doc_id", F.col("size").cast("long").alias("n_shingles"), F.coalesce("root", "doc_id").alias("component_id"))
     if further is None:
-        return out
-    real = out.join(further.select(F.col("row").alias("doc_id"), F.col("doc_id").alias("real")), "doc_id", "left").select("doc_id", F.coalesce("real", "doc_id").alias("real"), "n_shingles", "component_id")
-    least = real.groupBy("component_id").agg(F.min("real").alias("least"))
-    real = real.join(least, "component_id")
-    return real.select(F.col("real").alias("doc_id"), "n_shingles", F.col("least").alias("component_id"))
+        return out.select("*", F.lit(None).cast("long").alias("row_key"), F.col("component_id").alias("root"))
+    real = out.join(further.select(F.col("row").alias("doc_id"), F.col("doc_id").alias("real"), "row_key"), "doc_id", "left").select(F.coalesce("real", "doc_id").alias("doc_id"), "n_shingles", F.col("component_id").alias("root"), "row_key")
+    least = real.groupBy("root").agg(F.min("doc_id").alias("component_id"))
+    return real.join(least, "root").select("doc_id", "n_shingles", "component_id", "row_key", "root")
 
 
 def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard_join(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    return jaccard_join(spark.read.parquet(f"{sf_dir}/documents.parquet")).drop("row_key", "root")

@@ -51,3 +51,18 @@ def test_quality_stage_judges_small_groups(spark):
     junk = [(100 + i, " ".join(f"{w}###%%%" for w in prose(50).split()), "en", f"s{i}") for i in range(4)]
     docs = spark.createDataFrame(rows + junk, "doc_id long, text string, lang string, source string")
     assert {r["doc_id"] for r in corpus_pipeline.quality(spark, docs, "").collect()} == {d for d, *_ in rows}
+
+
+def test_stages_tell_rows_of_one_doc_id_apart(spark):
+    pytest.importorskip("public_tokenizers")
+    import corpus_pipeline
+
+    rng = random.Random(3)
+    prose = lambda n: " ".join("".join(rng.choice("abcdefghij") for _ in range(rng.randint(2, 8))) for _ in range(n))
+    one, two, three = (prose(60) for _ in range(3))
+    rows = [(1, one), (1, "short"), (2, two), (2, three), (2, three), (3, one), (3, two + " more"), (4, None), (4, "")] + [(10 + i, prose(60)) for i in range(20)]
+    docs = spark.createDataFrame([(d, t, "en", "s") for d, t in rows], "doc_id long, text string, lang string, source string")
+    of = lambda df: sorted((r["doc_id"], r["text"]) for r in df.collect() if r["doc_id"] < 10)
+    assert of(corpus_pipeline.quality(spark, docs, "")) == sorted([(1, one), (2, two), (2, three), (2, three), (3, one), (3, two + " more")])
+    kept = {(r["doc_id"], r["text"]) for r in corpus_pipeline.near_duplicates(spark, docs, "").collect() if r["doc_id"] < 10}
+    assert kept == {(1, one), (1, "short"), (2, two), (2, three), (4, None), (4, "")}
