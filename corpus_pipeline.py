@@ -15,24 +15,34 @@ from emberflux.llm import bpe, common, decontaminate, jaccard_join, pii, quality
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that pass the base rules and are no outliers of their language and source."""
-    kept = quality_rules.quality_rules(docs).where("kept").select("doc_id").distinct()
-    return docs.join(kept, "doc_id", "left_semi").select(*docs.columns)
+    """Documents that pass the base rules and are no outliers of their language and source.
+
+    Null and empty texts fail the base rules. Rows that repeat a doc_id are judged each by its own text,
+    lang and source; rows without doc_id go.
+    """
+    kept = quality_rules.quality_rules(docs).where("kept").select("doc_id", F.col("row_key").alias("__row")).distinct()
+    return docs.withColumn("__row", quality_rules.row_key()).join(kept, ["doc_id", "__row"], "left_semi").select(*docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of linked documents the one with the smallest doc_id."""
-    first = jaccard_join.jaccard_join(docs).where("doc_id = component_id").select("doc_id").distinct()
-    return docs.join(first, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(*docs.columns)
+    """Of each group of linked documents the one with the smallest doc_id; of rows equal in doc_id and text one.
+
+    Texts without words are linked with nothing and stay. Rows that repeat a doc_id with different texts
+    are rows of their own: each stays or goes by its own text.
+    """
+    first = jaccard_join.jaccard_join(docs).groupBy("root").agg(F.min(F.struct("doc_id", "row_key")).alias("x")).select("x.doc_id", F.col("x.row_key").alias("only"))
+    rows = docs.withColumn("__row", F.xxhash64(F.col("text").cast("string")))
+    stays = (rows["doc_id"] == first["doc_id"]) & (first["only"].isNull() | (first["only"] == rows["__row"]))
+    return rows.join(first, stays, "left_semi").dropDuplicates(["doc_id", "__row"]).select(*docs.columns)
 
 
 def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a passage that is a test item but for a few edits."""
+    """Documents without a passage that is a test item but for a few edits; each row by its own text, null ones stay."""
     return decontaminate.decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def private(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents with personal data replaced in their texts."""
+    """The documents with personal data replaced in their texts; a null text stays null, each row by its own text."""
     others = [c for c in docs.columns if c not in ("doc_id", "text")]
     kept = F.struct(*others) if others else F.lit(None).cast("struct<none:int>")
     found = pii.find_private(docs.select("doc_id", "text", kept.alias("__kept")), "__kept").select("doc_id", pii.sanitized().alias("text"), "__kept")
