@@ -1,6 +1,6 @@
 """Operator 7: language identification by cross-parsing entropy.
 
-For each language a suffix automaton of labelled text recognises all its substrings. A text is
+For each language a suffix automaton of the words of labelled texts recognises all their substrings. A text is
 parsed greedily into phrases, each the longest match in the automaton (or one unknown letter); the
 fewer phrases, normalised by text length and by the automaton's text size, the closer the language.
 Phrases do not cross words, so the phrase counts of a word are worked out once and reused.
@@ -71,8 +71,8 @@ class SuffixAutomaton:
         return count + (state > 0)
 
 
-def labelled(documents: DataFrame, rows: int) -> DataFrame:
-    """lang and text of at most `rows` labelled documents a language, by hash order."""
+def labelled(documents: DataFrame, rows: int, chars: int) -> DataFrame:
+    """lang and text of labelled documents, whole, by hash order: at most `rows` a language, and no more after `chars` characters."""
     docs = C.documents(documents, F.col("lang").cast("string").alias("lang")).where(F.col("lang").isNotNull() & F.col("text").isNotNull())
     order = F.xxhash64(F.col("doc_id").cast("string"))
     sizes = docs.groupBy("lang").agg(F.count("*").alias("n")).collect()  # a row for each language, as the automata are
@@ -80,7 +80,10 @@ def labelled(documents: DataFrame, rows: int) -> DataFrame:
         return docs.select("lang", "text")
     reach = F.create_map(*(F.lit(x) for r in sizes for x in (r["lang"], int(min(1.0, 4.0 * rows / r["n"]) * (1 << 20)))))
     likely = docs.where(F.pmod(order, F.lit(1 << 20)) <= F.element_at(reach, F.col("lang")))
-    return likely.select("lang", "text", F.row_number().over(Window.partitionBy("lang").orderBy(order, "doc_id")).alias("k")).where(F.col("k") <= rows).select("lang", "text")
+    by_hash = Window.partitionBy("lang").orderBy("h", "doc_id", "size")
+    first = likely.select("lang", "text", order.alias("h"), "doc_id", F.length("text").alias("size")).withColumn("k", F.row_number().over(by_hash)).where(F.col("k") <= rows)
+    before = F.sum("size").over(Window.partitionBy("lang").orderBy("k")) - F.col("size")
+    return first.withColumn("before", before).where(F.col("before") < chars).select("lang", "text")
 
 
 def word_counts(labels: DataFrame) -> DataFrame:
@@ -94,33 +97,22 @@ def word_counts(labels: DataFrame) -> DataFrame:
     return labels.mapInArrow(run, "lang string, word string, n long").groupBy("lang", "word").agg(F.sum("n").alias("n"))
 
 
-def train(documents: DataFrame, rows: int = 300, size: int = 60_000) -> dict[str, SuffixAutomaton]:
-    """An automaton for each lang of the labelled documents, over the most frequent words of their whole texts.
+def train(documents: DataFrame, rows: int = 300, chars: int = 150_000) -> dict[str, SuffixAutomaton]:
+    """An automaton for each lang of the labelled documents, over all different words of the sampled whole texts.
 
-    Bounds: `rows` documents a language, `size` characters of words an automaton, however many languages.
+    The sample is bounded (see `labelled`), whatever the number of languages; no word of it is left out.
     """
-    order = Window.partitionBy("lang").orderBy(F.desc("n"), "word")
-    likely = word_counts(labelled(documents, rows)).withColumn("k", F.row_number().over(order)).where(F.col("k") <= size)  # more words cannot fit
-    counts: dict[str, Counter] = {}
-    for row in likely.toLocalIterator():
-        counts.setdefault(row["lang"], Counter())[row["word"]] = row["n"]
-    out = {}
-    for lang, words in sorted(counts.items()):
-        text, used = [], 0
-        for word, _ in sorted(words.items(), key=lambda x: (-x[1], x[0])):
-            if used + len(word) + 1 <= size:
-                text.append(word)
-                used += len(word) + 1
-        if text:
-            out[lang] = SuffixAutomaton(" " + " ".join(text) + " ")
-    return out
+    words: dict[str, list[str]] = {}
+    for row in word_counts(labelled(documents, rows, chars)).orderBy("lang", F.desc("n"), "word").toLocalIterator():
+        words.setdefault(row["lang"], []).append(row["word"])
+    return {lang: SuffixAutomaton(" " + " ".join(own) + " ") for lang, own in sorted(words.items())}
 
 
 def predict(documents: DataFrame, models: dict[str, SuffixAutomaton], cache: int = 200_000) -> DataFrame:
     """doc_id, lang_pred and score of each document's whole text.
 
     score is b / (a + b) with the least and the second least entropies a and b (1 if there is one
-    language). Defined cases: a null text or one without a letter is `und` with score 0, as is every
+    language). Very long texts are parsed whole. Defined cases: a null text or one without a letter is `und` with score 0, as is every
     text if no language was learned; ties go to the alphabetically first language; rows that repeat a
     doc_id each give a row; rows without doc_id are left out; other columns are ignored; an empty
     table gives an empty result.
