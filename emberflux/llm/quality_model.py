@@ -31,17 +31,17 @@ _LOWER[ord("A") : ord("Z") + 1] += 32
 
 
 def votes() -> list[Column]:
-    """1 good, 0 bad, -1 abstains."""
+    """1 good, 0 bad, -1 abstains. A text without words earns no good vote and a bad one."""
     bad = lambda condition: F.when(condition, 0).otherwise(-1)
     return [
-        bad(F.col("symbols") > 0.05),
+        bad((F.col("symbols") > 0.05) | (F.col("n_words") == 0)),
         bad(F.col("symbols") > 0.01 * F.col("word_length")),
         bad(F.col("upper") > 0.4),
         bad(F.col("exclaims") > 0.1),
         bad(F.col("repeats") > 0.15),
         bad(F.col("dup_lines") > 0.2),
         bad(F.col("digits") > 0.3),
-        F.when((F.col("symbols") < 0.02) & (F.col("upper") < F.when(F.col("n_words") < 20, 0.4).otherwise(0.15)) & (F.col("repeats") < 0.1) & (F.col("exclaims") < 0.05), 1).otherwise(-1),
+        F.when((F.col("n_words") > 0) & (F.col("symbols") < 0.02) & (F.col("upper") < F.when(F.col("n_words") < 20, 0.4).otherwise(0.15)) & (F.col("repeats") < 0.1) & (F.col("exclaims") < 0.05), 1).otherwise(-1),
     ]
 
 
@@ -82,14 +82,14 @@ def _scan(raw: np.ndarray, offsets: np.ndarray, bits: int) -> tuple[np.ndarray,
 
 
 def measured(docs: DataFrame) -> DataFrame:
-    """doc_id and MEASURES."""
+    """doc_id, text and MEASURES."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in C.slices(batches):
             found = _scan(*C.flat(batch.column("text")), 12)[0]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *(pa.array(x) for x in found.T)], names=["doc_id", *MEASURES])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("text"), *(pa.array(x) for x in found.T)], names=["doc_id", "text", *MEASURES])
 
-    return docs.mapInArrow(run, "doc_id long, " + ", ".join(f"{x} double" for x in MEASURES))
+    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, text string, " + ", ".join(f"{x} double" for x in MEASURES))
 
 
 def expectation_maximisation(patterns: np.ndarray, counts: np.ndarray, strength: float = 0.05, rounds: int = 200) -> tuple[np.ndarray, np.ndarray]:
@@ -115,15 +115,14 @@ def expectation_maximisation(patterns: np.ndarray, counts: np.ndarray, strength:
     return post, shares
 
 
-def weak_labels(docs: DataFrame) -> DataFrame:
-    """doc_id and posterior; all documents count."""
-    voted = C.materialize(measured(docs).select("doc_id", F.array(*votes()).alias("votes")), "votes")
-    rows = voted.groupBy("votes").agg(F.count("*").alias("n")).collect()  # at most 3^8 patterns
+def weak_labels(docs: DataFrame) -> tuple[DataFrame, int]:
+    """votes and posterior of every pattern that occurs (at most 3^8), from all documents, and the number of those."""
+    rows = measured(docs).select(F.array(*votes()).alias("votes")).groupBy("votes").agg(F.count("*").alias("n")).collect()  # at most 3^8 patterns
+    schema = "votes array<int>, posterior double"
     if not rows:
-        return voted.select("doc_id", F.lit(0.5).alias("posterior"))
+        return docs.sparkSession.createDataFrame([], schema), 0
     post, _ = expectation_maximisation(np.array([r["votes"] for r in rows]), np.array([r["n"] for r in rows], float))
-    table = docs.sparkSession.createDataFrame([(r["votes"], float(p)) for r, p in zip(rows, post)], "votes array<int>, posterior double")
-    return voted.join(F.broadcast(table), "votes").select("doc_id", "posterior")
+    return docs.sparkSession.createDataFrame([(r["votes"], float(p)) for r, p in zip(rows, post)], schema), sum(r["n"] for r in rows)
 
 
 def train(sample: DataFrame, bits: int, rounds: int = 30, rate: float = 0.5) -> tuple[np.ndarray, float]:
@@ -158,7 +157,8 @@ def score(docs: DataFrame, weights: np.ndarray, bias: float, bits: int) -> DataF
         for batch in C.slices(batches):
             found = _scan(*C.flat(batch.column("text")), bits)[1]
             margin = np.array([b + w[i] @ v for i, v in found])
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(1 / (1 + np.exp(-np.clip(margin, -30, 30))))], names=["doc_id", "score"])
+            words = np.array([len(v) > 7 for _, v in found])  # beyond the seven levels that every text has
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(np.where(words, 1 / (1 + np.exp(-np.clip(margin, -30, 30))), 0.0))], names=["doc_id", "score"])
 
     return docs.mapInArrow(run, "doc_id long, score double")
 
@@ -166,16 +166,17 @@ def score(docs: DataFrame, weights: np.ndarray, bias: float, bits: int) -> DataF
 def quality_model(documents: DataFrame, sample_rows: int = 4000, bits: int = 15, keep_at: float = 0.5) -> DataFrame:
     """doc_id, score (0 to 1) and kept of each document.
 
-    The scorer is fitted on about `sample_rows` documents, those with the smallest hashes of doc_id.
-    Defined cases: null and empty texts have zero measures and get a score like other short texts;
-    rows that repeat a doc_id each give a row; rows without doc_id are left out; other columns are
-    ignored; an empty table gives an empty result.
+    The scorer is fitted on at most `sample_rows` documents, those with the smallest hashes of doc_id and
+    text. Defined cases: null and empty texts have zero measures, a bad vote, and score 0; very long texts
+    are scored whole; rows that repeat a doc_id each give a row by their own text; rows without doc_id are
+    left out; other columns are ignored; an empty table gives an empty result.
     """
     docs = C.documents(documents)
-    labels = weak_labels(docs)
-    share = sample_rows * float(1 << 20) / max(1, labels.count())
-    chosen = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < share
-    sample = docs.where(chosen).join(labels.where(chosen).dropDuplicates(["doc_id"]), "doc_id").select("doc_id", "text", "posterior")
+    patterns, total = weak_labels(docs)
+    order = F.xxhash64("doc_id", "text")
+    likely = docs.where(F.pmod(order, F.lit(1 << 20)) <= 2.0 * sample_rows / max(1, total) * (1 << 20))
+    chosen = likely.select("doc_id", "text", order.alias("h")).orderBy("h", "doc_id").limit(sample_rows)
+    sample = measured(chosen).withColumn("votes", F.array(*votes())).join(F.broadcast(patterns), "votes").select("doc_id", "text", "posterior")
     weights, bias = train(sample, bits)
     return score(docs, weights, bias, bits).select("doc_id", "score", (F.col("score") >= keep_at).alias("kept"))
 

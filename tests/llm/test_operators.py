@@ -406,6 +406,29 @@ def test_quality_model(spark):
     got = {r["doc_id"]: r["kept"] for r in quality_model.quality_model(frame(spark, good + bad + EDGES)).collect()}
     assert len(got) == len(good + bad + EDGES)
     assert sum(got[d] for d, _ in good) >= 147 and sum(got[d] for d, _ in bad) <= 2
+    assert not any(got[d] for d in (1, 2, 3))
+
+
+def test_expectation_maximisation_restated():
+    """Over patterns and counts as over single documents, in plain loops."""
+    rng = np.random.default_rng(3)
+    docs = rng.choice([-1, 0, 1], (400, 3), p=[0.3, 0.3, 0.4])
+    patterns, n = np.unique(docs, axis=0, return_counts=True)
+    post, shares = quality_model.expectation_maximisation(patterns, n.astype(float), rounds=25)
+    p = [((d == 1).sum() + 0.5) / ((d >= 0).sum() + 1.0) for d in docs]
+    for _ in range(25):
+        weight = [p, [1 - x for x in p]]
+        prior = [(sum(w) + 1) / (len(docs) + 2) for w in weight]
+        share = [[[sum(w for w, d in zip(weight[c], docs) if d[j] == v) + 0.05 * len(docs) * quality_model.EXPECTED[c][k] for j in range(3)] for k, v in enumerate((1, 0, -1))] for c in (0, 1)]
+        for c in (0, 1):
+            for j in range(3):
+                total = sum(share[c][k][j] for k in range(3))
+                for k in range(3):
+                    share[c][k][j] /= total
+        like = [[prior[c] * math.prod(share[c][(1, 0, -1).index(d[j])][j] for j in range(3)) for d in docs] for c in (0, 1)]
+        p = [a / (a + b) for a, b in zip(*like)]
+    of = {tuple(x): y for x, y in zip(patterns, post)}
+    assert [of[tuple(d)] for d in docs] == pytest.approx(p, abs=1e-6) and shares == pytest.approx(np.array(share), abs=1e-6)
 
 
 def test_expectation_maximisation_finds_the_better_labeller():
