@@ -105,7 +105,7 @@ def src_api_decode(spark, d):
     from .sources.provider import MonthlyGrid
 
     spark.dataSource.register(MonthlyGrid)
-    read = spark.read.format("monthly_grid").options(start="2024-01-01 00:00:00", end="2024-03-01 00:00:00", fetch="emberflux.sources.recorded:fetch").load()
+    read = spark.read.format("monthly_grid").options(start="2024-01-01 00:00:00", end="2024-03-01 00:00:00", pause="0", fetch="emberflux.sources.recorded:fetch").load()
     return payload.payload_rows(read).withColumn("month", F.concat(F.lit("p"), F.col("month").substr(7, 1).cast("int") - 1))
 
 
@@ -146,6 +146,7 @@ query(f"SELECT p.* FROM ({_PLAN}) p ANTI JOIN ({_PRESENT}) f USING (year, month)
 query(f"SELECT p.* FROM ({_PLAN}) p SEMI JOIN ({_PRESENT}) f USING (year, month)", "plan_present_months")(lambda spark, d: months.plan_present(_plan(spark), _present(spark)))
 query(f"SELECT p.year, p.month, CASE WHEN f.path IS NULL THEN 'fetch' ELSE 'overwrite' END AS status FROM ({_PLAN}) p LEFT JOIN ({_PRESENT}) f USING (year, month)", "plan_overwrite_all")(lambda spark, d: months.plan_by_policy(_plan(spark), _present(spark), "overwrite_all"))
 query(f"SELECT status, COUNT(*) AS n FROM (SELECT CASE WHEN f.path IS NULL THEN 'fetch' ELSE 'skip' END AS status FROM ({_PLAN}) p LEFT JOIN ({_PRESENT}) f USING (year, month)) GROUP BY 1", "status_counts")(lambda spark, d: months.plan_by_policy(_plan(spark), _present(spark), "skip_all").groupBy("status").agg(F.count("*").alias("n")))
+query(f"SELECT status, COUNT(*) AS n, list_aggregate((list(name ORDER BY name))[1:2], 'string_agg', ', ') || CASE WHEN COUNT(*) > 2 THEN ' and ' || (COUNT(*) - 2) || ' more' ELSE '' END AS line FROM (SELECT CASE WHEN f.path IS NULL THEN 'fetch' ELSE 'skip' END AS status, p.year || '-' || lpad(CAST(p.month AS VARCHAR), 2, '0') AS name FROM ({_PLAN}) p LEFT JOIN ({_PRESENT}) f USING (year, month)) GROUP BY 1", "status_report")(lambda spark, d: months.status_report(months.plan_by_policy(_plan(spark), _present(spark), "skip_all"), 2))
 query(_PLAN, "month_plan")(lambda spark, d: _plan(spark))
 query(f"SELECT year, month, list_transform(range(1, CAST(day(last_day(make_date(year, month, 1))) AS BIGINT) + 1), lambda d: lpad(CAST(d AS VARCHAR), 2, '0')) AS days FROM ({_PLAN})", "month_days")(lambda spark, d: months.month_days(_plan(spark)))
 
@@ -178,6 +179,8 @@ def _folder(spark, tag: str) -> str:
 
     sc = spark.sparkContext
     if not (found := spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()):
+        if sc.master.split("[")[0] != "local":
+            raise RuntimeError("name a folder that driver and executors share in spark.checkpoint.dir")
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="emberflux-"))
         found = sc.getCheckpointDir()
     return f"{found.rstrip('/')}/emberflux/{tag}-{uuid.uuid4().hex}"

@@ -32,6 +32,40 @@ def carry(df: DataFrame, value: str, out: str, time: str, by: tuple[str, ...] =
     return rows.withColumn("__i", inside).join(borders, keys).withColumn(out, F.coalesce("__i", "__c")).drop("__b", "__i", "__c")
 
 
+def previous(df: DataFrame, value: str, out: str, time: str, by: tuple[str, ...] = (), seconds: int = 86_400) -> DataFrame:
+    """Adds the `value` of the row before each in time, null for the first; times are distinct within a group."""
+    rows = df.withColumn("__b", _block(time, seconds))
+    keys = [*by, "__b"]
+    inside = F.lag(F.struct(value)).over(Window.partitionBy(*keys).orderBy(time))
+    ends = rows.groupBy(*keys).agg(F.max_by(F.struct(value), time).alias("__v"))
+    borders = ends.select(*keys, F.lag("__v").over(Window.partitionBy(*by).orderBy("__b")).alias("__c"))
+    return rows.withColumn("__i", inside).join(borders, keys).withColumn(out, F.coalesce("__i", "__c")[value]).drop("__b", "__i", "__c")
+
+
+def quantiles(df: DataFrame, column: str, shares: list[float]) -> list[float | None]:
+    """Exact interpolated quantiles: the values at two ranks each, found in a running sum of value counts.
+
+    No task holds all values of a column, and the driver gets two rows for each share.
+    """
+    counts = df.select(F.col(column).cast("double").alias("__x")).where("__x is not null").groupBy("__x").agg(F.count("*").alias("__n")).persist()
+    try:
+        total = counts.agg(F.sum("__n")).first()[0]
+        if not total:
+            return [None] * len(shares)
+        ranks = {k: None for p in shares for k in (int(p * (total - 1)), min(total - 1, int(p * (total - 1)) + 1))}
+        wanted = F.lit(False)
+        for k in ranks:
+            wanted = wanted | (F.col("__u") > k) & (F.col("__u") - F.col("__n") <= k)
+        for row in running_sum(counts, "__x", "__n", "__u").where(wanted).collect():
+            for k in ranks:
+                if row["__u"] - row["__n"] <= k < row["__u"]:
+                    ranks[k] = row["__x"]
+        at = [p * (total - 1) for p in shares]
+        return [ranks[int(x)] + (x - int(x)) * (ranks[min(total - 1, int(x) + 1)] - ranks[int(x)]) for x in at]
+    finally:
+        counts.unpersist()
+
+
 def running_sum(df: DataFrame, order: str, value: str, out: str, parts: int = 64) -> DataFrame:
     """Adds the sum of `value` over all rows up to each in `order`, whose values are distinct.
 

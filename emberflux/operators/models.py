@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import config as K
-from .blocks import running_sum
+from .blocks import quantiles, running_sum
 
 
 def ramp_pairs(df: DataFrame, step_seconds: int, y: str = "tons_co2", q: str = "total_generation", time: str = "timestamp", by: tuple[str, ...] = ()) -> DataFrame:
@@ -30,10 +30,9 @@ def adjacent_mean(column: str, time: str = "timestamp", by: tuple[str, ...] = ()
 
 def quantile_bins(df: DataFrame, column: str, n: int, out: str) -> DataFrame:
     """Adds the quantile bin 0..n-1; cut points are exact and belong to the upper bin."""
-    cuts = df.agg(F.percentile(column, F.array(*(F.lit(i / n) for i in range(1, n)))).alias("c")).first()["c"] or []
     bin_ = F.lit(0)
-    for c in cuts:
-        bin_ = bin_ + F.when(F.col(column) >= c, 1).otherwise(0)
+    for c in quantiles(df, column, [i / n for i in range(1, n)]):
+        bin_ = bin_ + F.when(F.col(column) >= F.lit(c).cast("double"), 1).otherwise(0)
     return df.withColumn(out, F.when(F.col(column).isNotNull(), bin_))
 
 

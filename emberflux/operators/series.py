@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .blocks import carry
+from .blocks import carry, previous
 
 MEANS = ("thermal_generation", "gas_generation", "hydro_generation", "nuclear_generation", "renewable_generation", "total_generation", "demand_met", "net_demand")
 WEIGHTED = ("g_co2_per_kwh", "tons_co2_per_mwh")
@@ -34,10 +34,9 @@ def gap_report(df: DataFrame, step: str, time: str = "timestamp") -> DataFrame:
 
 def detect_gaps(df: DataFrame, seconds: int, time: str = "timestamp", by: tuple[str, ...] = ()) -> DataFrame:
     """Neighbouring rows more than `seconds` apart, in each group."""
-    order = Window.partitionBy(*by).orderBy(time)
-    before = df.select(*by, F.col(time).alias("gap_end"), F.lag(time).over(order).alias("gap_start"))
+    before = previous(df.select(*by, F.col(time).alias("gap_end")).distinct(), "gap_end", "gap_start", "gap_end", by)
     size = (F.unix_micros(F.col("gap_end").cast("timestamp")) - F.unix_micros(F.col("gap_start").cast("timestamp"))) / 1e6
-    return before.withColumn("gap_seconds", size.cast("long")).where(F.col("gap_seconds") > seconds)
+    return before.select(*by, "gap_end", "gap_start", size.cast("long").alias("gap_seconds")).where(F.col("gap_seconds") > seconds)
 
 
 def completeness(df: DataFrame, step_seconds: int, time: str = "timestamp") -> DataFrame:

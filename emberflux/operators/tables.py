@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .blocks import quantiles
+
 NUMERIC = (T.NumericType,)
 
 
@@ -36,13 +38,22 @@ def compact_sorted(frames: Sequence[DataFrame], time: str = "timestamp") -> Data
 
 
 def write_by_month(df: DataFrame, path: str, time: str = "timestamp") -> None:
-    """Replace the months that df has, leave others: partitions year and month."""
+    """Replace the months that df has, leave others: partitions year and month. A large month is several tasks' work."""
     dated = df.withColumns({"year": F.year(time), "month": F.month(time)})
-    dated.repartition("year", "month").sortWithinPartitions(time).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("year", "month").parquet(path)
+    dated.repartitionByRange("year", "month", time).sortWithinPartitions("year", "month", time).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("year", "month").parquet(path)
+
+
+def row_bytes(df: DataFrame) -> float:
+    """Mean width of a row before compression; texts and binaries are measured, other fields count eight bytes."""
+    wide = [F.coalesce(F.octet_length(f.name), F.lit(0)) + 4 for f in df.schema if isinstance(f.dataType, (T.StringType, T.BinaryType))]
+    fixed = 8.0 * (len(df.columns) - len(wide))
+    return fixed + (float(df.agg(F.avg(sum(wide[1:], wide[0]))).first()[0] or 0) if wide else 0.0)
 
 
-def export_by_year(df: DataFrame, path: str, time: str = "timestamp", rows_per_file: int = 1_000_000) -> None:
-    df.withColumn("year", F.year(time)).repartitionByRange("year", time).sortWithinPartitions(time).write.mode("overwrite").option("maxRecordsPerFile", rows_per_file).partitionBy("year").parquet(path)
+def export_by_year(df: DataFrame, path: str, time: str = "timestamp", max_bytes: int = 100_000_000) -> None:
+    """A folder a year, in time order, in files of at most about `max_bytes`: rows are counted at their uncompressed width."""
+    rows = max(1, int(max_bytes / max(1.0, row_bytes(df))))
+    df.withColumn("year", F.year(time)).repartitionByRange("year", time).sortWithinPartitions("year", time).write.mode("overwrite").option("maxRecordsPerFile", rows).partitionBy("year").parquet(path)
 
 
 def in_box(n: float, w: float, s: float, e: float, latitude: str = "latitude", longitude: str = "longitude") -> Column:
@@ -67,10 +78,15 @@ def tail(df: DataFrame, n: int, order: str) -> DataFrame:
 
 
 def describe(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """One row for each column: counts, mean, deviation and quartiles as numbers."""
-    long = df.select(F.explode(F.array(*(F.struct(F.lit(c).alias("variable"), F.col(c).cast("double").alias("x")) for c in columns))).alias("v")).select("v.*")
-    quarter = lambda q: F.percentile("x", q)
-    return long.groupBy("variable").agg(F.count("x").alias("n"), F.count_if(F.isnull("x")).alias("n_null"), F.avg("x").alias("mean"), F.stddev_samp("x").alias("std"), F.min("x").alias("min"), quarter(0.25).alias("q25"), quarter(0.5).alias("median"), quarter(0.75).alias("q75"), F.max("x").alias("max"))
+    """One row for each column: counts, mean, deviation and exact quartiles as numbers."""
+    spark, out = df.sparkSession, None
+    for c in columns:
+        x = F.col(c).cast("double")
+        q25, median, q75 = quantiles(df, c, [0.25, 0.5, 0.75])
+        row = df.agg(F.count(x).alias("n"), F.count_if(F.isnull(x)).alias("n_null"), F.avg(x).alias("mean"), F.stddev_samp(x).alias("std"), F.min(x).alias("min"), F.max(x).alias("max"))
+        row = row.select(F.lit(c).alias("variable"), "n", "n_null", "mean", "std", "min", *(F.lit(v).cast("double").alias(name) for name, v in (("q25", q25), ("median", median), ("q75", q75))), "max")
+        out = row if out is None else out.unionByName(row)
+    return out if out is not None else spark.createDataFrame([], "variable string, n long, n_null long, mean double, std double, min double, q25 double, median double, q75 double, max double")
 
 
 def profile_nulls(df: DataFrame, columns: Sequence[str]) -> DataFrame:

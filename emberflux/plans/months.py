@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 FILE_MONTH = r"_(\d{4})[-_](\d{2})\.[A-Za-z0-9]+$"
@@ -57,3 +58,17 @@ def plan_by_policy(plan: DataFrame, present: DataFrame, policy: str) -> DataFram
         raise ValueError(f"unknown policy {policy!r}")
     found = plan.join(present.select("year", "month", F.lit(True).alias("found")), ["year", "month"], "left")
     return found.withColumn("status", F.when(F.col("found").isNull(), "fetch").otherwise("overwrite" if policy == "overwrite_all" else "skip")).drop("found")
+
+
+def status_report(plan: DataFrame, most: int) -> DataFrame:
+    """Of each status the number of months, the first `most` of them in order, and a line that tells how many more there are.
+
+    Only the first months of a status are gathered.
+    """
+    order = Window.partitionBy("status").orderBy("year", "month")
+    name = F.concat_ws("-", F.lpad(F.col("year").cast("string"), 4, "0"), F.lpad(F.col("month").cast("string"), 2, "0"))
+    first = plan.select("status", F.row_number().over(order).alias("k"), name.alias("name")).where(F.col("k") <= most)
+    named = first.groupBy("status").agg(F.array_sort(F.collect_list("name")).alias("first"))
+    both = plan.groupBy("status").agg(F.count("*").alias("n")).join(named, "status")
+    more = F.when(F.col("n") > most, F.concat(F.lit(" and "), (F.col("n") - most).cast("string"), F.lit(" more"))).otherwise(F.lit(""))
+    return both.select("status", "n", F.concat(F.array_join("first", ", "), more).alias("line"))

@@ -1,5 +1,6 @@
 """Units with results worked out by hand, properties, and shapes of plans."""
 
+import sys
 from datetime import date, datetime
 
 import numpy as np
@@ -60,6 +61,49 @@ def test_reader_tries_again():
     assert len(list(reader.read(reader.partitions()[0]))) == 1 and not calls
 
 
+def test_reader_signs_in_again(monkeypatch):
+    import types
+    import urllib.error
+
+    tokens, tried, slept = [], [], []
+
+    def login(url):
+        tokens.append(f"t{len(tokens)}")
+        return {"token": tokens[-1]}
+
+    def fetch(url, a, b, headers):
+        tried.append(headers["token"])
+        if len(tried) == 2:
+            raise urllib.error.HTTPError(url, 401, "who", None, None)
+        return f"{a:%m}"
+
+    monkeypatch.setitem(sys.modules, "own_service", types.SimpleNamespace(login=login, fetch=fetch))
+    monkeypatch.setattr(provider.time, "sleep", slept.append)
+    reader = provider.MonthlyGridReader({"start": "2024-01-01", "end": "2024-04-01", "fetch": "own_service:fetch", "login": "own_service:login", "pause": "7"})
+    assert len(reader.partitions()) == 1
+    assert list(reader.read(reader.partitions()[0])) == [("2024-01", "01"), ("2024-02", "02"), ("2024-03", "03")]
+    assert tried == ["t0", "t0", "t1", "t1"] and slept == [7.0, 7.0]
+    two = provider.MonthlyGridReader({"start": "2024-01-01", "end": "2024-04-01", "streams": "2"})
+    assert [len(x.value) for x in two.partitions()] == [2, 1]
+
+
+def test_exact_quantiles(spark):
+    from emberflux.operators.blocks import quantiles
+
+    x = np.random.default_rng(4).integers(0, 60, 501).astype(float)
+    df = spark.createDataFrame([(float(v),) for v in x] + [(None,)], "v double")
+    shares = [0.0, 0.1, 0.25, 0.5, 0.9, 1.0]
+    assert quantiles(df, "v", shares) == pytest.approx(list(np.quantile(x, shares)))
+    assert quantiles(df.where("v < 0"), "v", [0.5]) == [None]
+
+
+def test_export_by_year_keeps_files_small(spark, tmp_path):
+    df = spark.range(4000).selectExpr("timestamp_ntz'2024-01-01' + make_interval(0, 0, 0, 0, id) as timestamp", "id as v")
+    tables.export_by_year(df, str(tmp_path / "y"), max_bytes=16 * 500)
+    back = spark.read.parquet(str(tmp_path / "y"))
+    assert back.count() == 4000 and back.groupBy("_metadata.file_path").count().agg({"count": "max"}).first()[0] <= 500
+
+
 def test_union_relaxed_widens_and_refuses(spark):
     a, b, c = spark.sql("SELECT 1 AS x"), spark.sql("SELECT 2.5D AS x"), spark.sql("SELECT 'y' AS x")
     assert rows(tables.union_relaxed([a, b])) == [(1.0,), (2.5,)]
