@@ -173,23 +173,24 @@ def _concentrated(vectors: DataFrame, groups: DataFrame, by: list[str], core: fl
     return near.select(*key, *((F.col(f"s{i}") / n).alias(f"m{i}") for i in range(P)), *((scale * cov[i, j]).alias(f"c{i}{j}") for i, j in PAIRS))
 
 
-def minimum_covariance(vectors: DataFrame, core: float, steps: int, prior: float) -> DataFrame:
+def minimum_covariance(vectors: DataFrame, core: float, steps: int, prior: float, tolerance: float = 1e-3) -> DataFrame:
     """Mean, covariance, factor and log-determinant of each (lang, source) group: the least determinant of all starts.
 
-    `steps` bounds the concentration steps of a start; most end before, as the determinant falls no more.
+    A start ends when a concentration step lowers its log-determinant by no more than `tolerance`, after
+    `steps` steps at the latest.
     """
     vectors, above = vectors.select(*GROUP, *(f"f{i}" for i in range(P))), None
     for level in (1, 2, 3):
         by, shared = list(GROUP[:level]), list(GROUP[: level - 1])
         now = C.materialize(_factored(_starts(vectors, by), above, shared, prior).withColumn("determinant", F.lit(float("inf"))).withColumn("falls", F.lit(True)), "mcd")
-        for _ in range(steps):
+        for step in range(steps):
             new = _factored(_concentrated(vectors, now.where("falls"), by, core), above, shared, prior)
             key = [*by, "start", "size"]
             values = [c for c in now.columns if c not in (*key, "falls")]
             both = now.join(new.select(*key, F.struct(*values).alias("new")), key, "left")
-            less = F.coalesce(F.col("new.determinant") < F.col("determinant") - 1e-9, F.lit(False))
+            less = F.coalesce(F.col("new.determinant") < F.col("determinant") - tolerance, F.lit(False))
             now = C.materialize(both.select(*key, less.alias("falls"), *(F.when(less, F.col(f"new.{v}")).otherwise(F.col(v)).alias(v) for v in values)), "mcd")
-            if now.where("falls").isEmpty():
+            if step + 1 < steps and now.where("falls").isEmpty():
                 break
         least = now.groupBy(*by).agg(F.min(F.struct("determinant", "start", *(c for c in now.columns if c not in (*by, "determinant", "start", "falls")))).alias("best"))
         above = C.materialize(least.select(*by, "best.*").drop("start", "size"), "mcd")

@@ -221,7 +221,7 @@ def restated_distances(rows, core=0.75, steps=10, prior=50.0):
                     bin_ = np.round(np.log(far + 1e-6) * 64)
                     near = own[bin_ <= sorted(bin_)[max(1, math.floor(core * len(own))) - 1]]
                     new = drawn(near.mean(0), scale * np.cov(near.T, bias=True).reshape(4, 4))
-                    if not (value := np.linalg.slogdet(new[1])[1]) < least - 1e-9:
+                    if not (value := np.linalg.slogdet(new[1])[1]) < least - 1e-3:
                         break
                     now, least = new, value
                 if least < best[0]:
