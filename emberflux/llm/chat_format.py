@@ -86,7 +86,8 @@ def format_chat(messages: DataFrame, parameters: DataFrame | None = None) -> Dat
     columns are ignored; an empty table gives an empty result.
     """
     spark = messages.sparkSession
-    parameters = spark.createDataFrame([], PARAMETERS) if parameters is None else parameters
+    if parameters is None:
+        parameters = spark.range(0).select(*(F.lit(None).cast(kind).alias(name) for name, kind in (x.split() for x in PARAMETERS.split(", "))))
     rows = _parsed(messages)
     calls = C.materialize(_calls(rows), "calls")
     asks = rows.select(*MESSAGE, "role", "text", (F.col("role").eqNullSafe("assistant") & F.col("body.tool_calls").isNotNull()).alias("asks"), (F.col("role").eqNullSafe("tool") & F.col("body.tool_call_id").isNotNull()).alias("answers"), "body")
@@ -127,7 +128,8 @@ def tool_traffic(conversations: DataFrame) -> DataFrame:
 
 def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole table, which holds no call itself, seen as tool traffic, so that linking, order and checks have work."""
-    parameters = spark.createDataFrame(ASK, PARAMETERS)
+    names = [x.split()[0] for x in PARAMETERS.split(", ")]
+    parameters = spark.range(1).select(F.inline(F.array(*(F.struct(*(F.lit(v).alias(name) for v, name in zip(row, names))) for row in ASK))))
     return format_chat(tool_traffic(spark.read.parquet(f"{sf_dir}/conversations.parquet")), parameters)
 
 
