@@ -15,6 +15,7 @@ beyond a chi-square quantile of the squared distance are rejected.
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,10 +27,12 @@ WORD = r"[^\x20\x09-\x0D]+"
 P = 4
 #: Least standard deviation of each feature, so that a group in which a feature never varies rejects no small departure.
 FLOORS = (0.5, 0.08, 0.5, 0.5)
-#: What names a group: all rows by the first column, a language by two, a (lang, source) group by all three.
-GROUP = ("g_all", "g_lang", "g_source")
+#: What names a group: its level (1 all rows, 2 a language, 3 a language and source) and what tells it from others of the level.
+GROUP = ["g_level", "g_lang", "g_source"]
+START = [*GROUP, "start", "size"]
 PAIRS = [(i, j) for i in range(P) for j in range(i + 1)]
-M, COV = [f"m{i}" for i in range(P)], [f"c{i}{j}" for i, j in PAIRS]
+M, COV, FACTOR = [f"m{i}" for i in range(P)], [f"c{i}{j}" for i, j in PAIRS], [f"l{i}{j}" for i, j in PAIRS]
+UP = [f"up_{v}" for v in (*M, *COV)]
 
 
 def statistics(docs: DataFrame) -> DataFrame:
@@ -85,6 +88,16 @@ def _consistency(core: float) -> float:
     return core / (1 - math.exp(-x) * (1 + x + x * x / 2))
 
 
+def _at(level: int, rows: DataFrame, *columns: str) -> DataFrame:
+    """The rows as members of their groups of one level."""
+    return rows.select(F.lit(level).alias("g_level"), *((F.col(c) if level > k else F.lit("")).alias(c) for k, c in enumerate(GROUP) if k), *columns)
+
+
+def _every_level(part: Callable[[int], DataFrame]) -> DataFrame:
+    """One DataFrame of all levels. Each has joins of its own, so that the one group of all rows never is a hot join key."""
+    return part(1).unionByName(part(2)).unionByName(part(3))
+
+
 def _cut(counts: DataFrame, share: float, *by: str) -> DataFrame:
     """The least bin at which a histogram (by.., bin, n) holds `share` of its rows."""
     order = Window.partitionBy(*by).orderBy("bin")
@@ -92,30 +105,31 @@ def _cut(counts: DataFrame, share: float, *by: str) -> DataFrame:
     return run.where(F.col("up_to") >= share * F.col("all")).groupBy(*by).agg(F.min("bin").alias("bin"))
 
 
-def _medians(vectors: DataFrame, by: list[str], width: float = 0.02) -> DataFrame:
+def _medians(vectors: DataFrame, width: float = 0.02) -> DataFrame:
     """Rows `size`, median and scaled median deviation of each feature in each group, from histograms of fixed width."""
-    long = vectors.select(*by, F.posexplode(F.array(*(f"f{i}" for i in range(P)))).alias("feature", "x"))
-    counts = C.materialize(long.groupBy(*by, "feature", F.round(F.col("x") / width).cast("int").alias("bin")).agg(F.count("*").alias("n")), "mcd")
-    middle = _cut(counts, 0.5, *by, "feature").withColumnRenamed("bin", "middle")
-    off = counts.join(middle, [*by, "feature"]).groupBy(*by, "feature", F.abs(F.col("bin") - F.col("middle")).alias("bin")).agg(F.sum("n").alias("n"))
-    sizes = counts.groupBy(*by, "feature").agg(F.sum("n").alias("n"))
-    both = middle.join(_cut(off, 0.5, *by, "feature"), [*by, "feature"]).join(sizes, [*by, "feature"])
+    long = vectors.select(*GROUP, F.posexplode(F.array(*(f"f{i}" for i in range(P)))).alias("feature", "x"))
+    finest = C.materialize(long.groupBy("g_lang", "g_source", "feature", F.round(F.col("x") / width).cast("int").alias("bin")).agg(F.count("*").alias("n")), "mcd")
+    counts = C.materialize(_every_level(lambda k: _at(k, finest, "feature", "bin", "n").groupBy(*GROUP, "feature", "bin").agg(F.sum("n").alias("n"))), "mcd")
+    middle = _cut(counts, 0.5, *GROUP, "feature").withColumnRenamed("bin", "middle")
+    off = counts.join(middle, [*GROUP, "feature"]).groupBy(*GROUP, "feature", F.abs(F.col("bin") - F.col("middle")).alias("bin")).agg(F.sum("n").alias("n"))
+    sizes = counts.groupBy(*GROUP, "feature").agg(F.sum("n").alias("n"))
+    both = middle.join(_cut(off, 0.5, *GROUP, "feature"), [*GROUP, "feature"]).join(sizes, [*GROUP, "feature"])
     of = lambda i, value: F.max(F.when(F.col("feature") == i, value))
-    rows = both.groupBy(*by).agg(F.max("n").alias("size"), *(of(i, F.col("middle") * width).alias(f"a{i}") for i in range(P)), *(of(i, 1.4826 * width * F.col("bin")).alias(f"d{i}") for i in range(P)))
-    return C.materialize(rows.select(*by, "size", *(f"a{i}" for i in range(P)), *(F.greatest(F.col(f"d{i}"), F.lit(FLOORS[i])).alias(f"d{i}") for i in range(P))), "mcd")
+    rows = both.groupBy(*GROUP).agg(F.max("n").alias("size"), *(of(i, F.col("middle") * width).alias(f"a{i}") for i in range(P)), *(of(i, 1.4826 * width * F.col("bin")).alias(f"d{i}") for i in range(P)))
+    return C.materialize(rows.select(*GROUP, "size", *(f"a{i}" for i in range(P)), *(F.greatest(F.col(f"d{i}"), F.lit(FLOORS[i])).alias(f"d{i}") for i in range(P))), "mcd")
 
 
 def _moments(n: Column, sums: list[Column], squares: dict) -> dict:
     return {(i, j): squares[i, j] / n - sums[i] * sums[j] / n / n for i, j in PAIRS}
 
 
-def _starts(vectors: DataFrame, by: list[str]) -> DataFrame:
-    """by.., start, size and the raw mean m0.. and covariance c00.. of the three starts of each group."""
-    middle = _medians(vectors, by)
-    rows = vectors.join(middle.drop("size"), by)
+def _starts(vectors: DataFrame) -> DataFrame:
+    """The key START and the raw mean m0.. and covariance c00.. of the three starts of each group of every level."""
+    middle = _medians(vectors)
     x = [F.col(f"f{i}") for i in range(P)]
     y = [F.tanh((F.col(f"f{i}") - F.col(f"a{i}")) / F.col(f"d{i}")) for i in range(P)]
-    sums = rows.groupBy(*by).agg(F.count("*").alias("n"), *(F.sum(v[i]).alias(f"{k}{i}") for k, v in (("x", x), ("y", y)) for i in range(P)), *(F.sum(v[i] * v[j]).alias(f"{k}{i}{j}") for k, v in (("xx", x), ("yy", y)) for i, j in PAIRS))
+    totals = [F.count("*").alias("n"), *(F.sum(v[i]).alias(f"{k}{i}") for k, v in (("x", x), ("y", y)) for i in range(P)), *(F.sum(v[i] * v[j]).alias(f"{k}{i}{j}") for k, v in (("xx", x), ("yy", y)) for i, j in PAIRS)]
+    sums = _every_level(lambda k: _at(k, vectors, *(f"f{i}" for i in range(P))).join(middle.where(F.col("g_level") == k).drop("size"), GROUP).groupBy(*GROUP).agg(*totals))
     n = F.col("n")
     plain = _moments(n, [F.col(f"x{i}") for i in range(P)], {(i, j): F.col(f"xx{i}{j}") for i, j in PAIRS})
     score = _moments(n, [F.col(f"y{i}") for i in range(P)], {(i, j): F.col(f"yy{i}{j}") for i, j in PAIRS})
@@ -126,19 +140,16 @@ def _starts(vectors: DataFrame, by: list[str]) -> DataFrame:
         ([F.col(f"x{i}") / n for i in range(P)], [plain[p] for p in PAIRS]),
         ([F.col(f"a{i}") for i in range(P)], [deviation[i] * deviation[i] if i == j else score[i, j] / spread[i] / spread[j] * deviation[i] * deviation[j] for i, j in PAIRS]),
     ]
-    both = sums.join(middle, by)
+    both = sums.join(middle, GROUP)
     each = F.explode(F.array(*(F.struct(F.lit(k).alias("start"), *(c.alias(f"m{i}") for i, c in enumerate(m)), *(c.alias(name) for c, name in zip(cov, COV))) for k, (m, cov) in enumerate(starts)))).alias("s")
-    return both.select(*by, "size", each).select(*by, "size", "s.*")
+    return both.select(*GROUP, "size", each).select(*GROUP, "size", "s.*")
 
 
-def _factored(raw: DataFrame, above: DataFrame | None, shared: list[str], prior: float) -> DataFrame:
-    """The estimate drawn towards the level above, with floors on its variances, its Cholesky factor l00.. and log-determinant."""
-    if above is not None:
-        raw = raw.join(above.select(*shared, *(F.col(v).alias(f"up_{v}") for v in (*M, *COV))), shared)
-        weight = F.col("size") / (F.col("size") + F.lit(prior))
-        raw = raw.select(*(c for c in raw.columns if c not in (*M, *COV) and not c.startswith("up_")), *((weight * F.col(v) + (1 - weight) * F.col(f"up_{v}")).alias(v) for v in (*M, *COV)))
-    for i in range(P):
-        raw = raw.withColumn(f"c{i}{i}", F.greatest(F.col(f"c{i}{i}"), F.lit(FLOORS[i] ** 2)))
+def _factored(raw: DataFrame, prior: float) -> DataFrame:
+    """The estimate drawn towards that of the level above (UP), with floors on its variances, its Cholesky factor l00.. and log-determinant."""
+    weight = F.when(F.col("g_level") == 1, 1.0).otherwise(F.col("size") / (F.col("size") + F.lit(prior)))
+    raw = raw.withColumns({v: weight * F.col(v) + (1 - weight) * F.col(f"up_{v}") for v in (*M, *COV)})
+    raw = raw.withColumns({f"c{i}{i}": F.greatest(F.col(f"c{i}{i}"), F.lit(FLOORS[i] ** 2)) for i in range(P)})
     for i, j in PAIRS:
         rest = F.col(f"c{i}{j}")
         for k in range(j):
@@ -147,10 +158,10 @@ def _factored(raw: DataFrame, above: DataFrame | None, shared: list[str], prior:
     return raw.withColumn("determinant", 2 * sum((F.log(f"l{i}{i}") for i in range(1, P)), F.log("l00")))
 
 
-def _distances(vectors: DataFrame, groups: DataFrame, by: list[str], how: str = "inner") -> DataFrame:
+def _distances(vectors: DataFrame, groups: DataFrame, how: str = "inner") -> DataFrame:
     """The rows and their squared distance from their group; a row for each start, if groups have starts."""
     more = [c for c in ("start", "size") if c in groups.columns]
-    rows = vectors.join(groups.select(*by, *more, *M, *(f"l{i}{j}" for i, j in PAIRS)), by, how)
+    rows = vectors.join(groups.select(*GROUP, *more, *M, *FACTOR), GROUP, how)
     for i in range(P):
         rest = F.col(f"f{i}") - F.col(f"m{i}")
         for k in range(i):
@@ -160,40 +171,44 @@ def _distances(vectors: DataFrame, groups: DataFrame, by: list[str], how: str =
     return rows.select(*vectors.columns, *more, total.alias("distance"))
 
 
-def _concentrated(vectors: DataFrame, groups: DataFrame, by: list[str], core: float) -> DataFrame:
+def _concentrated(vectors: DataFrame, groups: DataFrame, core: float) -> DataFrame:
     """Raw mean and covariance of the rows nearest to each estimate: the bins of distance up to the share `core`."""
-    far = _distances(vectors, groups, by)
-    key = [*by, "start", "size"]
-    bins = far.groupBy(*key, F.round(F.log(F.col("distance") + 1e-6) * 64).cast("int").alias("bin")).agg(F.count("*").alias("n"), *(F.sum(f"f{i}").alias(f"s{i}") for i in range(P)), *(F.sum(F.col(f"f{i}") * F.col(f"f{j}")).alias(f"q{i}{j}") for i, j in PAIRS))
-    before = F.sum("n").over(Window.partitionBy(*key).orderBy("bin")) - F.col("n")
+    far = _distances(vectors, groups)
+    bins = far.groupBy(*START, F.round(F.log(F.col("distance") + 1e-6) * 64).cast("int").alias("bin")).agg(F.count("*").alias("n"), *(F.sum(f"f{i}").alias(f"s{i}") for i in range(P)), *(F.sum(F.col(f"f{i}") * F.col(f"f{j}")).alias(f"q{i}{j}") for i, j in PAIRS))
+    before = F.sum("n").over(Window.partitionBy(*START).orderBy("bin")) - F.col("n")
     near = bins.withColumn("before", before).where(F.col("before") < F.greatest(F.lit(1), F.floor(core * F.col("size"))))
-    near = near.groupBy(*key).agg(F.sum("n").alias("n"), *(F.sum(f"s{i}").alias(f"s{i}") for i in range(P)), *(F.sum(f"q{i}{j}").alias(f"q{i}{j}") for i, j in PAIRS))
+    near = near.groupBy(*START).agg(F.sum("n").alias("n"), *(F.sum(f"s{i}").alias(f"s{i}") for i in range(P)), *(F.sum(f"q{i}{j}").alias(f"q{i}{j}") for i, j in PAIRS))
     n, scale = F.col("n"), _consistency(core)
     cov = _moments(n, [F.col(f"s{i}") for i in range(P)], {(i, j): F.col(f"q{i}{j}") for i, j in PAIRS})
-    return near.select(*key, *((F.col(f"s{i}") / n).alias(f"m{i}") for i in range(P)), *((scale * cov[i, j]).alias(f"c{i}{j}") for i, j in PAIRS))
+    return near.select(*START, *((F.col(f"s{i}") / n).alias(f"m{i}") for i in range(P)), *((scale * cov[i, j]).alias(f"c{i}{j}") for i, j in PAIRS))
 
 
 def minimum_covariance(vectors: DataFrame, core: float, steps: int, prior: float, tolerance: float = 1e-3) -> DataFrame:
     """Mean, covariance, factor and log-determinant of each (lang, source) group: the least determinant of all starts.
 
-    A start ends when a concentration step lowers its log-determinant by no more than `tolerance`, after
-    `steps` steps at the latest.
+    The starts of all levels are worked out together. An estimate's table carries that of the level above
+    it, so a step joins the rows with the estimates, and the new estimates with the old ones. A start
+    ends when a step lowers its log-determinant by no more than `tolerance`, after `steps` steps at the latest.
     """
-    vectors, above = vectors.select(*GROUP, *(f"f{i}" for i in range(P))), None
+    features, values = [f"f{i}" for i in range(P)], [*M, *COV, *FACTOR, "determinant"]
+    starts, above = C.materialize(_starts(vectors), "mcd"), None
     for level in (1, 2, 3):
-        by, shared = list(GROUP[:level]), list(GROUP[: level - 1])
-        now = C.materialize(_factored(_starts(vectors, by), above, shared, prior).withColumn("determinant", F.lit(float("inf"))).withColumn("falls", F.lit(True)), "mcd")
+        members, now = _at(level, vectors, *features), starts.where(F.col("g_level") == level)
+        if above is None:
+            now = now.select("*", *(F.lit(0.0).alias(v) for v in UP))
+        else:
+            parents = above.select(F.col("g_lang").alias("p_lang"), *(F.col(v).alias(f"up_{v}") for v in (*M, *COV)))
+            now = now.withColumn("p_lang", F.col("g_lang") if level == 3 else F.lit("")).join(parents, "p_lang").drop("p_lang")
+        now = C.materialize(_factored(now, prior).withColumn("determinant", F.lit(float("inf"))).select(*START, *UP, F.lit(True).alias("falls"), *values), "mcd")
         for step in range(steps):
-            new = _factored(_concentrated(vectors, now.where("falls"), by, core), above, shared, prior)
-            key = [*by, "start", "size"]
-            values = [c for c in now.columns if c not in (*key, "falls")]
-            both = now.join(new.select(*key, F.struct(*values).alias("new")), key, "left")
-            less = F.coalesce(F.col("new.determinant") < F.col("determinant") - tolerance, F.lit(False))
-            now = C.materialize(both.select(*key, less.alias("falls"), *(F.when(less, F.col(f"new.{v}")).otherwise(F.col(v)).alias(v) for v in values)), "mcd")
+            old = now.select(*START, *UP, F.struct(*values).alias("old"))
+            new = _factored(old.join(_concentrated(members, now.where("falls"), core), START, "left"), prior)
+            less = F.col("m0").isNotNull() & (F.col("determinant") < F.col("old.determinant") - tolerance)
+            now = C.materialize(new.select(*START, *UP, less.alias("falls"), *(F.when(less, F.col(v)).otherwise(F.col(f"old.{v}")).alias(v) for v in values)), "mcd")
             if step + 1 < steps and now.where("falls").isEmpty():
                 break
-        least = now.groupBy(*by).agg(F.min(F.struct("determinant", "start", *(c for c in now.columns if c not in (*by, "determinant", "start", "falls")))).alias("best"))
-        above = C.materialize(least.select(*by, "best.*").drop("start", "size"), "mcd")
+        least = now.groupBy(*GROUP).agg(F.min(F.struct("determinant", "start", *(v for v in values if v != "determinant"))).alias("best"))
+        above = C.materialize(least.select(*GROUP, "best.*").drop("start"), "mcd")
     return above
 
 
@@ -206,11 +221,11 @@ def quality_rules(documents: DataFrame, core: float = 0.75, steps: int = 10, alp
     source (row_key is `row_key()` of them); rows without doc_id are left out; other columns are ignored;
     an empty table gives an empty result.
     """
-    docs = C.documents(documents, F.lit(0).alias("g_all"), F.coalesce(F.col("lang").cast("string"), F.lit("\0")).alias("g_lang"), F.coalesce(F.col("source").cast("string"), F.lit("\0")).alias("g_source"), row_key().alias("row_key"))
+    docs = C.documents(documents, F.lit(3).alias("g_level"), F.coalesce(F.col("lang").cast("string"), F.lit("\0")).alias("g_lang"), F.coalesce(F.col("source").cast("string"), F.lit("\0")).alias("g_source"), row_key().alias("row_key"))
     rated = statistics(docs).drop("text").withColumn("base_failed", base_failed())
     rated = C.materialize(rated.select("*", *(f.alias(f"f{i}") for i, f in enumerate(_features()))), "statistics")
     estimate = minimum_covariance(rated.where("not base_failed"), core, steps, prior)
-    judged = _distances(rated, estimate, list(GROUP), "left")
+    judged = _distances(rated, estimate, "left")
     far = F.coalesce(F.col("distance") > quantile(1 - alpha), F.lit(False))
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", (~F.col("base_failed") & ~far).alias("kept"), "distance", "row_key")
 
