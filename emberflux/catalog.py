@@ -109,6 +109,16 @@ def src_api_decode(spark, d):
     return payload.payload_rows(read).withColumn("month", F.concat(F.lit("p"), F.col("month").substr(7, 1).cast("int") - 1))
 
 
+@query("SELECT CAST(year(m) AS INT) AS year, CAST(month(m) AS INT) AS month, CASE WHEN month(m) % 3 = 0 THEN 'failed' ELSE 'success' END AS status, CASE WHEN month(m) % 3 = 0 THEN NULL WHEN month(m) % 2 = 0 THEN 'data.grib' ELSE strftime(m, 'era5-land_%Y-%m.grib') END AS member, CASE WHEN month(m) % 3 = 0 THEN NULL ELSE CAST(4 + 24 * day(last_day(m)) AS INT) END AS size FROM (SELECT unnest(generate_series(TIMESTAMP '2023-12-01', TIMESTAMP '2024-05-01', INTERVAL 1 MONTH)) AS m)")
+def src_weather_months(spark, d):
+    """Through the Python data source, with recorded bodies in place of the store."""
+    from .sources.weather import MonthlyWeather
+
+    spark.dataSource.register(MonthlyWeather)
+    read = spark.read.format("monthly_weather").options(dataset="era5-land", start="2023-12-15", end="2024-05-02", bounds="37,68,6,98", variables="2m_temperature", streams="2", retries="2", delay="0", fetch="emberflux.sources.recorded:weather").load()
+    return read.select("year", "month", "status", "member", F.length("content").alias("size"))
+
+
 @query(f"SELECT month, timestamp, demand_met, net_demand FROM ({_PAYLOAD_SQL})")
 def project_variables(spark, d):
     return payload.payload_rows(_payloads(spark)).select("month", "timestamp", "demand_met", "net_demand")

@@ -64,6 +64,8 @@ BOOLEANS = {
     "off": False,
 }
 RESOLUTION = {"era5-world": 0.25, "era5-land": 0.1}
+# The store's names of the datasets.
+PRODUCTS = {"era5-world": "reanalysis-era5-single-levels", "era5-land": "reanalysis-era5-land"}
 
 # Variables that the world dataset does not deliver.
 DENIED_WORLD = (

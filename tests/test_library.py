@@ -164,6 +164,20 @@ def test_zip_extraction(spark, tmp_path):
     assert sorted((r["member"], bytes(r["content"])) for r in found.collect()) == [("b.grib", b"GRIBmore"), ("x.grib", b"GRIBdata")]
 
 
+def test_weather_source(spark):
+    from emberflux.sources.weather import MonthlyWeather, request_of, unpacked
+
+    spark.dataSource.register(MonthlyWeather)
+    options = {"dataset": "land", "start": "2024-01-31", "end": "2024-04-01", "bounds": "37,68,6,98", "variables": "a, b", "delay": "0", "fetch": "emberflux.sources.recorded:weather"}
+    read = spark.read.format("monthly_weather").options(**options)
+    assert sorted((r["month"], r["status"], r["member"], r["content"] and len(r["content"])) for r in read.load().collect()) == [(1, "success", "era5-land_2024-01.grib", 748), (2, "success", "data.grib", 700), (3, "failed", None, None), (4, "success", "data.grib", 724)]
+    assert [r["month"] for r in read.option("months", "2024-02").load().collect()] == [2]
+    assert read.option("months", "").load().isEmpty()
+    assert len(request_of(2024, 2, ["a"], [1.0, 2.0, 0.0, 3.0])["day"]) == 29
+    with pytest.raises(ValueError):
+        unpacked(b"<html>", "x")
+
+
 def test_additive_model_finds_a_known_curve(spark):
     x = np.linspace(0, 10, 400)
     df = spark.createDataFrame([(float(a), float(np.sin(a) + 2)) for a in x], "x double, y double")
