@@ -107,7 +107,7 @@ def _cut(counts: DataFrame, share: float, *by: str) -> DataFrame:
 
 def _medians(vectors: DataFrame, width: float = 0.02) -> DataFrame:
     """Rows `size`, median and scaled median deviation of each feature in each group, from histograms of fixed width."""
-    long = vectors.select(*GROUP, F.posexplode(F.array(*(f"f{i}" for i in range(P)))).alias("feature", "x"))
+    long = vectors.select(*GROUP[1:], F.posexplode(F.array(*(f"f{i}" for i in range(P)))).alias("feature", "x"))
     finest = C.materialize(long.groupBy("g_lang", "g_source", "feature", F.round(F.col("x") / width).cast("int").alias("bin")).agg(F.count("*").alias("n")), "mcd")
     counts = C.materialize(_every_level(lambda k: _at(k, finest, "feature", "bin", "n").groupBy(*GROUP, "feature", "bin").agg(F.sum("n").alias("n"))), "mcd")
     middle = _cut(counts, 0.5, *GROUP, "feature").withColumnRenamed("bin", "middle")
