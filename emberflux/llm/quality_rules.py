@@ -8,7 +8,8 @@ Mahalanobis distance (a share `core` of the group) give the next mean and covari
 determinant stops falling; of all starts the least determinant counts. Levels go from all rows down, and
 every estimate is drawn at each step towards that of the level above: n rows count against `prior` rows
 of it, so every row is judged however small its group. All group statistics are counts, sums and
-fixed-width histograms, which combine on the map side, so a hot group is never gathered anywhere. Rows
+fixed-width histograms, which combine on the map side, and rows meet the few numbers of their group by
+broadcast or, beyond a checked size, by group and salt, so a hot group is never gathered anywhere. Rows
 beyond a chi-square quantile of the squared distance are rejected.
 """
 
@@ -33,6 +34,9 @@ START = [*GROUP, "start", "size"]
 PAIRS = [(i, j) for i in range(P) for j in range(i + 1)]
 M, COV, FACTOR = [f"m{i}" for i in range(P)], [f"c{i}{j}" for i, j in PAIRS], [f"l{i}{j}" for i, j in PAIRS]
 UP = [f"up_{v}" for v in (*M, *COV)]
+#: Tables of groups with up to this many rows (some 5 MB) are broadcast; beyond it rows meet their groups by group and salt.
+BROADCAST_ROWS = 20_000
+SALTS = 64
 
 
 def statistics(docs: DataFrame) -> DataFrame:
@@ -98,6 +102,18 @@ def _every_level(part: Callable[[int], DataFrame]) -> DataFrame:
     return part(1).unionByName(part(2)).unionByName(part(3))
 
 
+def _few(groups: DataFrame) -> bool:
+    return groups.count() <= BROADCAST_ROWS
+
+
+def _meet(rows: DataFrame, groups: DataFrame, few: bool, how: str = "inner") -> DataFrame:
+    """The rows with the columns of their groups; a hot group's rows stay where they are, or are dealt over SALTS."""
+    if few:
+        return rows.join(F.broadcast(groups), GROUP, how)
+    dealt = rows.withColumn("salt", (F.monotonically_increasing_id() % SALTS).cast("int"))
+    return dealt.join(groups.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))), [*GROUP, "salt"], how).drop("salt")
+
+
 def _cut(counts: DataFrame, share: float, *by: str) -> DataFrame:
     """The least bin at which a histogram (by.., bin, n) holds `share` of its rows."""
     order = Window.partitionBy(*by).orderBy("bin")
@@ -126,10 +142,11 @@ def _moments(n: Column, sums: list[Column], squares: dict) -> dict:
 def _starts(vectors: DataFrame) -> DataFrame:
     """The key START and the raw mean m0.. and covariance c00.. of the three starts of each group of every level."""
     middle = _medians(vectors)
+    few = _few(middle)
     x = [F.col(f"f{i}") for i in range(P)]
     y = [F.tanh((F.col(f"f{i}") - F.col(f"a{i}")) / F.col(f"d{i}")) for i in range(P)]
     totals = [F.count("*").alias("n"), *(F.sum(v[i]).alias(f"{k}{i}") for k, v in (("x", x), ("y", y)) for i in range(P)), *(F.sum(v[i] * v[j]).alias(f"{k}{i}{j}") for k, v in (("xx", x), ("yy", y)) for i, j in PAIRS)]
-    sums = _every_level(lambda k: _at(k, vectors, *(f"f{i}" for i in range(P))).join(middle.where(F.col("g_level") == k).drop("size"), GROUP).groupBy(*GROUP).agg(*totals))
+    sums = _every_level(lambda k: _meet(_at(k, vectors, *(f"f{i}" for i in range(P))), middle.where(F.col("g_level") == k).drop("size"), few).groupBy(*GROUP).agg(*totals))
     n = F.col("n")
     plain = _moments(n, [F.col(f"x{i}") for i in range(P)], {(i, j): F.col(f"xx{i}{j}") for i, j in PAIRS})
     score = _moments(n, [F.col(f"y{i}") for i in range(P)], {(i, j): F.col(f"yy{i}{j}") for i, j in PAIRS})
@@ -158,10 +175,10 @@ def _factored(raw: DataFrame, prior: float) -> DataFrame:
     return raw.withColumn("determinant", 2 * sum((F.log(f"l{i}{i}") for i in range(1, P)), F.log("l00")))
 
 
-def _distances(vectors: DataFrame, groups: DataFrame, how: str = "inner") -> DataFrame:
+def _distances(vectors: DataFrame, groups: DataFrame, few: bool, how: str = "inner") -> DataFrame:
     """The rows and their squared distance from their group; a row for each start, if groups have starts."""
     more = [c for c in ("start", "size") if c in groups.columns]
-    rows = vectors.join(groups.select(*GROUP, *more, *M, *FACTOR), GROUP, how)
+    rows = _meet(vectors, groups.select(*GROUP, *more, *M, *FACTOR), few, how)
     for i in range(P):
         rest = F.col(f"f{i}") - F.col(f"m{i}")
         for k in range(i):
@@ -171,9 +188,9 @@ def _distances(vectors: DataFrame, groups: DataFrame, how: str = "inner") -> Dat
     return rows.select(*vectors.columns, *more, total.alias("distance"))
 
 
-def _concentrated(vectors: DataFrame, groups: DataFrame, core: float) -> DataFrame:
+def _concentrated(vectors: DataFrame, groups: DataFrame, few: bool, core: float) -> DataFrame:
     """Raw mean and covariance of the rows nearest to each estimate: the bins of distance up to the share `core`."""
-    far = _distances(vectors, groups)
+    far = _distances(vectors, groups, few)
     bins = far.groupBy(*START, F.round(F.log(F.col("distance") + 1e-6) * 64).cast("int").alias("bin")).agg(F.count("*").alias("n"), *(F.sum(f"f{i}").alias(f"s{i}") for i in range(P)), *(F.sum(F.col(f"f{i}") * F.col(f"f{j}")).alias(f"q{i}{j}") for i, j in PAIRS))
     before = F.sum("n").over(Window.partitionBy(*START).orderBy("bin")) - F.col("n")
     near = bins.withColumn("before", before).where(F.col("before") < F.greatest(F.lit(1), F.floor(core * F.col("size"))))
@@ -192,6 +209,7 @@ def minimum_covariance(vectors: DataFrame, core: float, steps: int, prior: float
     """
     features, values = [f"f{i}" for i in range(P)], [*M, *COV, *FACTOR, "determinant"]
     starts, above = C.materialize(_starts(vectors), "mcd"), None
+    few = _few(starts)
     for level in (1, 2, 3):
         members, now = _at(level, vectors, *features), starts.where(F.col("g_level") == level)
         if above is None:
@@ -202,7 +220,7 @@ def minimum_covariance(vectors: DataFrame, core: float, steps: int, prior: float
         now = C.materialize(_factored(now, prior).withColumn("determinant", F.lit(float("inf"))).select(*START, *UP, F.lit(True).alias("falls"), *values), "mcd")
         for step in range(steps):
             old = now.select(*START, *UP, F.struct(*values).alias("old"))
-            new = _factored(old.join(_concentrated(members, now.where("falls"), core), START, "left"), prior)
+            new = _factored(old.join(_concentrated(members, now.where("falls"), few, core), START, "left"), prior)
             less = F.col("m0").isNotNull() & (F.col("determinant") < F.col("old.determinant") - tolerance)
             now = C.materialize(new.select(*START, *UP, less.alias("falls"), *(F.when(less, F.col(v)).otherwise(F.col(f"old.{v}")).alias(v) for v in values)), "mcd")
             if step + 1 < steps and now.where("falls").isEmpty():
@@ -225,7 +243,7 @@ def quality_rules(documents: DataFrame, core: float = 0.75, steps: int = 10, alp
     rated = statistics(docs).drop("text").withColumn("base_failed", base_failed())
     rated = C.materialize(rated.select("*", *(f.alias(f"f{i}") for i, f in enumerate(_features()))), "statistics")
     estimate = minimum_covariance(rated.where("not base_failed"), core, steps, prior)
-    judged = _distances(rated, estimate, "left")
+    judged = _distances(rated, estimate, _few(estimate), "left")
     far = F.coalesce(F.col("distance") > quantile(1 - alpha), F.lit(False))
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", (~F.col("base_failed") & ~far).alias("kept"), "distance", "row_key")
 

@@ -250,7 +250,9 @@ def test_least_determinant_is_that_of_many_random_starts(spark):
     assert min(far) > quality_rules.quantile(1 - 1e-6)
 
 
-def test_quality_rules_restated(spark):
+@pytest.mark.parametrize("broadcast_rows", [quality_rules.BROADCAST_ROWS, 0])
+def test_quality_rules_restated(spark, monkeypatch, broadcast_rows):
+    monkeypatch.setattr(quality_rules, "BROADCAST_ROWS", broadcast_rows)
     rng = random.Random(10)
     texts_of = lambda: "\n".join(" ".join(rng.choice(["ab", "cdefg", "h#", "ijklm|", "nopqrstu"]) for _ in range(rng.randint(3, 30))) for _ in range(rng.randint(4, 9)))
     rows = [(i, texts_of(), rng.choice("xxxyz"), rng.choice("aab")) for i in range(160)] + [(900, texts_of(), "w", "a")]
