@@ -161,3 +161,13 @@ def range_hash(sums: np.ndarray, a: np.ndarray, b: np.ndarray, which: int) -> np
 
 def hex_sha256(column) -> "F.Column":
     return F.sha2(column, 256)
+
+
+#: SQL: a table `tab` of one row, the list of what crc32 makes of each byte, for crc32_sql.
+CRC_TABLE = "tab AS (SELECT list(list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0], lambda a, b: CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END) ORDER BY i) AS tab FROM range(256) AS r(i))"
+
+
+def crc32_sql(text: str) -> str:
+    """SQL of the unsigned crc32 of a string's UTF-8 bytes, where CRC_TABLE is joined."""
+    octets = f"list_transform(range(octet_length(encode({text}))), lambda i: CAST('0x' || substr(hex(encode({text})), 2 * i + 1, 2) AS BIGINT))"
+    return f"xor(list_reduce(list_prepend(4294967295, {octets}), lambda a, b: xor(a >> 8, tab[(xor(a, b) & 255) + 1])), 4294967295)"

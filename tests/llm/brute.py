@@ -2,6 +2,7 @@
 
 import hashlib
 import re
+import zlib
 from collections import Counter, defaultdict
 
 WORDS = re.compile(r"[^\x20\x09-\x0D]+")
@@ -117,3 +118,60 @@ def counts(text):
     lines = [x for x in text.split("\n") if WORDS.search(x)]
     n = sum(again)
     return len(w), sum(map(len, w)), len(re.findall(r"[#*$%&|<>]", text)), len(lines) - len(set(lines)), n, len(w) < 10 or 100 * n > 20 * len(w)
+
+
+def prefix_nodes(rows):
+    """conv_id, depth, parent_conv_id, n_convs, n_children, n_leaves, saved_tokens and ends_sha256 of (conv_id, turn, role, text)."""
+    own = defaultdict(list)
+    for c, t, r, x in rows:
+        if c is not None:
+            own[c].append((t is not None, t or 0, r or "", x or ""))
+    own = {c: [(r, x) for *_, r, x in sorted(v)] for c, v in own.items()}
+    full, members, below = {}, defaultdict(list), defaultdict(list)
+    for c, v in own.items():
+        rest = abs(c) % 5
+        h = zlib.crc32(str(c).encode()) % 9
+        full[c] = tuple((own.get(c - rest if c > 0 else c + rest, [])[:h] if rest else v[:h]) + v[h:])
+        for d in range(len(full[c]) + 1):
+            members[full[c][:d]].append(c)
+    for x in members:
+        if x:
+            below[x[:-1]].append(x)
+    leaves, saved, out = {}, {}, []
+    for x, m in sorted(members.items(), key=lambda i: -len(i[0])):
+        leaves[x] = sum(leaves[y] for y in below[x]) if below[x] else 1
+        saved[x] = sum(saved[y] for y in below[x]) + ((len(m) - 1) * len(x[-1][1].encode()) if x else 0)
+        ends = sorted(c for c in m if len(full[c]) == len(x))
+        out.append((min(m), len(x), min(members[x[:-1]]) if x else None, len(m), len(below[x]), leaves[x], saved[x], sha(",".join(map(str, ends)).encode())))
+    return out
+
+
+def variants(rows, drop=199):
+    """word, form, root, n, n_near and form_n."""
+    n = Counter()
+    for d, t in rows:
+        for run in re.findall("[A-Za-zÀ-ÿ]+", t or ""):
+            run = re.sub("[A-Z]", lambda m: m[0].lower(), run)
+            h = zlib.crc32(f"{d}:{run}".encode())
+            if h % drop == 0:
+                run = run[: h % len(run)] + run[h % len(run) + 1 :]
+            n[run] += len(run) > 5
+    n = {w: c for w, c in n.items() if c >= 5}
+    parts, near, form = defaultdict(set), {w: set() for w in n}, {}
+    for w in n:
+        for i in range(len(w)):
+            parts[i, w[:i] + w[i + 1 :]].add(w)
+            if w[:i] + w[i + 1 :] in n:
+                near[w].add(w[:i] + w[i + 1 :])
+                near[w[:i] + w[i + 1 :]].add(w)
+    for same in parts.values():
+        for w in same:
+            near[w] |= same - {w}
+    for w in n:
+        best = min(near[w], key=lambda x: (-n[x], x), default=None)
+        form[w] = best if best and n[best] >= 5 * n[w] else None
+
+    def root(w):
+        return root(form[w]) if form[w] else w
+
+    return [(w, form[w], root(w), n[w], len(near[w]), n.get(form[w])) for w in n]
