@@ -13,6 +13,14 @@ SF = "/root/testdata/sf0.001"
 TURNS = "conv_id long, turn long, role string, text string, pos int, node string, block int"
 
 
+@pytest.fixture(autouse=True)
+def many_ranges(spark):
+    """Small ranges of rows stay ranges of their own."""
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    yield
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
 def talks(spark, rows, parts=6):
     return spark.createDataFrame([(*r, 1, "x", 2) for r in rows], TURNS).repartition(parts)
 
