@@ -17,6 +17,7 @@ from . import common as C
 
 #: What names a message: of several with one conv_id and turn, `message` (64 bits of role and text) tells which.
 MESSAGE = ["conv_id", "turn", "message"]
+CALL = [*MESSAGE, "place"]
 BODY = "content string, tool_call_id string, tool_calls array<struct<id:string,name:string,arguments:string,after:array<string>>>"
 PARAMETERS = "name string, parameter string, type string, required boolean"
 #: JSON kinds by what schema_of_variant says of a value.
@@ -58,19 +59,19 @@ def _levels(calls: DataFrame) -> DataFrame:
 
 
 def _problems(calls: DataFrame, parameters: DataFrame) -> DataFrame:
-    """conv_id, id, canonical arguments and the sorted problems of each call."""
-    calls = calls.where("not repeated").select("conv_id", "id", "name", F.try_parse_json("arguments").alias("args"))
+    """CALL, canonical arguments and the sorted problems of each call, those that repeat an id too."""
+    calls = calls.select(*CALL, "name", F.try_parse_json("arguments").alias("args"))
     calls = calls.withColumn("canonical", F.to_json("args"))
-    given = calls.where("args is not null").lateralJoin(calls.sparkSession.tvf.variant_explode(F.col("args").outer())).select("conv_id", "id", "name", F.col("key").alias("parameter"), F.schema_of_variant("value").alias("kind")).where("parameter is not null")
+    given = calls.where("args is not null").lateralJoin(calls.sparkSession.tvf.variant_explode(F.col("args").outer())).select(*CALL, "name", F.col("key").alias("parameter"), F.schema_of_variant("value").alias("kind")).where("parameter is not null")
     matches = F.coalesce(*(F.when(F.col("type") == t, F.col("kind").rlike(p)) for t, p in TYPES.items()), F.lit(True))
     known = parameters.withColumn("known", F.lit(True))
-    wrong = given.join(known, ["name", "parameter"], "left").select("conv_id", "id", F.when(F.col("known").isNull(), F.concat(F.lit("unknown parameter "), "parameter")).when(~matches, F.concat(F.lit("wrong type of "), "parameter")).alias("problem"))
-    needed = calls.join(parameters.where("required"), "name").select("conv_id", "id", "parameter")
-    missing = needed.join(given.select("conv_id", "id", "parameter"), ["conv_id", "id", "parameter"], "left_anti").select("conv_id", "id", F.concat(F.lit("missing "), "parameter").alias("problem"))
-    unnamed = calls.join(parameters.select("name").distinct(), "name", "left_anti").select("conv_id", "id", F.lit("unknown tool").alias("problem"))
-    broken = calls.where("args is null").select("conv_id", "id", F.lit("arguments are not JSON").alias("problem"))
+    wrong = given.join(known, ["name", "parameter"], "left").select(*CALL, F.when(F.col("known").isNull(), F.concat(F.lit("unknown parameter "), "parameter")).when(~matches, F.concat(F.lit("wrong type of "), "parameter")).alias("problem"))
+    needed = calls.join(parameters.where("required"), "name").select(*CALL, "parameter")
+    missing = needed.join(given.select(*CALL, "parameter"), [*CALL, "parameter"], "left_anti").select(*CALL, F.concat(F.lit("missing "), "parameter").alias("problem"))
+    unnamed = calls.join(parameters.select("name").distinct(), "name", "left_anti").select(*CALL, F.lit("unknown tool").alias("problem"))
+    broken = calls.where("args is null").select(*CALL, F.lit("arguments are not JSON").alias("problem"))
     all_ = wrong.where("problem is not null").unionByName(missing).unionByName(unnamed).unionByName(broken)
-    return calls.select("conv_id", "id", "canonical").join(all_.groupBy("conv_id", "id").agg(F.array_sort(F.collect_set("problem")).alias("problems")), ["conv_id", "id"], "left")
+    return calls.select(*CALL, "canonical").join(all_.groupBy(*CALL).agg(F.array_sort(F.collect_set("problem")).alias("problems")), CALL, "left")
 
 
 def format_chat(messages: DataFrame, parameters: DataFrame | None = None) -> DataFrame:
@@ -80,7 +81,8 @@ def format_chat(messages: DataFrame, parameters: DataFrame | None = None) -> Dat
     its level (null on a cycle), the turn of its first result (null: none), and its problems. A tool
     message tells in `linked` whether a call with its id exists. Defined cases: null role or text is a
     JSON null; text that isn't a JSON object is content; a call without id is dropped from the calls;
-    of calls with one id in a conversation the first counts, later ones are marked `repeated`; rows
+    of calls with one id in a conversation the first owns it; later ones are marked `repeated`, keep their own
+    name, arguments and problems, have neither level nor result, and stand last in their message; rows
     that repeat conv_id and turn each give a row with their own calls, equal rows the same line; texts of
     any length are content as they are; rows without conv_id or turn are left out; other
     columns are ignored; an empty table gives an empty result.
@@ -93,7 +95,8 @@ def format_chat(messages: DataFrame, parameters: DataFrame | None = None) -> Dat
     asks = rows.select(*MESSAGE, "role", "text", (F.col("role").eqNullSafe("assistant") & F.col("body.tool_calls").isNotNull()).alias("asks"), (F.col("role").eqNullSafe("tool") & F.col("body.tool_call_id").isNotNull()).alias("answers"), "body")
     plain = asks.where("not asks and not answers").select("conv_id", "turn", F.to_json(F.struct(F.col("text").alias("content"), "role"), {"ignoreNullFields": "false"}).alias("json"), *(F.lit(0).cast("long").alias(c) for c in ("n_calls", "n_linked", "n_invalid")))
     results = rows.where("role = 'tool' and body.tool_call_id is not null").groupBy("conv_id", F.col("body.tool_call_id").alias("id")).agg(F.min("turn").alias("result_turn"))
-    linked = calls.join(_levels(calls), ["conv_id", "id"], "left").join(results, ["conv_id", "id"], "left").join(_problems(calls, parameters), ["conv_id", "id"], "left")
+    owned = F.col("id").alias("owned")
+    linked = calls.withColumn("owned", F.when(~F.col("repeated"), F.col("id"))).join(_levels(calls).select("conv_id", owned, "level"), ["conv_id", "owned"], "left").join(results.select("conv_id", owned, "result_turn"), ["conv_id", "owned"], "left").join(_problems(calls, parameters), CALL, "left")
     one = F.struct(F.col("level").isNull().alias("cyclic"), "level", "place", F.coalesce("canonical", F.to_json(F.struct("arguments"))).alias("arguments"), "id", "name", "problems", "repeated", "result_turn")
     per_message = linked.groupBy(*MESSAGE).agg(F.array_sort(F.collect_list(one)).alias("calls"), F.count("*").alias("n_calls"), F.count("result_turn").alias("n_linked"), F.sum((F.size(F.coalesce("problems", F.array())) > 0).cast("long")).alias("n_invalid"))
     ordered = F.expr("transform(calls, c -> struct(c.arguments, c.id, c.level, c.name, coalesce(c.problems, cast(array() as array<string>)) as problems, c.repeated, c.result_turn))")
@@ -112,14 +115,15 @@ def tool_traffic(conversations: DataFrame) -> DataFrame:
 
     A call has the id `c<turn>`, builds on the call two turns before (but every eighth turn starts anew),
     and is in part faulty, by its turn and length: no `chars`, `chars` as a string, an unknown parameter,
-    an unknown tool. Other turns stay as they are.
+    an unknown tool. Every thirteenth by length is followed by a second call of its id, with other arguments. Other turns stay as they are.
     """
     turn, n = F.col("turn"), F.length(F.coalesce("text", F.lit("")))
     id_of = lambda t: F.concat(F.lit("c"), t.cast("string"))
     chars = F.when(n % 5 == 0, F.lit("")).when(n % 5 == 1, F.concat(F.lit('"chars":"'), n.cast("string"), F.lit('",'))).otherwise(F.concat(F.lit('"chars":'), n.cast("string"), F.lit(",")))
     arguments = F.concat(F.lit("{"), chars, F.when(n % 7 == 0, F.lit('"mood":1,')).otherwise(""), F.lit('"text":'), F.to_json(F.struct(F.coalesce("text", F.lit("")).alias("t"))).substr(F.lit(6), F.lit(1 << 30)))
     call = F.struct(id_of(turn).alias("id"), F.when(n % 11 == 0, F.lit("seek")).otherwise(F.lit("ask")).alias("name"), arguments.alias("arguments"), F.when(turn % 8 >= 2, F.array(id_of(turn - 2))).otherwise(F.array().cast("array<string>")).alias("after"))
-    asked = F.to_json(F.struct(F.lit("").alias("content"), F.array(call).alias("tool_calls")))
+    again = F.struct(id_of(turn).alias("id"), F.lit("ask").alias("name"), F.concat(F.lit('{"chars":'), (n + 1).cast("string"), F.lit(',"lang":"de"}')).alias("arguments"), F.array().cast("array<string>").alias("after"))
+    asked = F.to_json(F.struct(F.lit("").alias("content"), F.when(n % 13 == 0, F.array(call, again)).otherwise(F.array(call)).alias("tool_calls")))
     answered = F.to_json(F.struct(F.coalesce("text", F.lit("")).alias("content"), id_of(turn - 1).alias("tool_call_id")))
     user, assistant = F.col("role").eqNullSafe("user"), F.col("role").eqNullSafe("assistant")
     role = F.when(user, F.lit("assistant")).when(assistant, F.lit("tool")).otherwise(F.col("role"))
@@ -154,9 +158,10 @@ WITH RECURSIVE m AS (
     FROM linked LEFT JOIN levels USING (conv_id, turn)
 )
 SELECT conv_id, turn,
-    CASE WHEN asks THEN CAST(to_json({content: '', role: 'assistant', tool_calls: [{arguments: arguments, id: id, level: level, name: CASE WHEN n % 11 = 0 THEN 'seek' ELSE 'ask' END, problems: problems, repeated: false, result_turn: result_turn}]}) AS VARCHAR)
+    CASE WHEN asks THEN CAST(to_json({content: '', role: 'assistant', tool_calls: [{arguments: arguments, id: id, level: level, name: CASE WHEN n % 11 = 0 THEN 'seek' ELSE 'ask' END, problems: problems, repeated: false, result_turn: result_turn}]
+            || CASE WHEN n % 13 = 0 THEN [{arguments: '{"chars":' || (n + 1) || ',"lang":"de"}', id: id, level: NULL, name: 'ask', problems: ['missing text'], repeated: true, result_turn: NULL}] ELSE [] END}) AS VARCHAR)
         WHEN answers THEN CAST(to_json({content: text, linked: known, role: 'tool', tool_call_id: 'c' || (turn - 1)}) AS VARCHAR)
         ELSE CAST(to_json({content: text, role: role}) AS VARCHAR) END AS json,
-    CASE WHEN asks THEN 1 ELSE 0 END::BIGINT AS n_calls, CASE WHEN asks AND result_turn IS NOT NULL THEN 1 ELSE 0 END::BIGINT AS n_linked, CASE WHEN asks AND len(problems) > 0 THEN 1 ELSE 0 END::BIGINT AS n_invalid
+    CASE WHEN asks AND n % 13 = 0 THEN 2 WHEN asks THEN 1 ELSE 0 END::BIGINT AS n_calls, CASE WHEN asks AND result_turn IS NOT NULL THEN 1 ELSE 0 END::BIGINT AS n_linked, (CASE WHEN asks AND len(problems) > 0 THEN 1 ELSE 0 END + CASE WHEN asks AND n % 13 = 0 THEN 1 ELSE 0 END)::BIGINT AS n_invalid
 FROM checked
 """
