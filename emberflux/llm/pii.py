@@ -1,13 +1,14 @@
 """Operator 5: personal data, by patterns and by what terms disclose, in DataFrame functions only.
 
 Base spans come from four patterns. Beyond them, corpus co-occurrence estimates how strongly a term
-reveals a protected value e (any valid address or number of a base span): with D documents,
-IC(e) = ln(D / n_e), and the share of IC(e) that the term t gives away is PMI(t, e) / IC(e) =
-1 + ln(P(e|t)) / IC(e), P(e|t) being n_te / n_t. n_t counts documents with t, n_te those with t near e, on
-one line. Every value and every term near it is judged; thin evidence is shrunk and not left out:
-P(e|t) is the lower Wilson bound of its share, with as many trials as different lines support, so that
-copies prove nothing. Terms at `remove` or more are removed, at `generalise` or more replaced by their
-class, where they stand in a document that holds e.
+discloses a protected value e (any valid address or number of a base span): once the term t is known,
+-log2 P(e|t) bits about e are left, P(e|t) being n_te / n_t. n_t counts documents with t, n_te those with t near e, on
+one line. Nothing else enters, so documents that hold neither t nor e change no verdict. Every value
+and every term near it is judged; thin evidence is shrunk and not left out: P(e|t) is the lower Wilson bound of its
+share, with as many trials as different lines support, so that copies prove nothing and a word seen
+three times or less has always more than a bit left. Terms that leave `remove` bits or fewer are removed, those that
+leave `generalise` or fewer replaced by their class (a name if written with a capital, else a
+term), where they stand in a document that holds e.
 """
 
 from __future__ import annotations
@@ -18,7 +19,7 @@ from pyspark.sql import Window
 
 from . import common as C
 
-KINDS = ("email", "ip", "card", "phone", "term", "general")
+KINDS = ("email", "ip", "card", "phone", "term", "general", "name")
 #: The patterns of the contract; atomic and anchored forms that match the same spans without quadratic retries.
 PATTERNS = (
     r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++",
@@ -100,28 +101,28 @@ def mentions(base: DataFrame) -> DataFrame:
     return base.select(*ROW, "entity", F.xxhash64("near").alias("near_id"), F.array_distinct(F.regexp_extract_all("near", F.lit(TERM), F.lit(0))).alias("terms"))
 
 
-def judged_terms(told: DataFrame, docs: DataFrame, z: float) -> DataFrame:
-    """entity, term and share of each term near each protected value. `told` is what `mentions` gives."""
-    values = told.groupBy("entity").agg(F.countDistinct("doc_id").alias("n_e"))
+def judged_terms(told: DataFrame, docs: DataFrame, z: float, most_bits: float) -> DataFrame:
+    """entity, term and bits left of each term near a protected value that leaves `most_bits` or fewer. `told` is what `mentions` gives."""
     pairs = told.select("doc_id", "entity", "near_id", F.explode("terms").alias("term"))
     pairs = pairs.groupBy("entity", "term").agg(F.countDistinct("doc_id").alias("n_te"), F.countDistinct("near_id").alias("n_lines"))
+    # With n of n trials the bound is n / (n + z^2), and further trials only lower it: fewer can't be enough.
+    share = 2.0**-most_bits
+    pairs = pairs.where(F.least("n_te", "n_lines") >= z * z * share / (1 - share))
     words = docs.select(F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(TERM), F.lit(0)))).alias("term"))
     totals = words.groupBy("term").agg(F.count("*").alias("n_t"))
-    scored = pairs.join(totals, "term").join(values, "entity")
-    content = F.log(F.lit(float(docs.count())) / F.col("n_e"))
     p = F.least(F.col("n_te") / F.col("n_t"), F.lit(1.0))
     trials = F.least("n_te", "n_lines") / p
     low = (p + z * z / 2 / trials - z * F.sqrt(p * (1 - p) / trials + z * z / 4 / trials / trials)) / (1 + z * z / trials)
-    return scored.select("entity", "term", F.when(content > 0, 1 + F.log(low) / content).alias("share"))
+    return pairs.join(totals, "term").select("entity", "term", (-F.log2(low)).alias("bits")).where(F.col("bits") <= most_bits)
 
 
 def disclosing_terms(rows: DataFrame, base: DataFrame, docs: DataFrame, remove: float, generalise: float, z: float) -> DataFrame:
     """The spans of the terms to remove and to generalise, in rows that hold the value they tell of."""
     told = mentions(base)
-    shares = judged_terms(told, docs, z).where(F.col("share") >= generalise)
+    bits = judged_terms(told, docs, z, generalise)
     words = _matches(rows, TERM, 0).select(*ROW, "start", "end", "value", F.lower("value").alias("term"))
-    here = words.join(shares, "term").join(told.select(*ROW, "entity").distinct(), [*ROW, "entity"], "left_semi")
-    return here.groupBy(*ROW, "start", "end", "value").agg(F.max("share").alias("share")).select(*ROW, "start", F.when(F.col("share") >= remove, 4).otherwise(5).alias("kind"), "end", "value")
+    here = words.join(bits, "term").join(told.select(*ROW, "entity").distinct(), [*ROW, "entity"], "left_semi")
+    return here.groupBy(*ROW, "start", "end", "value").agg(F.min("bits").alias("bits")).select(*ROW, "start", F.when(F.col("bits") <= remove, 4).when(F.col("value").rlike(r"^\p{Lu}"), 6).otherwise(5).alias("kind"), "end", "value")
 
 
 def _arrays(base: DataFrame, terms: DataFrame, block: int = 512) -> DataFrame:
@@ -145,7 +146,7 @@ def _arrays(base: DataFrame, terms: DataFrame, block: int = 512) -> DataFrame:
     return blocks.groupBy(*ROW).agg(flat("base"), flat("spans"), cuts.alias("cuts"))
 
 
-def find_private(documents: DataFrame, *keep: str, remove: float = 0.9, generalise: float = 0.7, z: float = 1.96, reach: int = 200) -> DataFrame:
+def find_private(documents: DataFrame, *keep: str, remove: float = 0.3, generalise: float = 1.0, z: float = 1.96, reach: int = 200) -> DataFrame:
     """doc_id, text, the columns `keep`, base spans, all spans, and cuts (see `sanitized`) of each document.
 
     A span has start, kind (place in KINDS), end (code points, end exclusive) and value; arrays are
@@ -166,7 +167,7 @@ def find_private(documents: DataFrame, *keep: str, remove: float = 0.9, generali
 def sanitized() -> Column:
     """The text of a find_private row, base spans and generalised terms replaced by their kind, other terms removed."""
     text = F.coalesce("text", F.lit(""))
-    names = F.array(*(F.lit(x) for x in ("<EMAIL>", "<IP>", "<CARD>", "<PHONE>", "", "<TERM>")))
+    names = F.array(*(F.lit(x) for x in ("<EMAIL>", "<IP>", "<CARD>", "<PHONE>", "", "<TERM>", "<NAME>")))
 
     def pieces(block: Column) -> Column:
         first, last = F.get(block, F.lit(0)), F.element_at(block, -1)

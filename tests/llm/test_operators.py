@@ -1,5 +1,6 @@
 """Each operator against a plain restatement, on random texts and on the defined edge cases."""
 
+import json
 import math
 import random
 
@@ -289,39 +290,55 @@ def test_pii_of_many_spans_in_one_text(spark):
         at, clean = 0, ""
         for x in r["spans"]:
             if x["start"] >= at:
-                clean += r["text"][at : x["start"]] + ("<EMAIL>", "<IP>", "<CARD>", "<PHONE>", "", "<TERM>")[x["kind"]]
+                clean += r["text"][at : x["start"]] + ("<EMAIL>", "<IP>", "<CARD>", "<PHONE>", "", "<TERM>", "<NAME>")[x["kind"]]
             at = max(at, x["end"])
         assert r["clean"] == clean + r["text"][at:]
         base = [(x["start"], x["end"]) for x in r["base"]]
         assert not any(a < x["end"] and x["start"] < b for x in r["spans"] if x["kind"] > 3 for a, b in base)
 
 
-def test_pii_disclosing_terms(spark):
-    filler = lambda i: " ".join(f"word{(i * 7 + k) % 400}" + "abcdefghij"[(i + k) % 10] for k in range(12))
-    rows = [(i, f"{filler(i)} zebrafish common mail x@y.org\nend common") for i in range(12)] + [(100 + i, f"{filler(i + 50)} common") for i in range(400)]
-    df = pii.find_private(spark.createDataFrame(rows, "doc_id long, text string"))
-    out = {r["doc_id"]: ([s["value"] for s in r["spans"]], r["clean"]) for r in df.withColumn("clean", pii.sanitized()).collect()}
-    assert "zebrafish" in out[0][0] and "zebrafish" not in out[0][1] and "common" not in out[0][0] and "<EMAIL>" in out[0][1]
-    assert all(out[100 + i] == ([], f"{filler(i + 50)} common") for i in range(400))
-
-
-def test_pii_terms_of_values_mentioned_once(spark):
-    rows = [(i, f"common plain words with more text{'abcdefghij'[i % 10]}") for i in range(1200)]
-    rows += [(2000, "ask Quagmire common or q@x.org\nplain Quagmire"), (2001, "zebrafish one a@b.org"), (2002, "zebrafish two a@b.org"), (2003, "zebrafish three a@b.org"), (2004, "Quagmire is no value here")]
-    rows += [(3000 + i, "copycat word c@d.org") for i in range(9)]
+def planted(n):
+    """Documents with a name, a place and a common word near one address n times, and unrelated ones."""
+    rng = random.Random(72)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(rng.randint(4, 7)))
+    rows = [(i, f"{word()} Quagmire common {word()} q@x.org or street {word()}\nend common {word()}") for i in range(n)]
+    rows += [(100 + i, f"{word()} {word()} street common") for i in range(4)]
+    return rows + [(200 + i, f"{word()} common {word()} {word()}@{word()}.org {word()}") for i in range(50)]
+
+
+def bits_left(n_te, n_lines, n_t, z=1.96):
+    p, n = n_te / n_t, min(n_te, n_lines) * n_t / n_te
+    return -math.log2((p + z * z / 2 / n - z * math.sqrt(p * (1 - p) / n + z * z / 4 / n**2)) / (1 + z * z / n))
+
+
+@pytest.mark.parametrize("n", [3, 6, 20])
+def test_pii_terms_follow_evidence_only(spark, n):
+    """Whatever the number of unrelated documents, a term seen 20 times is removed, 6 times generalised, and no rare word is touched."""
+    rows = planted(n)
+    found = []
+    for more in (0, 60, 3000):
+        df = spark.createDataFrame(rows + [(1000 + i, f"x y unrelated common{i}") for i in range(more)], "doc_id long, text string")
+        out = pii.find_private(df).withColumn("clean", pii.sanitized()).where("doc_id < 1000")
+        found.append(sorted((r["doc_id"], r["clean"], [(x["start"], x["kind"], x["value"]) for x in r["spans"] if x["kind"] > 3]) for r in out.collect()))
+    assert found[0] == found[1] == found[2]
+    kinds = {"Quagmire": {3: None, 6: 6, 20: 4}[n], "street": {3: None, 6: None, 20: 5}[n]}
+    assert bits_left(6, 6, 6) <= 1 and bits_left(20, 20, 20) <= 0.3 and bits_left(6, 6, 10) > 1 >= bits_left(20, 20, 24) > 0.3
+    for d, clean, spans in found[0]:
+        assert [(k, v) for _, k, v in spans] == [(k, v) for v, k in kinds.items() if k and d < n]
+        assert ("Quagmire" in clean) == (d < n and n == 3) and "common" in clean
+        if d < n:
+            assert "<EMAIL>" in clean and ("<NAME>" in clean) == (n == 6) and ("or <TERM>" in clean) == (n == 20)
+
+
+def test_pii_bits_of_terms(spark):
+    rows = planted(20) + [(2000 + i, "copycat word c@d.org") for i in range(30)]
     df = spark.createDataFrame(rows, "doc_id long, text string")
     told = pii.mentions(pii.base_spans(df.withColumn("row_key", F.xxhash64("text")), 200))
-    shares = {(r["entity"], r["term"]): r["share"] for r in pii.judged_terms(told, df, 1.96).collect()}
-    seen = {"q@x.org": (1, {"ask": (1, 1, 1), "quagmire": (1, 1, 2), "common": (1, 1, 1201)}), "a@b.org": (3, {"zebrafish": (3, 3, 3), "one": (1, 1, 1), "two": (1, 1, 1), "three": (1, 1, 1)}), "c@d.org": (9, {"copycat": (9, 1, 9), "word": (9, 1, 9)})}
-    expected = {}
-    for entity, (n_e, terms) in seen.items():
-        for term, (n_te, n_lines, n_t) in terms.items():
-            p, n = n_te / n_t, min(n_te, n_lines) * n_t / n_te
-            low = (p + 1.96**2 / 2 / n - 1.96 * math.sqrt(p * (1 - p) / n + 1.96**2 / 4 / n**2)) / (1 + 1.96**2 / n)
-            expected[entity, term] = 1 + math.log(low) / math.log(len(rows) / n_e)
-    assert shares == pytest.approx(expected)
-    out = {r["doc_id"]: r["clean"] for r in pii.find_private(df).withColumn("clean", pii.sanitized()).collect()}
-    assert out[2000] == "<TERM> Quagmire common or <EMAIL>\nplain Quagmire" and out[2001].startswith("<TERM> ") and out[2004] == rows[-10][1] and "copycat" in out[3000]
+    bits = {(r["entity"], r["term"]): r["bits"] for r in pii.judged_terms(told, df, 1.96, 9.0).collect()}
+    assert bits["q@x.org", "quagmire"] == pytest.approx(bits_left(20, 20, 20)) and bits["q@x.org", "street"] == pytest.approx(bits_left(20, 20, 24))
+    assert bits["q@x.org", "common"] == pytest.approx(bits_left(20, 20, 74)) and bits["c@d.org", "copycat"] == pytest.approx(bits_left(30, 1, 30))
+    few = {(r["entity"], r["term"]) for r in pii.judged_terms(told, df, 1.96, 1.0).collect()}
+    assert few == {k for k, x in bits.items() if x <= 1} == {("q@x.org", "quagmire"), ("q@x.org", "street")}
 
 
 def test_language_id(spark):
@@ -458,6 +475,20 @@ def test_chat_format(spark):
     assert '"linked":true' in next(k for k in got if k[:2] == (1, 2))[2] and '"linked":false' in next(k for k in got if k[:2] == (1, 3))[2]
 
 
+def test_calls_that_repeat_an_id_keep_their_own(spark):
+    one, two = '{"content":"","tool_calls":[{"id":"x","name":"f","arguments":{"x":"s"}},{"id":"x","name":"g","arguments":{"b":3}}]}', '{"content":"","tool_calls":[{"id":"x","name":"f","arguments":{"b": 2},"after":["x"]}]}'
+    rows = [(1, 0, "assistant", one), (1, 2, "assistant", two), (1, 3, "tool", '{"tool_call_id":"x","content":"r"}'), (2, 0, "assistant", two)]
+    parameters = spark.createDataFrame([("f", "x", "string", True)], chat_format.PARAMETERS)
+    got = [(tuple(r)[:2], [tuple(c[k] for k in ("name", "arguments", "level", "problems", "repeated", "result_turn")) for c in json.loads(r["json"]).get("tool_calls", [])], tuple(r)[3:]) for r in chat_format.format_chat(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"), parameters).collect()]
+    wrong = ["missing x", "unknown parameter b"]
+    assert sorted(got) == [
+        ((1, 0), [("f", '{"x":"s"}', 0, [], False, 3), ("g", '{"b":3}', None, ["unknown parameter b", "unknown tool"], True, None)], (2, 1, 1)),
+        ((1, 2), [("f", '{"b":2}', None, wrong, True, None)], (1, 0, 1)),
+        ((1, 3), [], (0, 0, 0)),
+        ((2, 0), [("f", '{"b":2}', 0, wrong, False, None)], (1, 0, 1)),
+    ]
+
+
 def test_messages_that_share_conversation_and_turn(spark):
     one, two = ('{"content":"x","tool_calls":[{"id":"%s","name":"f","arguments":{}}]}' % x for x in "ab")
     rows = [(1, 1, "assistant", one), (1, 1, "assistant", two), (1, 1, "assistant", two), (1, 2, "tool", '{"tool_call_id":"b","content":"r"}')]
