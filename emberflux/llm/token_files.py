@@ -4,13 +4,14 @@ A file set is a Parquet table of segments, so that any store that Spark writes t
 protocol guards it: shard (range partitions of doc_id in ascending order), segment (order in the shard),
 start (ids of the shard before it), n_docs, n_tokens, and data, the segment's bytes. These are:
 
-    "EFT1", then as uint32: bits of an id, documents, blocks, crc32 of the three tables that follow
+    "EFT1", then as uint32: bits of an id, documents, blocks, and crc32 of these and of the tables that follow
     doc_id int64 of each document | ids int64 of each document
-    ids uint32, words uint32 and crc32 uint32 (of its ids as uint32) of each block
-    the 16-bit words of each block
+    ids, lanes and 16-bit words of each block and crc32 of its ids as uint32: four tables of uint32
+    words of each lane of each block, uint16
+    the words, lane by lane
 
-All numbers are little-endian. A block holds `BLOCK` ids, the last of a segment the rest; each is
-coded by `range_coder` from a fresh state. A segment holds whole documents: `segment_tokens` ids, or one longer document.
+All numbers are little-endian. A block holds `BLOCK` ids, the last of a segment the rest; each is coded by
+`range_coder` from a fresh state. A segment holds whole documents: `segment_tokens` ids, or one longer document.
 """
 
 from __future__ import annotations
@@ -21,6 +22,7 @@ import uuid
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -32,9 +34,9 @@ from . import common as C
 from . import range_coder
 
 MAGIC = b"EFT1"
-BLOCK = 4096
-#: Blocks that run side by side.
-LANES = 1024
+BLOCK = 1 << 21
+#: A lane of a block has about so many ids.
+LANE = 256
 SEGMENTS = "shard int, segment int, start long, n_docs long, n_tokens long, data binary"
 #: Texts of these characters alone are split into words here; others go to the tokenizer whole.
 _PLAIN = re.compile("[\t\n\r\x20-\x7e\xa0-ɏ]*")
@@ -46,6 +48,14 @@ def _split():
     return re.compile(rf"'(?:[sdmt]|ll|ve|re)| ?[{letters}]+| ?[{numbers}]+| ?[^\s{letters}{numbers}]+|\s+(?!\S)|\s+").findall
 
 
+class _Index(dict):
+    """Numbers new words as they are asked for."""
+
+    def __missing__(self, word: str) -> int:
+        n = self[word] = len(self)
+        return n
+
+
 class _Tokenizer:
     """Whole texts to ids by the tokenizers library; a byte-level vocabulary meets each word of a plain text once for each `most` words."""
 
@@ -62,7 +72,7 @@ class _Tokenizer:
         self._forget()
 
     def _forget(self):
-        self.index, self.size, self.flat, self.starts, self.lengths = {}, 0, np.zeros(1 << 16, np.uint32), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.index, self.size, self.flat, self.starts, self.lengths = _Index(), 0, np.zeros(1 << 16, np.uint32), np.zeros(0, np.int64), np.zeros(0, np.int64)
 
     def _whole(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(x.ids, np.uint32) for x in self.own.encode_batch_fast(texts, add_special_tokens=False)]
@@ -86,17 +96,12 @@ class _Tokenizer:
             out[i] = x
         if len(self.index) > self.most:
             self._forget()
-        index, new, places = self.index, [], []
-        find = _split()
+        known, places, find = len(self.index), [], _split()
         for i in np.flatnonzero(plain).tolist():
             words = find(texts[i])
-            for w in words:
-                if w not in index:
-                    index[w] = len(index)
-                    new.append(w)
-            places.append((i, np.fromiter(map(index.__getitem__, words), np.int64, len(words))))
-        if new:
-            self._learn(new)
+            places.append((i, np.fromiter(map(self.index.__getitem__, words), np.int64, len(words))))
+        if len(self.index) > known:
+            self._learn(list(islice(self.index, known, None)))
         for i, at in places:
             take = self.lengths.take(at)
             total = np.cumsum(take)
@@ -104,55 +109,63 @@ class _Tokenizer:
         return out
 
 
+def _lanes(n: int) -> tuple[np.ndarray, int]:
+    """Ids of each lane of a block of n ids, and of the longest."""
+    lanes = max(1, n // LANE)
+    steps = -(-n // lanes)
+    return np.minimum(steps, np.maximum(0, n - steps * np.arange(lanes))), steps
+
+
+def _pack_block(ids: np.ndarray, bits: int) -> list[np.ndarray]:
+    lengths, steps = _lanes(len(ids))
+    rows = np.zeros(len(lengths) * steps, np.uint32)
+    rows[: len(ids)] = ids
+    coder = range_coder.Writer(len(lengths))
+    range_coder.run(coder, lengths, bits, np.ascontiguousarray(rows.reshape(len(lengths), steps).T))
+    return coder.words()
+
+
 def pack_segment(doc_ids: np.ndarray, lengths: np.ndarray, ids: np.ndarray) -> bytes:
     """The bytes of a segment; ids have 28 bits at most."""
-    bits = max(16, -(-int(ids.max(initial=0)).bit_length() // 4) * 4)
+    bits = max(16, int(ids.max(initial=0)).bit_length())
     if bits > 28:
         raise ValueError("ids of more than 28 bits")
     ids = np.ascontiguousarray(ids, "<u4")
-    cuts = np.arange(0, len(ids), BLOCK)
-    sizes = np.diff(np.append(cuts, len(ids)))
-    words: list[np.ndarray] = []
-    for k in range(0, len(cuts), LANES):
-        own = sizes[k : k + LANES]
-        rows = np.zeros((len(own), BLOCK), np.uint32)
-        rows.ravel()[: own.sum()] = ids[cuts[k] : cuts[k] + own.sum()]
-        coder = range_coder.Writer(len(own))
-        range_coder.run(coder, own, bits, np.ascontiguousarray(rows.T[: own.max(initial=0)]))
-        words += coder.words()
-    sums = [zlib.crc32(ids[a : a + n]) for a, n in zip(cuts.tolist(), sizes.tolist())]
-    tables = b"".join([np.asarray(doc_ids, "<i8").tobytes(), np.asarray(lengths, "<i8").tobytes(), *(np.array(x, "<u4").tobytes() for x in (sizes, [len(w) for w in words], sums))])
-    head = np.array([bits, len(doc_ids), len(cuts), zlib.crc32(tables)], "<u4").tobytes()
-    return b"".join([MAGIC, head, tables, *(w.tobytes() for w in words)])
+    parts = [ids[a : a + BLOCK] for a in range(0, len(ids), BLOCK)]
+    words = [_pack_block(x, bits) for x in parts]
+    numbers = np.array([[len(x) for x in parts], [len(w) for w in words], [sum(map(len, w)) for w in words], [zlib.crc32(x) for x in parts]], "<u4")
+    tables = b"".join([np.asarray(doc_ids, "<i8").tobytes(), np.asarray(lengths, "<i8").tobytes(), numbers.tobytes(), np.array([len(x) for w in words for x in w], "<u2").tobytes()])
+    head = np.array([bits, len(doc_ids), len(parts)], "<u4").tobytes()
+    crc = np.array([zlib.crc32(tables, zlib.crc32(head))], "<u4").tobytes()
+    return b"".join([MAGIC, head, crc, tables, *(x.tobytes() for w in words for x in w)])
 
 
 def unpack_segment(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """doc_ids, ids of each, and all ids; fails on any byte that isn't as it was written."""
+    """doc_ids, ids of each, and all ids; fails if they aren't what was written."""
     if data[:4] != MAGIC or len(data) < 20:
         raise ValueError("not a token segment")
     bits, n_docs, n_blocks, crc = np.frombuffer(data, "<u4", 4, 4).tolist()
-    end = 20 + 16 * n_docs + 12 * n_blocks
-    if zlib.crc32(data[20:end]) != crc:
+    at = 20 + 16 * n_docs
+    if len(data) < at + 16 * n_blocks:
+        raise ValueError("a token segment that is cut short")
+    sizes, lanes, counts, sums = (x.tolist() for x in np.frombuffer(data, "<u4", 4 * n_blocks, at).reshape(4, n_blocks))
+    end = at + 16 * n_blocks + 2 * sum(lanes)
+    if len(data) != end + 2 * sum(counts) or zlib.crc32(data[20:end], zlib.crc32(data[4:16])) != crc:
         raise ValueError("damaged tables of a token segment")
     doc_ids, lengths = np.frombuffer(data, "<i8", 2 * n_docs, 20).reshape(2, n_docs)
-    sizes, counts, sums = np.frombuffer(data, "<u4", 3 * n_blocks, 20 + 16 * n_docs).reshape(3, n_blocks)
-    words = np.frombuffer(data, "<u2", -1, end)
-    if len(words) != counts.sum():
-        raise ValueError("a token segment that is cut short")
-    words = np.split(words, np.cumsum(counts, dtype=np.int64)[:-1])
-    out, at = np.zeros(int(sizes.sum()), "<u4"), 0
-    for k in range(0, n_blocks, LANES):
-        own = sizes[k : k + LANES].astype(np.int64)
-        rows = np.ascontiguousarray(range_coder.run(range_coder.Reader(words[k : k + LANES]), own, bits).T)
-        for row, n, total in zip(rows, own.tolist(), sums[k : k + LANES].tolist()):
-            if zlib.crc32(row[:n]) != total:
-                raise ValueError("damaged block of a token segment")
-            out[at : at + n] = row[:n]
-            at += n
+    of_lane = np.frombuffer(data, "<u2", sum(lanes), at + 16 * n_blocks)
+    words, out, lane, word, done = np.frombuffer(data, "<u2", -1, end), np.zeros(sum(sizes), "<u4"), 0, 0, 0
+    for n, k, m, total in zip(sizes, lanes, counts, sums):
+        own = np.split(words[word : word + m], np.cumsum(of_lane[lane : lane + k], dtype=np.int64)[:-1])
+        ids = np.ascontiguousarray(range_coder.run(range_coder.Reader(own), _lanes(n)[0], bits).T).ravel()[:n]
+        if zlib.crc32(ids) != total:
+            raise ValueError("damaged block of a token segment")
+        out[done : done + n] = ids
+        lane, word, done = lane + k, word + m, done + n
     return doc_ids, lengths, out
 
 
-def write_tokens(documents: DataFrame, tokenizer: str, path: str, end_id: int | None = 0, segment_tokens: int = LANES * BLOCK) -> None:
+def write_tokens(documents: DataFrame, tokenizer: str, path: str, end_id: int | None = 0, segment_tokens: int = 2 * BLOCK) -> None:
     """Encode each whole text with the tokenizer of a JSON file and write the ids to `path`, in ascending doc_id order.
 
     Each document gets `end_id` appended (None: nothing). Defined cases: a null or empty text has the end id
@@ -193,7 +206,7 @@ def write_tokens(documents: DataFrame, tokenizer: str, path: str, end_id: int |
 def read_tokens(spark: SparkSession, path: str) -> DataFrame:
     """doc_id, start (ids of all documents before it), n_tokens, and ids (uint32, little-endian) of each document.
 
-    Every block's checksum is checked; a segment of other bytes fails the query. An empty file set gives no row.
+    Every checksum is checked; a damaged segment fails the query. An empty file set gives no row.
     """
     segments = spark.read.schema(SEGMENTS).parquet(path)
 
