@@ -2,19 +2,22 @@
 
 from __future__ import annotations
 
+import dataclasses
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from . import additive_sql as AS
 from . import config as K
 from . import fixtures as X
 from .fixtures import SQL
 from .functions import features as FE
 from .functions import scalars as S
-from .operators import joins, models, series, tables
+from .operators import additive, joins, models, series, tables
 from .plans import months
+from .session import shared_folder
 from .sources import files, payload
 from .streaming import windows
 
@@ -170,23 +173,18 @@ def month_ranges(spark, d):
 @query(SQL + f"SELECT timestamp, {_round_sql(GRID_COLUMNS)} FROM grid")
 def sink_month_roundtrip(spark, d):
     """Written by month, read back."""
-    path = _folder(spark, "months")
+    path = shared_folder(spark, "months")
     tables.write_by_month(X.grid(spark, d), path)
     return rounded(spark.read.parquet(path).select("timestamp", *GRID_COLUMNS.split()))
 
 
 @query(SQL + "SELECT CAST(year(timestamp) AS INT) AS year, COUNT(*) AS n, ROUND(SUM(tons_co2), 4) AS tons_co2 FROM grid GROUP BY 1")
 def export_by_year(spark, d):
-    path = _folder(spark, "years")
+    path = shared_folder(spark, "years")
     tables.export_by_year(X.grid(spark, d), path)
     return spark.read.parquet(path).groupBy(F.col("year").cast("int").alias("year")).agg(F.count("*").alias("n"), r6(F.sum("tons_co2"), 4).alias("tons_co2"))
 
 
-def _folder(spark, tag: str) -> str:
-    """A new folder that driver and executors share."""
-    import tempfile
-    import uuid
-
     sc = spark.sparkContext
     if not (found := spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()):
         if sc.master.split("[")[0] != "local":
@@ -413,45 +411,94 @@ query(_BINS + f"""SELECT p.timestamp, ROUND(b.demand_met - b.renewable_generatio
   FROM {_RAMPS} p JOIN binned b USING (timestamp) JOIN (SELECT bin, (SUM(abs(dq))*SUM(abs(dq)*dq*dy) - SUM(abs(dq)*dq)*SUM(abs(dq)*dy)) / (SUM(abs(dq))*SUM(abs(dq)*dq*dq) - SUM(abs(dq)*dq)*SUM(abs(dq)*dq)) AS b, {_R.format('dq', 'dy')} AS r FROM {_RAMPS} JOIN binned USING (timestamp) GROUP BY 1) f USING (bin)""", "marginal_factors")(marginal_factors)
 
 _GAM = ("total_generation", "hydro_generation", "nuclear_generation")
+_RECURSIVE = SQL.replace("WITH ", "WITH RECURSIVE ", 1)
+#: Sums, weights and, for each 30-minute row, the position of the first input and its smooth.
+_GAM_SQL = _RECURSIVE + f""", designs AS (SELECT {K.SPLINES} AS n), rows AS (SELECT tons_co2, {", ".join(_GAM)}, timestamp FROM grid), {AS.basis_sql("designs", "rows", "tons_co2", _GAM)},
+systems AS (SELECT n, {K.PENALTY}::DOUBLE AS penalty, fold, i, j, v FROM sums), {AS.solution_sql(3)}"""
+
+
+@query(_RECURSIVE + f""", designs AS (SELECT unnest([6, {K.SPLINES}]) AS n), rows AS (SELECT tons_co2, total_generation, hydro_generation, timestamp FROM grid), {AS.basis_sql("designs", "rows", "tons_co2", ("total_generation",), ("hydro_generation",), "day(timestamp) % 3")}
+SELECT n, fold, i, j, ROUND(v / 1000, 3) AS v FROM sums WHERE i <= j""")
+def gam_sums(spark, d):
+    """The sums that an additive model is solved from, for two numbers of splines and three folds."""
+    df = X.grid(spark, d)
+    first = additive.design(df, ("total_generation",), ("hydro_generation",))
+    sums = additive.product_sums(df, "tons_co2", [dataclasses.replace(first, n=n) for n in (6, K.SPLINES)], F.day("timestamp") % 3)
+    return rounded(sums.withColumn("v", F.col("v") / 1000), 3)
 
 
-@query()
+def _smooth_sql(s: int, x: str) -> str:
+    """The value of smooth s at the SQL expression x, from `ends` and `weights`."""
+    t = f"greatest(0.0::DOUBLE, least((n - 3 - 1e-9)::DOUBLE, ({x} - a{s}) / ((b{s} - a{s}) / (n - 3))))"
+    u = f"({t} - floor({t}))"
+    parts = (f"(1 - {u}) * (1 - {u}) * (1 - {u})", f"3 * {u} * {u} * {u} - 6 * {u} * {u} + 4", f"-3 * {u} * {u} * {u} + 3 * {u} * {u} + 3 * {u} + 1", f"{u} * {u} * {u}")
+    return "(" + " + ".join(f"b[2 + {s} * n + floor({t})::INT + {o}] * ({v}) / 6" for o, v in enumerate(parts)) + ")"
+
+
+@query(_GAM_SQL + f"""SELECT ROUND(x, 3) AS total_generation, ROUND(b[1] + {_smooth_sql(0, "x")} + {_smooth_sql(1, "m1")} + {_smooth_sql(2, "m2")}, 3) AS tons_co2
+FROM (SELECT a0 + k * (b0 - a0) / 20 AS x, ends.* FROM ends, range(21) r(k)), weights, (SELECT AVG({_GAM[1]}) AS m1, AVG({_GAM[2]}) AS m2 FROM grid)""")
 def gam_fit(spark, d):
     """The fitted curve of demand on a grid of 21 points, other inputs at their means."""
     df = X.grid(spark, d)
-    model = models.AdditiveModel.fit(df, "tons_co2", _GAM)
-    low, high = model.ranges["total_generation"]
+    model = additive.AdditiveModel.fit(df, "tons_co2", _GAM)
+    low, high = model.design.ranges["total_generation"]
     means = df.agg(*(F.avg(c).alias(c) for c in _GAM[1:])).first()
     at = spark.range(21).select((F.lit(low) + F.col("id") * (high - low) / 20).alias("total_generation"), *(F.lit(means[c]).alias(c) for c in _GAM[1:]))
     return rounded(model.predict(at, "tons_co2").select("total_generation", "tons_co2"), 3)
 
 
-@query()
+@query(_GAM_SQL + f"""SELECT timestamp, ROUND(({_smooth_sql(0, "(total_generation + 1)")} - {_smooth_sql(0, "(total_generation - 1)")}) / 2, 4) AS mef FROM grid, ends, weights""")
 def gam_mef(spark, d):
+    """The marginal factor of each interval: the central difference of the fitted curve of demand."""
     df = X.grid(spark, d)
-    model = models.AdditiveModel.fit(df, "tons_co2", _GAM)
-    return rounded(model.derivative(df, "total_generation", "mef", 1.0).select("timestamp", "mef"), 3)
+    model = additive.AdditiveModel.fit(df, "tons_co2", _GAM)
+    return rounded(model.derivative(df, "total_generation", "mef", 1.0).select("timestamp", "mef"), 4)
+
+
+@query(_RECURSIVE + f""", designs AS (SELECT unnest([6, 10]) AS n), rows AS (SELECT tons_co2, total_generation, hydro_generation, timestamp FROM grid), {AS.basis_sql("designs", "rows", "tons_co2", ("total_generation",), ("hydro_generation",), "day(timestamp) % 3")},
+rest AS (SELECT n, f.fold, i, j, SUM(v) AS v FROM sums JOIN (SELECT DISTINCT fold FROM sums) f ON f.fold <> sums.fold GROUP BY ALL),
+systems AS (SELECT n, penalty, fold, i, j, v FROM rest, (SELECT unnest([5.0, 50.0])::DOUBLE AS penalty)), {AS.solution_sql(1, 1)},
+missed AS (SELECT w.n, penalty, SUM(CASE WHEN s.i = 2 + w.n THEN -1 ELSE b[s.i + 1] END * CASE WHEN s.j = 2 + w.n THEN -1 ELSE b[s.j + 1] END * s.v) AS off FROM weights w JOIN sums s ON s.n = w.n AND s.fold = w.fold GROUP BY ALL)
+SELECT n AS splines, penalty, 3 AS folds, c AS n, ROUND(1 - off / spread, 6) AS r2, ROUND(sqrt(off / c), 5) AS rmse FROM missed, (SELECT COUNT(*) AS c, COUNT(*) * VAR_POP(tons_co2) AS spread FROM grid)""")
+def gam_sweep(spark, d):
+    """Every pair of a number of splines and a penalty, judged on days that its model has not seen."""
+    found = additive.sweep(X.grid(spark, d), "tons_co2", ("total_generation",), ("hydro_generation",), (6, 10), (5.0, 50.0), F.day("timestamp") % 3)
+    return found.select("splines", "penalty", "folds", "n", r6("r2").alias("r2"), r6("rmse", 5).alias("rmse"))
 
 
-@query()
+_POISSON_SQL = " + ".join(f"CASE WHEN u > {c!r} THEN 1 ELSE 0 END" for c in models.poisson_steps())
+
+
+@query(SQL + f""", drawn AS (SELECT replicate, dq, dy, {_POISSON_SQL} AS w FROM (SELECT *, (CAST('0x' || substr(md5(timestamp::VARCHAR || ':' || replicate || ':1'), 1, 8) AS BIGINT) + 0.5::DOUBLE) / 4294967296::DOUBLE AS u FROM {_RAMPS}, (SELECT unnest(range(20))::INT AS replicate)))
+SELECT replicate, ROUND((w*wxy - wx*wy) / (w*wxx - wx*wx), 6) AS b, ROUND(wy / w - (w*wxy - wx*wy) / (w*wxx - wx*wx) * wx / w, 6) AS a FROM (SELECT replicate, SUM(w)::DOUBLE AS w, SUM(w*dq) AS wx, SUM(w*dy) AS wy, SUM(w*dq*dq) AS wxx, SUM(w*dq*dy) AS wxy FROM drawn WHERE w > 0 GROUP BY 1)""")
 def bootstrap_slope(spark, d):
     """Slopes of 20 Poisson bootstrap replicates."""
     rows = models.poisson_weights(_ramps(spark, d), 20, "timestamp")
     return rounded(models.weighted_line(rows, "dy", "dq", F.col("weight").cast("double"), ("replicate",)).select("replicate", "b", "a"))
 
 
-@query()
-def ridge_huber(spark, d):
-    """Comparison models: ridge on a quadratic of demand, and a Huber line."""
-    from pyspark.ml.feature import PolynomialExpansion, VectorAssembler
-    from pyspark.ml.regression import LinearRegression
+def _quadratic_sql(name: str, rows: str, penalty: float = 0.0) -> str:
+    """Table `name` (bin, n, intercept, linear, quadratic) from rows (bin, z, y, w)."""
+    return f"""{name} AS (SELECT bin, n, (t0 - lin*s1 - quad*s2) / w AS intercept, lin AS linear, quad AS quadratic FROM (SELECT *, (c22*d1 - c12*d2) / (c11*c22 - c12*c12) AS lin, (c11*d2 - c12*d1) / (c11*c22 - c12*c12) AS quad
+    FROM (SELECT *, s2 - s1*s1/w + {penalty} AS c11, s3 - s1*s2/w AS c12, s4 - s2*s2/w + {penalty} AS c22, t1 - s1*t0/w AS d1, t2 - s2*t0/w AS d2
+    FROM (SELECT bin, COUNT(*) AS n, SUM(w) AS w, SUM(w*z) AS s1, SUM(w*z*z) AS s2, SUM(w*z*z*z) AS s3, SUM(w*z*z*z*z) AS s4, SUM(w*y) AS t0, SUM(w*z*y) AS t1, SUM(w*z*z*y) AS t2 FROM {rows} GROUP BY 1))))"""
+
 
-    df = VectorAssembler(inputCols=["total_generation"], outputCol="x").transform(X.grid(spark, d))
-    df = PolynomialExpansion(degree=2, inputCol="x", outputCol="features").transform(df)
-    ridge = LinearRegression(labelCol="tons_co2", regParam=0.1, elasticNetParam=0.0).fit(df)
-    huber = LinearRegression(labelCol="tons_co2", featuresCol="x", loss="huber").fit(df)
-    rows = [("ridge", float(ridge.coefficients[0]), float(ridge.intercept)), ("huber", float(huber.coefficients[0]), float(huber.intercept))]
-    return rounded(spark.createDataFrame(rows, "model string, slope double, intercept double"), 3)
+_OFF = "(r.y - f.intercept - f.linear * r.z - f.quadratic * r.z * r.z)"
+_HUBER = "".join(
+    f", w{k} AS (SELECT r.bin, r.z, r.y, CASE WHEN abs({_OFF}) > l.lim THEN l.lim / abs({_OFF}) ELSE 1.0::DOUBLE END AS w FROM scaled r JOIN h{k - 1} f USING (bin) JOIN lims l USING (bin)), " + _quadratic_sql(f"h{k}", f"w{k}") for k in range(1, 11)
+)
+
+
+@query(_BINS + f""", scaled AS (SELECT bin, (total_generation - AVG(total_generation) OVER (PARTITION BY bin)) / STDDEV_POP(total_generation) OVER (PARTITION BY bin) AS z, tons_co2 AS y, 1.0::DOUBLE AS w FROM binned),
+{_quadratic_sql("ridge", "scaled", 1.0)}, {_quadratic_sql("h0", "scaled")}, lims AS (SELECT r.bin, 1.345::DOUBLE * sqrt(AVG({_OFF} * {_OFF})) AS lim FROM scaled r JOIN h0 f USING (bin) GROUP BY 1){_HUBER}
+SELECT model, bin, n, ROUND(intercept, 5) AS intercept, ROUND(linear, 5) AS linear, ROUND(quadratic, 5) AS quadratic FROM (SELECT 'ridge' AS model, * FROM ridge UNION ALL SELECT 'huber', * FROM h10)""")
+def ridge_huber(spark, d):
+    """Comparison models in each demand bin: ridge and Huber regressions on a quadratic of demand, with all coefficients."""
+    rows = _binned(spark, d)
+    fits = [(name, fit(rows, "tons_co2", "total_generation", ("bin",))) for name, fit in (("ridge", models.ridge_quadratic), ("huber", models.huber_quadratic))]
+    ridge, huber = (f.select(F.lit(name).alias("model"), "*") for name, f in fits)
+    return rounded(ridge.unionByName(huber), 5)
 
 
 # Windows.
@@ -466,6 +513,6 @@ query("SELECT event_type, CAST(NULL AS DATE) AS day, COUNT(*) AS n FROM events G
 def stream_ingest(spark, d):
     """The events table as a stream of landed files, ingested by month and read back."""
     source = spark.read.parquet(f"{d}/events.parquet")
-    kept = _folder(spark, "stream")
+    kept = shared_folder(spark, "stream")
     windows.ingest_months(windows.landed(spark, d, T.StructType(list(source.schema)), "events*.parquet"), f"{kept}/table", f"{kept}/state", "ts")
     return rounded(spark.read.parquet(f"{kept}/table").groupBy("event_type").agg(F.count("*").alias("n"), F.sum("value").alias("total")))

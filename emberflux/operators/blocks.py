@@ -42,40 +42,91 @@ def previous(df: DataFrame, value: str, out: str, time: str, by: tuple[str, ...]
     return rows.withColumn("__i", inside).join(borders, keys).withColumn(out, F.coalesce("__i", "__c")[value]).drop("__b", "__i", "__c")
 
 
-def quantiles(df: DataFrame, column: str, shares: list[float]) -> list[float | None]:
-    """Exact interpolated quantiles: the values at two ranks each, found in a running sum of value counts.
+def above(value: Column, cuts: list[float]) -> Column:
+    """How many of the ascending cuts the value reaches, by halving them."""
+    if not cuts:
+        return F.lit(0)
+
+    def between(low: int, high: int) -> Column:
+        if low == high:
+            return F.lit(low)
+        middle = (low + high) // 2
+        return F.when(value >= F.lit(float(cuts[middle])), between(middle + 1, high)).otherwise(between(low, middle))
+
+    return between(0, len(cuts))
+
+
+#: Values that the driver may get at the end of a selection, and cells of a histogram on the way there.
+FETCHED, CELLS = 50_000, 16_384
+
+
+def _finite(column: str) -> Column:
+    return F.abs(F.col(column).cast("double")) < float("inf")
 
-    No task holds all values of a column, and the driver gets two rows for each share.
+
+def select_ranks(df: DataFrame, column: str, ranks: list[int]) -> dict[int, float]:
+    """The values at the given ranks (from 0, of finite values, all below their number), by histograms.
+
+    Each round splits the ranges that still hold a rank into even cells and counts them in one aggregation, with no
+    shuffle of values; a rank is found where its cell holds one value only. What is left is
+    fetched once it is small. Ties, gaps and skew only change the number of rounds: a range's ends are values, so
+    it splits.
     """
-    counts = df.select(F.col(column).cast("double").alias("__x")).where("__x is not null").groupBy("__x").agg(F.count("*").alias("__n")).persist()
-    try:
-        total = counts.agg(F.sum("__n")).first()[0]
-        if not total:
-            return [None] * len(shares)
-        ranks = {k: None for p in shares for k in (int(p * (total - 1)), min(total - 1, int(p * (total - 1)) + 1))}
-        wanted = F.lit(False)
-        for k in ranks:
-            wanted = wanted | (F.col("__u") > k) & (F.col("__u") - F.col("__n") <= k)
-        for row in running_sum(counts, "__x", "__n", "__u").where(wanted).collect():
-            for k in ranks:
-                if row["__u"] - row["__n"] <= k < row["__u"]:
-                    ranks[k] = row["__x"]
-        at = [p * (total - 1) for p in shares]
-        return [ranks[int(x)] + (x - int(x)) * (ranks[min(total - 1, int(x) + 1)] - ranks[int(x)]) for x in at]
-    finally:
-        counts.unpersist()
-
-
-def running_sum(df: DataFrame, order: str, value: str, out: str, parts: int = 64) -> DataFrame:
+    rows = df.select(F.col(column).cast("double").alias("x")).where(_finite("x"))
+    ends = rows.agg(F.min("x").alias("low"), F.max("x").alias("high"), F.count("*").alias("n")).first()
+    found: dict[int, float] = {}
+    # (low, high, rows below, rows inside) -> ranks
+    open_ = {(ends["low"], ends["high"], 0, ends["n"]): sorted(set(ranks))}
+    while open_:
+        for key in [k for k in open_ if k[0] == k[1]]:
+            found |= dict.fromkeys(open_.pop(key), key[0])
+        if not open_:
+            break
+        inside = [F.col("x").between(low, high) for low, high, *_ in open_]
+        if sum(k[3] for k in open_) <= FETCHED:
+            any_ = inside[0]
+            for i in inside[1:]:
+                any_ = any_ | i
+            values = sorted(r["x"] for r in rows.where(any_).collect())
+            for (low, high, before, n), own in open_.items():
+                mine = [v for v in values if low <= v <= high]
+                found |= {k: mine[k - before] for k in own}
+            break
+        cells = max(64, CELLS // len(open_))
+        which, cell = F.lit(None).cast("int"), F.lit(None).cast("int")
+        for i, (low, high, *_) in enumerate(open_):
+            which = F.when(inside[i], F.lit(i)).otherwise(which)
+            cell = F.when(inside[i], F.least(F.lit(cells - 1), F.floor((F.col("x") / 2 - low / 2) / (high / 2 - low / 2) * cells)).cast("int")).otherwise(cell)
+        counted = rows.select("x", which.alias("i"), cell.alias("cell")).where("i is not null").groupBy("i", "cell").agg(F.count("*").alias("n"), F.min("x").alias("low"), F.max("x").alias("high")).collect()
+        after: dict[tuple, list[int]] = {}
+        for i, ((_, _, before, _), own) in enumerate(open_.items()):
+            for c in sorted((c for c in counted if c["i"] == i), key=lambda c: c["cell"]):
+                if mine := [k for k in own if before <= k < before + c["n"]]:
+                    after[c["low"], c["high"], before, c["n"]] = mine
+                before += c["n"]
+        open_ = after
+    return found
+
+
+def quantiles(df: DataFrame, column: str, shares: list[float]) -> list[float | None]:
+    """Exact interpolated quantiles of the finite values, from the values at two ranks each."""
+    total = df.where(_finite(column)).count()
+    if not total:
+        return [None] * len(shares)
+    at = [p * (total - 1) for p in shares]
+    x = select_ranks(df, column, [k for p in at for k in (int(p), min(total - 1, int(p) + 1))])
+    return [x[int(p)] + (p - int(p)) * (x[min(total - 1, int(p) + 1)] - x[int(p)]) for p in at]
+
+
+def running_sum(df: DataFrame, order: str, value: str, out: str, block_rows: int = 1_000_000, most: int = 4096) -> DataFrame:
     """Adds the sum of `value` over all rows up to each in `order`, whose values are distinct.
 
-    Approximate quantiles share the rows out to blocks; the result does not depend on where they lie.
+    There is a block of the order for each `block_rows` rows, up to `most`; approximate quantiles cut them, and the result
+    does not depend on where they lie.
     """
-    cuts = sorted(set(df.approxQuantile(order, [i / parts for i in range(1, parts)], 0.005)))
-    block = F.lit(0)
-    for c in cuts:
-        block = block + F.when(F.col(order) >= c, 1).otherwise(0)
-    rows = df.withColumn("__b", block)
+    parts = min(most, df.count() // block_rows + 1)
+    cuts = sorted(set(df.approxQuantile(order, [i / parts for i in range(1, parts)], 0.1 / parts))) if parts > 1 else []
+    rows = df.withColumn("__b", above(F.col(order).cast("double"), cuts))
     before = rows.groupBy("__b").agg(F.sum(value).alias("__s"))
     before = before.select("__b", (F.sum("__s").over(Window.orderBy("__b")) - F.col("__s")).alias("__o"))
     inside = F.sum(value).over(Window.partitionBy("__b").orderBy(order))

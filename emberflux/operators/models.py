@@ -1,16 +1,14 @@
-"""Marginal and average emissions: ramp pairs, regressions, calibration, correlations and an additive model."""
+"""Marginal and average emissions: ramp pairs, regressions, calibration, correlations and comparison models."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import math
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .. import config as K
-from .blocks import quantiles, running_sum
+from ..session import written
+from .blocks import above, quantiles, running_sum
 
 
 def ramp_pairs(df: DataFrame, step_seconds: int, y: str = "tons_co2", q: str = "total_generation", time: str = "timestamp", by: tuple[str, ...] = ()) -> DataFrame:
@@ -30,9 +28,8 @@ def adjacent_mean(column: str, time: str = "timestamp", by: tuple[str, ...] = ()
 
 def quantile_bins(df: DataFrame, column: str, n: int, out: str) -> DataFrame:
     """Adds the quantile bin 0..n-1; cut points are exact and belong to the upper bin."""
-    bin_ = F.lit(0)
-    for c in quantiles(df, column, [i / n for i in range(1, n)]):
-        bin_ = bin_ + F.when(F.col(column) >= F.lit(c).cast("double"), 1).otherwise(0)
+    cuts = quantiles(df, column, [i / n for i in range(1, n)])
+    bin_ = F.lit(0) if None in cuts else above(F.col(column).cast("double"), cuts)
     return df.withColumn(out, F.when(F.col(column).isNotNull(), bin_))
 
 
@@ -72,9 +69,23 @@ def correlation(x: str, y: str) -> Column:
 
 
 def correlation_by_threshold(df: DataFrame, x: str, y: str, size: str, thresholds: list[float]) -> DataFrame:
-    """r of x and y over rows with |size| >= tau, for each tau; rows are repeated for the few thresholds they reach."""
-    taus = F.filter(F.array(*map(F.lit, thresholds)), lambda t: F.abs(F.col(size)) >= t)
-    return df.select(x, y, F.explode(taus).alias("tau")).groupBy("tau").agg(F.count("*").alias("n"), correlation(x, y).alias("r"))
+    """n and r of x and y over rows with |size| >= tau, for each tau that a row reaches.
+
+    Each row is in one bin, that of the last threshold it reaches; moments are summed over bins from the last
+    one down. x and y are taken from their means, so that sums of squares keep their digits.
+    """
+    taus = sorted(set(map(float, thresholds)))
+    means = df.agg(F.avg(x).alias("x"), F.avg(y).alias("y")).first()
+    rows = df.where(F.col(size).isNotNull()).select(above(F.abs(F.col(size)), taus).alias("bin"), (F.col(x) - (means["x"] or 0.0)).alias("x"), (F.col(y) - (means["y"] or 0.0)).alias("y"))
+    both = F.col("x").isNotNull() & F.col("y").isNotNull()
+    one = lambda c: F.sum(F.when(both, c).otherwise(0.0))
+    parts = rows.where("bin > 0").groupBy("bin").agg(F.count("*").alias("n"), one(F.lit(1.0)).alias("m"), one(F.col("x")).alias("sx"), one(F.col("y")).alias("sy"), one(F.expr("x*x")).alias("sxx"), one(F.expr("y*y")).alias("syy"), one(F.expr("x*y")).alias("sxy"))
+    every = df.sparkSession.createDataFrame([(k + 1, t) for k, t in enumerate(taus)], "bin int, tau double").join(parts, "bin", "left").coalesce(1)
+    down = Window.orderBy(F.desc("bin"))
+    sums = every.select("tau", *(F.sum(F.coalesce(c, F.lit(0))).over(down).alias(c) for c in ("n", "m", "sx", "sy", "sxx", "syy", "sxy"))).where("n > 0")
+    a, b, c = (F.expr(f"{s} / m - {u} / m * {v} / m") for s, u, v in (("sxx", "sx", "sx"), ("syy", "sy", "sy"), ("sxy", "sx", "sy")))
+    wide = F.expr("m > 0")
+    return sums.select("tau", "n", F.when(wide, F.when((F.sqrt(F.greatest(a, F.lit(0.0))) > 1e-9) & (F.sqrt(F.greatest(b, F.lit(0.0))) > 1e-9), c / (F.sqrt(a) * F.sqrt(b)))).alias("r"))
 
 
 def average_ranks(df: DataFrame, column: str, out: str) -> DataFrame:
@@ -103,89 +114,64 @@ def metrics(df: DataFrame, actual: str, predicted: str) -> DataFrame:
     return df.agg(F.count("*").alias("n"), (1 - F.sum(off * off) / F.nullif(total, F.lit(0.0))).alias("r2"), correlation(actual, predicted).alias("r"), F.sqrt(F.avg(off * off)).alias("rmse"), F.avg(F.abs(off)).alias("mae"))
 
 
-# An additive model: y = mean + sum of smooths, each a cubic B-spline with a second-difference penalty.
+def poisson_weights(df: DataFrame, replicates: int, key: str, seed: int = 1) -> DataFrame:
+    """Rows for bootstrap replicates with their Poisson(1) weights, fixed by md5 of `<key>:<replicate>:<seed>`; weight 0 is left out."""
+    digest = F.md5(F.concat_ws(":", F.col(key).cast("string"), F.col("replicate").cast("string"), F.lit(str(seed))))
+    u = (F.conv(F.substring(digest, 1, 8), 16, 10).cast("long") + 0.5) / float(1 << 32)
+    weight = F.lit(0)
+    for c in poisson_steps():
+        weight = weight + F.when(u > c, 1).otherwise(0)
+    return df.withColumn("replicate", F.explode(F.sequence(F.lit(0), F.lit(replicates - 1)))).withColumn("weight", weight).where("weight > 0")
 
 
-def spline_basis(x: np.ndarray, low: float, high: float, n: int) -> np.ndarray:
-    """n cubic B-splines on even knots over [low, high]; x beyond the ends is held at them."""
-    step = (high - low) / (n - 3) or 1.0
-    at = np.clip((x - low) / step, 0, n - 3 - 1e-9)
-    first, u = at.astype(int), at - at.astype(int)
-    parts = np.stack([(1 - u) ** 3, 3 * u**3 - 6 * u**2 + 4, -3 * u**3 + 3 * u**2 + 3 * u + 1, u**3], 1) / 6
-    out = np.zeros((len(x), n))
-    for k in range(4):
-        out[np.arange(len(x)), first + k] = parts[:, k]
+def poisson_steps() -> list[float]:
+    """The distribution function of Poisson(1) at 0 to 7."""
+    total, term, out = 0.0, math.exp(-1), []
+    for k in range(1, 9):
+        total += term
+        out.append(total)
+        term /= k
     return out
 
 
-class AdditiveModel:
-    """Fitted smooths; predict and derivative work on a DataFrame's columns."""
-
-    def __init__(self, inputs: tuple[str, ...], ranges: dict[str, tuple[float, float]], weights: np.ndarray, n: int):
-        self.inputs, self.ranges, self.weights, self.n = inputs, ranges, weights, n
-
-    @staticmethod
-    def design(frame: pd.DataFrame, inputs: tuple[str, ...], ranges: dict, n: int) -> np.ndarray:
-        parts = [spline_basis(frame[c].to_numpy(float), *ranges[c], n) for c in inputs]
-        return np.concatenate([np.ones((len(frame), 1)), *parts], 1)
-
-    @classmethod
-    def fit(cls, df: DataFrame, y: str, inputs: tuple[str, ...], n: int = K.SPLINES, penalty: float = K.PENALTY) -> AdditiveModel:
-        """Tasks sum X'X and X'y of their rows; one aggregation adds them up; the small system is solved here.
-
-        The penalty takes second differences; a small ridge makes the smooths' shared level determinate.
-        """
-        rows = df.select(y, *inputs).dropna()
-        ends = rows.agg(*(f(c).alias(f"{k}_{c}") for c in inputs for k, f in (("a", F.min), ("b", F.max)))).first()
-        ranges = {c: (float(ends[f"a_{c}"]), float(ends[f"b_{c}"])) for c in inputs}
-        size = 1 + n * len(inputs)
-
-        def sums(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            xx, xy = np.zeros((size, size)), np.zeros(size)
-            for frame in frames:
-                x = cls.design(frame, inputs, ranges, n)
-                xx += x.T @ x
-                xy += x.T @ frame[y].to_numpy(float)
-            both = np.concatenate([xx.ravel(), xy])
-            yield pd.DataFrame({"i": np.arange(len(both)), "v": both})
-
-        total = np.zeros(size * size + size)
-        for r in rows.mapInPandas(sums, "i int, v double").groupBy("i").agg(F.sum("v").alias("v")).collect():  # size^2 rows at most
-            total[r["i"]] = r["v"]
-        xx, xy = total[: size * size].reshape(size, size), total[size * size :]
-        bend = np.diff(np.eye(n), 2, axis=0)
-        for k in range(len(inputs)):
-            part = slice(1 + k * n, 1 + (k + 1) * n)
-            xx[part, part] += penalty * bend.T @ bend + 1e-6 * np.eye(n)
-        return cls(inputs, ranges, np.linalg.solve(xx, xy), n)
-
-    def predict(self, df: DataFrame, out: str, shift: dict[str, float] | None = None) -> DataFrame:
-        """Adds the prediction, with inputs shifted if asked; rows with a null input get null."""
-        inputs, ranges, weights, n, shift = self.inputs, self.ranges, self.weights, self.n, shift or {}
-
-        @F.pandas_udf("double")
-        def value(*columns: pd.Series) -> pd.Series:
-            frame = pd.concat([c + shift.get(name, 0.0) for c, name in zip(columns, inputs)], axis=1, keys=inputs)
-            known = frame.notna().all(axis=1)
-            found = pd.Series(np.nan, frame.index)
-            found[known] = self_design(frame[known], inputs, ranges, n) @ weights
-            return found
-
-        self_design = self.design
-        return df.withColumn(out, F.nanvl(value(*(F.col(c).cast("double") for c in inputs)), F.lit(None).cast("double")))
-
-    def derivative(self, df: DataFrame, column: str, out: str, h: float) -> DataFrame:
-        """Adds the central difference of the prediction in one input."""
-        both = self.predict(self.predict(df, "__up", {column: h}), "__down", {column: -h})
-        return both.withColumn(out, (F.col("__up") - F.col("__down")) / (2 * h)).drop("__up", "__down")
+# Comparison models: a quadratic in z, x standardised in its group, from weighted power sums.
 
 
-def poisson_weights(df: DataFrame, replicates: int, key: str, seed: int = 1) -> DataFrame:
-    """Rows for bootstrap replicates with their Poisson(1) weights, fixed by key and replicate; weight 0 is left out."""
-    u = (F.pmod(F.xxhash64(F.col(key).cast("string"), F.col("replicate"), F.lit(seed)), F.lit(1 << 30)) + 0.5) / float(1 << 30)
-    weight, total, term = F.lit(0), 0.0, float(np.exp(-1))
-    for k in range(1, 9):
-        total += term
-        weight = weight + F.when(u > total, 1).otherwise(0)
-        term /= k
-    return df.withColumn("replicate", F.explode(F.sequence(F.lit(0), F.lit(replicates - 1)))).withColumn("weight", weight).where("weight > 0")
+def _standardised(df: DataFrame, y: str, x: str, by: tuple[str, ...]) -> DataFrame:
+    rows = df.select(*by, F.col(x).cast("double").alias("x"), F.col(y).cast("double").alias("y")).where("x is not null and y is not null")
+    scale = rows.groupBy(*by).agg(F.avg("x").alias("mean"), F.stddev_pop("x").alias("spread"))
+    return rows.join(scale, list(by)).withColumn("z", (F.col("x") - F.col("mean")) / F.nullif("spread", F.lit(0.0))).withColumn("w", F.lit(1.0))
+
+
+def _weighted_quadratic(rows: DataFrame, by: tuple[str, ...], penalty: float = 0.0) -> DataFrame:
+    """n, intercept, linear and quadratic of y = a + b z + c z^2 by weights w, b and c shrunk by `penalty`; null if singular."""
+    s = rows.groupBy(*by).agg(F.count("*").alias("n"), *(F.sum(F.expr(e)).alias(k) for k, e in {"w": "w", "s1": "w*z", "s2": "w*z*z", "s3": "w*z*z*z", "s4": "w*z*z*z*z", "t0": "w*y", "t1": "w*z*y", "t2": "w*z*z*y"}.items()))
+    s = s.select(*by, "n", "w", "s1", "s2", "t0", F.expr(f"s2 - s1*s1/w + {penalty}D").alias("c11"), F.expr("s3 - s1*s2/w").alias("c12"), F.expr(f"s4 - s2*s2/w + {penalty}D").alias("c22"), F.expr("t1 - s1*t0/w").alias("d1"), F.expr("t2 - s2*t0/w").alias("d2"))
+    s = s.withColumn("det", F.expr("c11*c22 - c12*c12"))
+    s = s.withColumn("linear", F.expr("case when abs(det) > 1e-9 then (c22*d1 - c12*d2)/det end")).withColumn("quadratic", F.expr("case when abs(det) > 1e-9 then (c11*d2 - c12*d1)/det end"))
+    return s.select(*by, "n", F.expr("(t0 - linear*s1 - quadratic*s2)/w").alias("intercept"), "linear", "quadratic")
+
+
+def ridge_quadratic(df: DataFrame, y: str, x: str, by: tuple[str, ...], penalty: float = 1.0) -> DataFrame:
+    """All coefficients of a ridge regression on z and z^2 in each group; the constant is not shrunk."""
+    return _weighted_quadratic(_standardised(df, y, x, by), by, penalty)
+
+
+def huber_quadratic(df: DataFrame, y: str, x: str, by: tuple[str, ...], k: float = 1.345, rounds: int = 10) -> DataFrame:
+    """All coefficients of a Huber regression on z and z^2 in each group, by `rounds` of iteratively reweighted least squares.
+
+    Residuals beyond k times the root mean square residual of the unweighted fit count in proportion to their size. Each
+    round is one aggregation; groups meet their coefficients by a join on the group. Every third round writes the
+    coefficients out, so that plans stay short.
+    """
+    rows = _standardised(df, y, x, by)
+    off = F.col("y") - F.col("intercept") - F.col("linear") * F.col("z") - F.col("quadratic") * F.col("z") * F.col("z")
+    first = _weighted_quadratic(rows, by)
+    limit = rows.join(first.drop("n"), list(by)).groupBy(*by).agg((k * F.sqrt(F.avg(off * off))).alias("limit"))
+    rows, found = rows.join(limit, list(by)), first
+    for i in range(rounds):
+        if i % 3 == 2:
+            found = written(found, "huber")
+        apart = rows.join(found.drop("n"), list(by)).withColumn("w", F.when(F.abs(off) > F.col("limit"), F.col("limit") / F.abs(off)).otherwise(F.lit(1.0)))
+        found = _weighted_quadratic(apart, by)
+    return found

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from emberflux import config as K
 from emberflux.functions import scalars
-from emberflux.operators import blocks, joins, models, series, tables
+from emberflux.operators import additive, blocks, joins, models, series, tables
 from emberflux.plans import months, requests
 from emberflux.sources import files, provider
 
@@ -181,7 +181,7 @@ def test_weather_source(spark):
 def test_additive_model_finds_a_known_curve(spark):
     x = np.linspace(0, 10, 400)
     df = spark.createDataFrame([(float(a), float(np.sin(a) + 2)) for a in x], "x double, y double")
-    model = models.AdditiveModel.fit(df, "y", ("x",), penalty=0.01)
+    model = additive.AdditiveModel.fit(df, "y", ("x",), penalty=0.01)
     got = model.predict(df, "p").toPandas()
     assert np.abs(got.p - got.y).max() < 0.01
     slope = model.derivative(df.where("x between 1 and 9"), "x", "s", 0.05).toPandas()
@@ -190,10 +190,100 @@ def test_additive_model_finds_a_known_curve(spark):
 
 def test_finite_difference_of_a_quadratic(spark):
     df = spark.range(100).select((F.col("id") / 10).alias("x")).withColumn("y", F.col("x") * F.col("x"))
-    model = models.AdditiveModel.fit(df, "y", ("x",), penalty=1e-9)
+    model = additive.AdditiveModel.fit(df, "y", ("x",), penalty=1e-9)
     assert model.derivative(df.where("x between 1 and 8"), "x", "s", 0.5).where("abs(s - 2 * x) > 1e-3").isEmpty()
 
 
+def test_additive_model_against_dense_matrices(spark):
+    """Sums, weights, predictions and the sweep against numpy on dense matrices, with two smooths and a linear term."""
+    rng = np.random.default_rng(11)
+    a, b, c = rng.uniform(-3, 4, 300), rng.normal(size=300), rng.integers(0, 2, 300).astype(float)
+    y = np.sin(a) + b * b + 2 * c + rng.normal(size=300) / 9
+    fold = np.arange(300) // 60
+    df = spark.createDataFrame([*zip(*(x.tolist() for x in (a, b, c, y, fold))), (None, 1.0, 1.0, 1.0, 0)], "a double, b double, c double, y double, fold int")
+
+    def dense(n):
+        parts = [np.ones((300, 1))]
+        for x in (a, b):
+            t = np.clip((x - x.min()) / ((x.max() - x.min()) / (n - 3)), 0, n - 3 - 1e-9)
+            u, m = t - np.floor(t), np.zeros((300, n))
+            for k, v in enumerate(((1 - u) ** 3, 3 * u**3 - 6 * u**2 + 4, -3 * u**3 + 3 * u**2 + 3 * u + 1, u**3)):
+                m[np.arange(300), t.astype(int) + k] = v / 6
+            parts.append(m)
+        return np.concatenate([*parts, c[:, None]], 1)
+
+    def solve(x, y, n, penalty):
+        bend, stiff = np.diff(np.eye(n), 2, axis=0), np.zeros((2 * n + 2, 2 * n + 2))
+        for k in (1, 1 + n):
+            stiff[k : k + n, k : k + n] = penalty * bend.T @ bend + additive.RIDGE * np.eye(n)
+        return np.linalg.solve(x.T @ x + stiff, x.T @ y)
+
+    model = additive.AdditiveModel.fit(df, "y", ("a", "b"), ("c",), 9, 2.0)
+    x = dense(9)
+    want = x @ solve(x, y, 9, 2.0)
+    got = [r["p"] for r in model.predict(df, "p").orderBy("a").collect()]
+    assert got[0] is None and got[1:] == pytest.approx(want[np.argsort(a)], abs=1e-6)
+    found = {(r["splines"], r["penalty"]): r for r in additive.sweep(df, "y", ("a", "b"), ("c",), (5, 9), (0.5, 20.0), F.col("fold")).collect()}
+    assert len(found) == 4
+    for (n, penalty), r in found.items():
+        x = dense(n)
+        off = sum(np.sum((y[fold == k] - x[fold == k] @ solve(x[fold != k], y[fold != k], n, penalty)) ** 2) for k in range(5))
+        assert (r["folds"], r["n"]) == (5, 300) and r["r2"] == pytest.approx(1 - off / np.sum((y - y.mean()) ** 2), abs=1e-7) and r["rmse"] == pytest.approx(np.sqrt(off / 300), abs=1e-7)
+    alone = additive.sweep(df, "y", ("a",), splines=(5,), penalties=(1.0,)).first()
+    assert alone["folds"] == 1 and alone["r2"] is None
+    assert "Python" not in plan_of(model.derivative(df, "a", "d", 0.1)) and "Python" not in plan_of(additive.product_sums(df, "y", [model.design]))
+    with pytest.raises(ValueError):
+        additive.AdditiveModel.fit(df.where("a > 99"), "y", ("a",))
+
+
+def test_huber_line_ignores_outliers(spark):
+    rows = [("a", float(i), 3.0 * i + 1 + (500 if i % 25 == 0 else 0)) for i in range(200)] + [("b", 1.0, 2.0)] * 3 + [("a", None, 1.0)]
+    df = spark.createDataFrame(rows, "g string, x double, y double")
+    huber = {r["g"]: r for r in models.huber_quadratic(df, "y", "x", ("g",), k=0.2, rounds=40).collect()}
+    ridge = {r["g"]: r for r in models.ridge_quadratic(df, "y", "x", ("g",), penalty=0.0).collect()}
+    spread, mean = np.std(np.arange(200)), 99.5
+    assert huber["a"]["linear"] == pytest.approx(3 * spread, rel=0.01) and huber["a"]["intercept"] == pytest.approx(3 * mean + 1, rel=0.02)
+    assert huber["a"]["n"] == 200 and ridge["a"]["intercept"] > huber["a"]["intercept"] + 10 and huber["b"]["linear"] is None
+    z = (np.arange(200) - mean) / spread
+    x = np.stack([np.ones(200), z, z * z], 1)
+    want = np.linalg.solve(x.T @ x + np.diag([0, 5.0, 5.0]), x.T @ np.array([r[2] for r in rows[:200]]))
+    got = models.ridge_quadratic(df, "y", "x", ("g",), penalty=5.0).where("g = 'a'").first()
+    assert [got[c] for c in ("intercept", "linear", "quadratic")] == pytest.approx(want.tolist())
+
+
+def test_correlation_of_many_thresholds(spark):
+    rng = np.random.default_rng(12)
+    x = rng.normal(size=500)
+    y = x + rng.normal(size=500)
+    size = np.abs(rng.normal(size=500)) * 10
+    df = spark.createDataFrame([*zip(x.tolist(), y.tolist(), (size * rng.choice([-1, 1], 500)).tolist()), (1.0, 1.0, None)], "x double, y double, s double")
+    taus = [k / 40 for k in range(1000)]
+    found = models.correlation_by_threshold(df, "x", "y", "s", taus)
+    assert "Generate" not in plan_of(found)
+    got = {r["tau"]: (r["n"], r["r"]) for r in found.collect()}
+    assert set(got) == {t for t in taus if (size >= t).any()}
+    for t, (n, r) in got.items():
+        mine = size >= t
+        assert n == mine.sum()
+        if n > 2:
+            assert r == pytest.approx(np.corrcoef(x[mine], y[mine])[0, 1], abs=1e-9)
+
+
+def test_selection_by_histograms(spark, monkeypatch):
+    """Ties, gaps, extremes and repeated rounds, with next to nothing fetched."""
+    from emberflux.operators import blocks
+
+    rng = np.random.default_rng(13)
+    x = np.concatenate([rng.normal(size=2000), np.full(3000, 7.0), 1e300 * rng.normal(size=20), [1e-300, -1e-300, 0.0, 0.0]])
+    df = spark.createDataFrame([(float(v),) for v in x] + [(None,), (float("nan"),), (float("inf"),)], "v double")
+    monkeypatch.setattr(blocks, "FETCHED", 3)
+    monkeypatch.setattr(blocks, "CELLS", 128)
+    ranks = [0, 1, 9, 10, 1500, 2011, 2500, 4000, len(x) - 2, len(x) - 1]
+    assert blocks.select_ranks(df, "v", ranks) == {k: v for k, v in zip(ranks, np.sort(x)[ranks].tolist())}
+    shares = [0.01, 0.333, 0.5, 0.99]
+    assert blocks.quantiles(df, "v", shares) == pytest.approx(np.quantile(x, shares).tolist())
+
+
 def test_bootstrap_weights_are_fixed_and_average_one(spark):
     df = spark.range(2000)
     a, b = (models.poisson_weights(df, 5, "id").agg(F.sum("weight")).first()[0] for _ in range(2))
