@@ -22,7 +22,7 @@ import uuid
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import islice
+from itertools import compress, islice
 
 import numpy as np
 import pyarrow as pa
@@ -42,6 +42,12 @@ SEGMENTS = "shard int, segment int, start long, n_docs long, n_tokens long, data
 _PLAIN = re.compile("[\t\n\r\x20-\x7e\xa0-ɏ]*")
 
 
+@lru_cache(1)
+def _tokenizer(path: str) -> "_Tokenizer":
+    """One for all tasks of a worker."""
+    return _Tokenizer(path)
+
+
 @lru_cache(1)
 def _split():
     letters, numbers = ("".join(re.escape(chr(c)) for c in range(0x250) if unicodedata.category(chr(c))[0] == kind) for kind in "LN")
@@ -57,9 +63,10 @@ class _Index(dict):
 
 
 class _Tokenizer:
-    """Whole texts to ids by the tokenizers library; a byte-level vocabulary meets each word of a plain text once for each `most` words."""
+    """Whole texts to ids by the tokenizers library; a byte-level vocabulary meets a word of plain texts anew only if
+    it was forgotten: of `most` words those that came once go, or all if that isn't half of them."""
 
-    def __init__(self, path: str, most: int = 300_000):
+    def __init__(self, path: str, most: int = 600_000):
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -72,21 +79,48 @@ class _Tokenizer:
         self._forget()
 
     def _forget(self):
-        self.index, self.size, self.flat, self.starts, self.lengths = _Index(), 0, np.zeros(1 << 16, np.uint32), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.index, self.size, self.flat = _Index(), 0, np.zeros(1 << 16, np.uint32)
+        self.starts, self.lengths, self.uses = (np.zeros(0, np.int64) for _ in range(3))
+
+    def _prune(self):
+        often = self.uses > 1
+        if 2 * often.sum() > len(often):
+            return self._forget()
+        lengths = self.lengths[often]
+        ends = np.cumsum(lengths)
+        self.flat = self.flat.take(np.repeat(self.starts[often] - ends + lengths, lengths) + np.arange(lengths.sum()))
+        self.index = _Index(zip(compress(self.index, often.tolist()), range(len(lengths))))
+        self.starts, self.lengths, self.uses, self.size = ends - lengths, lengths, self.uses[often] // 2, len(self.flat)
 
     def _whole(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(x.ids, np.uint32) for x in self.own.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _learn(self, new: list[str]) -> None:
-        lists = self._whole(new)
-        lengths = np.fromiter(map(len, lists), np.int64, len(lists))
-        more = self.size + int(lengths.sum())
-        if more > len(self.flat):
-            self.flat = np.concatenate([self.flat, np.zeros(more, np.uint32)])
-        self.flat[self.size : more] = np.concatenate(lists)
-        self.starts = np.concatenate([self.starts, np.cumsum(lengths) - lengths + self.size])
-        self.lengths = np.concatenate([self.lengths, lengths])
-        self.size = more
+    def _learn(self, new: list[str], together: int = 50) -> None:
+        """Words are encoded some at a time, each followed by a line feed, which is a word and an id of its own there."""
+        lengths, joined, alone = np.zeros(len(new), np.int64), [], []
+        for i, w in enumerate(new):
+            (alone if w.isspace() or "\n" in w else joined).append(i)
+        line = self._whole(["\n"])[0]
+        if len(line) != 1:
+            joined, alone = [], list(range(len(new)))
+        lists, order = self._whole([new[i] for i in alone]), np.array(alone + joined, np.int64)
+        texts = ["\n".join([new[i] for i in joined[k : k + together]]) + "\n" for k in range(0, len(joined), together)]
+        flat = np.concatenate([*lists, *(more := self._whole(texts)), np.zeros(0, np.uint32)])
+        n = sum(map(len, lists))
+        feeds = np.flatnonzero(flat[n:] == line[0]) if more else np.zeros(0, np.int64)
+        if len(feeds) != len(joined):
+            raise RuntimeError("a word holds the id of a line feed")
+        own = np.concatenate([np.fromiter(map(len, lists), np.int64, len(lists)), np.diff(feeds, prepend=-1) - 1])
+        starts = np.concatenate([np.cumsum([0, *map(len, lists)])[:-1].astype(np.int64), n + feeds - own[len(lists) :]])
+        size = self.size + len(flat)
+        if size > len(self.flat):
+            self.flat = np.concatenate([self.flat, np.zeros(size, np.uint32)])
+        self.flat[self.size : size] = flat
+        placed = np.empty(len(new), np.int64)
+        placed[order], lengths[order] = starts + self.size, own
+        self.starts, self.lengths = np.concatenate([self.starts, placed]), np.concatenate([self.lengths, lengths])
+        self.uses = np.concatenate([self.uses, np.zeros(len(new), np.int64)])
+        self.size = size
 
     def ids(self, texts: list[str]) -> list[np.ndarray]:
         out: list = [None] * len(texts)
@@ -95,13 +129,15 @@ class _Tokenizer:
         for i, x in zip(other, self._whole([texts[i] for i in other])):
             out[i] = x
         if len(self.index) > self.most:
-            self._forget()
+            self._prune()
         known, places, find = len(self.index), [], _split()
         for i in np.flatnonzero(plain).tolist():
             words = find(texts[i])
             places.append((i, np.fromiter(map(self.index.__getitem__, words), np.int64, len(words))))
         if len(self.index) > known:
             self._learn(list(islice(self.index, known, None)))
+        if places:
+            self.uses += np.bincount(np.concatenate([at for _, at in places]), minlength=len(self.uses))
         for i, at in places:
             take = self.lengths.take(at)
             total = np.cumsum(take)
@@ -178,7 +214,7 @@ def write_tokens(documents: DataFrame, tokenizer: str, path: str, end_id: int |
     order = ["doc_id", "row_key", "place"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, shard = _Tokenizer(tokenizer), TaskContext.get().partitionId()
+        own, shard = _tokenizer(tokenizer), TaskContext.get().partitionId()
         end = np.array([] if end_id is None else [end_id], np.uint32)
         names, lists, size, start, segment = [], [], 0, 0, 0
 
