@@ -101,11 +101,23 @@ def signatures(doc: np.ndarray, h: np.ndarray, size: np.ndarray, own: bool, perc
 
 
 PACK = "bucket int, packed binary"
+#: Documents of a flush (their places are 16-bit), sets that a task remembers as sent, and entries that a bucket holds before it compacts.
+FLUSH, SENT, HELD = 20_000, 200_000, 1_000_000
 ENTRY = "sig long, doc_id long, size int, flags int, cost int, hub long, hub_size int, k1 long, k2 long, units int"
 
 
+def _first(*columns: np.ndarray) -> np.ndarray:
+    """Where sorted rows differ from the row before."""
+    if not len(columns[0]):
+        return np.zeros(0, bool)
+    return np.concatenate(([True], np.any([x[1:] != x[:-1] for x in columns], axis=0)))
+
+
 def _emit(docs: DataFrame, n: int, percent: int, n_buckets: int) -> DataFrame:
-    """Packed signatures of a slice of documents for each bucket, and their sizes and set keys."""
+    """Packed signatures of a slice of documents for each bucket, and their sizes and set keys.
+
+    Equal sets send the signatures of their smallest doc_id only, as far as the task remembers them.
+    """
 
     def pack(sig, idx, flags, ids, size, k1, k2, units) -> bytes:
         used, idx = np.unique(idx, return_inverse=True)
@@ -113,12 +125,21 @@ def _emit(docs: DataFrame, n: int, percent: int, n_buckets: int) -> DataFrame:
         return zstandard.compress(np.array([len(sig), len(used)], np.int64).tobytes() + b"".join(x.tobytes() for x in arrays), 1)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, ready = [], 0
+        held, ready, sent = [], 0, {}
 
         def done():
             shift = np.cumsum([0, *(len(x[3]) for x in held)])
             sig, idx, flags = np.concatenate([x[0] for x in held]), np.concatenate([x[1] + s for x, s in zip(held, shift)]), np.concatenate([x[2] for x in held])
             ids, size, k1, k2, units = (np.concatenate([x[k] for x in held]) for k in range(3, 8))
+            order = np.lexsort((ids, size, k2, k1))
+            first = order[_first(k1[order], k2[order], size[order])]
+            sends = np.zeros(len(ids), bool)
+            if len(sent) > SENT:
+                sent.clear()
+            for i, key, own in zip(first.tolist(), zip(k1[first].tolist(), k2[first].tolist(), size[first].tolist()), ids[first].tolist()):
+                if (before := sent.get(key)) is None or own < before:
+                    sent[key], sends[i] = own, True
+            sig, idx, flags = (x[sends[idx]] for x in (sig, idx, flags))
             bucket = ((sig >> _U(40)) % _U(n_buckets)).astype(np.int64)
             order = np.argsort(bucket, kind="stable")
             cuts = np.searchsorted(bucket[order], np.arange(n_buckets + 1))
@@ -128,7 +149,7 @@ def _emit(docs: DataFrame, n: int, percent: int, n_buckets: int) -> DataFrame:
             rows.append((-1 - int(C.mix(ids[:1].view(_U))[0] % _U(n_buckets)), pack(np.zeros(len(ids), _U), every, np.zeros(len(ids)), ids, size, k1, k2, units)))
             return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.binary())], names=["bucket", "packed"])
 
-        for batch in C.slices(batches):
+        for batch in (b.slice(a, FLUSH) for b in C.slices(batches) for a in range(0, b.num_rows, FLUSH)):
             raw, offsets = C.flat(batch.column("text"))
             ids = batch.column("doc_id").to_numpy(zero_copy_only=False)
             doc, h = shingles(raw, offsets, n)
@@ -141,7 +162,7 @@ def _emit(docs: DataFrame, n: int, percent: int, n_buckets: int) -> DataFrame:
             a, b = signatures(doc, h, size, True), signatures(doc, h, size, False, percent)
             held.append((np.concatenate((a[0], b[0])), np.concatenate((a[1], b[1])), np.concatenate((a[2], b[2])), ids, size, sums[0].view(np.int64), sums[1].view(np.int64), a[3]))
             ready += len(raw)
-            if ready >= 6 << 20 or sum(len(x[3]) for x in held) > 20_000:
+            if ready >= 6 << 20 or sum(len(x[3]) for x in held) > FLUSH:
                 yield done()
                 held, ready = [], 0
         if held:
@@ -170,22 +191,27 @@ def _bucket_entries(packs: DataFrame) -> DataFrame:
         n = next(len(x) for x in columns if x is not None)
         return pa.RecordBatch.from_arrays([pa.nulls(n, t) if x is None else pa.array(x, t) for x, t in zip(columns, kinds)], names=["sig", "doc_id", "size", "flags", "cost", "hub", "hub_size", "k1", "k2", "units"])
 
-    def settle(bucket: int, held: list) -> pa.RecordBatch | None:
+    def compact(held: list, last: bool = False) -> list:
+        """The entries of all packs as one, the one of the smallest doc_id for each signature, flags and set.
+
+        At last, signatures that occur once are left out before.
+        """
         shift = np.cumsum([0, *(len(x[3]) for x in held)])
         sig, idx, flags = np.concatenate([x[0] for x in held]), np.concatenate([x[1] + s for x, s in zip(held, shift)]), np.concatenate([x[2] for x in held])
-        ids, size, k1, k2 = (np.concatenate([x[k] for x in held]) for k in (3, 4, 5, 6))
-        order = np.argsort(sig, kind="stable")
-        s = sig[order]
-        same = np.concatenate(([False], s[1:] == s[:-1]))
-        order = order[same | np.concatenate((same[1:], [False]))]
-        if not len(order):
+        if last:
+            order = np.argsort(sig, kind="stable")
+            new = _first(sig[order])
+            some = order[~(new & np.append(new[1:], True))]
+            sig, idx, flags = sig[some], idx[some], flags[some]
+        ids, size, k1, k2 = (np.concatenate([x[k] for x in held])[idx] for k in (3, 4, 5, 6))
+        order = np.lexsort((ids, k2, k1, flags, sig))
+        order = order[_first(sig[order], flags[order], k1[order], k2[order])]
+        return [sig[order], np.arange(len(order)), *(x[order] for x in (flags, ids, size, k1, k2))]
+
+    def settle(bucket: int, held: list) -> pa.RecordBatch | None:
+        s, d, f, ids, size, *_ = compact(held, True)
+        if not len(s):
             return None
-        d = idx[order]
-        again = np.lexsort((ids[d], k2[d], k1[d], flags[order], sig[order]))
-        order, d = order[again], d[again]
-        s, f = sig[order], flags[order]
-        first = np.concatenate(([True], (s[1:] != s[:-1]) | (f[1:] != f[:-1]) | (k1[d][1:] != k1[d][:-1]) | (k2[d][1:] != k2[d][:-1])))
-        s, f, d = s[first], f[first], d[first]
         cut = np.flatnonzero(np.concatenate(([True], s[1:] != s[:-1])))
         count = np.diff(np.append(cut, len(s)))
         who = ids[d]
@@ -201,18 +227,21 @@ def _bucket_entries(packs: DataFrame) -> DataFrame:
         return batch([x[keep] for x in (name, who, size[d].astype(np.int32), f.astype(np.int32), np.minimum(cost, 1 << 30).astype(np.int32), hub, hub_size.astype(np.int32))] + [None, None, None])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, held = None, []
+        now, held, kept = None, [], 0
         for b in batches:
             for bucket, packed in zip(b.column("bucket").to_pylist(), b.column("packed")):
                 if bucket != now:
                     if held and (out := settle(now, held)) is not None:
                         yield out
-                    now, held = bucket, []
+                    now, held, kept = bucket, [], 0
                 got = unpack(packed.as_py())
                 if bucket < 0:
                     yield batch([None, got[3], got[4], None, None, None, None, got[5], got[6], got[7]])
                 else:
                     held.append(got)
+                    if len(held) > 1 and sum(len(x[0]) for x in held) > max(HELD, 2 * kept):
+                        held = [compact(held)]
+                        kept = len(held[0][0])
         if held and (out := settle(now, held)) is not None:
             yield out
 

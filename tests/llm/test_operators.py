@@ -6,6 +6,7 @@ import random
 
 import numpy as np
 import pytest
+import zstandard
 from brute import KINDS, components, counts, private, repeated_bytes, repeated_words, sha, shingles, words
 from pyspark.sql import functions as F
 
@@ -133,6 +134,27 @@ def test_jaccard_join_of_repeated_ids(spark):
     assert got == sorted(by_row(rows)) and any(r[0] != r[2] for r in got)
 
 
+def test_jaccard_join_of_many_copies(spark, monkeypatch):
+    """50,000 copies of a text send one entry for each task that meets it to its buckets, and stay one set there."""
+    rng = random.Random(25)
+    rows = list(enumerate(texts(25, 150, [f"w{i}" for i in range(30)], [4, 9, 14, 25], edits=2)))
+    one = " ".join(rng.choice("abcdefgh") + str(k) for k in range(12))
+    both = [*rows, *((1000 + i, one) for i in range(50_000)), (999, one + " more")]
+    df = frame(spark, both).repartition(3)
+    packs = jaccard_join._emit(df.select("doc_id", "text"), 5, 75, 4)
+    alone = jaccard_join._emit(frame(spark, [(1, one)]).select("doc_id", "text"), 5, 75, 4)
+
+    def entries(packs):
+        return sum(int(np.frombuffer(zstandard.decompress(r["packed"]), np.int64, 1)[0]) for r in packs.where("bucket >= 0").collect())
+
+    assert entries(packs) - entries(jaccard_join._emit(frame(spark, [*rows, (999, one + " more")]).select("doc_id", "text"), 5, 75, 4)) <= 12 * entries(alone)
+    monkeypatch.setattr(jaccard_join, "HELD", 50)
+    monkeypatch.setattr(jaccard_join, "SENT", 3)
+    got = found(jaccard_join.jaccard_join(df), "doc_id", "n_shingles", "component_id")
+    want = dict((d, (n, c)) for d, n, c in components([*rows, (1000, one), (999, one + " more")]))
+    assert got == sorted([(d, *want[min(d, 1000)]) for d, _ in both])
+
+
 def test_jaccard_join_of_chains(spark):
     """Texts that slide over one long text: neighbours share 0.3 to 0.8 of their shingles."""
     rng = random.Random(25)
