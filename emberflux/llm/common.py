@@ -55,6 +55,14 @@ def documents(df: DataFrame, *more: str) -> DataFrame:
     return df.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), *more).where(F.col("doc_id").isNotNull())
 
 
+def free_name(columns: list[str], name: str) -> str:
+    """The name, with as many underscores as it takes to be no column's, whatever the case."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def keyed(df: DataFrame) -> DataFrame:
     """Adds row_key, 64 bits of the text: rows that share a doc_id are told apart by it."""
     return df.withColumn("row_key", F.xxhash64("text"))

@@ -17,7 +17,6 @@ from pyspark.sql import functions as F
 from . import common as C
 
 HIT = "array<struct<item_id:bigint,distance:int,start:int,end:int>>"
-HITS = "__leaks"
 
 
 def normalize(text: str | None) -> str:
@@ -119,7 +118,7 @@ def blocks(benchmark: DataFrame, limit: int) -> Iterator[list[tuple[int, str]]]:
         yield held
 
 
-def _scan(docs: DataFrame, items: list[tuple[int, str]], rate: float, least_piece: int) -> DataFrame:
+def _scan(docs: DataFrame, items: list[tuple[int, str]], rate: float, least_piece: int, hits: str) -> DataFrame:
     """All columns of docs, and HITS."""
     sent = docs.sparkSession.sparkContext.broadcast(items)
 
@@ -127,11 +126,11 @@ def _scan(docs: DataFrame, items: list[tuple[int, str]], rate: float, least_piec
         matcher = Matcher(sent.value, rate, least_piece)
         kind = pa.list_(pa.struct([("item_id", pa.int64()), ("distance", pa.int32()), ("start", pa.int32()), ("end", pa.int32())]))
         for batch in C.slices(batches, limit=1 << 22):
-            hits = [matcher.find(normalize(x.as_py())) for x in batch.column("text")]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(hits, kind)], names=[*batch.schema.names, HITS])
+            found = [matcher.find(normalize(x.as_py())) for x in batch.column("text")]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, kind)], names=[*batch.schema.names, hits])
 
     kinds = ", ".join(f"`{c}` {t}" for c, t in docs.dtypes)
-    return docs.mapInArrow(run, f"{kinds}, {HITS} {HIT}")
+    return docs.mapInArrow(run, f"{kinds}, `{hits}` {HIT}")
 
 
 def leaks(documents: DataFrame, benchmark: DataFrame, rate: float = 0.05, least_piece: int = 12, block_chars: int = 16 << 20) -> DataFrame:
@@ -140,20 +139,22 @@ def leaks(documents: DataFrame, benchmark: DataFrame, rate: float = 0.05, least_
     Returns doc_id, item_id, distance, start and end (of the passage, in the normalised text).
     Defined cases: null or empty texts and items match nothing; an item shorter than two pieces must
     occur exactly; of several places the one with fewest edits counts, then the first; rows that
-    repeat a doc_id each give their hits; rows without doc_id or item_id are left out; other columns
+    repeat a doc_id each give their hits; a very long text is scanned whole, in one row's work, with memory
+    in proportion to it; rows without doc_id or item_id are left out; other columns
     are ignored; empty tables give an empty result.
     """
     docs = C.documents(documents)
     out = docs.sparkSession.createDataFrame([], "doc_id long, item_id long, distance int, start int, end int")
     for items in blocks(benchmark, block_chars):
-        out = out.union(_scan(docs, items, rate, least_piece).select("doc_id", F.inline(HITS)))
+        out = out.union(_scan(docs, items, rate, least_piece, "leaks").select("doc_id", F.inline("leaks")))
     return out
 
 
 def decontaminate(documents: DataFrame, benchmark: DataFrame, rate: float = 0.05, least_piece: int = 12, block_chars: int = 16 << 20) -> DataFrame:
     """The documents, all columns, that hold no test item; same matching as `leaks`."""
     for items in blocks(benchmark, block_chars):
-        documents = _scan(documents, items, rate, least_piece).where(F.size(HITS) == 0).drop(HITS)
+        hits = C.free_name(documents.columns, "leaks")
+        documents = _scan(documents, items, rate, least_piece, hits).where(F.size(hits) == 0).drop(hits)
     return documents
 
 

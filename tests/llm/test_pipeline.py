@@ -66,3 +66,22 @@ def test_stages_tell_rows_of_one_doc_id_apart(spark):
     assert of(corpus_pipeline.quality(spark, docs, "")) == sorted([(1, one), (2, two), (2, three), (2, three), (3, one), (3, two + " more")])
     kept = {(r["doc_id"], r["text"]) for r in corpus_pipeline.near_duplicates(spark, docs, "").collect() if r["doc_id"] < 10}
     assert kept == {(1, one), (1, "short"), (2, two), (2, three), (4, None), (4, "")}
+
+
+def test_stages_leave_other_columns_alone(spark, tmp_path):
+    """Columns named like those that stages add on their way, an empty table, and a very long text."""
+    pytest.importorskip("public_tokenizers")
+    import corpus_pipeline
+
+    rng = random.Random(4)
+    prose = lambda n: " ".join("".join(rng.choice("abcdefghij") for _ in range(rng.randint(2, 8))) for _ in range(n))
+    names = ["row", "__row", "ROW_", "kept", "leaks", "__leaks", "only", "spans", "base", "row_key", "distance"]
+    rows = [(i, prose(60 if i else 30_000), "en", "s", *range(i, i + len(names))) for i in range(30)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, " + ", ".join(f"`{c}` int" for c in names))
+    spark.createDataFrame([(1, prose(40))], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, str(tmp_path))
+        # The very long text is far from all others of its language and source.
+        expected = rows[1:] if name == "quality rules" else rows
+        assert out.columns == docs.columns and sorted(map(tuple, out.collect())) == expected
+        assert stage(spark, docs.limit(0), str(tmp_path)).collect() == []
