@@ -2,7 +2,8 @@
 
 Each stage takes (spark, docs, sf_dir), works on all documents that its predecessor kept, and returns a
 DataFrame that is written as Parquet and reread as the next stage's docs. All but the last return the
-columns of documents.
+columns of documents, whatever further ones there are. Very long texts are whole rows' work in every stage, and an
+empty table stays empty.
 """
 
 from __future__ import annotations
@@ -20,8 +21,9 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     Null and empty texts fail the base rules. Rows that repeat a doc_id are judged each by its own text,
     lang and source; rows without doc_id go.
     """
-    kept = quality_rules.quality_rules(docs).where("kept").select("doc_id", F.col("row_key").alias("__row")).distinct()
-    return docs.withColumn("__row", quality_rules.row_key()).join(kept, ["doc_id", "__row"], "left_semi").select(*docs.columns)
+    row = common.free_name(docs.columns, "row")
+    kept = quality_rules.quality_rules(docs).where("kept").select("doc_id", F.col("row_key").alias(row)).distinct()
+    return docs.withColumn(row, quality_rules.row_key()).join(kept, ["doc_id", row], "left_semi").select(*docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -30,10 +32,11 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     Texts without words are linked with nothing and stay. Rows that repeat a doc_id with different texts
     are rows of their own: each stays or goes by its own text.
     """
+    row = common.free_name(docs.columns, "row")
     first = jaccard_join.jaccard_join(docs).groupBy("root").agg(F.min(F.struct("doc_id", "row_key")).alias("x")).select("x.doc_id", F.col("x.row_key").alias("only"))
-    rows = docs.withColumn("__row", F.xxhash64(F.col("text").cast("string")))
-    stays = (rows["doc_id"] == first["doc_id"]) & (first["only"].isNull() | (first["only"] == rows["__row"]))
-    return rows.join(first, stays, "left_semi").dropDuplicates(["doc_id", "__row"]).select(*docs.columns)
+    rows = docs.withColumn(row, F.xxhash64(F.col("text").cast("string")))
+    stays = (rows["doc_id"] == first["doc_id"]) & (first["only"].isNull() | (first["only"] == rows[row]))
+    return rows.join(first, stays, "left_semi").dropDuplicates(["doc_id", row]).select(*docs.columns)
 
 
 def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -45,8 +48,8 @@ def private(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents with personal data replaced in their texts; a null text stays null, each row by its own text."""
     others = [c for c in docs.columns if c not in ("doc_id", "text")]
     kept = F.struct(*others) if others else F.lit(None).cast("struct<none:int>")
-    found = pii.find_private(docs.select("doc_id", "text", kept.alias("__kept")), "__kept").select("doc_id", pii.sanitized().alias("text"), "__kept")
-    out = found.select("doc_id", "text", *(F.col("__kept")[c].alias(c) for c in others))
+    found = pii.find_private(docs.select("doc_id", "text", kept.alias("kept")), "kept").select("doc_id", pii.sanitized().alias("text"), "kept")
+    out = found.select("doc_id", "text", *(F.col("kept")[c].alias(c) for c in others))
     if "n_chars" in others:
         out = out.withColumn("n_chars", F.length(F.coalesce("text", F.lit(""))).cast(docs.schema["n_chars"].dataType))
     return out.select(*docs.columns)
