@@ -36,7 +36,7 @@ from . import range_coder
 MAGIC = b"EFT1"
 BLOCK = 1 << 21
 #: A lane of a block has about so many ids.
-LANE = 256
+LANE = 160
 SEGMENTS = "shard int, segment int, start long, n_docs long, n_tokens long, data binary"
 #: Texts of these characters alone are split into words here; others go to the tokenizer whole.
 _PLAIN = re.compile("[\t\n\r\x20-\x7e\xa0-ɏ]*")
@@ -66,7 +66,7 @@ class _Tokenizer:
     """Whole texts to ids by the tokenizers library; a byte-level vocabulary meets a word of plain texts anew only if
     it was forgotten: of `most` words those that came once go, or all if that isn't half of them."""
 
-    def __init__(self, path: str, most: int = 600_000):
+    def __init__(self, path: str, most: int = 900_000):
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
