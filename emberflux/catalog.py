@@ -78,28 +78,28 @@ def scan_glob(spark, d):
 
 _PAYLOAD_SQL = f"""SELECT 'p' || (i // 6) AS month, TIMESTAMP '2024-01-01' + INTERVAL (5 * i) MINUTE AS timestamp,
   {', '.join(f'(i + {k})::DOUBLE AS {v}' for k, v in enumerate(K.GRID_VARIABLES))} FROM range(12) t(i)"""
-
-
-def _payloads(spark):
-    """Two sound payloads of six rows, and four broken ones, as the service sends them: JSON text in a JSON string."""
-    i = F.sequence(F.col("p") * 6, F.col("p") * 6 + 5)
-    stamps = F.transform(i, lambda k: F.date_format(F.timestamp_add("MINUTE", (5 * k).cast("int"), F.lit("2024-01-01").cast("timestamp_ntz")), "yyyy-MM-dd HH:mm:ss"))
-    arrays = [F.transform(i, _plus(k)).alias(v) for k, v in enumerate(K.GRID_VARIABLES)]
-    inner = F.to_json(F.struct(F.struct(stamps.alias("timestamps"), *arrays).alias("timeseries_values")))
-    body = lambda text: F.substring(F.to_json(F.struct(text.alias("s"))), 6, 10_000_000)
-    rows = spark.range(6).withColumnRenamed("id", "p").withColumn("inner", inner)
-    broken = F.when(F.col("p") == 2, F.lit('{"error":1}')).when(F.col("p") == 3, F.regexp_replace("inner", "demand_met", "demand")).when(F.col("p") == 4, F.regexp_replace("inner", "2024-01-01 02:00:00", "soon")).when(F.col("p") == 5, F.regexp_replace("inner", r'"net_demand":\[\d+,', '"net_demand":[')).otherwise(F.col("inner"))
-    quoted = body(broken)
+_DAYS_SQL = SQL + f"SELECT 'p' || day(timestamp) AS month, timestamp, {_round_sql(' '.join(K.GRID_VARIABLES))} FROM grid WHERE day(timestamp) % 6 < 2"
+
+
+def _payloads(spark, d):
+    """The grid as the service sends it, a body a day: JSON text in a JSON string. Four days of six are broken, each in its way."""
+    day, at = F.day("timestamp"), F.date_format("timestamp", "yyyy-MM-dd HH:mm:ss")
+    listed = X.grid(spark, d).groupBy(day.alias("p")).agg(F.sort_array(F.collect_list(F.struct(at.alias("timestamps"), *K.GRID_VARIABLES))).alias("rows"))
+    arrays = [F.transform("rows", _field(c)).alias(c) for c in ("timestamps", *K.GRID_VARIABLES)]
+    inner = F.to_json(F.struct(F.struct(*arrays).alias("timeseries_values")))
+    rows = listed.select("p", (F.col("p") % 6).alias("k"), inner.alias("inner"))
+    broken = F.when(F.col("k") == 2, F.lit('{"error":1}')).when(F.col("k") == 3, F.regexp_replace("inner", "demand_met", "demand")).when(F.col("k") == 4, F.regexp_replace("inner", r'"timestamps":\["[^"]*"', '"timestamps":["soon"')).when(F.col("k") == 5, F.regexp_replace("inner", r'"net_demand":\[[^\]]*\]', '"net_demand":[]')).otherwise(F.col("inner"))
+    quoted = F.substring(F.to_json(F.struct(broken.alias("s"))), 6, 10_000_000)
     return rows.select(F.concat(F.lit("p"), F.col("p")).alias("month"), F.substring(quoted, F.lit(1), F.length(quoted) - 1).alias("body"))
 
 
-def _plus(k: int):
-    return lambda x: x + F.lit(k)
+def _field(name: str):
+    return lambda x: x[name]
 
 
-@query(_PAYLOAD_SQL)
+@query(_DAYS_SQL)
 def payload_arrays_to_rows(spark, d):
-    return payload.payload_rows(_payloads(spark))
+    return rounded(payload.payload_rows(_payloads(spark, d)))
 
 
 @query(_PAYLOAD_SQL, "src_api_decode")
@@ -122,9 +122,9 @@ def src_weather_months(spark, d):
     return read.select("year", "month", "status", "member", F.length("content").alias("size"))
 
 
-@query(f"SELECT month, timestamp, demand_met, net_demand FROM ({_PAYLOAD_SQL})")
+@query(f"SELECT month, timestamp, demand_met, net_demand FROM ({_DAYS_SQL})")
 def project_variables(spark, d):
-    return payload.payload_rows(_payloads(spark)).select("month", "timestamp", "demand_met", "net_demand")
+    return rounded(payload.payload_rows(_payloads(spark, d)).select("month", "timestamp", "demand_met", "net_demand"))
 
 
 @query("SELECT path, CASE WHEN head = '504B0304' THEN 'zip' WHEN head = '47524942' THEN 'grib' ELSE 'other' END AS kind FROM (VALUES ('a.zip', '504B0304'), ('b.grib', '47524942'), ('c.grib', '4752'), ('d.nc', '89484446'), ('e', '')) t(path, head)")
@@ -141,33 +141,50 @@ def zip_member_choice(spark, d):
     return files.choose_member(values(spark, "archive, name, size", _MEMBERS))
 
 
-_FILES = "('raw/era5-land_N37W68S6E98_abc_2024-01.grib'), ('raw/era5-land_N37W68S6E98_abc_2024_02.zip'), ('raw/era5-land_N37W68S6E98_abc_2024-03.grib.download'), ('raw/era5-land_N37W68S6E98_xyz_2024-03.grib'), ('raw/era5-land_N37W68S6E98_abc_2024-04.'), ('raw/era5-land_N37W68S6E98_abc_2024-01.nc')"
-_PRESENT = f"SELECT CAST(regexp_extract(path, '_abc_(\\d{{4}})[-_](\\d{{2}})', 1) AS INT) AS year, CAST(regexp_extract(path, '_abc_(\\d{{4}})[-_](\\d{{2}})', 2) AS INT) AS month, MIN(path) AS path FROM (VALUES {_FILES}) t(path) WHERE regexp_matches(path, '^raw/era5-land_N37W68S6E98_abc_\\d{{4}}[-_]\\d{{2}}\\.[A-Za-z0-9]+$') GROUP BY 1, 2"
-_PLAN = "SELECT CAST(year(m) AS INT) AS year, CAST(month(m) AS INT) AS month FROM (SELECT unnest(generate_series(TIMESTAMP '2023-12-01', TIMESTAMP '2024-05-01', INTERVAL 1 MONTH)) AS m)"
+#: Requests by the users' spans, and a listing of files by the users' numbers: sound names, other bases, parts, other endings.
+_ASKED_SQL = "(SELECT id, MIN(ts) - INTERVAL (31 * id) DAY AS s, MAX(ts) + INTERVAL (20 * id) DAY AS e FROM (SELECT user_id % 5 AS id, ts FROM events) GROUP BY id)"
+_FILES_SQL = """(SELECT 'raw/era5-land_N37W68S6E98_' || CASE k % 5 WHEN 3 THEN 'xyz' ELSE 'abc' END || '_' || CASE k % 5 WHEN 1 THEN strftime(m, '%Y_%m') ELSE strftime(m, '%Y-%m') END || CASE k % 5 WHEN 1 THEN '.zip' WHEN 2 THEN '.grib.download' WHEN 4 THEN '.' ELSE '.grib' END AS path
+  FROM (SELECT k, DATE '2023-09-01' + INTERVAL (k) MONTH AS m FROM (SELECT DISTINCT user_id % 20 AS k FROM events)))"""
+_PRESENT = f"SELECT CAST(regexp_extract(path, '_abc_(\\d{{4}})[-_](\\d{{2}})', 1) AS INT) AS year, CAST(regexp_extract(path, '_abc_(\\d{{4}})[-_](\\d{{2}})', 2) AS INT) AS month, MIN(path) AS path FROM {_FILES_SQL} WHERE regexp_matches(path, '^raw/era5-land_N37W68S6E98_abc_\\d{{4}}[-_]\\d{{2}}\\.[A-Za-z0-9]+$') GROUP BY 1, 2"
+_PLANS = f"SELECT id, CAST(year(m) AS INT) AS year, CAST(month(m) AS INT) AS month FROM (SELECT id, unnest(generate_series(date_trunc('month', s), e, INTERVAL 1 MONTH)) AS m FROM {_ASKED_SQL})"
+_PLAN = f"SELECT DISTINCT year, month FROM ({_PLANS})"
+
+
+def _asked_spans(spark, d):
+    spans = X.events(spark, d).groupBy((F.col("user_id") % 5).alias("id")).agg(F.min("ts").alias("a"), F.max("ts").alias("b"))
+    shifted = lambda c, days: F.timestamp_add("DAY", (days * F.col("id")).cast("int"), F.col(c)).cast("timestamp_ntz")
+    return spans.select("id", shifted("a", -31).alias("start"), shifted("b", 20).alias("end"))
+
+
+def _present(spark, d):
+    k = F.col("k") % 5
+    month = F.add_months(F.lit("2023-09-01").cast("date"), F.col("k").cast("int"))
+    name = F.concat(F.lit("raw/era5-land_N37W68S6E98_"), F.when(k == 3, "xyz").otherwise("abc"), F.lit("_"), F.when(k == 1, F.date_format(month, "yyyy_MM")).otherwise(F.date_format(month, "yyyy-MM")), F.when(k == 1, ".zip").when(k == 2, ".grib.download").when(k == 4, ".").otherwise(".grib"))
+    listing = X.events(spark, d).select((F.col("user_id") % 20).alias("k")).distinct().select(name.alias("path"))
+    return months.present_months(listing, "era5-land_N37W68S6E98_abc")
 
 
-def _present(spark):
-    return months.present_months(values(spark, "path", _FILES), "era5-land_N37W68S6E98_abc")
+def _plans(spark, d):
+    return months.month_plan(_asked_spans(spark, d).withColumns({c: F.to_date(c) for c in ("start", "end")})).drop("start", "end")
 
 
-def _plan(spark):
-    return months.month_plan(values(spark, "start, end", "(date'2023-12-15', date'2024-05-02')")).drop("start", "end")
+def _plan(spark, d):
+    return _plans(spark, d).select("year", "month").distinct()
 
 
-query(_PRESENT, "month_file_match")(lambda spark, d: _present(spark))
-query(f"SELECT p.* FROM ({_PLAN}) p ANTI JOIN ({_PRESENT}) f USING (year, month)", "plan_skip_existing")(lambda spark, d: months.plan_skip_existing(_plan(spark), _present(spark)))
-query(f"SELECT p.* FROM ({_PLAN}) p SEMI JOIN ({_PRESENT}) f USING (year, month)", "plan_present_months")(lambda spark, d: months.plan_present(_plan(spark), _present(spark)))
-query(f"SELECT p.year, p.month, CASE WHEN f.path IS NULL THEN 'fetch' ELSE 'overwrite' END AS status FROM ({_PLAN}) p LEFT JOIN ({_PRESENT}) f USING (year, month)", "plan_overwrite_all")(lambda spark, d: months.plan_by_policy(_plan(spark), _present(spark), "overwrite_all"))
-query(f"SELECT status, COUNT(*) AS n FROM (SELECT CASE WHEN f.path IS NULL THEN 'fetch' ELSE 'skip' END AS status FROM ({_PLAN}) p LEFT JOIN ({_PRESENT}) f USING (year, month)) GROUP BY 1", "status_counts")(lambda spark, d: months.plan_by_policy(_plan(spark), _present(spark), "skip_all").groupBy("status").agg(F.count("*").alias("n")))
-query(f"SELECT status, COUNT(*) AS n, list_aggregate((list(name ORDER BY name))[1:2], 'string_agg', ', ') || CASE WHEN COUNT(*) > 2 THEN ' and ' || (COUNT(*) - 2) || ' more' ELSE '' END AS line FROM (SELECT CASE WHEN f.path IS NULL THEN 'fetch' ELSE 'skip' END AS status, p.year || '-' || lpad(CAST(p.month AS VARCHAR), 2, '0') AS name FROM ({_PLAN}) p LEFT JOIN ({_PRESENT}) f USING (year, month)) GROUP BY 1", "status_report")(lambda spark, d: months.status_report(months.plan_by_policy(_plan(spark), _present(spark), "skip_all"), 2))
-query(_PLAN, "month_plan")(lambda spark, d: _plan(spark))
-query(f"SELECT year, month, list_transform(range(1, CAST(day(last_day(make_date(year, month, 1))) AS BIGINT) + 1), lambda d: lpad(CAST(d AS VARCHAR), 2, '0')) AS days FROM ({_PLAN})", "month_days")(lambda spark, d: months.month_days(_plan(spark)))
+query(_PRESENT, "month_file_match")(lambda spark, d: _present(spark, d))
+query(f"SELECT p.* FROM ({_PLAN}) p ANTI JOIN ({_PRESENT}) f USING (year, month)", "plan_skip_existing")(lambda spark, d: months.plan_skip_existing(_plan(spark, d), _present(spark, d)))
+query(f"SELECT p.* FROM ({_PLAN}) p SEMI JOIN ({_PRESENT}) f USING (year, month)", "plan_present_months")(lambda spark, d: months.plan_present(_plan(spark, d), _present(spark, d)))
+query(f"SELECT p.year, p.month, CASE WHEN f.path IS NULL THEN 'fetch' ELSE 'overwrite' END AS status FROM ({_PLAN}) p LEFT JOIN ({_PRESENT}) f USING (year, month)", "plan_overwrite_all")(lambda spark, d: months.plan_by_policy(_plan(spark, d), _present(spark, d), "overwrite_all"))
+query(f"SELECT status, COUNT(*) AS n FROM (SELECT CASE WHEN f.path IS NULL THEN 'fetch' ELSE 'skip' END AS status FROM ({_PLAN}) p LEFT JOIN ({_PRESENT}) f USING (year, month)) GROUP BY 1", "status_counts")(lambda spark, d: months.plan_by_policy(_plan(spark, d), _present(spark, d), "skip_all").groupBy("status").agg(F.count("*").alias("n")))
+query(f"SELECT status, COUNT(*) AS n, list_aggregate((list(name ORDER BY name))[1:2], 'string_agg', ', ') || CASE WHEN COUNT(*) > 2 THEN ' and ' || (COUNT(*) - 2) || ' more' ELSE '' END AS line FROM (SELECT CASE WHEN f.path IS NULL THEN 'fetch' ELSE 'skip' END AS status, p.year || '-' || lpad(CAST(p.month AS VARCHAR), 2, '0') AS name FROM ({_PLAN}) p LEFT JOIN ({_PRESENT}) f USING (year, month)) GROUP BY 1", "status_report")(lambda spark, d: months.status_report(months.plan_by_policy(_plan(spark, d), _present(spark, d), "skip_all"), 2))
+query(_PLANS, "month_plan")(lambda spark, d: _plans(spark, d))
+query(f"SELECT year, month, list_transform(range(1, CAST(day(last_day(make_date(year, month, 1))) AS BIGINT) + 1), lambda d: lpad(CAST(d AS VARCHAR), 2, '0')) AS days FROM ({_PLAN})", "month_days")(lambda spark, d: months.month_days(_plan(spark, d)))
 
 
-@query("SELECT id, m AS month_start, LEAST(m + INTERVAL 1 MONTH, e) AS month_end FROM (SELECT id, e, unnest(generate_series(date_trunc('month', s), e, INTERVAL 1 MONTH)) AS m FROM (VALUES (1, TIMESTAMP '2024-01-15', TIMESTAMP '2024-03-10 12:00:00'), (2, TIMESTAMP '2024-01-01', TIMESTAMP '2024-02-01'), (3, TIMESTAMP '2023-11-30', TIMESTAMP '2023-11-30 23:59:59')) t(id, s, e))")
+@query(f"SELECT id, m AS month_start, LEAST(m + INTERVAL 1 MONTH, e) AS month_end FROM (SELECT id, e, unnest(generate_series(date_trunc('month', s), e, INTERVAL 1 MONTH)) AS m FROM {_ASKED_SQL})")
 def month_ranges(spark, d):
-    rows = values(spark, "id, start, end", "(1, timestamp_ntz'2024-01-15', timestamp_ntz'2024-03-10 12:00:00')", "(2, timestamp_ntz'2024-01-01', timestamp_ntz'2024-02-01')", "(3, timestamp_ntz'2023-11-30', timestamp_ntz'2023-11-30 23:59:59')")
-    return months.month_ranges(rows).drop("start", "end")
+    return months.month_ranges(_asked_spans(spark, d)).drop("start", "end")
 
 
 @query(SQL + f"SELECT timestamp, {_round_sql(GRID_COLUMNS)} FROM grid")
@@ -185,30 +202,36 @@ def export_by_year(spark, d):
     return spark.read.parquet(path).groupBy(F.col("year").cast("int").alias("year")).agg(F.count("*").alias("n"), r6(F.sum("tons_co2"), 4).alias("tons_co2"))
 
 
-    sc = spark.sparkContext
-    if not (found := spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()):
-        if sc.master.split("[")[0] != "local":
-            raise RuntimeError("name a folder that driver and executors share in spark.checkpoint.dir")
-        sc.setCheckpointDir(tempfile.mkdtemp(prefix="emberflux-"))
-        found = sc.getCheckpointDir()
-    return f"{found.rstrip('/')}/emberflux/{tag}-{uuid.uuid4().hex}"
+# Projections, filters and profiles.
 
+def _written(*texts: str) -> str:
+    """SQL, for both sides, of a text for each event, by its number: one of the expressions."""
+    return "CASE event_id % " + str(len(texts)) + "".join(f" WHEN {k} THEN {t}" for k, t in enumerate(texts)) + " END"
+
+
+def _stamp(spark_format: str, duck_format: str) -> tuple[str, str]:
+    return f"date_format(ts, '{spark_format}')", f"strftime(ts, '{duck_format}')"
+
+
+def _both(*texts: str | tuple[str, str]) -> tuple[str, str]:
+    return tuple(_written(*(t if isinstance(t, str) else t[side] for t in texts)) for side in (0, 1))
 
-# Projections, filters and profiles.
 
-_STAMPS = "('2024-01-31 23:55:00'), ('2024-02-30 00:00:00'), ('2024-1-1 0:0:0'), ('2024-06-01 12:30:59'), ('')"
+_DAY, _MONTH = _stamp("yyyy-MM-dd", "%Y-%m-%d"), _stamp("yyyy-MM", "%Y-%m")
+_STAMPS = _both(_stamp("yyyy-MM-dd HH:mm:ss", "%Y-%m-%d %H:%M:%S"), _stamp("yyyy/MM/dd HH:mm:ss", "%Y/%m/%d %H:%M:%S"), "'2024-02-30 00:00:00'", "'2024-1-1 0:0:0'", "''")
 
 
-@query(f"SELECT text, CASE WHEN regexp_matches(text, '^\\d{{4}}-\\d{{2}}-\\d{{2}} \\d{{2}}:\\d{{2}}:\\d{{2}}$') THEN TRY_CAST(text AS TIMESTAMP) END AS ts FROM (VALUES {_STAMPS}) t(text)")
+@query(f"SELECT event_id, CASE WHEN regexp_matches(text, '^\\d{{4}}-\\d{{2}}-\\d{{2}} \\d{{2}}:\\d{{2}}:\\d{{2}}$') THEN TRY_CAST(text AS TIMESTAMP) END AS ts FROM (SELECT event_id, {_STAMPS[1]} AS text FROM events)")
 def parse_timestamp(spark, d):
-    return values(spark, "text", _STAMPS).select("text", F.try_to_timestamp("text", F.lit("yyyy-MM-dd HH:mm:ss")).cast("timestamp_ntz").alias("ts"))
+    rows = X.events(spark, d).selectExpr("event_id", f"{_STAMPS[0]} AS text")
+    return rows.select("event_id", F.try_to_timestamp("text", F.lit("yyyy-MM-dd HH:mm:ss")).cast("timestamp_ntz").alias("ts"))
 
 
 query("SELECT MIN(ts) AS min_ts, MAX(ts) AS max_ts FROM events", "minmax_ts")(lambda spark, d: X.events(spark, d).agg(F.min("ts").alias("min_ts"), F.max("ts").alias("max_ts")))
 query("SELECT event_id, ts, value FROM events WHERE ts >= TIMESTAMP '2024-01-05' AND ts < TIMESTAMP '2024-01-06'", "filter_time_range")(lambda spark, d: X.events(spark, d).where("ts >= timestamp_ntz'2024-01-05' and ts < timestamp_ntz'2024-01-06'").select("event_id", "ts", "value"))
 query(SQL + "SELECT cell, valid_time FROM weather WHERE latitude BETWEEN 6.55 AND 6.75 AND longitude BETWEEN 68.05 AND 68.3", "filter_bbox")(lambda spark, d: X.weather(spark, d).where(tables.in_box(6.75, 68.05, 6.55, 68.3)).select("cell", "valid_time"))
-_PLACES = "(1, 10.0, 179.5), (2, 10.0, -179.5), (3, 10.0, 0.0), (4, 50.0, 180.0), (5, -5.0, -180.0)"
-query("SELECT id FROM (VALUES (1, 10.0, 179.5), (2, 10.0, -179.5), (3, 10.0, 0.0), (4, 50.0, 180.0), (5, -5.0, -180.0)) t(id, lat, lon) WHERE lat BETWEEN -10 AND 20 AND (lon >= 170 OR lon <= -170)", "filter_bbox_antimeridian")(lambda spark, d: values(spark, "id, latitude, longitude", _PLACES).where(tables.in_box(20, 170, -10, -170)).select("id"))
+_ROUND_THE_WORLD = ("5 * cell - 20", "CASE WHEN 174 + cell > 180 THEN cell - 186 ELSE 174 + cell END")
+query(SQL + f"SELECT cell, valid_time FROM (SELECT cell, valid_time, {_ROUND_THE_WORLD[0]} AS lat, {_ROUND_THE_WORLD[1]} AS lon FROM weather) WHERE lat BETWEEN -10 AND 30 AND (lon >= 176 OR lon <= -177)", "filter_bbox_antimeridian")(lambda spark, d: X.weather(spark, d).selectExpr("cell", "valid_time", f"{_ROUND_THE_WORLD[0]} AS latitude", f"{_ROUND_THE_WORLD[1]} AS longitude").where(tables.in_box(30, 176, -10, -177)).select("cell", "valid_time"))
 query(SQL + "SELECT cell, valid_time FROM weather WHERE (longitude - 67.99) + (latitude - 6.49) <= 0.35", "trim_region")(lambda spark, d: X.weather(spark, d).where(tables.in_polygon([(6.49, 67.99), (6.49, 68.34), (6.84, 67.99)])).select("cell", "valid_time"))
 query("SELECT event_id, ts FROM events ORDER BY ts, event_id LIMIT 5", "head_rows")(lambda spark, d: X.events(spark, d).select("event_id", "ts").orderBy("ts", "event_id").limit(5))
 query("SELECT event_id, ts FROM events ORDER BY ts DESC LIMIT 5", "tail_rows")(lambda spark, d: tables.tail(X.events(spark, d).select("event_id", "ts"), 5, "ts"))
@@ -255,25 +278,26 @@ query(f"SELECT id, {_PARSED} AS names FROM {_LISTS_SQL}", "parse_variables")(lam
 query(f"SELECT id, len({_PARSED}) > 0 AND NOT list_has_any({_PARSED}, {_DENY}) AS ok FROM {_LISTS_SQL}", "variables_deny")(lambda spark, d: _lists(spark).select("id", S.variables_denied(F.col("names"), K.DENIED_WORLD).alias("ok")))
 query(f"SELECT id, len({_PARSED}) > 0 AND list_has_all(['2m_temperature', 'total_precipitation'], {_PARSED}) AS ok FROM {_LISTS_SQL}", "variables_allow")(lambda spark, d: _lists(spark).select("id", S.variables_allowed(F.col("names"), ("2m_temperature", "total_precipitation")).alias("ok")))
 query(f"SELECT id, x AS name FROM (SELECT id, unnest({_PARSED}) AS x FROM {_LISTS_SQL}) WHERE NOT list_contains({_DENY}, x)", "variables_filter_valid")(lambda spark, d: _lists(spark).select("id", F.explode("names").alias("name")).join(spark.createDataFrame([(v,) for v in K.DENIED_WORLD], "name string"), "name", "left_anti").select("id", "name"))
-_BOXES = "(1, 37.5, 68.2, 6.1, 97.9), (2, 6.0, 68.0, 37.0, 97.0), (3, 91.0, 0.0, 0.0, 1.0), (4, -1.5, -180.0, -9.9, 180.0), (5, 10.0, 170.0, 5.0, -170.0)"
-query(f"SELECT id, n BETWEEN -90 AND 90 AND s BETWEEN -90 AND 90 AND w BETWEEN -180 AND 180 AND e BETWEEN -180 AND 180 AND n > s AS ok FROM (VALUES {_BOXES}) t(id, n, w, s, e)", "valid_coordinates")(lambda spark, d: _boxes(spark).select("id", S.valid_coordinates(*map(F.col, "nwse")).alias("ok")))
-query(f"SELECT id, 'N' || CAST(trunc(n) AS INT) || 'W' || CAST(trunc(w) AS INT) || 'S' || CAST(trunc(s) AS INT) || 'E' || CAST(trunc(e) AS INT) AS name FROM (VALUES {_BOXES}) t(id, n, w, s, e)", "format_nwse")(lambda spark, d: _boxes(spark).select("id", S.format_nwse(*map(F.col, "nwse")).alias("name")))
+#: Boxes by the number of each event, many of them out of range.
+_BOXES = "event_id AS id, (event_id % 200 - 94.5) * 1.0 AS n, (event_id * 7 % 380 - 189.75) * 1.0 AS w, (event_id * 3 % 190 - 95) * 1.0 AS s, (event_id * 11 % 380 - 190) * 1.0 AS e"
+query(f"SELECT id, n BETWEEN -90 AND 90 AND s BETWEEN -90 AND 90 AND w BETWEEN -180 AND 180 AND e BETWEEN -180 AND 180 AND n > s AS ok FROM (SELECT {_BOXES} FROM events)", "valid_coordinates")(lambda spark, d: _boxes(spark, d).select("id", S.valid_coordinates(*map(F.col, "nwse")).alias("ok")))
+query(f"SELECT id, 'N' || CAST(trunc(n) AS INT) || 'W' || CAST(trunc(w) AS INT) || 'S' || CAST(trunc(s) AS INT) || 'E' || CAST(trunc(e) AS INT) AS name FROM (SELECT {_BOXES} FROM events)", "format_nwse")(lambda spark, d: _boxes(spark, d).select("id", S.format_nwse(*map(F.col, "nwse")).alias("name")))
 
 
-def _boxes(spark):
-    return values(spark, "id, n, w, s, e", _BOXES.replace(".0,", ".0D,").replace(".5,", ".5D,")).select("id", *(F.col(c).cast("double").alias(c) for c in "nwse"))
+def _boxes(spark, d):
+    return X.events(spark, d).selectExpr(*_BOXES.split(", ")).select("id", *(F.col(c).cast("double").alias(c) for c in "nwse"))
 
 
-_DATES = "('2024-02-29'), ('2023-02-29'), ('2024-02'), ('2024-13'), ('24-01-01'), ('2024-01-01x'), ('')"
-query(f"SELECT text, regexp_matches(text, '^\\d{{4}}-\\d{{2}}-\\d{{2}}$') AND TRY_CAST(text AS DATE) IS NOT NULL AS is_date, (regexp_matches(text, '^\\d{{4}}-\\d{{2}}-\\d{{2}}$') AND TRY_CAST(text AS DATE) IS NOT NULL) OR (regexp_matches(text, '^\\d{{4}}-\\d{{2}}$') AND TRY_CAST(text || '-01' AS DATE) IS NOT NULL) AS is_date_or_month FROM (VALUES {_DATES}) t(text)", "validate_date")(lambda spark, d: values(spark, "text", _DATES).select("text", S.validate_date(F.col("text")).alias("is_date"), S.validate_date(F.col("text"), True).alias("is_date_or_month")))
-_FORMS = "('2024-02-29'), ('2024-02'), ('2023-12'), ('2023-06-15')"
-query(f"SELECT text, CAST(CASE length(text) WHEN 7 THEN text || '-01' ELSE text END AS DATE) AS first, CASE length(text) WHEN 7 THEN last_day(CAST(text || '-01' AS DATE)) ELSE CAST(text AS DATE) END AS last FROM (VALUES {_FORMS}) t(text)", "parse_date_defaults")(lambda spark, d: values(spark, "text", _FORMS).select("text", S.parse_date(F.col("text")).alias("first"), S.parse_date(F.col("text"), True).alias("last")))
-query("SELECT e, CAST(LEAST(e, DATE '2024-06-20' - 8) AS DATE) AS clamped FROM (VALUES (DATE '2024-06-12'), (DATE '2024-06-13'), (DATE '2020-01-01')) t(e)", "clamp_end_date")(lambda spark, d: values(spark, "e", "(date'2024-06-12'), (date'2024-06-13'), (date'2020-01-01')").select("e", S.clamp_end_date(F.col("e"), F.lit("2024-06-20").cast("date")).alias("clamped")))
-_SPELLINGS = "(' ERA5 '), ('Copernicus Climate'), ('om'), ('IEA'), ('2')"
-query(f"SELECT v, CASE lower(trim(v)) WHEN 'era5' THEN 'cds' WHEN 'copernicus climate' THEN 'cds' WHEN 'om' THEN 'open-meteo' WHEN '2' THEN 'open-meteo' ELSE v END AS provider, CASE lower(trim(v)) WHEN 'era5' THEN 'era5-world' WHEN '2' THEN 'era5-world' ELSE v END AS dataset FROM (VALUES {_SPELLINGS}) t(v)", "normalize_alias")(lambda spark, d: values(spark, "v", _SPELLINGS).select("v", S.normalize_alias(F.col("v"), K.PROVIDERS).alias("provider"), S.normalize_alias(F.col("v"), K.DATASETS).alias("dataset")))
+_DATES = _both(_DAY, "'2023-02-29'", _MONTH, "'2024-13'", "'24-01-01'", (f"concat({_DAY[0]}, 'x')", f"{_DAY[1]} || 'x'"), "''")
+query(f"SELECT event_id, regexp_matches(text, '^\\d{{4}}-\\d{{2}}-\\d{{2}}$') AND TRY_CAST(text AS DATE) IS NOT NULL AS is_date, (regexp_matches(text, '^\\d{{4}}-\\d{{2}}-\\d{{2}}$') AND TRY_CAST(text AS DATE) IS NOT NULL) OR (regexp_matches(text, '^\\d{{4}}-\\d{{2}}$') AND TRY_CAST(text || '-01' AS DATE) IS NOT NULL) AS is_date_or_month FROM (SELECT event_id, {_DATES[1]} AS text FROM events)", "validate_date")(lambda spark, d: X.events(spark, d).selectExpr("event_id", f"{_DATES[0]} AS text").select("event_id", S.validate_date(F.col("text")).alias("is_date"), S.validate_date(F.col("text"), True).alias("is_date_or_month")))
+_FORMS = _both(_DAY, _MONTH, "'2023-12'")
+query(f"SELECT event_id, CAST(CASE length(text) WHEN 7 THEN text || '-01' ELSE text END AS DATE) AS first, CASE length(text) WHEN 7 THEN last_day(CAST(text || '-01' AS DATE)) ELSE CAST(text AS DATE) END AS last FROM (SELECT event_id, {_FORMS[1]} AS text FROM events)", "parse_date_defaults")(lambda spark, d: X.events(spark, d).selectExpr("event_id", f"{_FORMS[0]} AS text").select("event_id", S.parse_date(F.col("text")).alias("first"), S.parse_date(F.col("text"), True).alias("last")))
+query("SELECT event_id, CAST(LEAST(e, DATE '2024-06-20' - 8) AS DATE) AS clamped FROM (SELECT event_id, CAST(ts AS DATE) + CAST(event_id % 300 AS INT) AS e FROM events)", "clamp_end_date")(lambda spark, d: X.events(spark, d).select("event_id", S.clamp_end_date(F.date_add(F.to_date("ts"), (F.col("event_id") % 300).cast("int")), F.lit("2024-06-20").cast("date")).alias("clamped")))
+_SPELLINGS = _written("' ERA5 '", "'Copernicus Climate'", "'om'", "event_type", "'2'")
+query(f"SELECT event_id, CASE lower(trim(v)) WHEN 'era5' THEN 'cds' WHEN 'copernicus climate' THEN 'cds' WHEN 'om' THEN 'open-meteo' WHEN '2' THEN 'open-meteo' ELSE v END AS provider, CASE lower(trim(v)) WHEN 'era5' THEN 'era5-world' WHEN '2' THEN 'era5-world' ELSE v END AS dataset FROM (SELECT event_id, {_SPELLINGS} AS v FROM events)", "normalize_alias")(lambda spark, d: X.events(spark, d).selectExpr("event_id", f"{_SPELLINGS} AS v").select("event_id", S.normalize_alias(F.col("v"), K.PROVIDERS).alias("provider"), S.normalize_alias(F.col("v"), K.DATASETS).alias("dataset")))
 query(r"""SELECT id, substr(md5(ds || '|[''' || array_to_string(list_sort(names), ''', ''') || ''']|[' || b || ']'), 1, 12) AS hash FROM (VALUES (1, 'era5-land', ['tp', 'a', '2m'], '37.5, 68.0, 6.0, 98.0'), (2, 'era5-world', ['x'], '-1.25, -180.0, -9.5, 0.1')) t(id, ds, names, b)""", "request_hash")(lambda spark, d: values(spark, "id, ds, names, b", "(1, 'era5-land', array('tp', 'a', '2m'), array(37.5D, 68.0D, 6.0D, 98.0D)), (2, 'era5-world', array('x'), array(-1.25D, -180.0D, -9.5D, 0.1D))").select("id", S.request_hash(F.col("ds"), F.col("names"), F.col("b")).alias("hash")))
-_SECONDS = "(-3.0), (0.5), (59.25), (60.0), (3661.5), (90061.125), (86400.0)"
-query(f"SELECT s, CASE WHEN d > 0 THEN printf('%dd %dh %dm %.2fs', d, h % 24, m, r) WHEN h > 0 THEN printf('%dh %dm %.2fs', h, m, r) WHEN m > 0 THEN printf('%dm %.2fs', m, r) ELSE printf('%.5fs', r) END AS text FROM (SELECT CAST(s AS DOUBLE) AS s, CAST(floor(p / 86400) AS BIGINT) AS d, CAST(floor(p / 3600) AS BIGINT) AS h, CAST(floor((p % 3600) / 60) AS BIGINT) AS m, CAST(p % 60 AS DOUBLE) AS r FROM (SELECT s, GREATEST(s, 0) AS p FROM (VALUES {_SECONDS}) t(s)))", "format_duration")(lambda spark, d: values(spark, "s", _SECONDS).select(F.col("s").cast("double").alias("s")).select("s", S.format_duration(F.col("s")).alias("text")))
+_SECONDS = "event_id * 7919 % 800000 / 8.0 - 3"
+query(f"SELECT event_id, CASE WHEN d > 0 THEN printf('%dd %dh %dm %.2fs', d, h % 24, m, r) WHEN h > 0 THEN printf('%dh %dm %.2fs', h, m, r) WHEN m > 0 THEN printf('%dm %.2fs', m, r) ELSE printf('%.5fs', r) END AS text FROM (SELECT event_id, CAST(s AS DOUBLE) AS s, CAST(floor(p / 86400) AS BIGINT) AS d, CAST(floor(p / 3600) AS BIGINT) AS h, CAST(floor((p % 3600) / 60) AS BIGINT) AS m, CAST(p % 60 AS DOUBLE) AS r FROM (SELECT event_id, s, GREATEST(s, 0) AS p FROM (SELECT event_id, {_SECONDS} AS s FROM events)))", "format_duration")(lambda spark, d: X.events(spark, d).selectExpr("event_id", f"CAST({_SECONDS} AS DOUBLE) AS s").select("event_id", S.format_duration(F.col("s")).alias("text")))
 _ASKS = "(1, 2, 37.5, 68.0, 6.5, 98.0, 0.25, 1.0), (2, 30, 37.5, 68.0, 6.5, 98.0, 0.1, 1.0), (3, 1, 10.0, 170.0, 5.0, -170.0, 0.25, 3.0), (4, 1, 1.0, 1.0, 0.9, 1.1, 0.25, 1.0), (5, 0, 1.0, 0.0, 0.0, 1.0, 0.25, 1.0)"
 _ASKS_SQL = f"(SELECT id, k, n::DOUBLE AS n, w::DOUBLE AS w, s::DOUBLE AS s, e::DOUBLE AS e, r::DOUBLE AS r, h::DOUBLE AS h, CASE WHEN e > w THEN e - w ELSE 360 + e - w END::DOUBLE AS span FROM (VALUES {_ASKS}) t(id, k, n, w, s, e, r, h))"
 _SIZE = "CASE WHEN k > 0 THEN ROUND(GREATEST(0.509::DOUBLE * (k / 2) * ((n - s) * span / 6) * pow(0.25::DOUBLE / r, 2) / h, 0.05::DOUBLE), 3) ELSE 0 END"
@@ -295,7 +319,7 @@ def estimate_download(spark, d):
     return each.groupBy("id").agg(F.count("*").alias("months"), r6(F.sum("mb"), 3).alias("total_mb"), r6(F.max("sec"), 1).alias("longest"), r6(F.sum("sec"), 1).alias("total"), r6(S.parallel_seconds(F.sum("sec"), F.lit(4)), 1).alias("parallel"))
 
 
-query("SELECT a, LEAST(GREATEST(a, 0), 20) AS retries, LEAST(GREATEST(a * 1000, 0), 3600) AS delay, LEAST(GREATEST(a, 1), 8) AS parallel FROM (VALUES (-1), (0), (3), (25)) t(a)", "clamp_settings")(lambda spark, d: values(spark, "a", "(-1), (0), (3), (25)").select("a", *(c.alias(n) for c, n in zip(S.clamp_settings(F.col("a"), F.col("a") * 1000, F.col("a")), ("retries", "delay", "parallel")))))
+query("SELECT event_id, LEAST(GREATEST(a, 0), 20) AS retries, LEAST(GREATEST(a * 1000, 0), 3600) AS delay, LEAST(GREATEST(a, 1), 8) AS parallel FROM (SELECT event_id, event_id % 40 - 5 AS a FROM events)", "clamp_settings")(lambda spark, d: X.events(spark, d).selectExpr("event_id", "event_id % 40 - 5 AS a").select("event_id", *(c.alias(n) for c, n in zip(S.clamp_settings(F.col("a"), F.col("a") * 1000, F.col("a")), ("retries", "delay", "parallel")))))
 query("SELECT * FROM (VALUES (1, [37.5, 68, 6, 98]::DOUBLE[]), (2, [1, 2, 0, 3]::DOUBLE[]), (3, [9, 8, 7, 6]::DOUBLE[]), (4, [4, 3, 2, 1]::DOUBLE[]), (5, NULL)) t(id, bounds)", "extract_bounds")(lambda spark, d: values(spark, "id, config", """(1, '{"region_bounds":[37.5,68,6,98]}'), (2, '{"bounds":{"north":1,"west":2,"south":0,"east":3}}'), (3, '{"area":{"n":9,"w":8,"s":7,"e":6}}'), (4, '{"north":4,"west":3,"south":2,"east":1}'), (5, '{"bounds":[1,2]}')""").select("id", S.extract_bounds(F.col("config")).alias("bounds")))
 query("SELECT 'grid-data_2024_02.parquet' AS monthly, 'grid-data_2018-11_2026-02.parquet' AS combined", "output_names")(lambda spark, d: spark.range(1).select(S.month_file_name("grid-data", F.lit("2024-02-03").cast("date")).alias("monthly"), S.combined_file_name("grid-data", F.lit("2018-11-21").cast("date"), F.lit("2026-02-01").cast("date")).alias("combined")))
 query("SELECT event_id, timezone('Asia/Kolkata', timezone('UTC', ts)) AS local_ts FROM events", "tz_convert")(lambda spark, d: X.events(spark, d).select("event_id", S.convert_zone(F.col("ts")).alias("local_ts")))
