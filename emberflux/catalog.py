@@ -5,7 +5,7 @@ from __future__ import annotations
 import dataclasses
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -15,7 +15,7 @@ from . import fixtures as X
 from .fixtures import SQL
 from .functions import features as FE
 from .functions import scalars as S
-from .operators import additive, joins, models, series, tables
+from .operators import additive, joins, models, regions, series, tables
 from .plans import months
 from .session import shared_folder
 from .sources import files, payload
@@ -202,6 +202,59 @@ def export_by_year(spark, d):
     return spark.read.parquet(path).groupBy(F.col("year").cast("int").alias("year")).agg(F.count("*").alias("n"), r6(F.sum("tons_co2"), 4).alias("tons_co2"))
 
 
+@query(SQL + f"SELECT timestamp, {_round_sql(GRID_COLUMNS)} FROM grid UNION ALL SELECT timestamp + INTERVAL 400 DAY, {_round_sql(GRID_COLUMNS)} FROM grid")
+def month_files_roundtrip(spark, d):
+    """Months replaced as a whole by the Python sink: two sets of months, the first written twice, read back."""
+    from .sources.month_files import MonthFiles
+
+    spark.dataSource.register(MonthFiles)
+    path, grid = shared_folder(spark, "month_files"), X.grid(spark, d)
+    later = grid.withColumn("timestamp", F.timestamp_add("DAY", F.lit(400), "timestamp").cast("timestamp_ntz"))
+    for rows in (grid.where("hour(timestamp) < 12"), later, grid):
+        rows.write.format("month_files").mode("overwrite").option("path", path).save()
+    return rounded(spark.read.parquet(path).select("timestamp", *GRID_COLUMNS.split()))
+
+
+@query("SELECT year, month, n_rows, DENSE_RANK() OVER (ORDER BY year, month) AS place FROM (SELECT CAST(year(ts) AS INT) AS year, CAST(month(ts) AS INT) AS month, COUNT(*) AS n_rows FROM (SELECT ts + INTERVAL (40 * (user_id % 9)) DAY AS ts FROM events) GROUP BY 1, 2)")
+def discover_sorted(spark, d):
+    """Files of months as a sorted listing, joined with the rows that each of them holds."""
+    path = shared_folder(spark, "listing")
+    shifted = F.timestamp_add("DAY", (40 * (F.col("user_id") % 9)).cast("int"), "ts").cast("timestamp_ntz")
+    tables.write_by_month(X.events(spark, d).select("event_id", shifted.alias("timestamp")), path)
+    held = spark.read.parquet(path).groupBy(F.col("_metadata.file_path").alias("path")).agg(F.count("*").alias("n"))
+    months_ = tables.discover(spark, path).join(held, "path").groupBy("year", "month").agg(F.sum("n").alias("n_rows"))
+    return months_.select("year", "month", "n_rows", F.dense_rank().over(Window.orderBy("year", "month")).cast("long").alias("place"))
+
+
+_LOGGED = "SELECT '{0}' AS step, '{1}' AS status, {2} AS rows_in, {3} AS rows_out, {4} AS rows_rejected, {5} AS first, {6} AS last, 'events' AS source FROM events"
+
+
+@query(
+    " UNION ALL ".join(
+        (
+            _LOGGED.format("keep", "success", "COUNT(*)", "SUM(CASE WHEN value >= 20 THEN 1 ELSE 0 END)::BIGINT", "SUM(CASE WHEN value >= 20 THEN 0 ELSE 1 END)::BIGINT", "MIN(CASE WHEN value >= 20 THEN ts END)", "MAX(CASE WHEN value >= 20 THEN ts END)"),
+            _LOGGED.format("hourly", "success", "COUNT(*)", "COUNT(DISTINCT date_trunc('hour', ts))", "0", "MIN(ts)", "MAX(ts)"),
+            _LOGGED.format("broken", "failed", "NULL", "NULL", "NULL", "NULL", "NULL") + " LIMIT 1",
+            "SELECT 'nothing', 'skipped', NULL, NULL, NULL, NULL, NULL, 'events'",
+        )
+    ).replace(" UNION ALL SELECT 'broken'", " UNION ALL (SELECT 'broken'").replace("LIMIT 1", "LIMIT 1)")
+)
+def run_log(spark, d):
+    """Four steps of a run over events and what the run table tells of them: one rejects rows, one aggregates, one fails, one is skipped."""
+    from .runs import RunLog, history
+
+    out, events = shared_folder(spark, "run"), X.events(spark, d)
+    log = RunLog(spark, f"{out}/log", source="events", least=20)
+    log.step("keep", events, lambda df: tables.write_by_month(df, f"{out}/kept", "ts"), valid=F.col("value") >= 20, time="ts")
+    log.step("hourly", events, lambda df: df.write.parquet(f"{out}/hourly"), lambda df: df.groupBy(F.date_trunc("hour", "ts").alias("ts")).agg(F.avg("value").alias("value")), time="ts")
+    try:
+        log.step("broken", events, lambda df: df.write.parquet(f"{out}/hourly"))
+    except Exception:  # the folder exists; the log has the error
+        log.skipped("nothing")
+    log.save()
+    return history(spark, f"{out}/log").select("step", "status", "rows_in", "rows_out", "rows_rejected", "first", "last", F.col("parameters")["source"].alias("source"))
+
+
 # Projections, filters and profiles.
 
 def _written(*texts: str) -> str:
@@ -325,6 +378,27 @@ query("SELECT 'grid-data_2024_02.parquet' AS monthly, 'grid-data_2018-11_2026-02
 query("SELECT event_id, timezone('Asia/Kolkata', timezone('UTC', ts)) AS local_ts FROM events", "tz_convert")(lambda spark, d: X.events(spark, d).select("event_id", S.convert_zone(F.col("ts")).alias("local_ts")))
 query("SELECT r, CASE WHEN r >= 0.6 THEN 'high' WHEN r >= 0.4 THEN 'medium' WHEN r IS NOT NULL THEN 'low' END AS label FROM (SELECT CAST(value / 100 AS DOUBLE) AS r FROM events)", "confidence_label")(lambda spark, d: X.events(spark, d).select((F.col("value") / 100).alias("r")).withColumn("label", S.confidence_label(F.col("r"))))
 
+# Regions.
+
+
+def _regions(spark, d):
+    """A box for each nation, and one ring that is no box."""
+    k = F.col("n_nationkey")
+    south, west, tall, wide = 3 * k - 30 + 0.3, 7 * (k % 5) - 0.45, 0.5 + k % 4, 0.2 + k % 3
+    corner = lambda y, x: F.struct(y.cast("double").alias("y"), x.cast("double").alias("x"))
+    ring = F.array(corner(south, west), corner(south, west + wide), corner(south + tall, west + wide), corner(south + tall, west))
+    return spark.read.parquet(f"{d}/nation.parquet").select(k.alias("region"), ring.alias("ring"))
+
+
+@query("""WITH boxes AS (SELECT n_nationkey AS region, (3 * n_nationkey - 30 + 0.3)::DOUBLE AS s, (7 * (n_nationkey % 5) - 0.45)::DOUBLE AS w, (0.5 + n_nationkey % 4)::DOUBLE AS t, (0.2 + n_nationkey % 3)::DOUBLE AS b FROM nation),
+cells AS (SELECT *, unnest(range(floor(s / 0.25)::BIGINT, ceil((s + t) / 0.25)::BIGINT + 1)) AS row FROM boxes), squares AS (SELECT *, unnest(range(floor(w / 0.25)::BIGINT, ceil((w + b) / 0.25)::BIGINT + 1)) AS col FROM cells),
+areas AS (SELECT *, GREATEST(LEAST(s + t, (row + 1) * 0.25::DOUBLE) - GREATEST(s, row * 0.25::DOUBLE), 0) * GREATEST(LEAST(w + b, (col + 1) * 0.25::DOUBLE) - GREATEST(w, col * 0.25::DOUBLE), 0) AS area FROM squares)
+SELECT region, CAST(row AS INT) AS row, CAST(col AS INT) AS col, ROUND(area, 9) AS area, ROUND(area / (t * b), 9) AS weight FROM areas WHERE area > 1e-9""")
+def region_weights(spark, d):
+    """The cells of a quarter of a degree that each nation's box covers, and their shares."""
+    return rounded(regions.cell_weights(_regions(spark, d), 0.25), 9).where("area > 1e-9")
+
+
 # Features.
 
 query("SELECT event_id, ROUND(sin(2 * pi() * hour(ts) / 24), 6) AS hour_sin, ROUND(cos(2 * pi() * hour(ts) / 24), 6) AS hour_cos, ROUND(sin(2 * pi() * dayofyear(ts) / 365.25::DOUBLE), 6) AS doy_sin, ROUND(cos(2 * pi() * dayofyear(ts) / 365.25::DOUBLE), 6) AS doy_cos, dayofweek(ts) IN (0, 6) AS is_weekend FROM events", "time_features")(lambda spark, d: rounded(X.events(spark, d).select("event_id", *(c.alias(n) for n, c in FE.time_features(F.col("ts")).items()))))
@@ -527,6 +601,21 @@ def ridge_huber(spark, d):
 
 # Windows.
 
+
+@query(SQL + "SELECT cell, valid_time, ROUND(tp - COALESCE(LAG(tp) OVER (PARTITION BY cell, CAST(valid_time AS DATE) ORDER BY valid_time), 0), 6) AS tp_step, ROUND(LAST_VALUE(CASE WHEN cell % 2 = 0 OR hour(valid_time) % 5 = 0 THEN t2m END IGNORE NULLS) OVER (PARTITION BY cell ORDER BY valid_time), 6) AS t2m_known, false AS late FROM weather")
+def stream_deaccumulate(spark, d):
+    """Steps of running totals and last known values over three micro-batches whose borders cut days: the same as in one batch."""
+    from .streaming import carried
+
+    out = shared_folder(spark, "carried")
+    rows = X.weather(spark, d).select("cell", "valid_time", "tp", F.when((F.col("cell") % 2 == 0) | (F.hour("valid_time") % 5 == 0), F.col("t2m")).alias("t2m"))
+    parts = ("valid_time < timestamp_ntz'2024-01-08 13:00:00'", "valid_time >= timestamp_ntz'2024-01-08 13:00:00' and valid_time < timestamp_ntz'2024-01-19 07:00:00'", "valid_time >= timestamp_ntz'2024-01-19 07:00:00'")
+    for part in parts:
+        rows.where(part).write.mode("append").parquet(f"{out}/landed")
+        carried.ingest(carried.carry_over(windows.landed(spark, f"{out}/landed", rows.schema), "cell", "valid_time", "tp", "t2m"), f"{out}/table", f"{out}/state")
+    return rounded(spark.read.parquet(f"{out}/table"))
+
+
 query("SELECT time_bucket(INTERVAL '1 hour', ts) AS start, event_type, COUNT(*) AS n, ROUND(SUM(value), 6) AS total FROM events GROUP BY ALL", "win_tumbling")(lambda spark, d: rounded(windows.tumbling(X.events(spark, d), "1 hour", "ts", "event_type")))
 query("SELECT time_bucket(INTERVAL '30 minutes', ts) - i * INTERVAL 30 MINUTE AS start, COUNT(*) AS n, ROUND(SUM(value), 6) AS total FROM events, range(2) t(i) GROUP BY ALL", "win_sliding")(lambda spark, d: rounded(windows.sliding(X.events(spark, d), "1 hour", "30 minutes", "ts")))
 query("SELECT MIN(ts) AS start, MAX(ts) + INTERVAL 30 MINUTE AS end, user_id, COUNT(*) AS n FROM (SELECT *, SUM(fresh) OVER (PARTITION BY user_id ORDER BY ts) AS s FROM (SELECT *, CASE WHEN ts - lag(ts) OVER (PARTITION BY user_id ORDER BY ts) < INTERVAL 30 MINUTE THEN 0 ELSE 1 END AS fresh FROM events)) GROUP BY user_id, s", "win_session")(lambda spark, d: windows.sessions(X.events(spark, d), "30 minutes", "ts", "user_id"))

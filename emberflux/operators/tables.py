@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -43,6 +43,22 @@ def write_by_month(df: DataFrame, path: str, time: str = "timestamp") -> None:
     dated.repartitionByRange("year", "month", time).sortWithinPartitions("year", "month", time).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("year", "month").parquet(path)
 
 
+def discover(spark: SparkSession, path: str, glob: str = "*.parquet", months: Sequence[str] | None = None) -> DataFrame:
+    """path, size, modified, year and month of each file below `path` that fits `glob`, by path.
+
+    Year and month are those of folders year=Y/month=M, else of a name's YYYY-MM or YYYY_MM, else null; `months`
+    ("2024-01", ...) keeps the files of these. Only file status is read. Nothing found is an error.
+    """
+    listed = spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", "true").load(path)
+    part = lambda k: F.coalesce(*(F.try_to_number(F.nullif(F.regexp_extract("path", p, k), F.lit("")), F.lit("9999")).cast("int") for p in (r"year=(\d{4})/month=(\d{1,2})/", r"(?:^|\D)(\d{4})[-_](\d{2})\.[A-Za-z0-9]+$")))
+    found = listed.select("path", F.col("length").alias("size"), F.col("modificationTime").alias("modified"), part(1).alias("year"), part(2).alias("month"))
+    if months is not None:
+        found = found.where(F.format_string("%04d-%02d", "year", "month").isin(list(months)))
+    if found.isEmpty():
+        raise FileNotFoundError(f"no file {glob} below {path}" + (f" of the months {', '.join(months)}" if months is not None else ""))
+    return found.orderBy("path")
+
+
 def row_bytes(df: DataFrame) -> float:
     """Mean width of a row before compression; texts and binaries are measured, other fields count eight bytes."""
     wide = [F.coalesce(F.octet_length(f.name), F.lit(0)) + 4 for f in df.schema if isinstance(f.dataType, (T.StringType, T.BinaryType))]

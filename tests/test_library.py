@@ -312,3 +312,108 @@ def test_no_python_in_series_plans(spark):
     df = series_of(spark, [1.0, None])
     for out in (series.fill_linear(df, "v"), series.gap_report(df, "5 minutes"), models.ramp_pairs(df, 300, "v", "v"), joins.asof(df, df.withColumnRenamed("v", "w"), ("w",))):
         assert "Python" not in plan_of(out)
+
+
+def test_region_weights_of_polygons(spark):
+    """Triangles, notches and closed rings over cells of several sizes: areas are exact and weights sum to one."""
+    from emberflux.operators import regions
+
+    rings = {"triangle": ([(0, 0), (0, 3), (3, 0)], 4.5), "ell": ([(0, 0), (0, 2), (1, 2), (1, 1), (2, 1), (2, 0), (0, 0)], 3.0), "notch": ([(0, 0), (0, 3), (3, 3), (3, 2), (1, 2), (1, 1), (3, 1), (3, 0)], 7.0), "far": ([(-0.3, 179.2), (0.4, 181.7), (-0.9, 180.4)], None)}
+    df = spark.createDataFrame([(k, [(float(y), float(x)) for y, x in r]) for k, (r, _) in rings.items()] + [("line", [(0.0, 0.0), (1.0, 1.0)]), ("flat", [(0.0, 0.0), (1.0, 1.0), (2.0, 2.0)]), ("none", None)], "region string, ring array<struct<y:double,x:double>>")
+    for size in (1.0, 0.3, 5.0):
+        cells = regions.cell_weights(df, size)
+        got = {r["region"]: (r["a"], r["w"]) for r in cells.groupBy("region").agg(F.sum("area").alias("a"), F.sum("weight").alias("w")).collect()}
+        assert set(got) == set(rings)
+        for k, (ring, area) in rings.items():
+            y, x = np.array(ring, float).T
+            area = area or abs(np.dot(x, np.roll(y, -1)) - np.dot(y, np.roll(x, -1))) / 2
+            assert got[k] == pytest.approx((area, 1.0))
+        assert cells.where("area > %r" % (size * size * 1.0000001)).isEmpty()
+    half = {(r["row"], r["col"]): r["area"] for r in regions.cell_weights(df.where("region = 'triangle'"), 1.0).collect()}
+    assert half == pytest.approx({(r, c): 1.0 if r + c < 2 else 0.5 for r in range(3) for c in range(3) if r + c < 3})
+
+
+def test_month_files_keep_old_months_when_a_task_fails(spark, tmp_path):
+    from emberflux.sources.month_files import MonthFiles
+
+    spark.dataSource.register(MonthFiles)
+    path = str(tmp_path / "t")
+    rows = lambda a, n, v: spark.range(n).selectExpr(f"timestamp_ntz'{a}' + make_interval(0, 0, 0, id) as timestamp", f"id * {v} as v")
+    put = lambda df, mode="overwrite": df.repartition(3).write.format("month_files").mode(mode).option("path", path).save()
+    read = lambda: sorted(map(tuple, spark.read.parquet(path).selectExpr("year", "month", "v").collect()))
+    put(rows("2024-01-01", 60, 1))
+    old = read()
+    assert {r[:2] for r in old} == {(2024, 1), (2024, 2)} and len(old) == 60
+    broken = rows("2024-01-01", 40, 5).withColumn("v", F.when(F.col("v") == 150, F.raise_error(F.lit("broken")).cast("long")).otherwise(F.col("v")))
+    with pytest.raises(Exception, match="broken"):
+        put(broken)
+    with pytest.raises(Exception, match="no month"):
+        put(rows("2024-01-01", 5, 5).withColumn("timestamp", F.when(F.col("v") > 5, F.col("timestamp"))))
+    assert read() == old and not [x for x in (tmp_path / "t").iterdir() if x.name.startswith("_")]
+    put(rows("2024-01-01", 31, 2))
+    assert read() == sorted([(2024, 1, 2 * i) for i in range(31)] + [r for r in old if r[1] == 2])
+    put(rows("2024-01-01", 1, 9), "append")
+    assert len(read()) == 61
+
+
+def test_carried_state_defines_late_rows(spark, tmp_path):
+    """Late rows come out without a step and change nothing; a day's border starts the total anew; nulls are carried over."""
+    from datetime import datetime
+
+    from emberflux.streaming import carried, windows
+
+    schema = "k string, at timestamp_ntz, total double, v double"
+    at = lambda h, day=1: datetime(2024, 1, day, h)
+    batches = [[("a", at(1), 1.0, None), ("a", at(2), 3.0, 7.0), ("b", at(1), 5.0, 1.0), (None, at(1), 1.0, 1.0)], [("a", at(4), 4.5, None), ("a", at(2), 99.0, 99.0), ("a", at(3), None, None), ("b", at(0, 2), 2.0, None), ("b", None, 2.0, None)], [("a", at(5), 6.0, 8.0)]]
+    for rows in batches:
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+        stream = windows.landed(spark, str(tmp_path / "in"), spark.createDataFrame([], schema).schema)
+        carried.ingest(carried.carry_over(stream, "k", "at", "total", "v"), str(tmp_path / "out"), str(tmp_path / "state"))
+    got = sorted(map(tuple, spark.read.parquet(str(tmp_path / "out")).collect()), key=str)
+    assert got == sorted([("a", at(1), 1.0, None, False), ("a", at(2), 2.0, 7.0, False), ("b", at(1), 5.0, 1.0, False), ("a", at(2), None, None, True), ("a", at(3), None, 7.0, False), ("a", at(4), 1.5, 7.0, False), ("b", at(0, 2), 2.0, 1.0, False), ("a", at(5), 1.5, 8.0, False)], key=str)
+
+
+def test_watermark_drops_late_windows(spark, tmp_path):
+    from datetime import datetime
+
+    from emberflux.streaming import windows
+
+    schema = "at timestamp_ntz, value double"
+    for hour in ((1, 2), (9,), (1, 10), (15,)):
+        spark.createDataFrame([(datetime(2024, 1, 1, h), 1.0) for h in hour], schema).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+        stream = windows.watermarked(windows.landed(spark, str(tmp_path / "in"), spark.createDataFrame([], schema).schema), "2 hours", "at")
+        query = windows.tumbling(stream, "1 hour", "at").writeStream.outputMode("append").format("parquet").option("path", str(tmp_path / "out")).option("checkpointLocation", str(tmp_path / "state")).trigger(availableNow=True).start()
+        query.awaitTermination()
+    got = {r["start"].hour: r["n"] for r in spark.read.parquet(str(tmp_path / "out")).collect()}
+    assert got == {1: 1, 2: 1, 9: 1, 10: 1}
+
+
+def test_run_log_counts_once_and_keeps_errors(spark, tmp_path):
+    from emberflux.runs import RunLog, history
+
+    log = RunLog(spark, str(tmp_path / "log"), kind="test")
+    df = spark.range(100).selectExpr("id", "timestamp_ntz'2024-01-01' + make_interval(0, 0, 0, id) as at", "if(id % 10 = 0, null, id) as v")
+    log.step("a", df, lambda x: x.repartitionByRange(5, "at").sortWithinPartitions("at").write.parquet(str(tmp_path / "a")), valid=F.col("v") > 50, time="at")
+    log.step("b", df, lambda x: x.write.parquet(str(tmp_path / "b")), lambda x: x.limit(7), staged=False)
+    with pytest.raises(Exception):
+        log.step("c", df, lambda x: x.write.parquet(str(tmp_path / "a")))
+    log.save()
+    RunLog(spark, str(tmp_path / "log")).save()
+    rows = {r["step"]: r for r in history(spark, str(tmp_path / "log")).collect()}
+    assert [(rows[s]["status"], rows[s]["rows_out"], rows[s]["rows_rejected"]) for s in "abc"] == [("success", 45, 55), ("success", 7, 0), ("failed", None, None)]
+    assert rows["a"]["rows_in"] == 100 and (rows["a"]["first"].day, rows["a"]["last"].month) == (21, 4) and "exists" in rows["c"]["error"].lower() and rows["a"]["parameters"] == {"kind": "test"}
+
+
+def test_discovery_is_sorted_and_strict(spark, tmp_path):
+    for name in ("grid_2024-03", "grid_2023-12", "grid_2024-01", "other"):
+        spark.range(1).coalesce(1).write.parquet(str(tmp_path / "x"), mode="overwrite")
+        next((tmp_path / "x").glob("part-*.parquet")).rename(tmp_path / f"{name}.parquet")
+    for x in (tmp_path / "x").iterdir():
+        x.unlink()
+    found = tables.discover(spark, str(tmp_path), "*.parquet")
+    assert [(r["path"].split("/")[-1], r["year"], r["month"]) for r in found.collect()] == [("grid_2023-12.parquet", 2023, 12), ("grid_2024-01.parquet", 2024, 1), ("grid_2024-03.parquet", 2024, 3), ("other.parquet", None, None)]
+    assert [r["month"] for r in tables.discover(spark, str(tmp_path), months=["2024-01", "2024-02"]).collect()] == [1]
+    assert "content" not in plan_of(found).lower().split("readschema")[-1]
+    for glob, months_ in (("*.grib", None), ("*.parquet", ["2020-01"])):
+        with pytest.raises(FileNotFoundError):
+            tables.discover(spark, str(tmp_path), glob, months_)
