@@ -17,7 +17,7 @@ from .functions import features as FE
 from .functions import scalars as S
 from .operators import additive, joins, models, regions, series, tables
 from .plans import months
-from .session import shared_folder
+from .session import shared_folder, written
 from .sources import files, payload
 from .streaming import windows
 
@@ -112,16 +112,6 @@ def src_api_decode(spark, d):
     return payload.payload_rows(read).withColumn("month", F.concat(F.lit("p"), F.col("month").substr(7, 1).cast("int") - 1))
 
 
-@query("SELECT CAST(year(m) AS INT) AS year, CAST(month(m) AS INT) AS month, CASE WHEN month(m) % 3 = 0 THEN 'failed' ELSE 'success' END AS status, CASE WHEN month(m) % 3 = 0 THEN NULL WHEN month(m) % 2 = 0 THEN 'data.grib' ELSE strftime(m, 'era5-land_%Y-%m.grib') END AS member, CASE WHEN month(m) % 3 = 0 THEN NULL ELSE CAST(4 + 24 * day(last_day(m)) AS INT) END AS size FROM (SELECT unnest(generate_series(TIMESTAMP '2023-12-01', TIMESTAMP '2024-05-01', INTERVAL 1 MONTH)) AS m)")
-def src_weather_months(spark, d):
-    """Through the Python data source, with recorded bodies in place of the store."""
-    from .sources.weather import MonthlyWeather
-
-    spark.dataSource.register(MonthlyWeather)
-    read = spark.read.format("monthly_weather").options(dataset="era5-land", start="2023-12-15", end="2024-05-02", bounds="37,68,6,98", variables="2m_temperature", streams="2", retries="2", delay="0", fetch="emberflux.sources.recorded:weather").load()
-    return read.select("year", "month", "status", "member", F.length("content").alias("size"))
-
-
 @query(f"SELECT month, timestamp, demand_met, net_demand FROM ({_DAYS_SQL})")
 def project_variables(spark, d):
     return rounded(payload.payload_rows(_payloads(spark, d)).select("month", "timestamp", "demand_met", "net_demand"))
@@ -172,6 +162,23 @@ def _plan(spark, d):
     return _plans(spark, d).select("year", "month").distinct()
 
 
+@query(f"SELECT year, month, CASE WHEN month % 3 = 0 THEN 'failed' WHEN month % 4 = 1 THEN 'skipped' ELSE 'success' END AS status, CASE WHEN month % 3 = 0 OR month % 4 = 1 THEN NULL WHEN month % 2 = 0 THEN 'data.grib' ELSE 'era5-land_' || year || '-' || lpad(CAST(month AS VARCHAR), 2, '0') || '.grib' END AS member, CASE WHEN month % 3 <> 0 THEN 4 + 24 * day(last_day(make_date(year, month, 1))) END AS size FROM ({_PLAN})")
+def src_weather_months(spark, d):
+    """The months that the users' spans ask for, through the Python data source with recorded bodies; some were there before."""
+    from datetime import date
+
+    from .plans.requests import WeatherRequest
+    from .sources.weather import MonthlyWeather
+
+    spark.dataSource.register(MonthlyWeather)
+    folder, plan = shared_folder(spark, "bodies"), _plan(spark, d)
+    ends = plan.agg(F.min(F.make_date("year", "month", F.lit(1))), F.max(F.last_day(F.make_date("year", "month", F.lit(1))))).first()
+    request = WeatherRequest("era5-land", *(x or date(2024, 1, 1) for x in ends), (37.0, 68.0, 6.0, 98.0), ("2m_temperature",), retries=2, delay=0, parallel=2)
+    read = lambda rows: spark.read.format("monthly_weather").options(**request.options(folder, rows), fetch="emberflux.sources.recorded:weather").load()
+    read(plan.where("month % 4 = 1")).write.format("noop").mode("overwrite").save()
+    return written(read(plan), "months").select("year", "month", "status", "member", "size")
+
+
 query(_PRESENT, "month_file_match")(lambda spark, d: _present(spark, d))
 query(f"SELECT p.* FROM ({_PLAN}) p ANTI JOIN ({_PRESENT}) f USING (year, month)", "plan_skip_existing")(lambda spark, d: months.plan_skip_existing(_plan(spark, d), _present(spark, d)))
 query(f"SELECT p.* FROM ({_PLAN}) p SEMI JOIN ({_PRESENT}) f USING (year, month)", "plan_present_months")(lambda spark, d: months.plan_present(_plan(spark, d), _present(spark, d)))

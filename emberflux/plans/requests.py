@@ -8,6 +8,8 @@ from dataclasses import dataclass, field
 from datetime import date, timedelta
 from pathlib import Path
 
+from pyspark.sql import DataFrame
+
 from .. import config as K
 
 POLICIES = ("overwrite_all", "skip_all", "case_by_case")
@@ -84,6 +86,16 @@ class WeatherRequest:
             tuple(denied),
         )
 
+    def options(self, folder: str, plan: DataFrame | None = None) -> dict[str, str]:
+        """What `monthly_weather` reads for this request; a plan (see plans.months) leaves its months to `fetch` and `overwrite`."""
+        out = {"dataset": self.dataset, "start": str(self.start), "end": str(self.end), "bounds": ",".join(map(str, self.bounds)), "variables": ",".join(self.variables)}
+        out |= {"retries": str(self.retries), "delay": str(self.delay), "streams": str(self.parallel), "existing": self.policy, "folder": folder}
+        if plan is not None:
+            if "status" in plan.columns:
+                plan = plan.where("status <> 'skip'")
+            out["months"] = ",".join(f"{r['year']}-{r['month']:02d}" for r in plan.select("year", "month").distinct().orderBy("year", "month").collect())  # a row for each month of the period
+        return out
+
     @staticmethod
     def _bounds(raw: dict) -> tuple[float, float, float, float]:
         for found in (raw.get("region_bounds"), raw.get("bounds"), raw.get("area"), raw):

@@ -164,18 +164,76 @@ def test_zip_extraction(spark, tmp_path):
     assert sorted((r["member"], bytes(r["content"])) for r in found.collect()) == [("b.grib", b"GRIBmore"), ("x.grib", b"GRIBdata")]
 
 
-def test_weather_source(spark):
-    from emberflux.sources.weather import MonthlyWeather, request_of, unpacked
+def test_weather_source(spark, tmp_path):
+    import hashlib
+
+    from emberflux.sources.weather import MonthlyWeather, request_of
 
     spark.dataSource.register(MonthlyWeather)
-    options = {"dataset": "land", "start": "2024-01-31", "end": "2024-04-01", "bounds": "37,68,6,98", "variables": "a, b", "delay": "0", "fetch": "emberflux.sources.recorded:weather"}
+    options = {"dataset": "land", "start": "2024-01-31", "end": "2024-04-01", "bounds": "37,68,6,98", "variables": "a, b", "delay": "0", "folder": str(tmp_path / "raw"), "fetch": "emberflux.sources.recorded:weather"}
     read = spark.read.format("monthly_weather").options(**options)
-    assert sorted((r["month"], r["status"], r["member"], r["content"] and len(r["content"])) for r in read.load().collect()) == [(1, "success", "era5-land_2024-01.grib", 748), (2, "success", "data.grib", 700), (3, "failed", None, None), (4, "success", "data.grib", 724)]
-    assert [r["month"] for r in read.option("months", "2024-02").load().collect()] == [2]
+    found = read.load().cache()
+    assert sorted((r["month"], r["status"], r["member"], r["size"]) for r in found.collect()) == [(1, "success", "era5-land_2024-01.grib", 748), (2, "success", "data.grib", 700), (3, "failed", None, None), (4, "success", "data.grib", 724)]
+    for r in found.where("status = 'success'").collect():
+        content = open(r["path"], "rb").read()
+        assert content == b"GRIB" + bytes(r["size"] - 4) and hashlib.sha256(content).hexdigest() == r["sha256"]
+    assert sorted(x.name for x in (tmp_path / "raw").iterdir() if not x.name.endswith(".crc")) == ["era5-land_2024-01.grib", "era5-land_2024-02.grib", "era5-land_2024-04.grib"]
+    assert [(r["month"], r["status"], r["size"]) for r in read.option("months", "2024-02").load().collect()] == [(2, "skipped", 700)]
+    assert [(r["month"], r["status"]) for r in read.options(months="2024-02", existing="overwrite_all").load().collect()] == [(2, "success")]
     assert read.option("months", "").load().isEmpty()
     assert len(request_of(2024, 2, ["a"], [1.0, 2.0, 0.0, 3.0])["day"]) == 29
-    with pytest.raises(ValueError):
-        unpacked(b"<html>", "x")
+
+
+class Endless:
+    """A body of many bytes that nobody holds."""
+
+    def __init__(self, size):
+        self.left = size - 4
+        self.first = b"GRIB"
+
+    def read(self, n):
+        if self.first:
+            out, self.first = self.first, b""
+            return out
+        n = min(n, self.left)
+        self.left -= n
+        return bytes(n)
+
+
+def test_bodies_are_never_held_in_memory(tmp_path):
+    import io
+    import tracemalloc
+    import zipfile
+
+    from emberflux.sources.weather import Folder
+
+    folder = Folder(str(tmp_path / "raw"))
+    with zipfile.ZipFile(tmp_path / "x.zip", "w", zipfile.ZIP_DEFLATED) as z:
+        with z.open("big.grib", "w") as member:
+            for _ in range(24):
+                member.write(bytes(1 << 20))
+    tracemalloc.start()
+    assert folder.take(Endless(48 << 20), "a.grib")[:2] == ("a.grib", 48 << 20)
+    with open(tmp_path / "x.zip", "rb") as body:
+        assert folder.take(body, "b.grib")[:2] == ("big.grib", 24 << 20)
+    assert tracemalloc.get_traced_memory()[1] < 8 << 20
+    tracemalloc.stop()
+    empty = io.BytesIO()
+    zipfile.ZipFile(empty, "w").close()
+    for broken in (b"<html>", b"", empty.getvalue(), b"PK\x03\x04 broken"):
+        with pytest.raises((ValueError, zipfile.BadZipFile)):
+            folder.take(broken, "c.grib")
+    assert sorted(x.name for x in (tmp_path / "raw").iterdir()) == ["a.grib", "b.grib"] and folder.size("c.grib") is None
+
+
+def test_request_becomes_options(spark):
+    from emberflux.plans.requests import WeatherRequest
+
+    raw = {"dataset_short_name": "era5-land", "start_date": "2024-01-05", "end_date": "2024-04", "bounds": [37, 68, 6, 98], "variables": "a, b", "existing_file_action": "overwrite_all", "retry_settings": {"max_retries": 4, "retry_delay_sec": 2}, "parallel_settings": {"enabled": True, "max_concurrent": 2}}
+    request = WeatherRequest.from_dict(raw)
+    plan = spark.createDataFrame([(2024, 3, "fetch"), (2024, 1, "skip"), (2024, 2, "overwrite")], "year int, month int, status string")
+    assert request.options("/shared", plan) == {"dataset": "era5-land", "start": "2024-01-05", "end": "2024-04-30", "bounds": "37.0,68.0,6.0,98.0", "variables": "a,b", "retries": "4", "delay": "2", "streams": "2", "existing": "overwrite_all", "folder": "/shared", "months": "2024-02,2024-03"}
+    assert "months" not in request.options("/shared") and request.options("/shared", plan.limit(0))["months"] == ""
 
 
 def test_additive_model_finds_a_known_curve(spark):
