@@ -120,9 +120,10 @@ def disclosing_terms(rows: DataFrame, base: DataFrame, docs: DataFrame, remove:
     """The spans of the terms to remove and to generalise, in rows that hold the value they tell of."""
     told = mentions(base)
     bits = judged_terms(told, docs, z, generalise)
+    # What each row is to lose, by row and term, so that a common term is no hot key.
+    here = told.select(*ROW, "entity").distinct().join(bits, "entity").groupBy(*ROW, "term").agg(F.min("bits").alias("bits"))
     words = _matches(rows, TERM, 0).select(*ROW, "start", "end", "value", F.lower("value").alias("term"))
-    here = words.join(bits, "term").join(told.select(*ROW, "entity").distinct(), [*ROW, "entity"], "left_semi")
-    return here.groupBy(*ROW, "start", "end", "value").agg(F.min("bits").alias("bits")).select(*ROW, "start", F.when(F.col("bits") <= remove, 4).when(F.col("value").rlike(r"^\p{Lu}"), 6).otherwise(5).alias("kind"), "end", "value")
+    return words.join(here, [*ROW, "term"]).select(*ROW, "start", F.when(F.col("bits") <= remove, 4).when(F.col("value").rlike(r"^\p{Lu}"), 6).otherwise(5).alias("kind"), "end", "value")
 
 
 def _arrays(base: DataFrame, terms: DataFrame, block: int = 512) -> DataFrame:
