@@ -1,9 +1,12 @@
 """Operator 7: language identification by cross-parsing entropy.
 
-For each language a suffix automaton of the words of labelled texts recognises all their substrings. A text is
-parsed greedily into phrases, each the longest match in the automaton (or one unknown letter); the
+For each language a suffix automaton of labelled text recognises all substrings of it. A text is parsed
+greedily into phrases, each the longest match in the automaton (or one unknown letter), over word borders; the
 fewer phrases, normalised by text length and by the automaton's text size, the closer the language.
-Phrases do not cross words, so the phrase counts of a word are worked out once and reused.
+
+Texts count in lower case, each run of other characters than letters as one space. They are parsed in stretches
+of `STRETCH` characters, at whose ends a phrase ends, so that the stretches of many texts are parsed side by side: one numpy
+operation takes all of them a character further.
 """
 
 from __future__ import annotations
@@ -11,7 +14,8 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -21,14 +25,22 @@ from pyspark.sql import Window
 
 from . import common as C
 
-WORD = re.compile(r"[^\W\d_]+")
-CHARS = 1 << 21
+OTHERS = re.compile(r"[\W\d_]+")
+STRETCH = 2048
+#: Letters are told apart by 64 classes: 0 is the space, the most frequent letters have one each, others share the last ones by code point.
+CLASSES, OWN = 64, 48
+
+
+def normalize(text: str | None) -> str:
+    """Lower case, letters only, with one space before, between and after words."""
+    found = OTHERS.sub(" ", (text or "").lower()).strip()
+    return f" {found} " if found else ""
 
 
 class SuffixAutomaton:
-    """Transitions of a text's suffix automaton in one table, keyed by state and character."""
+    """A text's suffix automaton as tables: of a state with one way on its class and target, of the others a row of `rows`."""
 
-    def __init__(self, text: str):
+    def __init__(self, text: list[int]):
         step, link, length, last = [{}], [-1], [0], 0
         for c in text:
             now = len(step)
@@ -54,103 +66,127 @@ class SuffixAutomaton:
                     link[q] = link[now] = clone
             last = now
         self.size = len(text)
-        self.table = {s * CHARS + ord(c): t for s, d in enumerate(step) for c, t in d.items()}
-
-    def phrases(self, text: str) -> int:
-        """Longest-match phrases of a text; a character that the automaton lacks is one."""
-        look, state, count = self.table.get, 0, 0
-        for c in text:
-            c = ord(c)
-            after = look(state * CHARS + c)
-            if after is None and state:
-                count += 1
-                after = look(c)
-            if after is None:
-                count, after = count + 1, 0
-            state = after
+        # Row 0 leads nowhere, row 1 is the start's.
+        many = [0] + [s for s, d in enumerate(step) if s and len(d) > 1]
+        self.rows = np.full((len(many) + 1, CLASSES), -1, np.int32)
+        self.only, self.target, self.row = np.full(len(step), -1, np.int32), np.full(len(step), -1, np.int32), np.zeros(len(step), np.int32)
+        for r, s in enumerate(many, 1):
+            self.row[s] = r
+            for c, t in step[s].items():
+                self.rows[r, c] = t
+        for s, d in enumerate(step):
+            if s and len(d) == 1:
+                ((self.only[s], self.target[s]),) = d.items()
+
+    def phrases(self, flat: np.ndarray, start: np.ndarray, length: np.ndarray) -> np.ndarray:
+        """Longest-match phrases of stretches of `flat` (classes), in order of falling length."""
+        n = len(start)
+        state, count, table = np.zeros(n, np.int32), np.zeros(n, np.int32), self.rows.ravel()
+        active = np.searchsorted(-length, -np.arange(int(length.max(initial=0))), "left").tolist()
+        for t, n in enumerate(active):
+            c = flat.take(start[:n] + t)
+            s = state[:n]
+            after = table.take(self.row.take(s) * CLASSES + c)
+            np.copyto(after, self.target.take(s), where=self.only.take(s) == c)
+            miss = after < 0
+            count[:n] += miss & (s > 0)
+            np.copyto(after, self.rows[1].take(c), where=miss)
+            unknown = after < 0
+            count[:n] += unknown
+            after[unknown] = 0
+            state[:n] = after
         return count + (state > 0)
 
 
+@dataclass(frozen=True)
+class Models:
+    """Classes of code points, and an automaton for each language."""
+
+    classes: np.ndarray
+    automata: dict[str, SuffixAutomaton]
+
+    def coded(self, text: str) -> np.ndarray:
+        return self.classes.take(np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32))
+
+
+def letter_classes(texts: Iterable[str]) -> np.ndarray:
+    """The class of each code point, by the letters of all training texts."""
+    counts = Counter()
+    for text in texts:
+        counts.update(text)
+    del counts[" "]
+    out = (np.arange(0x110000) % (CLASSES - OWN - 1) + OWN + 1).astype(np.int32)
+    for k, (c, _) in enumerate(sorted(counts.items(), key=lambda x: (-x[1], x[0]))[:OWN]):
+        out[ord(c)] = k + 1
+    out[ord(" ")] = 0
+    return out
+
+
 def labelled(documents: DataFrame, rows: int, chars: int) -> DataFrame:
-    """lang and text of labelled documents, whole, by hash order: at most `rows` a language, and no more after `chars` characters."""
+    """lang, text, h and doc_id of labelled documents, whole, by hash order: at most `rows` a language, and no more after `chars` characters."""
     docs = C.documents(documents, F.col("lang").cast("string").alias("lang")).where(F.col("lang").isNotNull() & F.col("text").isNotNull())
     order = F.xxhash64(F.col("doc_id").cast("string"))
     sizes = docs.groupBy("lang").agg(F.count("*").alias("n")).collect()  # a row for each language, as the automata are
     if not sizes:
-        return docs.select("lang", "text")
+        return docs.select("lang", "text", order.alias("h"), "doc_id")
     reach = F.create_map(*(F.lit(x) for r in sizes for x in (r["lang"], int(min(1.0, 4.0 * rows / r["n"]) * (1 << 20)))))
     likely = docs.where(F.pmod(order, F.lit(1 << 20)) <= F.element_at(reach, F.col("lang")))
     by_hash = Window.partitionBy("lang").orderBy("h", "doc_id", "size")
     first = likely.select("lang", "text", order.alias("h"), "doc_id", F.length("text").alias("size")).withColumn("k", F.row_number().over(by_hash)).where(F.col("k") <= rows)
     before = F.sum("size").over(Window.partitionBy("lang").orderBy("k")) - F.col("size")
-    return first.withColumn("before", before).where(F.col("before") < chars).select("lang", "text")
-
-
-def word_counts(labels: DataFrame) -> DataFrame:
-    """lang, word and n over the whole texts."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in C.slices(batches):
-            counts = Counter((lang, word) for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist()) for word in WORD.findall(text.lower()))
-            yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in counts], pa.string()), pa.array([x for _, x in counts], pa.string()), pa.array(counts.values(), pa.int64())], names=["lang", "word", "n"])
-
-    return labels.mapInArrow(run, "lang string, word string, n long").groupBy("lang", "word").agg(F.sum("n").alias("n"))
+    return first.withColumn("before", before).where(F.col("before") < chars).select("lang", "text", "h", "doc_id")
 
 
-def train(documents: DataFrame, rows: int = 300, chars: int = 150_000) -> dict[str, SuffixAutomaton]:
-    """An automaton for each lang of the labelled documents, over all different words of the sampled whole texts.
+def train(documents: DataFrame, rows: int = 300, chars: int = 60_000) -> Models:
+    """An automaton for each lang of the labelled documents, over the normalised texts of a bounded sample, one after another.
 
-    The sample is bounded (see `labelled`), whatever the number of languages; no word of it is left out.
+    The sample is bounded (see `labelled`), whatever the number of languages; its texts are whole. An automaton takes
+    some 10 MB at the default.
     """
-    words: dict[str, list[str]] = {}
-    for row in word_counts(labelled(documents, rows, chars)).orderBy("lang", F.desc("n"), "word").toLocalIterator():
-        words.setdefault(row["lang"], []).append(row["word"])
-    return {lang: SuffixAutomaton(" " + " ".join(own) + " ") for lang, own in sorted(words.items())}
+    texts: dict[str, list[str]] = {}
+    for row in labelled(documents, rows, chars).orderBy("lang", "h", "doc_id", "text").toLocalIterator():
+        texts.setdefault(row["lang"], []).append(normalize(row["text"]))
+    joined = {lang: "".join(own).replace("  ", " ") for lang, own in sorted(texts.items())}
+    models = Models(letter_classes(joined.values()), {})
+    for lang, text in joined.items():
+        models.automata[lang] = SuffixAutomaton(models.coded(text).tolist())
+    return models
 
 
-def predict(documents: DataFrame, models: dict[str, SuffixAutomaton], cache: int = 200_000) -> DataFrame:
+def predict(documents: DataFrame, models: Models) -> DataFrame:
     """doc_id, lang_pred and score of each document's whole text.
 
     score is b / (a + b) with the least and the second least entropies a and b (1 if there is one
-    language). Very long texts are parsed whole. Defined cases: a null text or one without a letter is `und` with score 0, as is every
-    text if no language was learned; ties go to the alphabetically first language; rows that repeat a
-    doc_id each give a row; rows without doc_id are left out; other columns are ignored; an empty
+    language). Very long texts are parsed whole, in many stretches. Defined cases: a null text or one without a letter is
+    `und` with score 0, as is every text if no language was learned; ties go to the alphabetically first language; rows that
+    repeat a doc_id each give a row; rows without doc_id are left out; other columns are ignored; an empty
     table gives an empty result.
     """
     docs = C.documents(documents)
     sent = docs.sparkSession.sparkContext.broadcast(models)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = sorted(sent.value)
-        automata = [sent.value[x] for x in names]
-        weight = np.array([math.log2(a.size + 1) for a in automata])
-        find = WORD.findall
-
-        class Known(dict):
-            rows: list = []
-
-            def __missing__(self, word):
-                n = self[word] = len(self.rows)
-                letters = sum(map(str.isalpha, word))
-                text = f" {word} "
-                self.rows.append((*(a.phrases(text) for a in automata), len(text)) if letters else (0,) * (len(automata) + 1))
-                return n
-
-        known = Known()
-        for batch in C.slices(batches):
-            if len(known) > cache:
-                known = Known()
-                known.rows = []
-            at = [[known[w] for w in find((x.as_py() or "").lower())] for x in batch.column("text")]
-            table = np.array(known.rows, np.float64).reshape(len(known.rows), len(automata) + 1)
+        own = sent.value
+        names = sorted(own.automata)
+        weight = np.array([math.log2(own.automata[x].size + 1) for x in names])
+        for batch in C.slices(batches, limit=4 << 20):
+            texts = [normalize(x.as_py()) for x in batch.column("text")]
+            sizes = np.fromiter(map(len, texts), np.int64, len(texts))
+            flat = own.coded("".join(texts))
+            first, parts = np.cumsum(sizes) - sizes, -(-sizes // STRETCH)
+            doc = np.repeat(np.arange(len(texts)), parts)
+            begin = (np.arange(len(doc)) - np.repeat(np.cumsum(parts) - parts, parts)) * STRETCH
+            length = np.minimum(STRETCH, sizes[doc] - begin)
+            order = np.argsort(-length, kind="stable")
+            start, length, doc = (first[doc] + begin)[order], length[order], doc[order]
+            sums = np.stack([np.bincount(doc, own.automata[x].phrases(flat, start, length), len(texts)) for x in names], 1) if names else np.zeros((len(texts), 0))
             langs, scores = [], []
-            for mine in at:
-                sums = table[mine].sum(axis=0) if mine else np.zeros(len(automata) + 1)
-                if not sums[-1] or not names:
+            for n, mine in zip(sizes.tolist(), sums * weight):
+                if not n or not names:
                     langs.append("und")
                     scores.append(0.0)
                     continue
-                entropy = sums[:-1] * weight / sums[-1]
+                entropy = mine / n
                 best = int(np.argmin(entropy))
                 rest = np.delete(entropy, best)
                 langs.append(names[best])

@@ -3,6 +3,8 @@
 import json
 import math
 import random
+import re
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -378,20 +380,50 @@ def test_language_id(spark):
 def test_language_id_learns_from_whole_texts(spark):
     rows = [(i, "ba " * 10_000 + "quux", f"l{i:02}") for i in range(36)]
     models = language_id.train(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
-    assert len(models) == 36 and all(m.phrases(" quux ") == 1 for m in models.values())
+    flat = models.coded(" quux ")
+    assert len(models.automata) == 36 and all(m.phrases(flat, np.array([0]), np.array([6])).tolist() == [1] for m in models.automata.values())
+
+
+def longest_match_phrases(text, query):
+    i = n = 0
+    while i < len(query):
+        j = i + 1
+        while j < len(query) and query[i : j + 1] in text:
+            j += 1
+        i, n = j, n + 1
+    return n
 
 
 def test_automaton_parses_by_longest_match():
     rng = random.Random(9)
-    for _ in range(300):
-        text, query = ("".join(rng.choice(a) for _ in range(rng.randint(0, 30))) for a in ("abc", "abcd"))
-        i = n = 0
-        while i < len(query):
-            j = i + 1
-            while j < len(query) and query[i : j + 1] in text:
-                j += 1
-            i, n = j, n + 1
-        assert language_id.SuffixAutomaton(text).phrases(query) == n
+    for _ in range(60):
+        text = "".join(rng.choice("abc") for _ in range(rng.randint(0, 30)))
+        queries = sorted(("".join(rng.choice("abcd") for _ in range(rng.randint(0, 30))) for _ in range(8)), key=lambda q: -len(q))
+        flat, sizes = np.array([ord(c) - 96 for q in queries for c in q], np.int32), np.array([len(q) for q in queries])
+        got = language_id.SuffixAutomaton([ord(c) - 96 for c in text]).phrases(flat, np.cumsum(sizes) - sizes, sizes)
+        assert got.tolist() == [longest_match_phrases(text, q) for q in queries]
+
+
+def test_language_predictions_against_plain_parsing(spark, monkeypatch):
+    """Entropies, ties, scores and stretches restated, on texts of shared letters, with rare letters and over word borders."""
+    monkeypatch.setattr(language_id, "OWN", 6)
+    rng = random.Random(10)
+    word = lambda letters: "".join(rng.choice(letters) for _ in range(rng.randint(1, 5)))
+    letters = {"p": "abcdé", "q": "abcdé漢", "r": "bcdefß"}
+    rows = [(i, " ".join(word(letters["pqr"[i % 3]]) for _ in range(rng.choice([1, 8, 40, 600]))) + rng.choice(["", "!", " 12 "]), "pqr"[i % 3]) for i in range(60)] + [(60, "123 !", "p"), (61, None, "q")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    models = language_id.train(df.where("doc_id < 30"))
+    clean = lambda t: f" {' '.join(re.findall(r'[^\W\d_]+', (t or '').lower()))} ".replace("  ", "")
+    learned = {lang: "".join(clean(r["text"]) for r in sorted(language_id.labelled(df.where("doc_id < 30"), 300, 60_000).where(F.col("lang") == lang).collect(), key=lambda r: (r["h"], r["doc_id"], r["text"]))).replace("  ", " ") for lang in "pqr"}
+    known = [c for c, _ in sorted(Counter("".join(learned.values()).replace(" ", "")).items(), key=lambda x: (-x[1], x[0]))[:6]]
+    one = lambda t: "".join(c if c in known or c == " " else chr(0xE000 + ord(c) % 57) for c in t)
+    for r in language_id.predict(df, models).collect():
+        text = clean(rows[r["doc_id"]][1])
+        if not text.strip():
+            assert (r["lang_pred"], r["score"]) == ("und", 0.0)
+            continue
+        entropy = sorted((sum(longest_match_phrases(one(learned[x]), one(text[a : a + 2048])) for a in range(0, len(text), 2048)) * math.log2(len(learned[x]) + 1) / len(text), x) for x in "pqr")
+        assert r["lang_pred"] == entropy[0][1] and r["score"] == pytest.approx(entropy[1][0] / (entropy[0][0] + entropy[1][0]))
 
 
 def distance(p, t):
