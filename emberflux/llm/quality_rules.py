@@ -18,7 +18,7 @@ from __future__ import annotations
 import math
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
@@ -218,12 +218,14 @@ def minimum_covariance(vectors: DataFrame, core: float, steps: int, prior: float
             parents = above.select(F.col("g_lang").alias("p_lang"), *(F.col(v).alias(f"up_{v}") for v in (*M, *COV)))
             now = now.withColumn("p_lang", F.col("g_lang") if level == 3 else F.lit("")).join(parents, "p_lang").drop("p_lang")
         now = C.materialize(_factored(now, prior).withColumn("determinant", F.lit(float("inf"))).select(*START, *UP, F.lit(True).alias("falls"), *values), "mcd")
-        for step in range(steps):
+        for _ in range(steps):
             old = now.select(*START, *UP, F.struct(*values).alias("old"))
             new = _factored(old.join(_concentrated(members, now.where("falls"), few, core), START, "left"), prior)
             less = F.col("m0").isNotNull() & (F.col("determinant") < F.col("old.determinant") - tolerance)
-            now = C.materialize(new.select(*START, *UP, less.alias("falls"), *(F.when(less, F.col(v)).otherwise(F.col(f"old.{v}")).alias(v) for v in values)), "mcd")
-            if step + 1 < steps and now.where("falls").isEmpty():
+            still = Observation()
+            now = new.select(*START, *UP, less.alias("falls"), *(F.when(less, F.col(v)).otherwise(F.col(f"old.{v}")).alias(v) for v in values))
+            now = C.materialize(now.observe(still, F.count_if("falls").alias("falls")), "mcd")
+            if not still.get["falls"]:
                 break
         least = now.groupBy(*GROUP).agg(F.min(F.struct("determinant", "start", *(v for v in values if v != "determinant"))).alias("best"))
         above = C.materialize(least.select(*GROUP, "best.*").drop("start"), "mcd")
