@@ -36,7 +36,7 @@ from . import range_coder
 MAGIC = b"EFT1"
 BLOCK = 1 << 21
 #: A lane of a block has about so many ids.
-LANE = 160
+LANE = 128
 SEGMENTS = "shard int, segment int, start long, n_docs long, n_tokens long, data binary"
 #: Texts of these characters alone are split into words here; others go to the tokenizer whole.
 _PLAIN = re.compile("[\t\n\r\x20-\x7e\xa0-ɏ]*")
@@ -66,7 +66,7 @@ class _Tokenizer:
     """Whole texts to ids by the tokenizers library; a byte-level vocabulary meets a word of plain texts anew only if
     it was forgotten: of `most` words those that came once go, or all if that isn't half of them."""
 
-    def __init__(self, path: str, most: int = 900_000):
+    def __init__(self, path: str, most: int = 500_000):
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -130,18 +130,21 @@ class _Tokenizer:
             out[i] = x
         if len(self.index) > self.most:
             self._prune()
-        known, places, find = len(self.index), [], _split()
-        for i in np.flatnonzero(plain).tolist():
+        known, parts, find, number = len(self.index), [np.zeros(0, np.int64)], _split(), self.index.__getitem__
+        own = np.flatnonzero(plain).tolist()
+        for i in own:
             words = find(texts[i])
-            places.append((i, np.fromiter(map(self.index.__getitem__, words), np.int64, len(words))))
+            parts.append(np.fromiter(map(number, words), np.int64, len(words)))
         if len(self.index) > known:
             self._learn(list(islice(self.index, known, None)))
-        if places:
-            self.uses += np.bincount(np.concatenate([at for _, at in places]), minlength=len(self.uses))
-        for i, at in places:
-            take = self.lengths.take(at)
-            total = np.cumsum(take)
-            out[i] = self.flat.take(np.repeat(self.starts.take(at) - total + take, take) + np.arange(total[-1] if len(total) else 0))
+        at = np.concatenate(parts)
+        self.uses += np.bincount(at, minlength=len(self.uses))
+        take = self.lengths.take(at)
+        total = np.append(0, np.cumsum(take))
+        ids = self.flat.take(np.repeat(self.starts.take(at) - total[:-1], take) + np.arange(total[-1]))
+        cuts = total.take(np.cumsum([len(x) for x in parts])).tolist()
+        for i, a, b in zip(own, cuts, cuts[1:]):
+            out[i] = ids[a:b]
         return out
 
 
@@ -224,7 +227,7 @@ def write_tokens(documents: DataFrame, tokenizer: str, path: str, end_id: int |
             row = (shard, segment, start, len(names), len(ids), packed)
             return pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip(row, (pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary()))], names=["shard", "segment", "start", "n_docs", "n_tokens", "data"])
 
-        for batch in C.slices(batches):
+        for batch in C.slices(batches, limit=4 << 20):
             found = own.ids([x or "" for x in batch.column("text").to_pylist()])
             for name, ids in zip(batch.column("doc_id").to_pylist(), found):
                 if lists and size + len(ids) + len(end) > segment_tokens:
