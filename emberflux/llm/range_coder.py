@@ -17,9 +17,9 @@ from __future__ import annotations
 import numpy as np
 
 #: Bits of the first decision's chances and of the second's.
-BITS1, BITS0 = 16, 20
+BITS1, BITS0 = 16, 19
 #: Bits of the slots for predictions of order 1 and 2, and of the ids that order 0 tells apart; lower bits are coded evenly.
-SLOTS1, SLOTS2, KNOWN = 17, 19, 16
+SLOTS1, SLOTS2, KNOWN = 16, 18, 16
 #: Positions between two updates of the models, at most; a block starts with shorter ones.
 EVERY1, EVERY0 = 8, 64
 _U, _W = np.uint64, np.uint32
@@ -150,7 +150,7 @@ class _Order0:
         first = np.cumsum(count) - count
         self.first, self.count = first.astype(_U), count.astype(_U)
         if self.reading:
-            self.id_at = np.repeat(np.arange(self.n, dtype=_W), count)
+            self.id_at = np.repeat(np.arange(self.n, dtype=np.uint16), count)
 
     def learn(self, ids: list[np.ndarray]) -> None:
         self.seen += np.bincount(np.concatenate(ids), minlength=self.n)
@@ -159,11 +159,11 @@ class _Order0:
         self._share()
 
 
-def run(coder: Writer | Reader, lengths: np.ndarray, bits: int, ids: np.ndarray | None = None) -> np.ndarray:
-    """Code `ids` or decode; rows are positions, columns are lanes in order of falling length; ids have `bits` bits."""
+def run(coder: Writer | Reader, lengths: np.ndarray, limit: int, ids: np.ndarray | None = None) -> np.ndarray:
+    """Code `ids` or decode; rows are positions, columns are lanes in order of falling length; ids are below `limit`."""
     lanes = len(lengths)
-    even = max(0, bits - KNOWN)
-    choice, order0 = _Choice(), _Order0(1 << min(bits, KNOWN), ids is None)
+    even = max(0, (limit - 1).bit_length() - KNOWN)
+    choice, order0 = _Choice(), _Order0((max(limit, 1) - 1 >> even) + 1, ids is None)
     after1, after2 = np.zeros(1 << SLOTS1, _W), np.zeros(1 << SLOTS2, _W)
     one, two, past = np.zeros(lanes, _W), np.zeros(lanes, _W), np.zeros(lanes, _W)
     out = np.empty((int(lengths.max(initial=0)), lanes), _W) if ids is None else ids
@@ -193,13 +193,12 @@ def run(coder: Writer | Reader, lengths: np.ndarray, bits: int, ids: np.ndarray
         rest = np.flatnonzero(symbol == 2)
         if len(rest):
             if ids is None:
-                known = order0.id_at.take(coder.place(rest, 0, BITS0))
+                new = known = order0.id_at.take(coder.place(rest, 0, BITS0))
                 coder.take(rest, order0.first.take(known), order0.count.take(known))
-                new = known
                 if even:
                     low = coder.place(rest, 0, even)
                     coder.take(rest, low.view(_U), np.ones(len(rest), _U))
-                    new = known << _W(even) | low.astype(_W)
+                    new = known.astype(_W) << _W(even) | low.astype(_W)
                 x[rest] = new
             else:
                 new = x.take(rest)

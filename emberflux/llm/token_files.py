@@ -4,7 +4,7 @@ A file set is a Parquet table of segments, so that any store that Spark writes t
 protocol guards it: shard (range partitions of doc_id in ascending order), segment (order in the shard),
 start (ids of the shard before it), n_docs, n_tokens, and data, the segment's bytes. These are:
 
-    "EFT1", then as uint32: bits of an id, documents, blocks, and crc32 of these and of the tables that follow
+    "EFT1", then as uint32: what all ids are below, documents, blocks, and crc32 of these and of the tables that follow
     doc_id int64 of each document | ids int64 of each document
     ids, lanes and 16-bit words of each block and crc32 of its ids as uint32: four tables of uint32
     words of each lane of each block, uint16
@@ -155,26 +155,26 @@ def _lanes(n: int) -> tuple[np.ndarray, int]:
     return np.minimum(steps, np.maximum(0, n - steps * np.arange(lanes))), steps
 
 
-def _pack_block(ids: np.ndarray, bits: int) -> list[np.ndarray]:
+def _pack_block(ids: np.ndarray, limit: int) -> list[np.ndarray]:
     lengths, steps = _lanes(len(ids))
     rows = np.zeros(len(lengths) * steps, np.uint32)
     rows[: len(ids)] = ids
     coder = range_coder.Writer(len(lengths))
-    range_coder.run(coder, lengths, bits, np.ascontiguousarray(rows.reshape(len(lengths), steps).T))
+    range_coder.run(coder, lengths, limit, np.ascontiguousarray(rows.reshape(len(lengths), steps).T))
     return coder.words()
 
 
 def pack_segment(doc_ids: np.ndarray, lengths: np.ndarray, ids: np.ndarray) -> bytes:
     """The bytes of a segment; ids have 28 bits at most."""
-    bits = max(16, int(ids.max(initial=0)).bit_length())
-    if bits > 28:
+    limit = int(ids.max(initial=0)) + 1
+    if limit > 1 << 28:
         raise ValueError("ids of more than 28 bits")
     ids = np.ascontiguousarray(ids, "<u4")
     parts = [ids[a : a + BLOCK] for a in range(0, len(ids), BLOCK)]
-    words = [_pack_block(x, bits) for x in parts]
+    words = [_pack_block(x, limit) for x in parts]
     numbers = np.array([[len(x) for x in parts], [len(w) for w in words], [sum(map(len, w)) for w in words], [zlib.crc32(x) for x in parts]], "<u4")
     tables = b"".join([np.asarray(doc_ids, "<i8").tobytes(), np.asarray(lengths, "<i8").tobytes(), numbers.tobytes(), np.array([len(x) for w in words for x in w], "<u2").tobytes()])
-    head = np.array([bits, len(doc_ids), len(parts)], "<u4").tobytes()
+    head = np.array([limit, len(doc_ids), len(parts)], "<u4").tobytes()
     crc = np.array([zlib.crc32(tables, zlib.crc32(head))], "<u4").tobytes()
     return b"".join([MAGIC, head, crc, tables, *(x.tobytes() for w in words for x in w)])
 
@@ -183,7 +183,7 @@ def unpack_segment(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """doc_ids, ids of each, and all ids; fails if they aren't what was written."""
     if data[:4] != MAGIC or len(data) < 20:
         raise ValueError("not a token segment")
-    bits, n_docs, n_blocks, crc = np.frombuffer(data, "<u4", 4, 4).tolist()
+    limit, n_docs, n_blocks, crc = np.frombuffer(data, "<u4", 4, 4).tolist()
     at = 20 + 16 * n_docs
     if len(data) < at + 16 * n_blocks:
         raise ValueError("a token segment that is cut short")
@@ -196,7 +196,7 @@ def unpack_segment(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     words, out, lane, word, done = np.frombuffer(data, "<u2", -1, end), np.zeros(sum(sizes), "<u4"), 0, 0, 0
     for n, k, m, total in zip(sizes, lanes, counts, sums):
         own = np.split(words[word : word + m], np.cumsum(of_lane[lane : lane + k], dtype=np.int64)[:-1])
-        ids = np.ascontiguousarray(range_coder.run(range_coder.Reader(own), _lanes(n)[0], bits).T).ravel()[:n]
+        ids = np.ascontiguousarray(range_coder.run(range_coder.Reader(own), _lanes(n)[0], limit).T).ravel()[:n]
         if zlib.crc32(ids) != total:
             raise ValueError("damaged block of a token segment")
         out[done : done + n] = ids
