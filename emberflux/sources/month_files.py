@@ -5,7 +5,7 @@
 
 Tasks write to a folder of their own beside the table and tell the driver what they wrote. Only when all have
 succeeded does the driver put the new months in place of the old ones; if a task fails, the staged files go and every
-old month stays as it is. Months that the rows don't have stay, too. Folders are year=Y/month=M, as
+old month stays as it is (a task that is still at work then may leave a folder `_staging-...`, which readers pass over). Months that the rows don't have stay, too. Folders are year=Y/month=M, as
 Spark reads partitions. Path and table lie on a file system that Python reaches, at the same place on all machines.
 """
 

@@ -407,7 +407,7 @@ def test_month_files_keep_old_months_when_a_task_fails(spark, tmp_path):
         put(broken)
     with pytest.raises(Exception, match="no month"):
         put(rows("2024-01-01", 5, 5).withColumn("timestamp", F.when(F.col("v") > 5, F.col("timestamp"))))
-    assert read() == old and not [x for x in (tmp_path / "t").iterdir() if x.name.startswith("_")]
+    assert read() == old and not [x for x in (tmp_path / "t").iterdir() if x.name.startswith("_retired")]
     put(rows("2024-01-01", 31, 2))
     assert read() == sorted([(2024, 1, 2 * i) for i in range(31)] + [r for r in old if r[1] == 2])
     put(rows("2024-01-01", 1, 9), "append")
