@@ -557,6 +557,56 @@ def test_long_chain_of_calls(spark):
     assert [text.index(f'"id":"c{i}"') for i in range(5)] == sorted(text.index(f'"id":"c{i}"') for i in range(5))
 
 
+def plain_features(text):
+    """Measures, and features by name: words, shapes of words, and levels of the measures."""
+    text = re.sub("[A-Z]", lambda m: m[0].lower(), text or ""), text or ""
+    low, own, raw = words(text[0]), words(text[1]), text[1].encode()
+    kind = lambda b: 1 if 97 <= b <= 122 or b > 127 else 2 if 65 <= b <= 90 else 4 if 48 <= b <= 57 else 8 if chr(b) in ".,;:?!'\"()-" else 16 if chr(b) in "#*$%&|<>@^~_=+{}[]\\/`" else 0
+    kinds, n = Counter(map(kind, raw)), len(low)
+    grams = [tuple(low[i : i + 5]) for i in range(n - 4)]
+    lines = [x for x in text[1].split("\n") if x.strip(" \t\r\v\f")]
+    size = lambda w: len(w.encode())
+    m = [n, kinds[16] / n, kinds[2] / max(1, kinds[1] + kinds[2]), 1 - len(set(grams)) / max(1, len(grams)), 1 - len(set(lines)) / max(1, len(lines)), sum(map(size, low)) / n, raw.count(b"!") / n, kinds[4] / max(1, len(raw))] if n else [0.0] * 8
+    found = Counter(("word", w) for w in low)
+    for w in own:
+        shape = 0
+        for b in w.encode():
+            shape |= kind(b)
+        found["shape", shape, min(size(w), 20)] += 1
+    levels = [*(int(min(20, 40 * v)) for v in m[1:5]), int(min(20, m[5])), int(min(20, 60 * m[6])), int(min(20, 40 * m[7]))]
+    return m, {k: v / (n + 30) for k, v in found.items()} | {("level", k, v): 1.0 for k, v in enumerate(levels)}
+
+
+def test_quality_scorer_against_named_weights(spark):
+    """Measures, training and scores with weights by name instead of hash; enough bits that no two names meet."""
+    rng = random.Random(31)
+    prose = lambda: " ".join(rng.choice(["lorem", "Ipsum", "dolor!", "a1", "##x", "çedille", "amet,"]) for _ in range(rng.randint(0, 40))) + rng.choice(["", "\nx y\nx y"])
+    rows = [(i, prose()) for i in range(60)] + [(60, None), (61, "")]
+    df = frame(spark, rows)
+    found = {r["doc_id"]: [r[c] for c in quality_model.MEASURES] for r in quality_model.measured(df).collect()}
+    plain = {d: plain_features(t) for d, t in rows}
+    for d, (m, _) in plain.items():
+        assert found[d] == pytest.approx(m)
+    labels = [(d, t, rng.random()) for d, t in rows[:40]]
+    weights, bias = quality_model.train(spark.createDataFrame(labels, "doc_id long, text string, posterior double").coalesce(1), 22, rounds=5)
+    w, sums, b, own, order = Counter(), {}, 0.0, 1e-6, np.random.default_rng(7)
+    for _ in range(5):
+        for i in order.permutation(len(labels)):
+            d, _, target = labels[i]
+            f = {k: float(np.float32(v)) for k, v in plain[d][1].items()}
+            slope = 1 / (1 + math.exp(-(b + sum(w[k] * v for k, v in f.items())))) - target
+            for k, v in f.items():
+                sums[k] = sums.get(k, 1e-6) + (slope * v) ** 2
+                w[k] -= 0.5 * slope * v / math.sqrt(sums[k])
+            own += slope * slope
+            b -= 0.5 * slope / math.sqrt(own)
+    assert bias == pytest.approx(b, rel=1e-4)
+    for r in quality_model.score(df, weights, bias, 22).collect():
+        f = plain[r["doc_id"]][1]
+        expected = 1 / (1 + math.exp(-(b + sum(w[k] * v for k, v in f.items())))) if len(f) > 7 else 0.0
+        assert r["score"] == pytest.approx(expected, abs=1e-4)
+
+
 def test_empty_tables(spark):
     none = frame(spark, [])
     bench = spark.createDataFrame([], "item_id long, text string")
