@@ -250,8 +250,10 @@ def _bucket_entries(packs: DataFrame) -> DataFrame:
 
 def _verified(pairs: DataFrame, texts: DataFrame, n: int, percent: int) -> DataFrame:
     """The (u, v) of pairs whose sets are similar. u's copy goes once to every 64 or so of its v."""
+    # Tables of their own, here and below: what is read several times would stand as often in one plan, which the driver holds and plans anew after every stage.
+    pairs = C.materialize(pairs, "pairs")
     busy = pairs.groupBy("u").agg(F.ceil(F.count("*") / 64).cast("int").alias("parts"))
-    dealt = pairs.join(busy, "u").select("u", "v", F.pmod(F.xxhash64("v"), F.col("parts")).cast("int").alias("part"))
+    dealt = C.materialize(pairs.join(busy, "u").select("u", "v", F.pmod(F.xxhash64("v"), F.col("parts")).cast("int").alias("part")), "pairs")
     one = dealt.select("u", "part").distinct().join(texts.withColumnRenamed("doc_id", "u"), "u").select("u", "part", F.lit(None).cast("long").alias("v"), "text")
     other = dealt.join(texts.withColumnRenamed("doc_id", "v"), "v").select("u", "part", "v", "text")
 
@@ -281,6 +283,7 @@ def _within(families: DataFrame, texts: DataFrame, n: int, percent: int, block:
     A large family is cut into blocks, and each pair of blocks is one unit of work: a member's text goes
     to as many units as there are blocks. Only links that join parts of a unit come out.
     """
+    families = C.materialize(families, "families")
     sizes = families.groupBy("family").agg(F.ceil(F.count("*") / block).cast("int").alias("blocks"))
     own = F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int")
     dealt = families.join(sizes, "family").withColumn("own", own).select("family", "doc_id", "root", "own", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
@@ -353,6 +356,7 @@ def _paid(entries: DataFrame, needs: DataFrame) -> DataFrame:
     units = plain.union(second)
     dear = units.groupBy("doc_id").agg(F.count("*").alias("n"))
     open_ = needs.join(dear, "doc_id").select("doc_id", (F.col("h") + 1 - (F.col("units") - F.col("n"))).alias("need")).where("need > 0")
+    open_ = C.materialize(open_, "needs")
     rank = F.row_number().over(Window.partitionBy("doc_id").orderBy("cost", "level", "unit"))
     chosen = units.join(open_, "doc_id").select("doc_id", "unit", "level", "need", rank.alias("k")).where("k <= need").select("doc_id", "unit", "level")
     return own.withColumn("level", F.when(F.col("deleted"), 1).otherwise(0)).join(chosen, ["doc_id", "unit", "level"]).select("doc_id", "size", "sig", "hub", "hub_size")
@@ -387,7 +391,7 @@ def _fallback(docs: DataFrame, sizes: DataFrame, n: int, percent: int) -> DataFr
     # the size is part of the key, so that a frequent shingle meets sets of fitting size only
     sized = chosen.select(F.col("doc_id").alias("u"), "h", F.explode(F.sequence(F.ceil(F.col("size") * percent / 100).cast("int"), F.floor(F.col("size") * 100 / percent).cast("int"))).alias("size"))
     pairs = sized.join(every.select(F.col("doc_id").alias("v"), "h", "size"), ["h", "size"]).where("u <> v").select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
-    return _verified(pairs, texts, n, percent)
+    return C.materialize(_verified(pairs, texts, n, percent), "links")
 
 
 def _numbered(docs: DataFrame) -> tuple[DataFrame, DataFrame | None]:
@@ -445,7 +449,7 @@ def jaccard_join(documents: DataFrame, n: int = 5, percent: int = 75, bucket_byt
     placed = C.materialize(named(members), "placed")
     mixed = placed.groupBy("sig").agg(F.min("root").alias("least"), F.max("root").alias("most"), F.min("doc_id").alias("v")).where("least <> most").select("sig", "v")
     families = placed.join(mixed, "sig").select(F.col("v").alias("family"), "doc_id", "root").distinct()
-    more = _within(families, texts, n, percent)
+    more = C.materialize(_within(families, texts, n, percent), "links")
     roots = components(links.union(more).union(copies).union(_fallback(docs, sizes, n, percent)))
     out = sizes.join(roots.withColumnRenamed("node", "doc_id"), "doc_id", "left")
     out = out.select("doc_id", F.col("size").cast("long").alias("n_shingles"), F.coalesce("root", "doc_id").alias("component_id"))

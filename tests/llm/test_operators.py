@@ -157,6 +157,24 @@ def test_jaccard_join_of_many_copies(spark, monkeypatch):
     assert got == sorted([(d, *want[min(d, 1000)]) for d, _ in both])
 
 
+def test_jaccard_join_reads_no_plan_several_times(spark, monkeypatch):
+    """The driver holds and plans anew each written table's whole plan, so none may contain the others' again and again."""
+    from emberflux.llm import common
+
+    exchanges, write = [], common.materialize
+
+    def counted(df, tag):
+        exchanges.append((df._jdf.queryExecution().executedPlan().toString().count("Exchange "), tag))
+        return write(df, tag)
+
+    monkeypatch.setattr(common, "materialize", counted)
+    # Of few different words, so that some sets can't pay and the look-up by rarest shingles has work, too.
+    rows = list(enumerate(texts(5, 60, "abcdef", [6, 9, 30, 200])))
+    got = found(jaccard_join.jaccard_join(frame(spark, rows)), "doc_id", "n_shingles", "component_id")
+    assert got == sorted(components(rows))
+    assert max(exchanges)[0] <= 12, sorted(exchanges)[-3:]
+
+
 def test_jaccard_join_of_chains(spark):
     """Texts that slide over one long text: neighbours share 0.3 to 0.8 of their shingles."""
     rng = random.Random(25)
