@@ -16,13 +16,12 @@ All numbers are little-endian. A block holds `BLOCK` ids, the last of a segment
 
 from __future__ import annotations
 
-import re
 import unicodedata
 import uuid
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import compress, islice
+from itertools import compress, pairwise, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -38,8 +37,8 @@ BLOCK = 1 << 21
 #: A lane of a block has about so many ids.
 LANE = 128
 SEGMENTS = "shard int, segment int, start long, n_docs long, n_tokens long, data binary"
-#: Texts of these characters alone are split into words here; others go to the tokenizer whole.
-_PLAIN = re.compile("[\t\n\r\x20-\x7e\xa0-ɏ]*")
+#: Kinds of bytes and of characters below U+0250. Texts of others (_OTHER) go to the tokenizer whole.
+_MARK, _LETTER, _NUMBER, _SPACE, _WHITE, _OTHER = range(6)
 
 
 @lru_cache(1)
@@ -48,18 +47,51 @@ def _tokenizer(path: str) -> "_Tokenizer":
     return _Tokenizer(path)
 
 
-@lru_cache(1)
-def _split():
-    letters, numbers = ("".join(re.escape(chr(c)) for c in range(0x250) if unicodedata.category(chr(c))[0] == kind) for kind in "LN")
-    return re.compile(rf"'(?:[sdmt]|ll|ve|re)| ?[{letters}]+| ?[{numbers}]+| ?[^\s{letters}{numbers}]+|\s+(?!\S)|\s+").findall
+def _kind(char: str) -> int:
+    if not ("\x20" <= char <= "\x7e" or char >= "\xa0" or char in "\t\n\r"):
+        return _OTHER
+    return _SPACE if char == " " else _WHITE if char.isspace() else {"L": _LETTER, "N": _NUMBER}.get(unicodedata.category(char)[0], _MARK)
+
+
+_CHARS = np.array([_kind(chr(c)) for c in range(0x250)], np.uint8)
+_BYTES = _CHARS[:128].tobytes() + bytes([_OTHER]) * 128
 
 
-class _Index(dict):
-    """Numbers new words as they are asked for."""
+def _kinds(raw: np.ndarray) -> np.ndarray:
+    """The kind of the character that each byte of UTF-8 is of."""
+    kinds = np.frombuffer(bytearray(raw.tobytes().translate(_BYTES)), np.uint8)
+    lead = np.flatnonzero(raw >= 0xC2)
+    lead = lead[raw.take(lead) < 0xCA]
+    chars = (raw.take(lead).astype(np.int64) & 31) << 6 | raw.take(lead + 1) & 63
+    lead, chars = lead[chars < 0x250], chars[chars < 0x250]
+    kinds[lead] = kinds[lead + 1] = _CHARS.take(chars)
+    return kinds
 
-    def __missing__(self, word: str) -> int:
-        n = self[word] = len(self)
-        return n
+
+def _words(raw: np.ndarray, kinds: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Where words start, which are the matches of byte-level vocabularies, one after the other without gaps:
+
+    '(?:[sdmt]|ll|ve|re)| ?\\p{L}+| ?\\p{N}+| ?[^\\s\\p{L}\\p{N}]+|\\s+(?!\\S)|\\s+
+    """
+    n = len(raw)
+    fresh = np.zeros(n + 3, bool)
+    fresh[offsets] = fresh[n:] = True
+    white = kinds >= _SPACE
+    start = fresh[:n].copy()
+    # Of white characters before others the last stands alone, and a space goes to the word that follows.
+    last = np.append(~white[1:], False) & ~fresh[1 : n + 1]
+    wide = np.flatnonzero(white & (raw == 0xC2))
+    last[wide], last[wide + 1] = last[wide + 1], False
+    start[1:] |= np.where(white[1:], ~white[:-1] | last[1:], (kinds[1:] != kinds[:-1]) & (kinds[:-1] != _SPACE))
+    at = np.flatnonzero((raw == ord("'")) & start)
+    at = at[~fresh[at + 1]]
+    one, two = raw.take(at + 1), np.where(fresh[at + 2], 0, np.append(raw, 0).take(at + 2))
+    short = np.isin(one, np.frombuffer(b"sdmt", np.uint8))
+    long = (one == ord("l")) & (two == ord("l")) | ((one == ord("v")) | (one == ord("r"))) & (two == ord("e"))
+    ends = np.concatenate([at[short] + 2, at[long] + 3])
+    start[at[short | long] + 1] = False
+    start[ends[ends < n]] = True
+    return np.flatnonzero(start)
 
 
 class _Tokenizer:
@@ -73,13 +105,13 @@ class _Tokenizer:
         from tokenizers import Tokenizer, pre_tokenizers
 
         self.own, self.most = Tokenizer.from_file(path), most
-        self.special = [t.content for t in self.own.get_added_tokens_decoder().values()]
+        self.special = [t.content.encode() for t in self.own.get_added_tokens_decoder().values()]
         step = self.own.pre_tokenizer
         self.by_words = self.own.normalizer is None and isinstance(step, pre_tokenizers.ByteLevel) and step.use_regex and not step.add_prefix_space and self.own.truncation is None and self.own.padding is None
         self._forget()
 
     def _forget(self):
-        self.index, self.size, self.flat = _Index(), 0, np.zeros(1 << 16, np.uint32)
+        self.index, self.size, self.flat = {}, 0, np.zeros(1 << 16, np.uint32)
         self.starts, self.lengths, self.uses = (np.zeros(0, np.int64) for _ in range(3))
 
     def _prune(self):
@@ -89,7 +121,7 @@ class _Tokenizer:
         lengths = self.lengths[often]
         ends = np.cumsum(lengths)
         self.flat = self.flat.take(np.repeat(self.starts[often] - ends + lengths, lengths) + np.arange(lengths.sum()))
-        self.index = _Index(zip(compress(self.index, often.tolist()), range(len(lengths))))
+        self.index = dict(zip(compress(self.index, often.tolist()), range(len(lengths))))
         self.starts, self.lengths, self.uses, self.size = ends - lengths, lengths, self.uses[often] // 2, len(self.flat)
 
     def _whole(self, texts: list[str]) -> list[np.ndarray]:
@@ -122,27 +154,40 @@ class _Tokenizer:
         self.uses = np.concatenate([self.uses, np.zeros(len(new), np.int64)])
         self.size = size
 
-    def ids(self, texts: list[str]) -> list[np.ndarray]:
+    def ids(self, texts: pa.Array | list[str]) -> list[np.ndarray]:
         out: list = [None] * len(texts)
-        plain = [self.by_words and _PLAIN.fullmatch(x) is not None and not any(s in x for s in self.special) for x in texts]
-        other = [i for i, p in enumerate(plain) if not p]
-        for i, x in zip(other, self._whole([texts[i] for i in other])):
+        raw, offsets = C.flat(texts if isinstance(texts, pa.Array) else pa.array(texts, pa.large_string()))
+        kinds, plain = _kinds(raw), np.full(len(texts), self.by_words)
+        plain[np.searchsorted(offsets, np.flatnonzero(kinds == _OTHER), "right") - 1] = False
+        data = raw.tobytes()
+        if special := [s for s in self.special if s in data]:
+            for i, (a, b) in enumerate(pairwise(offsets.tolist())):
+                plain[i] &= not any(s in data[a:b] for s in special)
+        other, own = np.flatnonzero(~plain).tolist(), np.flatnonzero(plain).tolist()
+        for i, x in zip(other, self._whole([data[offsets[i] : offsets[i + 1]].decode() for i in other])):
             out[i] = x
         if len(self.index) > self.most:
             self._prune()
-        known, parts, find, number = len(self.index), [np.zeros(0, np.int64)], _split(), self.index.__getitem__
-        own = np.flatnonzero(plain).tolist()
-        for i in own:
-            words = find(texts[i])
-            parts.append(np.fromiter(map(number, words), np.int64, len(words)))
-        if len(self.index) > known:
-            self._learn(list(islice(self.index, known, None)))
-        at = np.concatenate(parts)
+        if other:
+            sizes = np.diff(offsets)
+            mine = np.repeat(plain, sizes)
+            raw, kinds, offsets = raw[mine], kinds[mine], np.append(0, np.cumsum(sizes[plain]))
+        starts = _words(raw, kinds, offsets)
+        words = pa.Array.from_buffers(pa.large_string(), len(starts), [None, pa.py_buffer(np.append(starts, len(raw))), pa.py_buffer(raw)]).dictionary_encode()
+        known, names = len(self.index), words.dictionary.to_numpy(zero_copy_only=False).tolist()
+        numbers = np.fromiter(map(self.index.get, names, repeat(-1)), np.int64, len(names))
+        new = np.flatnonzero(numbers < 0)
+        if len(new):
+            numbers[new] = np.arange(known, known + len(new))
+            added = [names[i] for i in new.tolist()]
+            self.index.update(zip(added, range(known, known + len(new))))
+            self._learn(added)
+        at = numbers.take(words.indices.to_numpy())
         self.uses += np.bincount(at, minlength=len(self.uses))
         take = self.lengths.take(at)
         total = np.append(0, np.cumsum(take))
         ids = self.flat.take(np.repeat(self.starts.take(at) - total[:-1], take) + np.arange(total[-1]))
-        cuts = total.take(np.cumsum([len(x) for x in parts])).tolist()
+        cuts = total.take(np.searchsorted(starts, offsets)).tolist()
         for i, a, b in zip(own, cuts, cuts[1:]):
             out[i] = ids[a:b]
         return out
@@ -228,8 +273,7 @@ def write_tokens(documents: DataFrame, tokenizer: str, path: str, end_id: int |
             return pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip(row, (pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary()))], names=["shard", "segment", "start", "n_docs", "n_tokens", "data"])
 
         for batch in C.slices(batches, limit=4 << 20):
-            found = own.ids([x or "" for x in batch.column("text").to_pylist()])
-            for name, ids in zip(batch.column("doc_id").to_pylist(), found):
+            for name, ids in zip(batch.column("doc_id").to_pylist(), own.ids(batch.column("text"))):
                 if lists and size + len(ids) + len(end) > segment_tokens:
                     yield done()
                     names, lists, start, segment, size = [], [], start + size, segment + 1, 0

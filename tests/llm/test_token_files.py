@@ -1,9 +1,12 @@
 """Operator 11: the coder, the file format, and the operator against the tokenizers library."""
 
 import random
+import re
+import unicodedata
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from emberflux.llm import range_coder, token_files
@@ -84,6 +87,52 @@ def test_words_give_the_ids_of_whole_texts():
         assert [x.tolist() for x in own.ids(some)] == [x.ids for x in plain]
 
 
+def test_words_are_split_as_the_pattern_says():
+    letters, numbers = ("".join(re.escape(chr(c)) for c in range(0x250) if unicodedata.category(chr(c))[0] == kind) for kind in "LN")
+    find = re.compile(rf"'(?:[sdmt]|ll|ve|re)| ?[{letters}]+| ?[{numbers}]+| ?[^\s{letters}{numbers}]+|\s+(?!\S)|\s+").findall
+    rng = random.Random(10)
+    for chars in ("'''stdmlvre x1 ", "  \xa0\xa0 \n a'é", "ab 1²,\t\xa0É÷'s", "".join(c for c in map(chr, range(0x20, 0x250)) if not "\x7f" <= c < "\xa0")):
+        texts = ["".join(rng.choice(chars) for _ in range(rng.randint(0, 30))) for _ in range(1500)] + ["", "'", "'l", "it's", "", "'ll", " "]
+        raw = np.frombuffer("".join(texts).encode(), np.uint8)
+        offsets = np.cumsum([0, *(len(x.encode()) for x in texts)])
+        kinds = token_files._kinds(raw)
+        assert not (kinds == token_files._OTHER).any()
+        starts = token_files._words(raw, kinds, offsets).tolist()
+        words = [raw[a:b].tobytes().decode() for a, b in zip(starts, [*starts[1:], len(raw)])]
+        assert words == [w for x in texts for w in find(x)]
+
+
+def test_repeated_words_of_a_slice_are_looked_up_once():
+    tokenizers = pytest.importorskip("public_tokenizers")
+    own = token_files._Tokenizer(tokenizers.path("byte_bpe_50k.json"))
+    looked_up = []
+
+    class Counted(type(own.index)):
+        def get(self, *key):
+            looked_up.append(key)
+            return super().get(*key)
+
+        def __getitem__(self, key):
+            looked_up.append(key)
+            return super().__getitem__(key)
+
+    own.index = Counted()
+    texts = ["the cat's naïve", " the cat"] * 500
+    assert [x.tolist() for x in own.ids(texts)] == [x.ids for x in own.own.encode_batch(texts, add_special_tokens=False)]
+    assert len(looked_up) == 5
+
+
+def test_ids_of_columns():
+    """Arrow columns with nulls, of any offset, with texts that go to the tokenizer whole and without."""
+    tokenizers = pytest.importorskip("public_tokenizers")
+    own = token_files._Tokenizer(tokenizers.path("byte_bpe_50k.json"))
+    texts = [None, "lost", "a <|endoftext|>", "|> b", None, "中", "", "plain é", "<|endof", "text|>", "x\x00", "it's"]
+    for a in range(len(texts)):
+        for b in (a, a + 1, len(texts)):
+            plain = own.own.encode_batch([x or "" for x in texts[a:b]], add_special_tokens=False)
+            assert [x.tolist() for x in own.ids(pa.array(texts, pa.string()).slice(a, b - a))] == [x.ids for x in plain]
+
+
 def test_token_files(spark, tmp_path):
     tokenizers = pytest.importorskip("public_tokenizers")
     from tokenizers import Tokenizer
