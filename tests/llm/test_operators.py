@@ -89,6 +89,28 @@ def test_minimisers_do_not_depend_on_company():
     assert cut(text) == cut(text, "".join(rng.choice("abcd") for _ in range(200_000)))
 
 
+def test_byte_super_kmers_memory():
+    import tracemalloc
+
+    import pyarrow as pa
+
+    from emberflux.llm import common, superkmers
+
+    class Rows:
+        def mapInArrow(self, run, schema):
+            return run
+
+    run = superkmers.occurrences(Rows(), superkmers.Windows("byte", 400, 32))
+    letters = np.random.default_rng(24).integers(97, 123, (1000, 4000), dtype=np.uint8)
+    batch = pa.RecordBatch.from_pydict({"doc_id": range(1000), "row_key": range(1000), "text": [x.tobytes().decode() for x in letters]})
+    common._powers.cache_clear()
+    tracemalloc.start()
+    cut = {(d, s, n) for part in run(iter([batch])) for d, s, n in zip(*(part.column(c).to_pylist() for c in ("doc_id", "start", "n")))}
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert sum(n for *_, n in cut) == 1000 * 3601 and most < 90e6
+
+
 def test_substring_dedup_edges(spark):
     got = found(substring_dedup.substring_dedup(frame(spark, [*EDGES, (None, "lost"), (11, "one " * 60)])), "doc_id", "n_words", "n_removed", "kept_sha256")
     assert got == sorted([*repeated_words(EDGES), next(r for r in repeated_words(EDGES) if r[0] == 11)])
